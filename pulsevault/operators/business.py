@@ -180,9 +180,14 @@ def rolling_anomaly(scores: DataFrame) -> DataFrame:
 
 
 def completeness_7d(daily: DataFrame, scores: DataFrame, true_7d: bool = False) -> DataFrame:
-    """JN6/AGG15. Literal (default): the source groups by the *reading's* day, so the value is
-    that day's average completeness across metrics (Q6). ``true_7d=True`` averages the days
-    [d-6, d] instead, via a 7-row-wide calendar range window (no range join)."""
+    """JN6/AGG15: average completeness per (patient, vitals day) for vitals days that fall in
+    [a - 6, a] of some scored day a.
+
+    Literal (default): the source groups by the *vitals* day, so each value is that day's
+    average across metrics (Q6). The range join is replaced by a bounded 7x fan-out of the
+    score days (each score day names the seven vitals days it covers) and a semi join.
+    ``true_7d=True`` averages the vitals days [d-6, d] instead (calendar range window).
+    """
     per_day = daily.groupBy("patient_hk", "report_date").agg(
         F.sum((F.col("completeness_pct") * 100).cast("long")).alias("__s"),
         F.count("completeness_pct").alias("__n"))
@@ -190,8 +195,9 @@ def completeness_7d(daily: DataFrame, scores: DataFrame, true_7d: bool = False)
         w = Window.partitionBy("patient_hk").orderBy(day_number("report_date")).rangeBetween(-6, 0)
         per_day = per_day.select("patient_hk", "report_date",
                                  F.sum("__s").over(w).alias("__s"), F.sum("__n").over(w).alias("__n"))
-    keys = scores.select("patient_hk", "report_date")
-    return per_day.join(keys, ["patient_hk", "report_date"], "left_semi").select(
+    covered = scores.select("patient_hk", F.explode(F.sequence(F.date_sub("report_date", 6), F.col("report_date")))
+                            .alias("report_date"))
+    return per_day.join(covered, ["patient_hk", "report_date"], "left_semi").select(
         "patient_hk", "report_date", dec_mean_from_parts("__s", "__n", 2, 5).alias("data_completeness_7d"))
 
 

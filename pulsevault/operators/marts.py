@@ -124,14 +124,37 @@ def score_summary(scores: DataFrame, as_of) -> DataFrame:
     )
     recent_avg = dec_mean_from_parts("__rs", "__rn", 4, 8)
     prior_avg = dec_mean_from_parts("__ps", "__pn", 4, 8)
-    trend = (F.when(recent_avg.isNull() | prior_avg.isNull(), "stable")
-             .when(recent_avg < prior_avg * F.lit(0.9).cast("decimal(1,1)"), "improving")
-             .when(recent_avg > prior_avg * F.lit(1.1).cast("decimal(2,1)"), "worsening")
-             .otherwise("stable"))
-    return g.select("patient_hk", "anomaly_score_today", trend.alias("anomaly_trend"),
+    return g.select("patient_hk", "anomaly_score_today", trend_label(recent_avg, prior_avg).alias("anomaly_trend"),
                     days_between("__last_anomaly", as_of).alias("days_since_last_anomaly"))
 
 
+def anomaly_trend(scores: DataFrame, as_of) -> DataFrame:
+    """AGG8/CASE3: last-3-days vs previous-3-days average score for patients scored in the last 6 days."""
+    d = F.col("report_date")
+    sc = F.col("composite_anomaly_score")
+    rs, rn = dec_sum_parts(F.when(d >= F.date_sub(as_of, 3), sc), 4)
+    ps, pn = dec_sum_parts(F.when((d >= F.date_sub(as_of, 6)) & (d < F.date_sub(as_of, 3)), sc), 4)
+    g = scores.where(d >= F.date_sub(as_of, 6)).groupBy("patient_hk").agg(
+        rs.alias("__rs"), rn.alias("__rn"), ps.alias("__ps"), pn.alias("__pn"))
+    recent_avg = dec_mean_from_parts("__rs", "__rn", 4, 8)
+    prior_avg = dec_mean_from_parts("__ps", "__pn", 4, 8)
+    return g.select("patient_hk", recent_avg.alias("recent_avg"), prior_avg.alias("prior_avg"),
+                    trend_label(recent_avg, prior_avg).alias("anomaly_trend"))
+
+
+def trend_label(recent_avg, prior_avg):
+    return (F.when(recent_avg.isNull() | prior_avg.isNull(), "stable")
+            .when(recent_avg < prior_avg * F.lit(0.9).cast("decimal(1,1)"), "improving")
+            .when(recent_avg > prior_avg * F.lit(1.1).cast("decimal(2,1)"), "worsening")
+            .otherwise("stable"))
+
+
+def days_since_anomaly(scores: DataFrame, as_of) -> DataFrame:
+    """AGG10/DT5: days from the last flagged day to ``as_of`` (flagged patients only)."""
+    return scores.where(F.col("anomaly_flag")).groupBy("patient_hk").agg(
+        days_between(F.max("report_date"), as_of).alias("days_since_last_anomaly"))
+
+
 def active_alert_counts(sat_alert: DataFrame, hub_alert: DataFrame, lnk_reading_alert: DataFrame,
                         sat_reading_value: DataFrame) -> DataFrame:
     """JN4/AGG9: unacknowledged alerts per patient through alert -> hub -> link -> reading."""

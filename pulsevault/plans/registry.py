@@ -47,3 +47,311 @@ for _k in ["stg_patients", "stg_conditions", "stg_readings", "stg_alerts",
     layer(_k)
 
 layer("breach_alerts", "raw_alerts", "raw_alerts")
+
+
+# =====================================================================================
+# Derived views of single operators
+# =====================================================================================
+from pulsevault.fixed_values import (  # noqa: E402
+    ACCEPTED_GENDER, ACCEPTED_METRICS, ACCEPTED_QUALITY, ACCEPTED_RISK_TIER, ACCEPTED_SEVERITY, EDA_CORR_FEATURES,
+    MODEL_FEATURES, SNOMED_CARDIAC, SNOMED_DIABETES, SNOMED_HYPERTENSION, EDA_BOX_FEATURES,
+)
+from pulsevault.functions import age_years, parse_iso_ts, surrogate_key, dec_to_int  # noqa: E402
+from pulsevault.operators import alerts as AL  # noqa: E402
+from pulsevault.operators import business as BV  # noqa: E402
+from pulsevault.operators import marts as MT  # noqa: E402
+from pulsevault.operators import ml as ML  # noqa: E402
+from pulsevault.operators import patients as PT  # noqa: E402
+from pulsevault.operators import quality as DQ  # noqa: E402
+from pulsevault.operators import staging as ST  # noqa: E402
+from pulsevault.operators import vault as DV  # noqa: E402
+from pulsevault.plans.oracle import AS_OF, LOAD_TS, key, sql  # noqa: E402
+from pulsevault.sources import files as FS  # noqa: E402
+from pulsevault.sources import sinks as SK  # noqa: E402
+
+ISO_SQL = "strftime(measured_at, '%Y-%m-%dT%H:%M:%S.%fZ')"
+AS_OF_TS = "2024-01-31 00:00:00"
+
+
+@register("flt_quality", sql("SELECT reading_id, quality_flag, metric_code, value FROM raw_readings "
+                             "WHERE quality_flag != 'missing'", "raw_readings"))
+def _flt_quality(lh):
+    return ST.quality_filter(lh.raw_readings()).select("reading_id", "quality_flag", "metric_code", "value")
+
+
+@register("fn_json_scalar", "SELECT CAST(event_id AS VARCHAR) AS reading_id, "
+                            "json_extract_string(props, '$.k') AS k_text FROM events")
+def _fn_json_scalar(lh):
+    from pulsevault.functions import json_scalar
+    return lh.feeds.table("events").select(F.col("event_id").cast("string").alias("reading_id"),
+                                           json_scalar("props", "$.k").alias("k_text"))
+
+
+@register("fn_iso_ts", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso_text, "
+                       "CAST(ts AS TIMESTAMP) AS parsed FROM events")
+def _fn_iso_ts(lh):
+    iso = F.date_format("ts", SK.ISO_FORMAT)
+    return lh.feeds.table("events").select("event_id", iso.alias("iso_text"), parse_iso_ts(iso).alias("parsed"))
+
+
+@register("fn_surrogate_key", sql(f"SELECT reading_id, {key('reading_id')} AS k1, {key('patient_id', 'value')} AS k2, "
+                                  f"{key('measured_at', 'activity_type')} AS k3 FROM stg_readings", "stg_readings"))
+def _fn_surrogate_key(lh):
+    return lh.stg_readings().select("reading_id", surrogate_key("reading_id").alias("k1"),
+                                    surrogate_key("patient_id", "value").alias("k2"),
+                                    surrogate_key("measured_at", "activity_type").alias("k3"))
+
+
+@register("fn_age_years", sql(f"SELECT patient_id, birth_date, CAST({O.age('birth_date', AS_OF)} AS BIGINT) AS age "
+                              "FROM stg_patients", "stg_patients"))
+def _fn_age_years(lh):
+    return lh.stg_patients().select("patient_id", "birth_date",
+                                    age_years("birth_date", F.lit(lh.as_of).cast("date")).alias("age"))
+
+
+@register("conditions_agg", O.table("conditions_agg"))
+def _conditions_agg(lh):
+    return DV.active_conditions(lh.stg_conditions())
+
+
+@register("device_spec", sql(f"SELECT device_serial_bk, {O.device_case('device_serial_bk')} FROM hub_device",
+                             "hub_device"))
+def _device_spec(lh):
+    model, maker = DV.device_model_of(F.col("device_serial_bk"))
+    return lh.hub_device().select("device_serial_bk", model.alias("device_model"), maker.alias("manufacturer"))
+
+
+@register("daily_percentiles", O.table("daily_vitals", "patient_hk, metric_code, report_date, value_median, "
+                                                       "value_p05, value_p95"))
+def _daily_percentiles(lh):
+    return lh.daily_vitals().select("patient_hk", "metric_code", "report_date", "value_median", "value_p05",
+                                    "value_p95")
+
+
+@register("completeness", O.table("daily_vitals", "patient_hk, metric_code, report_date, reading_count, "
+                                                  "completeness_pct"))
+def _completeness(lh):
+    return lh.daily_vitals().select("patient_hk", "metric_code", "report_date", "reading_count", "completeness_pct")
+
+
+@register("anomaly_pivot", O.table("anomaly_pivot"))
+def _anomaly_pivot(lh):
+    return BV.anomaly_pivot(lh.daily_vitals())
+
+
+_STD_COLS = ", ".join(f"CAST({p}_baseline_std AS DECIMAL(10,4)) AS {p}_baseline_std, {p}_baseline_mean"
+                      for p in ("hr", "spo2", "steps"))
+
+
+@register("baseline_30d", O.table("baseline_30d", f"patient_hk, report_date, hr_mean, spo2_mean, steps_mean, {_STD_COLS}"))
+def _baseline_30d(lh):
+    b = BV.baseline_30d(BV.anomaly_pivot(lh.daily_vitals()))
+    cols = []
+    for p in ("hr", "spo2", "steps"):
+        cols += [F.col(f"{p}_baseline_std").cast("decimal(10,4)").alias(f"{p}_baseline_std"), f"{p}_baseline_mean"]
+    return b.select("patient_hk", "report_date", "hr_mean", "spo2_mean", "steps_mean", *cols)
+
+
+@register("zscore", O.table("zscore", "patient_hk, report_date, TRY_CAST(hr_z AS DECIMAL(18,4)) AS hr_z, "
+                                      "TRY_CAST(spo2_z AS DECIMAL(18,4)) AS spo2_z, "
+                                      "TRY_CAST(steps_z AS DECIMAL(18,4)) AS steps_z"))
+def _zscore(lh):
+    z = BV.zscores(BV.baseline_30d(BV.anomaly_pivot(lh.daily_vitals())))
+    return z.select("patient_hk", "report_date",
+                    *[F.col(c).try_cast("decimal(18,4)").alias(c) for c in ("hr_z", "spo2_z", "steps_z")])
+
+
+@register("contributing_metrics", O.table("anomaly_score", "patient_hk, report_date, contributing_metrics"))
+def _contributing(lh):
+    return lh.anomaly_score().select("patient_hk", "report_date", "contributing_metrics")
+
+
+@register("risk_tier", O.table("risk_profile", "patient_hk, report_date, risk_tier"))
+def _risk_tier(lh):
+    return lh.risk_profile().select("patient_hk", "report_date", "risk_tier")
+
+
+@register("condition_flags", O.table("demo_flags", "patient_hk, has_diabetes, has_hypertension, "
+                                                   "has_cardiac_condition, condition_count"))
+def _condition_flags(lh):
+    demo = BV.latest_demographics(lh.sat_patient_demographics())
+    fl = BV.condition_flags(F.col("chronic_conditions"))
+    return demo.select("patient_hk", *[v.alias(k) for k, v in fl.items()])
+
+
+@register("rolling_7d", O.table("rolling_vitals", "patient_hk, report_date, hr_mean_7d_avg, spo2_min_7d_avg, "
+                                                  "steps_total_7d_avg"))
+def _rolling_7d(lh):
+    return MT.rolling_vitals(MT.vitals_wide(lh.daily_vitals())).select(
+        "patient_hk", "report_date", "hr_mean_7d_avg", "spo2_min_7d_avg", "steps_total_7d_avg")
+
+
+@register("events_30d", O.table("rolling_anomaly", "patient_hk, report_date, avg_anomaly_score_7d, anomaly_events_30d"))
+def _events_30d(lh):
+    return BV.rolling_anomaly(lh.anomaly_score()).select("patient_hk", "report_date", "avg_anomaly_score_7d",
+                                                         "anomaly_events_30d")
+
+
+@register("completeness_7d", O.table("completeness_7d"))
+def _completeness_7d(lh):
+    return BV.completeness_7d(lh.daily_vitals(), lh.anomaly_score())
+
+
+@register("latest_row", sql("SELECT patient_hk, report_date, risk_tier, avg_anomaly_score_7d, anomaly_events_30d FROM ("
+                            "SELECT *, row_number() OVER (PARTITION BY patient_hk ORDER BY report_date DESC) rn "
+                            "FROM risk_profile) x WHERE rn = 1", "risk_profile"))
+def _latest_row(lh):
+    return DV.latest_version(lh.risk_profile(), "patient_hk", "report_date", keep_ties=False).select(
+        "patient_hk", "report_date", "risk_tier", "avg_anomaly_score_7d", "anomaly_events_30d")
+
+
+_VW = ("patient_hk, report_date, hr_mean, hr_std, hr_min, hr_max, hr_p05, hr_p95, spo2_mean, spo2_min, "
+       "CAST(steps_total AS DECIMAL(20,4)) AS steps_total, skin_temp_mean, glucose_mean, glucose_std, "
+       "sleep_duration_hrs, data_completeness")
+
+
+@register("vitals_wide", O.table("vitals_wide", _VW))
+def _vitals_wide(lh):
+    return MT.vitals_wide(lh.daily_vitals()).withColumn("steps_total", F.col("steps_total").cast("decimal(20,4)"))
+
+
+@register("steps_total", sql("SELECT patient_hk, report_date, CAST(steps_total AS INTEGER) AS steps_total "
+                             "FROM vitals_wide WHERE steps_total IS NOT NULL", "vitals_wide"))
+def _steps_total(lh):
+    return MT.vitals_wide(lh.daily_vitals()).where(F.col("steps_total").isNotNull()).select(
+        "patient_hk", "report_date", dec_to_int("steps_total").alias("steps_total"))
+
+
+@register("delta_1d", O.table("rolling_vitals", "patient_hk, report_date, hr_mean, "
+                                                "CAST(hr_mean_delta_1d AS DECIMAL(11,4)) AS hr_mean_delta_1d"))
+def _delta_1d(lh):
+    return MT.rolling_vitals(MT.vitals_wide(lh.daily_vitals())).select(
+        "patient_hk", "report_date", "hr_mean", F.col("hr_mean_delta_1d").cast("decimal(11,4)").alias("hr_mean_delta_1d"))
+
+
+@register("label_next_day", O.table("label_next_day"))
+def _label_next_day(lh):
+    return MT.label_next_day(lh.anomaly_score())
+
+
+@register("mart_features", sql("SELECT rv.patient_hk, rv.report_date, rv.hr_mean, r.risk_tier, a.composite_anomaly_score "
+                               "FROM rolling_vitals rv JOIN risk_profile r ON r.patient_hk = rv.patient_hk AND "
+                               "r.report_date = rv.report_date JOIN anomaly_score a ON a.patient_hk = rv.patient_hk "
+                               "AND a.report_date = rv.report_date", "rolling_vitals", "risk_profile", "anomaly_score"))
+def _mart_features(lh):
+    rv = MT.rolling_vitals(MT.vitals_wide(lh.daily_vitals())).select("patient_hk", "report_date", "hr_mean")
+    return (rv.join(lh.risk_profile().select("patient_hk", "report_date", "risk_tier"), ["patient_hk", "report_date"])
+            .join(lh.anomaly_score().select("patient_hk", "report_date", "composite_anomaly_score"),
+                  ["patient_hk", "report_date"]))
+
+
+@register("dashboard", sql("SELECT patient_hk, report_date, composite_anomaly_score, contributing_metrics "
+                           "FROM anomaly_score WHERE anomaly_flag = true", "anomaly_score"))
+def _dashboard(lh):
+    return lh.anomaly_score().where(F.col("anomaly_flag")).select("patient_hk", "report_date",
+                                                                  "composite_anomaly_score", "contributing_metrics")
+
+
+@register("join_inner", sql("SELECT hp.patient_bk, pd.gender, pd.birth_date, pd.chronic_conditions FROM "
+                            "sat_patient_demographics pd JOIN hub_patient hp ON hp.patient_hk = pd.patient_hk",
+                            "sat_patient_demographics", "hub_patient"))
+def _join_inner(lh):
+    return lh.sat_patient_demographics().join(lh.hub_patient(), "patient_hk").select(
+        "patient_bk", "gender", "birth_date", "chronic_conditions")
+
+
+@register("join_left", sql("SELECT p.patient_id, c.chronic_conditions FROM stg_patients p LEFT JOIN conditions_agg c "
+                           "ON p.patient_id = c.patient_id", "stg_patients", "conditions_agg"))
+def _join_left(lh):
+    return lh.stg_patients().select("patient_id").join(DV.active_conditions(lh.stg_conditions()), "patient_id", "left")
+
+
+@register("active_alerts", O.table("active_alerts"))
+def _active_alerts(lh):
+    return MT.active_alert_counts(lh.sat_alert_detail(), lh.hub_alert(), lh.lnk_reading_alert(), lh.sat_reading_value())
+
+
+@register("latest_vital", O.table("latest_vital"))
+def _latest_vital(lh):
+    return MT.latest_vitals(lh.sat_reading_value())
+
+
+@register("anomaly_trend", O.table("anomaly_trend"))
+def _anomaly_trend(lh):
+    return MT.anomaly_trend(lh.anomaly_score(), F.lit(lh.as_of).cast("date"))
+
+
+@register("days_since_anomaly", O.table("days_since_anomaly"))
+def _days_since(lh):
+    return MT.days_since_anomaly(lh.anomaly_score(), F.lit(lh.as_of).cast("date"))
+
+
+@register("breach_match", O.table("breach_match"))
+def _breach_match(lh):
+    return AL.breach_match(lh.stg_readings())
+
+
+# -- patients (simulator loader) ------------------------------------------------------------------
+_ENRICH_CTE = f"""
+SELECT p.patient_id, row_number() OVER (ORDER BY p.patient_id) - 1 AS idx, p.birth_date, p.gender, p.race,
+       p.ethnicity, p.city, p.state, p.bmi, coalesce(c.codes, CAST([] AS VARCHAR[])) AS codes
+FROM stg_patients p LEFT JOIN (SELECT patient_id, list_sort(list(condition_code)) AS codes FROM stg_conditions
+                               GROUP BY patient_id) c ON p.patient_id = c.patient_id"""
+O.cte("enrich_base", ["stg_patients", "stg_conditions"], _ENRICH_CTE)
+O.cte("patients_enriched", ["enrich_base"], f"""
+SELECT patient_id, idx, birth_date, gender, race, ethnicity, city, state, bmi,
+       array_to_string(codes, ',') AS chronic_conditions,
+       list_has_any(codes, [{O.in_list(SNOMED_DIABETES)}]) AS has_diabetes,
+       list_has_any(codes, [{O.in_list(SNOMED_HYPERTENSION)}]) AS has_hypertension,
+       list_has_any(codes, [{O.in_list(SNOMED_CARDIAC)}]) AS has_cardiac_condition,
+       printf('GRM-W%04d', idx) AS device_serial,
+       CASE idx % 3 WHEN 0 THEN 'Garmin Venu 3' WHEN 1 THEN 'Apple Watch Ultra 2' ELSE 'Withings ScanWatch 2' END AS device_model,
+       CASE idx % 3 WHEN 0 THEN 'Garmin' WHEN 1 THEN 'Apple' ELSE 'Withings' END AS device_manufacturer,
+       CASE WHEN list_has_any(codes, [{O.in_list(SNOMED_DIABETES)}]) THEN printf('CGM-%04d', idx) END AS cgm_serial,
+       CASE WHEN list_has_any(codes, [{O.in_list(SNOMED_DIABETES)}]) THEN 'Dexcom G7' END AS cgm_model,
+       CASE WHEN list_has_any(codes, [{O.in_list(SNOMED_DIABETES)}]) THEN 'Dexcom' END AS cgm_manufacturer
+FROM enrich_base""")
+
+
+@register("patient_enrich", O.table("patients_enriched"))
+def _patient_enrich(lh):
+    return lh.patients_enriched()
+
+
+@register("device_assign", O.table("patients_enriched", "patient_id, device_serial, device_model, device_manufacturer, "
+                                                        "cgm_serial, cgm_model, cgm_manufacturer"))
+def _device_assign(lh):
+    return lh.patients_enriched().select("patient_id", "device_serial", "device_model", "device_manufacturer",
+                                         "cgm_serial", "cgm_model", "cgm_manufacturer")
+
+
+@register("metrics_supported", O.table("patients_enriched", "patient_id, 'heart_rate,spo2,steps,skin_temperature,"
+                                                            "sleep_stage' || CASE WHEN has_diabetes THEN "
+                                                            "',blood_glucose' ELSE '' END AS metrics_supported"))
+def _metrics_supported(lh):
+    m = PT.metrics_supported(lh.patients_enriched())
+    return m.select("patient_id", F.array_join("metrics_supported", ",").alias("metrics_supported"))
+
+
+# -- sets and top-k ------------------------------------------------------------------------------------
+@register("set_union_feeds", sql("SELECT 'readings' AS feed, reading_id AS event_id, patient_id, measured_at AS event_ts "
+                                 "FROM stg_readings UNION ALL SELECT 'alerts', alert_id, patient_id, triggered_at "
+                                 "FROM raw_alerts", "stg_readings", "raw_alerts"))
+def _set_union(lh):
+    r = lh.stg_readings().select(F.lit("readings").alias("feed"), F.col("reading_id").alias("event_id"), "patient_id",
+                                 F.col("measured_at").alias("event_ts"))
+    a = lh.raw_alerts().select(F.lit("alerts").alias("feed"), F.col("alert_id").alias("event_id"), "patient_id",
+                               F.col("triggered_at").alias("event_ts"))
+    return r.unionByName(a)
+
+
+@register("topk_recent", sql("SELECT * FROM mart_patient_daily_features ORDER BY report_date DESC, patient_hk LIMIT 10000",
+                             "mart_patient_daily_features"))
+def _topk_recent(lh):
+    return ML.topk_recent(lh.mart_patient_daily_features())
+
+
+@register("topk_patients", sql("SELECT patient_id, birth_date, gender FROM stg_patients ORDER BY patient_id LIMIT 100",
+                               "stg_patients"))
+def _topk_patients(lh):
+    return lh.stg_patients().orderBy("patient_id").limit(100).select("patient_id", "birth_date", "gender")
