@@ -150,7 +150,8 @@ def predict(asm, model, split_df: DataFrame) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     out = model.transform(asm.transform(test))
     return out.select("patient_hk", "report_date", "label", F.col("prediction").cast("int").alias("prediction"),
-                      vector_to_array("probability")[1].alias("p_positive"))
+                      # a single-class training set yields a 1-element probability vector
+                      F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0)).alias("p_positive"))
 
 
 def classification_metrics(pred: DataFrame) -> DataFrame:
@@ -185,7 +186,8 @@ def classification_metrics(pred: DataFrame) -> DataFrame:
 
 def feature_importances(model, features: list[str] = MODEL_FEATURES, top: int = 15) -> DataFrame:
     """ML10: importances sorted descending, top 15 (a vector of len(features) numbers)."""
-    spark = model._sc and __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
     imps = model.featureImportances.toArray().tolist()
     df = spark.createDataFrame(list(zip(features, [float(v) for v in imps])), "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), "feature").limit(top)

@@ -41,6 +41,7 @@ class Lakehouse:
         self.as_of = as_of
         self.feeds = DriverFeeds(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
 
     # -- raw feeds ---------------------------------------------------------
     @_memo
@@ -169,6 +170,24 @@ class Lakehouse:
     def breach_windows(self):
         return AL.breach_windows(self.stg_readings())
 
+    # -- landing files written from the feeds (shared by the file-source checks) -----
+    def landing_readings(self) -> str:
+        """Raw readings as a day-partitioned NDJSON landing tree (written once per object)."""
+        if "landing_readings" not in self._paths:
+            from pulsevault.sources.sinks import write_ndjson_by_day
+            path = scratch_path(self.spark, "landing-readings")
+            write_ndjson_by_day(self.raw_readings(), path, "measured_at", json_cols=["context"])
+            self._paths["landing_readings"] = path
+        return self._paths["landing_readings"]
+
+    def landing_alerts(self) -> str:
+        if "landing_alerts" not in self._paths:
+            from pulsevault.sources.sinks import write_ndjson_by_day
+            path = scratch_path(self.spark, "landing-alerts")
+            write_ndjson_by_day(self.raw_alerts(), path, "triggered_at")
+            self._paths["landing_alerts"] = path
+        return self._paths["landing_alerts"]
+
     # -- materialisation -------------------------------------------------------
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write to the shared checkpoint folder and read back (cuts lineage; survives executor loss)."""

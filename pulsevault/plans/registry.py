@@ -355,3 +355,352 @@ def _topk_recent(lh):
                                "stg_patients"))
 def _topk_patients(lh):
     return lh.stg_patients().orderBy("patient_id").limit(100).select("patient_id", "birth_date", "gender")
+
+
+# =====================================================================================
+# Incremental loads and change detection (two loads derived from the same tables)
+# =====================================================================================
+LOAD1_TS = "2024-01-15 00:00:00"
+ONSET_CUTOFF = "1995-01-01"
+
+
+def _demographics_load1(lh: Lakehouse) -> DataFrame:
+    """First load: the same patients, stamped earlier, knowing only conditions with onset before the cutoff."""
+    p1 = ST.stg_patients(lh.raw_patients(), LOAD1_TS)
+    c1 = ST.stg_conditions(lh.raw_conditions(), LOAD1_TS).where(F.col("onset_date") < F.lit(ONSET_CUTOFF).cast("date"))
+    return DV.sat_patient_demographics(p1, c1)
+
+
+O.cte("conditions_agg1", ["stg_conditions"], f"""
+SELECT patient_id, array_to_string(list_sort(list(condition_code)), ',') AS chronic_conditions
+FROM stg_conditions WHERE resolved_date IS NULL AND onset_date < DATE '{ONSET_CUTOFF}' GROUP BY patient_id""")
+O.cte("sat_demo_load1", ["stg_patients", "conditions_agg1"], f"""
+SELECT {key('patient_id')} AS patient_hk, TIMESTAMP '{LOAD1_TS}' AS load_datetime,
+       {key('gender', 'city', 'state', 'zip', 'bmi', 'chronic_conditions')} AS hash_diff,
+       TIMESTAMP '{LOAD1_TS}' AS effective_from, record_source, birth_date, gender, race, ethnicity, city, state, zip,
+       bmi, chronic_conditions
+FROM (SELECT p.*, coalesce(c.chronic_conditions, '') AS chronic_conditions
+      FROM stg_patients p LEFT JOIN conditions_agg1 c ON p.patient_id = c.patient_id) x""")
+O.cte("change_detect", ["sat_patient_demographics", "sat_demo_load1"], """
+SELECT s.* FROM sat_patient_demographics s LEFT JOIN sat_demo_load1 l ON l.patient_hk = s.patient_hk
+WHERE l.hash_diff IS NULL OR l.hash_diff != s.hash_diff""")
+O.cte("demo_versions", ["sat_demo_load1", "change_detect"], """
+SELECT * FROM sat_demo_load1 UNION ALL SELECT * FROM change_detect""")
+
+
+@register("change_detect", O.table("change_detect"))
+def _change_detect(lh):
+    return DV.sat_patient_demographics(lh.stg_patients(), lh.stg_conditions(), existing=_demographics_load1(lh))
+
+
+@register("latest_correlated", sql("SELECT * FROM demo_versions v WHERE v.effective_from = (SELECT max(s.effective_from) "
+                                   "FROM demo_versions s WHERE s.patient_hk = v.patient_hk)", "demo_versions"))
+def _latest_correlated(lh):
+    load1 = _demographics_load1(lh)
+    changes = DV.sat_patient_demographics(lh.stg_patients(), lh.stg_conditions(), existing=load1)
+    return DV.latest_version(load1.unionByName(changes), "patient_hk", keep_ties=True)
+
+
+_DAILY_STAMP = "CAST(CAST(measured_at AS DATE) + 1 AS TIMESTAMP)"
+
+
+@register("inc_hwm", sql(f"SELECT {key('reading_id')} AS reading_hk, {_DAILY_STAMP} AS load_datetime, measured_at "
+                         f"FROM stg_readings WHERE {_DAILY_STAMP} > (SELECT max({_DAILY_STAMP}) FROM stg_readings "
+                         f"WHERE {_DAILY_STAMP} <= TIMESTAMP '2024-01-16 00:00:00')", "stg_readings"))
+def _inc_hwm(lh):
+    stage = ST.stg_readings(lh.raw_readings(), ST.daily_load_stamp)
+    existing = DV.sat_reading_value(stage.where(F.col("load_datetime") <= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")))
+    new = DV.watermark_filter(DV.sat_reading_value(stage), existing)
+    return new.select("reading_hk", "load_datetime", "measured_at")
+
+
+@register("inc_hwm_date", O.table("risk_profile"))
+def _inc_hwm_date(lh):
+    risk = lh.risk_profile()
+    existing = risk.where(F.col("report_date") <= F.lit("2024-01-20").cast("date"))
+    new = DV.date_watermark_filter(risk, existing)
+    return DV.replace_by_key(existing, new, ["patient_hk", "report_date"])
+
+
+# =====================================================================================
+# Data quality
+# =====================================================================================
+NOT_NULL_MODELS = ["stg_readings", "anomaly_score", "risk_profile", "mart_patient_daily_features"]
+MODEL_COLUMNS = {
+    "stg_readings": ["reading_id", "patient_id", "device_serial", "metric_code", "value", "unit", "quality_flag",
+                     "measured_at", "activity_type", "location_type", "load_datetime", "record_source"],
+    "anomaly_score": ["patient_hk", "report_date", "load_datetime", "record_source", "hr_zscore", "spo2_zscore",
+                      "steps_zscore", "composite_anomaly_score", "anomaly_flag", "contributing_metrics"],
+    "risk_profile": ["patient_hk", "report_date", "load_datetime", "record_source", "age", "condition_count",
+                     "has_diabetes", "has_hypertension", "has_cardiac_condition", "avg_anomaly_score_7d",
+                     "anomaly_events_30d", "data_completeness_7d", "risk_tier"],
+    "mart_patient_daily_features": [
+        "patient_hk", "report_date", "age", "gender", "bmi", "has_diabetes", "has_hypertension",
+        "has_cardiac_condition", "condition_count", "hr_mean", "hr_std", "hr_min", "hr_max", "hr_p05", "hr_p95",
+        "spo2_mean", "spo2_min", "steps_total", "skin_temp_mean", "glucose_mean", "glucose_std", "sleep_duration_hrs",
+        "hr_mean_7d_avg", "hr_mean_delta_1d", "spo2_min_7d_avg", "steps_total_7d_avg", "composite_anomaly_score",
+        "anomaly_events_30d", "data_completeness", "risk_tier", "anomaly_next_24h"],
+}
+
+
+def _union_sql(parts: list[str]) -> str:
+    return " UNION ALL ".join(parts)
+
+
+def _report_sql(model: str, test: str, counts: dict[str, str]) -> list[str]:
+    return [f"SELECT '{model}' AS model, '{test}' AS test, '{c}' AS column_name, "
+            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {model}" for c, cond in counts.items()]
+
+
+@register("dq_not_null", sql(_union_sql(sum([_report_sql(m, "not_null", {c: f"{c} IS NULL" for c in MODEL_COLUMNS[m]})
+                                             for m in NOT_NULL_MODELS], [])), *NOT_NULL_MODELS))
+def _dq_not_null(lh):
+    return DQ._union([DQ.not_null_summary(getattr(lh, m)(), m, MODEL_COLUMNS[m]) for m in NOT_NULL_MODELS])
+
+
+UNIQUE_RULES = [("hub_patient", ["patient_hk"]), ("hub_patient", ["patient_bk"]), ("hub_device", ["device_hk"]),
+                ("hub_metric_type", ["metric_type_hk"]), ("hub_reading", ["reading_hk"]), ("hub_alert", ["alert_hk"]),
+                ("stg_patients", ["patient_id"]), ("stg_readings", ["reading_id"]), ("stg_alerts", ["alert_id"]),
+                ("mart_patient_daily_features", ["patient_hk", "report_date"]),
+                ("mart_anomaly_dashboard", ["patient_bk"])]
+
+
+def _unique_sql(model, cols):
+    c = ", ".join(cols)
+    nn = " AND ".join(f"{x} IS NOT NULL" for x in cols)
+    return (f"SELECT '{model}' AS model, 'unique' AS test, '{','.join(cols)}' AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c} FROM {model} WHERE {nn} GROUP BY {c} "
+            f"HAVING count(*) > 1) d")
+
+
+@register("dq_unique", sql(_union_sql([_unique_sql(m, c) for m, c in UNIQUE_RULES]),
+                           *sorted({m for m, _ in UNIQUE_RULES})))
+def _dq_unique(lh):
+    return DQ._union([DQ.unique_summary(getattr(lh, m)(), m, c) for m, c in UNIQUE_RULES])
+
+
+ACCEPTED_RULES = {
+    "stg_patients": {"gender": ACCEPTED_GENDER},
+    "stg_readings": {"metric_code": ACCEPTED_METRICS, "quality_flag": ACCEPTED_QUALITY},
+    "stg_alerts": {"severity": ACCEPTED_SEVERITY},
+    "hub_metric_type": {"metric_code_bk": ACCEPTED_METRICS},
+    "risk_profile": {"risk_tier": ACCEPTED_RISK_TIER},
+    "mart_patient_daily_features": {"gender": ACCEPTED_GENDER, "risk_tier": ACCEPTED_RISK_TIER},
+    "mart_anomaly_dashboard": {"risk_tier": ACCEPTED_RISK_TIER, "anomaly_trend": ["improving", "stable", "worsening"]},
+}
+
+
+@register("dq_accepted_values", sql(_union_sql(sum([
+    _report_sql(m, "accepted_values", {c: f"{c} IS NOT NULL AND {c} NOT IN ({O.in_list(v)})" for c, v in r.items()})
+    for m, r in ACCEPTED_RULES.items()], [])), *ACCEPTED_RULES))
+def _dq_accepted(lh):
+    return DQ._union([DQ.accepted_values_summary(getattr(lh, m)(), m, r) for m, r in ACCEPTED_RULES.items()])
+
+
+RELATIONSHIPS = [
+    ("lnk_patient_device", "patient_hk", "hub_patient", "patient_hk"),
+    ("lnk_patient_device", "device_hk", "hub_device", "device_hk"),
+    ("lnk_device_metric", "device_hk", "hub_device", "device_hk"),
+    ("lnk_device_metric", "metric_type_hk", "hub_metric_type", "metric_type_hk"),
+    ("lnk_reading_alert", "reading_hk", "hub_reading", "reading_hk"),
+    ("lnk_reading_alert", "alert_hk", "hub_alert", "alert_hk"),
+    ("sat_reading_value", "reading_hk", "hub_reading", "reading_hk"),
+    ("sat_reading_context", "reading_hk", "hub_reading", "reading_hk"),
+    ("sat_alert_detail", "alert_hk", "hub_alert", "alert_hk"),
+    ("sat_patient_demographics", "patient_hk", "hub_patient", "patient_hk"),
+    ("sat_device_spec", "device_hk", "hub_device", "device_hk"),
+]
+
+
+def _rel_sql(child, col, parent, pcol):
+    return (f"SELECT '{child}' AS model, 'relationships:{parent}.{pcol}' AS test, '{col}' AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
+
+
+@register("dq_relationships", sql(_union_sql([_rel_sql(*r) for r in RELATIONSHIPS]),
+                                  *sorted({r[0] for r in RELATIONSHIPS} | {r[2] for r in RELATIONSHIPS})))
+def _dq_relationships(lh):
+    return DQ._union([DQ.relationship_summary(getattr(lh, c)(), c, col, getattr(lh, p)(), p, pc)
+                      for c, col, p, pc in RELATIONSHIPS])
+
+
+BETWEEN_RULES = {
+    "daily_vitals": {"completeness_pct": (0, 110)},
+    "risk_profile": {"age": (0, 130)},
+    "mart_patient_daily_features": {"age": (0, 130), "hr_mean": (20, 300), "spo2_mean": (70, 100),
+                                    "spo2_min": (70, 100)},
+}
+
+
+@register("dq_between", sql(_union_sql(sum([
+    _report_sql(m, "between", {c: f"{c} IS NOT NULL AND NOT ({c} BETWEEN {lo} AND {hi})" for c, (lo, hi) in r.items()})
+    for m, r in BETWEEN_RULES.items()], [])), *BETWEEN_RULES))
+def _dq_between(lh):
+    return DQ._union([DQ.between_summary(getattr(lh, m)(), m, r) for m, r in BETWEEN_RULES.items()])
+
+
+@register("dq_range", sql("SELECT 'assert_hr_in_range' AS test, reading_hk, patient_hk, measured_at, value, quality_flag, "
+                          "load_datetime FROM sat_reading_value WHERE metric_code = 'heart_rate' AND (value < 20 OR "
+                          "value > 300) UNION ALL SELECT 'assert_spo2_in_range', reading_hk, patient_hk, measured_at, "
+                          "value, quality_flag, load_datetime FROM sat_reading_value WHERE metric_code = 'spo2' AND "
+                          "(value < 70 OR value > 100)", "sat_reading_value"))
+def _dq_range(lh):
+    return DQ.range_violations(lh.sat_reading_value())
+
+
+_HOURS = "((epoch_us(TIMESTAMP '{now}') - epoch_us({t})) // 3600000000)"
+
+
+@register("dq_freshness", sql(
+    "SELECT d.device_hk, d.device_serial_bk, l.last_seen_at, "
+    f"CAST({_HOURS.format(now=AS_OF_TS, t='l.last_seen_at')} AS BIGINT) AS hours_since_last_reading "
+    "FROM hub_device d JOIN (SELECT device_hk, max(measured_at) AS last_seen_at FROM sat_reading_value GROUP BY device_hk) l "
+    f"ON l.device_hk = d.device_hk WHERE {_HOURS.format(now=AS_OF_TS, t='l.last_seen_at')} > 25",
+    "hub_device", "sat_reading_value"))
+def _dq_freshness(lh):
+    return DQ.stale_devices(lh.sat_reading_value(), lh.hub_device(), AS_OF_TS)
+
+
+@register("dq_source_freshness", sql(
+    f"SELECT max_loaded_at, CAST({_HOURS.format(now=AS_OF_TS, t='max_loaded_at')} AS BIGINT) AS hours_since, "
+    f"CASE WHEN max_loaded_at IS NULL OR {_HOURS.format(now=AS_OF_TS, t='max_loaded_at')} > 50 THEN 'error' "
+    f"WHEN {_HOURS.format(now=AS_OF_TS, t='max_loaded_at')} > 26 THEN 'warn' ELSE 'pass' END AS status "
+    "FROM (SELECT max(measured_at) AS max_loaded_at FROM stg_readings) m", "stg_readings"))
+def _dq_source_freshness(lh):
+    return DQ.source_freshness(lh.stg_readings(), AS_OF_TS)
+
+
+O.cte("found", ["raw_readings", "raw_alerts"], """
+SELECT DISTINCT CAST(measured_at AS DATE) AS d, 'readings' AS feed FROM raw_readings
+UNION SELECT DISTINCT CAST(triggered_at AS DATE), 'alerts' FROM raw_alerts""")
+
+
+@register("dq_feeds_present", sql(
+    "SELECT c.d, c.feed, coalesce(f.present, false) AS present FROM "
+    "(SELECT CAST(g.d AS DATE) AS d, x.feed FROM (SELECT min(d) lo, max(d) hi FROM found) s, "
+    "generate_series(s.lo, s.hi, INTERVAL 1 DAY) g(d), (VALUES ('readings'), ('alerts')) x(feed)) c "
+    "LEFT JOIN (SELECT DISTINCT d, feed, true AS present FROM found) f ON f.d = c.d AND f.feed = c.feed",
+    "found"))
+def _dq_feeds_present(lh):
+    return DQ.feeds_present({"readings": lh.raw_readings().select(F.to_date("measured_at").alias("d")),
+                             "alerts": lh.raw_alerts().select(F.to_date("triggered_at").alias("d"))})
+
+
+
+
+@register("dq_min_rows", sql("SELECT CAST(measured_at AS DATE) AS d, count(*) AS line_count, count(*) >= 100 AS passed "
+                             "FROM raw_readings GROUP BY 1", "raw_readings"))
+def _dq_min_rows(lh):
+    lines = lh.spark.read.text(lh.landing_readings())
+    return DQ.min_rows_per_day(lines)
+
+
+# =====================================================================================
+# ML / EDA over the feature mart
+# =====================================================================================
+MART = "mart_patient_daily_features"
+
+
+@register("eda_profile", sql(
+    f"SELECT count(*) AS n_rows, CAST(31 AS BIGINT) AS n_cols, count(*) FILTER (WHERE anomaly_next_24h) AS n_positive, "
+    f"round(count(*) FILTER (WHERE anomaly_next_24h) / count(*), 6) AS anomaly_rate, min(report_date) AS min_date, "
+    f"max(report_date) AS max_date, count(DISTINCT patient_hk) AS n_patients FROM {MART}", MART))
+def _eda_profile(lh):
+    return ML.profile(lh.mart_patient_daily_features())
+
+
+@register("eda_label_counts", sql(f"SELECT anomaly_next_24h, count(*) AS n FROM {MART} GROUP BY 1", MART))
+def _eda_label_counts(lh):
+    return ML.label_counts(lh.mart_patient_daily_features())
+
+
+@register("eda_rate_by_tier", sql(
+    f"SELECT risk_tier, count(*) AS n, count(*) FILTER (WHERE anomaly_next_24h) AS positives, "
+    f"round(count(*) FILTER (WHERE anomaly_next_24h) / count(*), 6) AS rate FROM {MART} GROUP BY 1", MART))
+def _eda_rate_by_tier(lh):
+    return ML.rate_by_tier(lh.mart_patient_daily_features())
+
+
+_BOX_LONG = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, anomaly_next_24h AS label, CAST({f} AS DECIMAL(12,4)) AS value FROM {MART} "
+    f"WHERE {f} IS NOT NULL" for f in EDA_BOX_FEATURES)
+O.cte("box_long", [MART], _BOX_LONG)
+O.cte("box_q", ["box_long"], """
+SELECT feature, label, count(*) AS n, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.5) AS median,
+       quantile_disc(value, 0.75) AS q3 FROM box_long GROUP BY feature, label""")
+
+
+@register("eda_boxplot", sql(
+    "SELECT q.feature, q.label, q.n, q.q1, q.median, q.q3, "
+    "CAST(min(CASE WHEN l.value BETWEEN q.q1 - (q.q3 - q.q1) * 1.5 AND q.q3 + (q.q3 - q.q1) * 1.5 THEN l.value END) "
+    "AS DECIMAL(12,4)) AS whisker_low, "
+    "CAST(max(CASE WHEN l.value BETWEEN q.q1 - (q.q3 - q.q1) * 1.5 AND q.q3 + (q.q3 - q.q1) * 1.5 THEN l.value END) "
+    "AS DECIMAL(12,4)) AS whisker_high, "
+    "count(*) FILTER (WHERE NOT (l.value BETWEEN q.q1 - (q.q3 - q.q1) * 1.5 AND q.q3 + (q.q3 - q.q1) * 1.5)) AS n_outliers "
+    "FROM box_q q JOIN box_long l ON l.feature = q.feature AND l.label = q.label "
+    "GROUP BY q.feature, q.label, q.n, q.q1, q.median, q.q3", "box_q", "box_long"))
+def _eda_boxplot(lh):
+    return ML.boxplot_stats(lh.mart_patient_daily_features())
+
+
+_CORR_COLS = EDA_CORR_FEATURES + ["anomaly_next_24h"]
+_CORR_PAIRS = [(a, b) for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i + 1:]]
+
+
+@register("eda_corr", sql(" UNION ALL ".join(
+    f"SELECT '{a}' AS feature_x, '{b}' AS feature_y, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS corr "
+    f"FROM {MART}" for a, b in _CORR_PAIRS), MART))
+def _eda_corr(lh):
+    return ML.correlations(lh.mart_patient_daily_features())
+
+
+_ML_COLS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MODEL_FEATURES)
+_ML_NN = " AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES + ["anomaly_next_24h"])
+O.cte("ml_dataset", [MART], f"SELECT patient_hk, report_date, {_ML_COLS}, CAST(anomaly_next_24h AS INTEGER) AS label "
+                            f"FROM {MART} WHERE {_ML_NN}")
+
+
+@register("ml_dataset", O.table("ml_dataset"))
+def _ml_dataset(lh):
+    return ML.model_dataset(lh.mart_patient_daily_features())
+
+
+@register("ml_split", sql(
+    "SELECT patient_hk, report_date, label, CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', patient_hk, "
+    "CAST(report_date AS VARCHAR), CAST(label AS VARCHAR))), 1, 8)) AS BIGINT) % 100 < 80 THEN 'train' "
+    "ELSE 'test' END AS split FROM ml_dataset", "ml_dataset"))
+def _ml_split(lh):
+    return ML.stratified_split(ML.model_dataset(lh.mart_patient_daily_features())).select(
+        "patient_hk", "report_date", "label", "split")
+
+
+_MODELS: dict = {}
+
+
+def _model(lh: Lakehouse):
+    k = (id(lh.spark), lh.sf_dir)
+    if k not in _MODELS:
+        split = ML.stratified_split(ML.model_dataset(lh.mart_patient_daily_features()))
+        split = lh.materialize(split, "ml-split")
+        asm, model = ML.train_forest(split)
+        _MODELS[k] = (split, asm, model)
+    return _MODELS[k]
+
+
+@register("ml_forest")
+def _ml_forest(lh):
+    split, asm, model = _model(lh)
+    return ML.predict(asm, model, split)
+
+
+@register("ml_metrics")
+def _ml_metrics(lh):
+    split, asm, model = _model(lh)
+    return ML.classification_metrics(ML.predict(asm, model, split))
+
+
+@register("ml_importance")
+def _ml_importance(lh):
+    _, _, model = _model(lh)
+    return ML.feature_importances(model)
