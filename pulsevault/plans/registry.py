@@ -68,6 +68,7 @@ from pulsevault.operators import vault as DV  # noqa: E402
 from pulsevault.plans.oracle import AS_OF, LOAD_TS, key, sql  # noqa: E402
 from pulsevault.sources import files as FS  # noqa: E402
 from pulsevault.sources import sinks as SK  # noqa: E402
+from pulsevault.session import scratch_path  # noqa: E402
 
 ISO_SQL = "strftime(measured_at, '%Y-%m-%dT%H:%M:%S.%fZ')"
 AS_OF_TS = "2024-01-31 00:00:00"
@@ -704,3 +705,103 @@ def _ml_metrics(lh):
 def _ml_importance(lh):
     _, _, model = _model(lh)
     return ML.feature_importances(model)
+
+
+# =====================================================================================
+# Sources and sinks: round trips through files Spark writes from the tables
+# =====================================================================================
+PATIENT_HEADER = {"id": "Id", "birthdate": "BIRTHDATE", "first": "FIRST", "last": "LAST", "race": "RACE",
+                  "ethnicity": "ETHNICITY", "gender": "GENDER", "city": "CITY", "state": "STATE", "zip": "ZIP",
+                  "bmi": "BMI"}
+CONDITION_HEADER = {c: c.upper() for c in ["start", "stop", "patient", "encounter", "code", "description"]}
+
+
+@register("src_patients", O.table("stg_patients"))
+def _src_patients(lh):
+    path = scratch_path(lh.spark, "patients-csv")
+    SK.write_csv(lh.raw_patients(), path, PATIENT_HEADER)
+    return ST.stg_patients(FS.read_patients(lh.spark, path), lh.load_ts)
+
+
+@register("src_conditions", O.table("stg_conditions"))
+def _src_conditions(lh):
+    path = scratch_path(lh.spark, "conditions-csv")
+    SK.write_csv(lh.raw_conditions(), path, CONDITION_HEADER)
+    return ST.stg_conditions(FS.read_conditions(lh.spark, path), lh.load_ts)
+
+
+@register("src_readings", O.table("stg_readings"))
+def _src_readings(lh):
+    return ST.stg_readings(FS.read_readings(lh.spark, lh.landing_readings()), lh.load_ts)
+
+
+@register("src_alerts", O.table("stg_alerts"))
+def _src_alerts(lh):
+    return ST.stg_alerts(FS.read_alerts(lh.spark, lh.landing_alerts()), lh.load_ts)
+
+
+_RAW_ISO = ("reading_id, patient_id, device_serial, metric_code, value, unit, quality_flag, "
+            f"{ISO_SQL} AS measured_at, context")
+
+
+@register("sink_ndjson", O.table("raw_readings", _RAW_ISO))
+def _sink_ndjson(lh):
+    return FS.read_readings(lh.spark, lh.landing_readings())
+
+
+@register("src_day_slice", sql(f"SELECT {_RAW_ISO} FROM raw_readings WHERE CAST(measured_at AS DATE) = DATE '2024-01-30'",
+                               "raw_readings"))
+def _src_day_slice(lh):
+    return FS.read_day_slice(lh.spark, lh.landing_readings(), "2024-01-30")
+
+
+@register("load_append", sql(f"SELECT {key('patient_id')} AS patient_hk, patient_id AS patient_bk, CASE WHEN birth_date < "
+                             f"DATE '1970-01-01' THEN TIMESTAMP '{LOAD1_TS}' ELSE {LOAD_TS} END AS load_datetime, "
+                             "'synthea' AS record_source FROM stg_patients", "stg_patients"))
+def _load_append(lh):
+    path = scratch_path(lh.spark, "hub-patient")
+    first = ST.stg_patients(lh.raw_patients(), LOAD1_TS).where(F.col("birth_date") < F.lit("1970-01-01").cast("date"))
+    SK.append_new(lh.spark, DV.hub_patient(first), path, ["patient_hk"])
+    # second load: everyone again; only keys not yet in the hub are appended
+    return SK.append_new(lh.spark, DV.hub_patient(lh.stg_patients()), path, ["patient_hk"])
+
+
+_SRV_DAY = "*, CAST(measured_at AS DATE) AS measured_date"
+
+
+@register("sink_partitioned", O.table("sat_reading_value", _SRV_DAY))
+def _sink_partitioned(lh):
+    path = scratch_path(lh.spark, "sat-reading-value")
+    SK.write_partitioned_by_day(lh.sat_reading_value(), path)
+    return lh.spark.read.parquet(path)
+
+
+@register("compact_daily", O.table("sat_reading_value", _SRV_DAY))
+def _compact_daily(lh):
+    small = scratch_path(lh.spark, "srv-small-files")
+    # many small files per day, as a stream of daily appends would leave behind
+    (lh.sat_reading_value().withColumn("measured_date", F.to_date("measured_at")).repartition(16)
+     .write.mode("overwrite").partitionBy("measured_date").parquet(small))
+    return SK.compact_partitions(lh.spark, small, scratch_path(lh.spark, "srv-compacted"), "measured_date")
+
+
+@register("snapshot_read", sql(f"SELECT * FROM {MART} WHERE report_date < DATE '2024-01-20'", MART))
+def _snapshot_read(lh):
+    root = scratch_path(lh.spark, "mart-snapshots")
+    mart = lh.mart_patient_daily_features()
+    v1 = SK.write_snapshot(lh.spark, mart.where(F.col("report_date") < F.lit("2024-01-20").cast("date")), root)
+    SK.write_snapshot(lh.spark, mart, root)
+    return SK.read_snapshot(lh.spark, root, v1)
+
+
+# =====================================================================================
+# Structured Streaming slice
+# =====================================================================================
+@register("stream_daily_stats", sql("SELECT patient_id, metric_code, CAST(measured_at AS DATE) AS report_date, "
+                                    "count(*) AS reading_count, min(value) AS value_min, max(value) AS value_max "
+                                    "FROM stg_readings GROUP BY 1, 2, 3", "stg_readings"))
+def _stream_daily_stats(lh):
+    from pulsevault.streaming.readings import stream_daily_stats
+    # several micro-batches (5 day-files each); the watermark is wide enough that no day is late
+    return stream_daily_stats(lh.spark, lh.landing_readings(), lh.load_ts, watermark="40 days",
+                              max_files_per_trigger=5)

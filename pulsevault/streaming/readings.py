@@ -29,9 +29,11 @@ def readings_stream(spark: SparkSession, landing_root: str, max_files_per_trigge
 
 def daily_window_stats(stream: DataFrame, load_ts: str, watermark: str = "2 hours") -> DataFrame:
     """Staged readings -> dedup on reading_id within the watermark -> 1-day tumbling windows."""
-    s = stg_readings(stream, load_ts).withWatermark("measured_at", watermark) \
-        .dropDuplicatesWithinWatermark(["reading_id"])
-    g = s.groupBy(F.window("measured_at", "1 day"), "patient_id", "metric_code").agg(
+    # Watermarks need TIMESTAMP (session-zone) event time; the session runs in UTC, so the
+    # wall clock of the NTZ column is preserved.
+    s = stg_readings(stream, load_ts).withColumn("event_time", F.col("measured_at").cast("timestamp")) \
+        .withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["reading_id"])
+    g = s.groupBy(F.window("event_time", "1 day"), "patient_id", "metric_code").agg(
         F.count(F.lit(1)).alias("reading_count"),
         F.min("value").alias("value_min"),
         F.max("value").alias("value_max"),
