@@ -5,6 +5,13 @@ lazy DataFrame built from the layer below it; nothing runs until an action. Meth
 memoised per object so shared sub-plans are the same logical plan objects, which lets Spark
 reuse identical exchanges inside one query. ``materialize`` writes a layer to the shared
 checkpoint folder and reads it back, the lineage cut used between layers on large runs.
+
+Layer boundaries: the layers whose input is readings-sized — the daily vitals aggregate and
+the breach-window alert feed — are written once to the shared checkpoint folder and read back
+(``persist_layers``). Every day-grain layer above them (scores, risk, marts) is derived from
+the persisted daily table, so a query never re-scans the readings more than once even though
+different consumers prune columns differently (which defeats exchange reuse). The day-grain
+layers themselves stay lazy: they are ~1000x smaller than the readings and cheap to recompute.
 """
 
 from __future__ import annotations
@@ -34,11 +41,13 @@ def _memo(fn):
 
 class Lakehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, load_ts: str = ST.DEFAULT_LOAD_TS,
-                 as_of: str = MT.DEFAULT_AS_OF):
+                 as_of: str = MT.DEFAULT_AS_OF,
+                 persist_layers: tuple[str, ...] = ("daily_vitals", "raw_alerts")):
         self.spark = spark
         self.sf_dir = sf_dir
         self.load_ts = load_ts
         self.as_of = as_of
+        self.persist_layers = set(persist_layers)
         self.feeds = DriverFeeds(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
@@ -59,7 +68,7 @@ class Lakehouse:
     @_memo
     def raw_alerts(self) -> DataFrame:
         """Alert feed derived from the staged readings by the breach-window operator."""
-        return AL.breach_alerts(self.stg_readings())
+        return self._layer(AL.breach_alerts(self.stg_readings()), "raw_alerts")
 
     # -- staging -----------------------------------------------------------
     @_memo
@@ -125,7 +134,8 @@ class Lakehouse:
 
     @_memo
     def sat_patient_demographics(self):
-        return DV.sat_patient_demographics(self.stg_patients(), self.stg_conditions())
+        return self._layer(DV.sat_patient_demographics(self.stg_patients(), self.stg_conditions()),
+                           "sat_patient_demographics")
 
     @_memo
     def sat_device_spec(self):
@@ -138,16 +148,16 @@ class Lakehouse:
     # -- business vault ------------------------------------------------------
     @_memo
     def daily_vitals(self):
-        return BV.daily_stats(self.sat_reading_value(), self.load_ts)
+        return self._layer(BV.daily_stats(self.sat_reading_value(), self.load_ts), "daily_vitals")
 
     @_memo
     def anomaly_score(self):
-        return BV.anomaly_score(self.daily_vitals(), self.load_ts)
+        return self._layer(BV.anomaly_score(self.daily_vitals(), self.load_ts), "anomaly_score")
 
     @_memo
     def risk_profile(self):
-        return BV.risk_profile(self.sat_patient_demographics(), self.anomaly_score(), self.daily_vitals(),
-                               self.load_ts)
+        return self._layer(BV.risk_profile(self.sat_patient_demographics(), self.anomaly_score(),
+                                           self.daily_vitals(), self.load_ts), "risk_profile")
 
     # -- marts -----------------------------------------------------------------
     @_memo
@@ -189,6 +199,9 @@ class Lakehouse:
         return self._paths["landing_alerts"]
 
     # -- materialisation -------------------------------------------------------
+    def _layer(self, df: DataFrame, name: str) -> DataFrame:
+        return self.materialize(df, name) if name in self.persist_layers else df
+
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Write to the shared checkpoint folder and read back (cuts lineage; survives executor loss)."""
         path = scratch_path(self.spark, name)
@@ -205,3 +218,8 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     if key not in _REGISTRY:
         _REGISTRY[key] = Lakehouse(spark, sf_dir)
     return _REGISTRY[key]
+
+
+def reset() -> None:
+    """Forget shared Lakehouse objects (their persisted layers are rebuilt on next use)."""
+    _REGISTRY.clear()
