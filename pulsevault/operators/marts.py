@@ -109,25 +109,36 @@ def latest_vitals(sat_reading_value: DataFrame) -> DataFrame:
     )
 
 
-def score_summary(scores: DataFrame, as_of) -> DataFrame:
-    """WIN1/AGG8/AGG10/DT5: latest score, days since the last anomaly day, 3-day trend buckets."""
+def score_summary(days: DataFrame, as_of) -> DataFrame:
+    """WIN1/AGG8/AGG10/DT5 fused: per patient, the latest risk tier and score, days since the
+    last anomaly day and the 3-day trend — one aggregate over the scored patient-days
+    (``patient_hk, report_date, risk_tier, composite_anomaly_score, anomaly_flag``)."""
     d = F.col("report_date")
     recent = d >= F.date_sub(as_of, 3)
     prior = (d >= F.date_sub(as_of, 6)) & (d < F.date_sub(as_of, 3))
     sc = F.col("composite_anomaly_score")
     rs, rn = dec_sum_parts(F.when(recent, sc), 4)
     ps, pn = dec_sum_parts(F.when(prior, sc), 4)
-    g = scores.groupBy("patient_hk").agg(
+    g = days.groupBy("patient_hk").agg(
+        F.max_by("risk_tier", "report_date").alias("risk_tier"),
         F.max_by("composite_anomaly_score", "report_date").alias("anomaly_score_today"),
         F.max(F.when(F.col("anomaly_flag"), d)).alias("__last_anomaly"),
         rs.alias("__rs"), rn.alias("__rn"), ps.alias("__ps"), pn.alias("__pn"),
     )
     recent_avg = dec_mean_from_parts("__rs", "__rn", 4, 8)
     prior_avg = dec_mean_from_parts("__ps", "__pn", 4, 8)
-    return g.select("patient_hk", "anomaly_score_today", trend_label(recent_avg, prior_avg).alias("anomaly_trend"),
+    return g.select("patient_hk", "risk_tier", "anomaly_score_today",
+                    trend_label(recent_avg, prior_avg).alias("anomaly_trend"),
                     days_between("__last_anomaly", as_of).alias("days_since_last_anomaly"))
 
 
+def scored_days_from_tables(risk: DataFrame, scores: DataFrame) -> DataFrame:
+    """Risk-profile rows with their score columns, from the two separate tables."""
+    return risk.select("patient_hk", "report_date", "risk_tier").join(
+        scores.select("patient_hk", "report_date", "composite_anomaly_score", "anomaly_flag"),
+        ["patient_hk", "report_date"])
+
+
 def anomaly_trend(scores: DataFrame, as_of) -> DataFrame:
     """AGG8/CASE3: last-3-days vs previous-3-days average score for patients scored in the last 6 days."""
     d = F.col("report_date")
@@ -166,20 +177,23 @@ def active_alert_counts(sat_alert: DataFrame, hub_alert: DataFrame, lnk_reading_
             .groupBy("patient_hk").agg(F.count(F.lit(1)).alias("active_alerts")))
 
 
-def anomaly_dashboard(sat_demo: DataFrame, hub_patient: DataFrame, risk: DataFrame, scores: DataFrame,
+def anomaly_dashboard(sat_demo: DataFrame, hub_patient: DataFrame, days: DataFrame,
                       sat_reading_value: DataFrame, sat_alert: DataFrame, hub_alert: DataFrame,
                       lnk_reading_alert: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """MT2: one row per scored patient with current status."""
+    """MT2: one row per scored patient with current status.
+
+    ``days``: scored patient-days with ``risk_tier``, ``composite_anomaly_score`` and
+    ``anomaly_flag`` (the fused timeline, or ``scored_days_from_tables(risk, scores)``).
+    """
     from pulsevault.operators.vault import latest_version
     as_of_c = F.lit(as_of).cast("date")
     demo = latest_version(sat_demo, "patient_hk", keep_ties=True).join(
         hub_patient.select("patient_hk", "patient_bk"), "patient_hk").select(
         "patient_hk", "patient_bk", age_years("birth_date", as_of_c).alias("age"))
-    lr = risk.groupBy("patient_hk").agg(F.max_by("risk_tier", "report_date").alias("risk_tier"))
-    summary = score_summary(scores, as_of_c)
+    summary = score_summary(days, as_of_c)
     vit = latest_vitals(sat_reading_value)
     alerts = active_alert_counts(sat_alert, hub_alert, lnk_reading_alert, sat_reading_value)
-    j = (demo.join(lr, "patient_hk").join(summary, "patient_hk")
+    j = (demo.join(summary, "patient_hk")
          .join(vit, "patient_hk", "left").join(alerts, "patient_hk", "left"))
     return j.select(
         "patient_bk",

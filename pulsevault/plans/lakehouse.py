@@ -6,12 +6,12 @@ memoised per object so shared sub-plans are the same logical plan objects, which
 reuse identical exchanges inside one query. ``materialize`` writes a layer to the shared
 checkpoint folder and reads it back, the lineage cut used between layers on large runs.
 
-Layer boundaries: the layers whose input is readings-sized — the daily vitals aggregate and
-the breach-window alert feed — are written once to the shared checkpoint folder and read back
-(``persist_layers``). Every day-grain layer above them (scores, risk, marts) is derived from
-the persisted daily table, so a query never re-scans the readings more than once even though
-different consumers prune columns differently (which defeats exchange reuse). The day-grain
-layers themselves stay lazy: they are ~1000x smaller than the readings and cheap to recompute.
+Layer boundaries: the breach-window alert feed (a window pass over the readings) is written
+once to the shared checkpoint folder and read back (``persist_layers``), because the hub, link
+and satellite built from it are all consumed by the dashboard and the quality checks; without
+the cut each consumer would re-run the window over the readings (different column pruning per
+consumer defeats exchange reuse). The day-grain layers need no cut: the fused timeline
+(``operators/timeline.py``) consumes the daily statistics exactly once per query.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pulsevault.operators import alerts as AL
-from pulsevault.operators import business as BV
 from pulsevault.operators import marts as MT
 from pulsevault.operators import patients as PT
+from pulsevault.operators import business as BV
 from pulsevault.operators import staging as ST
+from pulsevault.operators import timeline as TL
 from pulsevault.operators import vault as DV
 from pulsevault.session import scratch_path
 from pulsevault.sources.adapters import DriverFeeds
@@ -42,7 +43,7 @@ def _memo(fn):
 class Lakehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, load_ts: str = ST.DEFAULT_LOAD_TS,
                  as_of: str = MT.DEFAULT_AS_OF,
-                 persist_layers: tuple[str, ...] = ("daily_vitals", "raw_alerts")):
+                 persist_layers: tuple[str, ...] = ("raw_alerts",)):
         self.spark = spark
         self.sf_dir = sf_dir
         self.load_ts = load_ts
@@ -152,24 +153,23 @@ class Lakehouse:
 
     @_memo
     def anomaly_score(self):
-        return self._layer(BV.anomaly_score(self.daily_vitals(), self.load_ts), "anomaly_score")
+        return TL.anomaly_score(self.daily_vitals(), self.load_ts)
 
     @_memo
     def risk_profile(self):
-        return self._layer(BV.risk_profile(self.sat_patient_demographics(), self.anomaly_score(),
-                                           self.daily_vitals(), self.load_ts), "risk_profile")
+        return TL.risk_profile(self.daily_vitals(), self.sat_patient_demographics(), self.load_ts)
 
     # -- marts -----------------------------------------------------------------
     @_memo
     def mart_patient_daily_features(self):
-        return MT.daily_features(self.daily_vitals(), self.sat_patient_demographics(), self.risk_profile(),
-                                 self.anomaly_score())
+        return TL.daily_features(self.daily_vitals(), self.sat_patient_demographics())
 
     @_memo
     def mart_anomaly_dashboard(self):
-        return MT.anomaly_dashboard(self.sat_patient_demographics(), self.hub_patient(), self.risk_profile(),
-                                    self.anomaly_score(), self.sat_reading_value(), self.sat_alert_detail(),
-                                    self.hub_alert(), self.lnk_reading_alert(), self.as_of)
+        return MT.anomaly_dashboard(self.sat_patient_demographics(), self.hub_patient(),
+                                    TL.risk_days(self.daily_vitals(), self.sat_patient_demographics()),
+                                    self.sat_reading_value(), self.sat_alert_detail(), self.hub_alert(),
+                                    self.lnk_reading_alert(), self.as_of)
 
     # -- simulator-side operators ---------------------------------------------
     @_memo
