@@ -59,3 +59,13 @@ def test_true_7d_completeness_option(spark):
     lit = BV.completeness_7d(lh.daily_vitals(), lh.anomaly_score())
     true7 = BV.completeness_7d(lh.daily_vitals(), lh.anomaly_score(), true_7d=True)
     assert lit.count() == true7.count()
+
+
+def test_two_level_breach_windows_equal_single_pass(spark):
+    from pulsevault.operators import alerts as AL
+    from conftest import SF_MID
+    lh = Lakehouse(spark, SF_MID, persist_layers=())
+    ref = AL.breach_windows_single_pass(lh.stg_readings())
+    for bucket in (600, 3600, 86400):
+        got = AL.breach_windows(lh.stg_readings(), bucket_seconds=bucket)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0

@@ -101,3 +101,15 @@ def test_label_is_calendar_next_day(spark):
     # day 2's label looks at day 3, which has no row -> no label row (coalesced to false in the mart)
     assert 2 not in [d for d, v in lab.items() if v]
     assert lab[3] is True and lab[1] is False
+
+
+def test_breach_run_across_bucket_borders(spark):
+    # 10:50 .. 11:10 all above 150 with a quiet 12:xx hour then another breach at 13:00
+    times = [_ts(10, 50), _ts(10, 55), _ts(11, 0), _ts(11, 5), _ts(12, 0), _ts(13, 0)]
+    values = [160, 170, 155, 165, 80, 151]
+    rows = [("p1", "d", "heart_rate", Decimal(v), t, f"r{i}") for i, (t, v) in enumerate(zip(times, values))]
+    readings = spark.createDataFrame(rows, "patient_id string, device_serial string, metric_code string, "
+                                           "value decimal(10,4), measured_at timestamp_ntz, reading_id string")
+    got = sorted((r.first_measured_at, r.n_readings, r.worst_value)
+                 for r in AL.breach_windows(readings).collect() if r.severity == "critical")
+    assert got == [(_ts(10, 50), 4, 170), (_ts(13, 0), 1, 151)]
