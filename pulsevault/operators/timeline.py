@@ -125,9 +125,9 @@ def scored_days(daily: DataFrame, days: int = ANOMALY_BASELINE_DAYS, flag_above:
     )
 
 
-def anomaly_score(daily: DataFrame, load_ts=DEFAULT_LOAD_TS) -> DataFrame:
-    """bsat_anomaly_score."""
-    return scored_days(daily).select(
+def anomaly_score(daily: DataFrame, load_ts=DEFAULT_LOAD_TS, scored: DataFrame | None = None) -> DataFrame:
+    """bsat_anomaly_score (``scored``: a precomputed ``scored_days`` frame to share)."""
+    return (scored if scored is not None else scored_days(daily)).select(
         "patient_hk", "report_date", load_stamp(load_ts).alias("load_datetime"),
         F.lit(SRC_BUSINESS).alias("record_source"), "hr_zscore", "spo2_zscore", "steps_zscore",
         "composite_anomaly_score", "anomaly_flag", "contributing_metrics")
@@ -140,17 +140,18 @@ def _with_demographics(scored: DataFrame, sat_demo: DataFrame) -> DataFrame:
     return scored.join(demo, "patient_hk", "inner")
 
 
-def risk_days(daily: DataFrame, sat_demo: DataFrame) -> DataFrame:
+def risk_days(daily: DataFrame, sat_demo: DataFrame, scored: DataFrame | None = None) -> DataFrame:
     """Scored days joined to the latest demographics (the rows of the risk profile and the mart)."""
-    j = _with_demographics(scored_days(daily), sat_demo)
+    j = _with_demographics(scored if scored is not None else scored_days(daily), sat_demo)
     return j.select("*", risk_tier(F.col("composite_anomaly_score")).alias("risk_tier"),
                     age_years("birth_date", "report_date").alias("age"))
 
 
-def risk_profile(daily: DataFrame, sat_demo: DataFrame, load_ts=DEFAULT_LOAD_TS) -> DataFrame:
+def risk_profile(daily: DataFrame, sat_demo: DataFrame, load_ts=DEFAULT_LOAD_TS,
+                 days: DataFrame | None = None) -> DataFrame:
     """bsat_patient_risk_profile. ``data_completeness_7d`` is the day's average completeness
     across metrics (the source's grouping makes it so, Q6)."""
-    return risk_days(daily, sat_demo).select(
+    return (days if days is not None else risk_days(daily, sat_demo)).select(
         "patient_hk", "report_date", load_stamp(load_ts).alias("load_datetime"),
         F.lit(SRC_BUSINESS).alias("record_source"), "age", "condition_count", "has_diabetes", "has_hypertension",
         "has_cardiac_condition", F.col("avg_anomaly_score_7d").cast("decimal(8,4)").alias("avg_anomaly_score_7d"),
@@ -158,11 +159,11 @@ def risk_profile(daily: DataFrame, sat_demo: DataFrame, load_ts=DEFAULT_LOAD_TS)
         "risk_tier")
 
 
-def daily_features(daily: DataFrame, sat_demo: DataFrame) -> DataFrame:
+def daily_features(daily: DataFrame, sat_demo: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """mart_patient_daily_features (31 columns)."""
     def d(c, p, s):
         return F.col(c).cast(f"decimal({p},{s})").alias(c)
-    return risk_days(daily, sat_demo).select(
+    return (days if days is not None else risk_days(daily, sat_demo)).select(
         "patient_hk", "report_date", "age", "gender", d("bmi", 5, 2),
         "has_diabetes", "has_hypertension", "has_cardiac_condition", "condition_count",
         d("hr_mean", 8, 4), d("hr_std", 8, 4), d("hr_min", 8, 4), d("hr_max", 8, 4), d("hr_p05", 8, 4),

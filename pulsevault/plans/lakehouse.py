@@ -151,23 +151,31 @@ class Lakehouse:
     def daily_vitals(self):
         return self._layer(BV.daily_stats(self.sat_reading_value(), self.load_ts), "daily_vitals")
 
+    @_memo
+    def scored_days(self):
+        """The fused per-patient timeline (scored patient-days), shared by the models below."""
+        return TL.scored_days(self.daily_vitals())
+
+    @_memo
+    def risk_days(self):
+        return TL.risk_days(self.daily_vitals(), self.sat_patient_demographics(), self.scored_days())
+
     @_memo
     def anomaly_score(self):
-        return TL.anomaly_score(self.daily_vitals(), self.load_ts)
+        return TL.anomaly_score(self.daily_vitals(), self.load_ts, self.scored_days())
 
     @_memo
     def risk_profile(self):
-        return TL.risk_profile(self.daily_vitals(), self.sat_patient_demographics(), self.load_ts)
+        return TL.risk_profile(self.daily_vitals(), self.sat_patient_demographics(), self.load_ts, self.risk_days())
 
     # -- marts -----------------------------------------------------------------
     @_memo
     def mart_patient_daily_features(self):
-        return TL.daily_features(self.daily_vitals(), self.sat_patient_demographics())
+        return TL.daily_features(self.daily_vitals(), self.sat_patient_demographics(), self.risk_days())
 
     @_memo
     def mart_anomaly_dashboard(self):
-        return MT.anomaly_dashboard(self.sat_patient_demographics(), self.hub_patient(),
-                                    TL.risk_days(self.daily_vitals(), self.sat_patient_demographics()),
+        return MT.anomaly_dashboard(self.sat_patient_demographics(), self.hub_patient(), self.risk_days(),
                                     self.sat_reading_value(), self.sat_alert_detail(), self.hub_alert(),
                                     self.lnk_reading_alert(), self.as_of)
 

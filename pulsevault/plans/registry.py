@@ -426,8 +426,31 @@ def _inc_hwm_date(lh):
 # =====================================================================================
 # Data quality
 # =====================================================================================
-NOT_NULL_MODELS = ["stg_readings", "anomaly_score", "risk_profile", "mart_patient_daily_features"]
+NOT_NULL_MODELS = ["stg_readings", "hub_patient", "hub_device", "hub_metric_type", "hub_reading", "hub_alert",
+                   "lnk_patient_device", "lnk_device_metric", "lnk_reading_alert", "sat_reading_value",
+                   "sat_reading_context", "sat_alert_detail", "sat_patient_demographics", "sat_device_spec",
+                   "anomaly_score", "risk_profile", "mart_patient_daily_features"]
 MODEL_COLUMNS = {
+    "hub_patient": ["patient_hk", "patient_bk", "load_datetime", "record_source"],
+    "hub_device": ["device_hk", "device_serial_bk", "load_datetime", "record_source"],
+    "hub_metric_type": ["metric_type_hk", "metric_code_bk", "load_datetime", "record_source"],
+    "hub_reading": ["reading_hk", "reading_id_bk", "load_datetime", "record_source"],
+    "hub_alert": ["alert_hk", "alert_id_bk", "load_datetime", "record_source"],
+    "lnk_patient_device": ["patient_device_hk", "patient_hk", "device_hk", "load_datetime", "record_source"],
+    "lnk_device_metric": ["device_metric_hk", "device_hk", "metric_type_hk", "load_datetime", "record_source"],
+    "lnk_reading_alert": ["reading_alert_hk", "reading_hk", "alert_hk", "load_datetime", "record_source"],
+    "sat_reading_value": ["reading_hk", "load_datetime", "hash_diff", "effective_from", "record_source", "patient_hk",
+                          "device_hk", "metric_code", "value", "unit", "quality_flag", "measured_at"],
+    "sat_reading_context": ["reading_hk", "load_datetime", "hash_diff", "effective_from", "record_source",
+                            "activity_type", "location_type", "mood_score"],
+    "sat_alert_detail": ["alert_hk", "load_datetime", "hash_diff", "effective_from", "record_source", "alert_type",
+                         "severity", "metric_code", "threshold_value", "actual_value", "triggered_at", "acknowledged",
+                         "acknowledged_at"],
+    "sat_patient_demographics": ["patient_hk", "load_datetime", "hash_diff", "effective_from", "record_source",
+                                 "birth_date", "gender", "race", "ethnicity", "city", "state", "zip", "bmi",
+                                 "chronic_conditions"],
+    "sat_device_spec": ["device_hk", "load_datetime", "hash_diff", "effective_from", "record_source", "device_model",
+                        "manufacturer", "firmware_version", "battery_level_pct"],
     "stg_readings": ["reading_id", "patient_id", "device_serial", "metric_code", "value", "unit", "quality_flag",
                      "measured_at", "activity_type", "location_type", "load_datetime", "record_source"],
     "anomaly_score": ["patient_hk", "report_date", "load_datetime", "record_source", "hr_zscore", "spo2_zscore",
@@ -611,6 +634,18 @@ def _eda_profile(lh):
     return ML.profile(lh.mart_patient_daily_features())
 
 
+_DESCRIBE_COLS = EDA_CORR_FEATURES
+
+
+@register("eda_describe", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(CAST({c} AS DOUBLE)) AS n, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max "
+    f"FROM {MART}" for c in _DESCRIBE_COLS), MART))
+def _eda_describe(lh):
+    d = ML.describe(lh.mart_patient_daily_features(), _DESCRIBE_COLS)
+    return d.select("column_name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max")
+
+
 @register("eda_label_counts", sql(f"SELECT anomaly_next_24h, count(*) AS n FROM {MART} GROUP BY 1", MART))
 def _eda_label_counts(lh):
     return ML.label_counts(lh.mart_patient_daily_features())

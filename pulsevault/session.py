@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # skip per-call Python call-site capture (a py4j round trip per Column function)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
