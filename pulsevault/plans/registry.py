@@ -840,3 +840,47 @@ def _stream_daily_stats(lh):
     # several micro-batches (5 day-files each); the watermark is wide enough that no day is late
     return stream_daily_stats(lh.spark, lh.landing_readings(), lh.load_ts, watermark="40 days",
                               max_files_per_trigger=5)
+
+
+# =====================================================================================
+# The daily batch in two runs (first half of the month, then the rest) == one full load
+# =====================================================================================
+BATCH_SPLIT = "2024-01-15"
+
+
+def _two_batches(lh: Lakehouse):
+    from pulsevault.plans.batch import Warehouse, run_daily_batch
+    key = "two_batches"
+    if key not in lh._paths:
+        wh = Warehouse(lh.spark, scratch_path(lh.spark, "warehouse"))
+        day = F.to_date("measured_at")
+        split = F.lit(BATCH_SPLIT).cast("date")
+        run_daily_batch(lh.spark, wh, lh.raw_readings().where(day <= split), lh.raw_patients(), lh.raw_conditions(),
+                        "2024-01-16 00:00:00")
+        run_daily_batch(lh.spark, wh, lh.raw_readings().where(day > split), lh.raw_patients(), lh.raw_conditions(),
+                        lh.load_ts)
+        lh._paths[key] = wh
+    return lh._paths[key]
+
+
+@register("batch_mart", O.table(MART))
+def _batch_mart(lh):
+    return _two_batches(lh).read(MART)
+
+
+_BATCH_STAMP = (f"CASE WHEN CAST(measured_at AS DATE) <= DATE '{BATCH_SPLIT}' THEN TIMESTAMP '2024-01-16 00:00:00' "
+                f"ELSE {LOAD_TS} END")
+
+
+@register("batch_hub_reading", sql(f"SELECT {key('reading_id')} AS reading_hk, reading_id AS reading_id_bk, "
+                                   f"{_BATCH_STAMP} AS load_datetime, 'wearable_simulator' AS record_source "
+                                   "FROM stg_readings", "stg_readings"))
+def _batch_hub_reading(lh):
+    return _two_batches(lh).read("hub_reading")
+
+
+@register("batch_daily_vitals", sql("SELECT * EXCLUDE (load_datetime), "
+                                    "CASE WHEN report_date <= DATE '2024-01-15' THEN TIMESTAMP '2024-01-16 00:00:00' "
+                                    f"ELSE {LOAD_TS} END AS load_datetime FROM daily_vitals", "daily_vitals"))
+def _batch_daily_vitals(lh):
+    return _two_batches(lh).read("daily_vitals")
