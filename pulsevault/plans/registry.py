@@ -884,3 +884,12 @@ def _batch_hub_reading(lh):
                                     f"ELSE {LOAD_TS} END AS load_datetime FROM daily_vitals", "daily_vitals"))
 def _batch_daily_vitals(lh):
     return _two_batches(lh).read("daily_vitals")
+
+
+@register("stream_breach_alerts", sql("SELECT * FROM raw_alerts WHERE CAST(triggered_at AS DATE) < "
+                                      "(SELECT max(CAST(measured_at AS DATE)) FROM stg_readings)",
+                                      "raw_alerts", "stg_readings"))
+def _stream_breach_alerts(lh):
+    from pulsevault.streaming.alerts import stream_breach_alerts
+    # days are final once the watermark (max event time seen) passes their end: every day but the last
+    return stream_breach_alerts(lh.spark, lh.landing_readings(), lh.load_ts)
