@@ -17,6 +17,19 @@ from pulsevault.sources.files import read_csv_strings
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def cluster_by_partition(df: DataFrame, part_col: str) -> DataFrame:
+    """Cluster rows by an output partition column without letting a hot value land in one task.
+
+    Range partitioning on (partition value, deterministic row hash): Spark samples the keys, so a
+    partition value holding a large share of the rows is split over many tasks (each writes its
+    own files), while ordinary values stay in one or two tasks. The hash (not ``rand()``) keeps
+    the placement identical when a stage is retried after an executor loss.
+    """
+    from pyspark.sql.types import MapType
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return df.repartitionByRange(part_col, F.xxhash64(*hashable))
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """SNK1: register a lazy staging view (no data is written)."""
     df.createOrReplaceTempView(name)
@@ -46,11 +59,11 @@ def write_partitioned_by_day(df: DataFrame, path: str, ts_col: str = "measured_a
                              max_records_per_file: int = 5_000_000) -> None:
     """SNK4: Parquet partitioned by ``day(ts_col)``.
 
-    Repartitioning by the day column puts each day's rows in the same tasks so every partition
-    directory gets few, large files; ``maxRecordsPerFile`` splits a heavy day across files.
+    Clustering by the day column gives every partition directory few, large files; a heavy day
+    is spread over several writer tasks; ``maxRecordsPerFile`` bounds file size.
     """
     out = df.withColumn(part_col, F.to_date(ts_col))
-    (out.repartition(part_col).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    (cluster_by_partition(out, part_col).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(part_col).parquet(path))
 
 
@@ -67,11 +80,11 @@ def write_ndjson_by_day(df: DataFrame, path: str, ts_col: str, iso_cols: list[st
         out = out.withColumn(c, F.date_format(c, ISO_FORMAT))
     for c in json_cols or []:
         out = out.withColumn(c, F.from_json(c, "map<string,string>"))
-    out.repartition(part_col).write.mode("overwrite").partitionBy(part_col).json(path)
+    cluster_by_partition(out, part_col).write.mode("overwrite").partitionBy(part_col).json(path)
 
 
 def write_csv(df: DataFrame, path: str, header_names: dict[str, str] | None = None) -> None:
-    """CSV export with a header (e.g. upper-case Synthea names)."""
+    """CSV export with a header (e.g. the upper-case export column names)."""
     out = df.toDF(*[(header_names or {}).get(c, c) for c in df.columns])
     out.write.mode("overwrite").option("header", True).csv(path)
 
@@ -121,12 +134,12 @@ def compact_partitions(spark: SparkSession, src: str, dst: str, part_col: str,
                        target_rows_per_file: int = 5_000_000) -> DataFrame:
     """Rewrite a day-partitioned table with few files per partition.
 
-    Rows are clustered by the partition column (one shuffle) so each day's rows land in the
-    same task(s) and are written as large files; ``maxRecordsPerFile`` bounds file size.
+    Rows are clustered by the partition column (one shuffle, hot partitions split over several
+    tasks) and written as large files; ``maxRecordsPerFile`` bounds file size.
     Written to a new location, then read back (readers switch paths atomically).
     """
     df = spark.read.parquet(src)
-    (df.repartition(part_col).write.mode("overwrite").option("maxRecordsPerFile", target_rows_per_file)
+    (cluster_by_partition(df, part_col).write.mode("overwrite").option("maxRecordsPerFile", target_rows_per_file)
      .partitionBy(part_col).parquet(dst))
     return spark.read.parquet(dst)
 
