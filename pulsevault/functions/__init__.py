@@ -14,6 +14,9 @@ from pulsevault.functions.dates import (
     days_between,
     parse_iso_ts,
     day_number,
+    epoch_micros,
+    ntz_from_epoch_micros,
+    event_time,
 )
 from pulsevault.functions.text import json_scalar, serial, contributing_list
 
@@ -29,6 +32,9 @@ __all__ = [
     "days_between",
     "parse_iso_ts",
     "day_number",
+    "epoch_micros",
+    "ntz_from_epoch_micros",
+    "event_time",
     "json_scalar",
     "serial",
     "contributing_list",

@@ -28,8 +28,30 @@ def days_between(start, end) -> Column:
 
 
 def parse_iso_ts(c) -> Column:
-    """ISO-8601 text ('...T...Z' or with offset) -> TIMESTAMP_NTZ at UTC; typed input passes through."""
-    return F.to_timestamp_ntz(F.to_timestamp(_c(c)))
+    """ISO-8601 text ('...T...Z' or '+hh:mm') -> TIMESTAMP_NTZ keeping the written wall clock.
+
+    This is the source's ``cast(from_iso8601_timestamp(x) as timestamp(6))`` (S10), and it does
+    not depend on the session time zone (an instant-then-local conversion would).
+    """
+    return _c(c).cast("timestamp_ntz")
+
+
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def epoch_micros(ntz) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ wall clock (zone-independent)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), _c(ntz))
+
+
+def ntz_from_epoch_micros(us) -> Column:
+    """Inverse of ``epoch_micros``."""
+    return F.timestamp_add("MICROSECOND", _c(us), F.lit(_EPOCH).cast("timestamp_ntz"))
+
+
+def event_time(ntz) -> Column:
+    """TIMESTAMP instant for watermarks/windows: the NTZ wall clock read as UTC, in any session zone."""
+    return F.timestamp_micros(epoch_micros(ntz))
 
 
 def day_number(d) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pulsevault.fixed_values import THRESHOLDS
-from pulsevault.functions import surrogate_key
+from pulsevault.functions import epoch_micros, event_time, ntz_from_epoch_micros, surrogate_key
 from pulsevault.operators.alerts import ALERT_TYPE
 from pulsevault.operators.staging import stg_readings
 from pulsevault.session import scratch_path
@@ -84,15 +84,15 @@ def _process(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.Dat
 def breach_alert_stream(staged: DataFrame, watermark: str = "0 seconds") -> DataFrame:
     """Staged reading stream -> alert stream (same columns as the batch alert feed)."""
     metrics = sorted(_BY_METRIC)
-    ev = F.col("measured_at").cast("timestamp")
+    day_end = F.date_add(F.to_date("measured_at"), 1).cast("timestamp_ntz")
     s = staged.where(F.col("metric_code").isin(metrics)).select(
         "patient_id", "metric_code", F.to_date("measured_at").alias("report_date"), "reading_id", "device_serial",
-        F.col("value").cast("double").alias("v"), F.unix_micros(ev).alias("ts_us"), ev.alias("event_time"),
-        (F.unix_millis(F.date_add(F.to_date("measured_at"), 1).cast("timestamp"))).alias("day_end_ms"),
+        F.col("value").cast("double").alias("v"), epoch_micros("measured_at").alias("ts_us"),
+        event_time("measured_at").alias("event_time"), (epoch_micros(day_end) / 1000).cast("long").alias("day_end_ms"),
     ).withWatermark("event_time", watermark)
     windows = s.groupBy("patient_id", "metric_code", "report_date").applyInPandasWithState(
         _process, WINDOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    first_ts = F.to_timestamp_ntz(F.timestamp_micros("first_us"))
+    first_ts = ntz_from_epoch_micros("first_us")
     return windows.select(
         surrogate_key("patient_id", "metric_code", "severity", "direction", first_ts).alias("alert_id"),
         "patient_id", "device_serial", F.lit(ALERT_TYPE).alias("alert_type"), "severity", "metric_code",

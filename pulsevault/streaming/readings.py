@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pulsevault.functions import event_time
 from pulsevault.operators.staging import stg_readings
 from pulsevault.session import scratch_path
 from pulsevault.sources.schemas import READINGS_SCHEMA
@@ -29,16 +30,16 @@ def readings_stream(spark: SparkSession, landing_root: str, max_files_per_trigge
 
 def daily_window_stats(stream: DataFrame, load_ts: str, watermark: str = "2 hours") -> DataFrame:
     """Staged readings -> dedup on reading_id within the watermark -> 1-day tumbling windows."""
-    # Watermarks need TIMESTAMP (session-zone) event time; the session runs in UTC, so the
-    # wall clock of the NTZ column is preserved.
-    s = stg_readings(stream, load_ts).withColumn("event_time", F.col("measured_at").cast("timestamp")) \
+    # Watermarks need a TIMESTAMP instant: the NTZ wall clock read as UTC (zone-independent).
+    s = stg_readings(stream, load_ts).withColumn("event_time", event_time("measured_at")) \
         .withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["reading_id"])
     g = s.groupBy(F.window("event_time", "1 day"), "patient_id", "metric_code").agg(
         F.count(F.lit(1)).alias("reading_count"),
         F.min("value").alias("value_min"),
         F.max("value").alias("value_max"),
     )
-    return g.select("patient_id", "metric_code", F.to_date(F.col("window.start")).alias("report_date"),
+    day = F.date_from_unix_date((F.unix_micros(F.col("window.start")) / F.lit(86_400_000_000)).cast("int"))
+    return g.select("patient_id", "metric_code", day.alias("report_date"),
                     "reading_count", "value_min", "value_max")
 
 

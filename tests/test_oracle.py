@@ -52,3 +52,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert "anomaly_next_24h" in df.columns and len(df.columns) == 31
+
+
+@pytest.mark.parametrize("key", ["fn_iso_ts", "src_readings", "dq_freshness", "stream_daily_stats"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, duck, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
