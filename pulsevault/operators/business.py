@@ -159,11 +159,12 @@ def latest_demographics(sat_demo: DataFrame) -> DataFrame:
     return latest_version(sat_demo, "patient_hk", keep_ties=False)
 
 
-def risk_tier(score: Column) -> Column:
-    """CASE1: ordered tiers; a NULL score falls through to 'critical' like the source (S13)."""
-    expr = None
+def risk_tier(score: Column, null_tier: str | None = "critical") -> Column:
+    """CASE1: ordered tiers. A NULL score falls through to 'critical' like the source (S13);
+    ``null_tier`` names another tier for it (or ``None`` to keep it NULL)."""
+    expr = F.when(score.isNull(), F.lit(null_tier).cast("string"))
     for bound, name in RISK_TIERS:
-        expr = F.when(score < bound, name) if expr is None else expr.when(score < bound, name)
+        expr = expr.when(score < bound, name)
     return expr.otherwise("critical")
 
 

@@ -59,6 +59,8 @@ def test_anomaly_score_golden(spark):
     tier = spark.createDataFrame([(Decimal("1.1314"),), (None,)], "s decimal(8,4)") \
         .select(BV.risk_tier(F.col("s")).alias("t")).collect()
     assert [t.t for t in tier] == ["moderate", "critical"]
+    kept_null = spark.createDataFrame([(None,)], "s decimal(8,4)").select(BV.risk_tier(F.col("s"), None).alias("t"))
+    assert kept_null.first().t is None
 
 
 def test_completeness_golden(spark):
