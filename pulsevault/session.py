@@ -22,6 +22,38 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB of readings). Not applied automatically: a
+# cluster job gets its configuration from the platform; ``apply_cluster_conf`` sets only keys the
+# session leaves unset.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",      # post-shuffle partition target
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",                           # ~5 GB per reducer before AQE
+    "spark.sql.files.maxPartitionBytes": "256m",                       # scan split size
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",                     # runtime-measured sizes only
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",         # prune big sides of selective joins
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set the suggested cluster settings that the session has not set itself (runtime-settable keys)."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        try:
+            if spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 — static configs cannot change at runtime
+            pass
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pulsevault",
                   extra: dict | None = None) -> SparkSession:
     """Local session for tests and the benchmark (a cluster supplies its own session)."""
