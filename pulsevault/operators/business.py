@@ -20,6 +20,7 @@ from pulsevault.fixed_values import (
 )
 from pulsevault.functions import (
     age_years, avg_dec, contributing_list, day_number, dec_mean_from_parts, dec_sum_parts, round_ratio,
+    surrogate_key,
 )
 from pulsevault.operators.staging import load_stamp, DEFAULT_LOAD_TS
 
@@ -34,11 +35,15 @@ def expected_readings(metric: Column, count: Column) -> Column:
     return expr.otherwise(count)
 
 
-def daily_stats(sat_reading_value: DataFrame, load_ts=DEFAULT_LOAD_TS) -> DataFrame:
-    """BV1 (AGG1, AGG2, CASE2, DT2): per patient x metric x calendar day."""
+def daily_stats(sat_reading_value: DataFrame, load_ts=DEFAULT_LOAD_TS, key: str = "patient_hk") -> DataFrame:
+    """BV1 (AGG1, AGG2, CASE2, DT2): per patient x metric x calendar day.
+
+    ``key="patient_id"`` groups staged readings by the business key and hashes it once per
+    output group instead of once per reading (same rows; the hash is 1:1 with the key).
+    """
     s, n = dec_sum_parts("value", 4)
     g = sat_reading_value.groupBy(
-        "patient_hk", "metric_code", F.to_date("measured_at").alias("report_date")
+        key, "metric_code", F.to_date("measured_at").alias("report_date")
     ).agg(
         F.count(F.lit(1)).alias("reading_count"),
         s.alias("__s"), n.alias("__n"),
@@ -47,8 +52,9 @@ def daily_stats(sat_reading_value: DataFrame, load_ts=DEFAULT_LOAD_TS) -> DataFr
         F.max("value").alias("value_max"),
         F.percentile_approx("value", [0.5, 0.05, 0.95], PERCENTILE_ACCURACY).alias("__pct"),
     )
+    hk = F.col("patient_hk") if key == "patient_hk" else surrogate_key(key).alias("patient_hk")
     return g.select(
-        "patient_hk", "metric_code", "report_date",
+        hk, "metric_code", "report_date",
         load_stamp(load_ts).alias("load_datetime"),
         F.lit(SRC_BUSINESS).alias("record_source"),
         F.col("reading_count"),

@@ -149,7 +149,8 @@ class Lakehouse:
     # -- business vault ------------------------------------------------------
     @_memo
     def daily_vitals(self):
-        return self._layer(BV.daily_stats(self.sat_reading_value(), self.load_ts), "daily_vitals")
+        # same rows as daily_stats(sat_reading_value): grouped on the business key, hashed per group
+        return self._layer(BV.daily_stats(self.stg_readings(), self.load_ts, key="patient_id"), "daily_vitals")
 
     @_memo
     def scored_days(self):

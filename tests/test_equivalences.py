@@ -69,3 +69,11 @@ def test_two_level_breach_windows_equal_single_pass(spark):
     for bucket in (600, 3600, 86400):
         got = AL.breach_windows(lh.stg_readings(), bucket_seconds=bucket)
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_daily_stats_hash_after_grouping_equals_satellite_form(spark):
+    lh = _lh(spark)
+    a = BV.daily_stats(lh.sat_reading_value())
+    b = BV.daily_stats(lh.stg_readings(), key="patient_id")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
