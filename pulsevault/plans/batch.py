@@ -49,12 +49,11 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame | None:
-        try:
-            if name in APPEND_TABLES:
-                return self.spark.read.parquet(self.path(name))
-            return SK.read_snapshot(self.spark, self.path(name))
-        except Exception:  # noqa: BLE001 — table not created yet
-            return None
+        if name in APPEND_TABLES:
+            return SK.read_if_exists(self.spark, self.path(name))
+        if not SK.list_snapshots(self.spark, self.path(name)):
+            return None  # table not created yet
+        return SK.read_snapshot(self.spark, self.path(name))
 
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))

@@ -17,6 +17,21 @@ from pulsevault.sources.files import read_csv_strings
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def path_missing(err: Exception) -> bool:
+    """True only for Spark's "path does not exist" error (other read failures must surface)."""
+    from pyspark.errors import AnalysisException
+    return isinstance(err, AnalysisException) and err.getCondition() == "PATH_NOT_FOUND"
+
+
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    try:
+        return spark.read.format(fmt).load(path)
+    except Exception as err:  # noqa: BLE001
+        if path_missing(err):
+            return None
+        raise
+
+
 def cluster_by_partition(df: DataFrame, part_col: str) -> DataFrame:
     """Cluster rows by an output partition column without letting a hot value land in one task.
 
@@ -38,11 +53,8 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 def append_new(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """SNK2: insert-only append — rows whose key is not yet in the target, then ``mode('append')``."""
-    try:
-        existing = spark.read.parquet(path).select(*keys)
-        new = df.join(existing.distinct(), keys, "left_anti")
-    except Exception:  # noqa: BLE001 — target does not exist yet
-        new = df
+    existing = read_if_exists(spark, path)
+    new = df if existing is None else df.join(existing.select(*keys).distinct(), keys, "left_anti")
     new.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 
@@ -110,11 +122,10 @@ def write_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:
 
 
 def list_snapshots(spark: SparkSession, root: str) -> list[int]:
-    try:
-        rows = spark.read.text(f"{root}/_manifest").collect()  # one short line per version
-    except Exception:  # noqa: BLE001
+    manifest = read_if_exists(spark, f"{root}/_manifest", "text")
+    if manifest is None:
         return []
-    return sorted(json.loads(r.value)["version"] for r in rows)
+    return sorted(json.loads(r.value)["version"] for r in manifest.collect())  # one short line per version
 
 
 def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
