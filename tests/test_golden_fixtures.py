@@ -115,3 +115,14 @@ def test_breach_run_across_bucket_borders(spark):
     got = sorted((r.first_measured_at, r.n_readings, r.worst_value)
                  for r in AL.breach_windows(readings).collect() if r.severity == "critical")
     assert got == [(_ts(10, 50), 4, 170), (_ts(13, 0), 1, 151)]
+
+
+def test_scd_insert_orders_several_staged_versions(spark):
+    def sat(rows):
+        return spark.createDataFrame(
+            [(k, dt.datetime(2024, 1, d), h) for k, d, h in rows], "hk string, effective_from timestamp_ntz, hash_diff string")
+    existing = sat([("k1", 1, "A"), ("k2", 1, "X")])
+    stage = sat([("k1", 2, "A"), ("k1", 3, "A"), ("k1", 4, "B"), ("k1", 5, "A"), ("k2", 2, "X"), ("k3", 2, "N")])
+    got = sorted((r.hk, r.effective_from.day, r.hash_diff) for r in DV.scd_insert(stage, "hk", existing).collect())
+    # unchanged repeats are skipped, a change and a change back are both versions, new keys pass
+    assert got == [("k1", 4, "B"), ("k1", 5, "A"), ("k3", 2, "N")]
