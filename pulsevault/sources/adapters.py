@@ -43,8 +43,17 @@ CONDITION_CODES = [                                     # by o_orderkey % 8
 BIRTH_EPOCH = "1940-01-01"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table as a lazy scan. The handle (schema and file listing, like a catalog entry)
+    is kept per session and path; every query still scans the files."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _case(col: Column, pairs, default=None) -> Column:
