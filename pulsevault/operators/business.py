@@ -19,7 +19,7 @@ from pulsevault.fixed_values import (
     EXPECTED_PER_DAY, RISK_TIERS, SNOMED_CARDIAC, SNOMED_DIABETES, SNOMED_HYPERTENSION, SRC_BUSINESS,
 )
 from pulsevault.functions import (
-    age_years, avg_dec, contributing_list, day_number, dec_mean_from_parts, dec_sum_parts, round_ratio,
+    age_years, contributing_list, day_number, dec_mean_from_parts, dec_sum_parts, round_ratio,
     surrogate_key,
 )
 from pulsevault.operators.staging import load_stamp, DEFAULT_LOAD_TS
