@@ -138,6 +138,8 @@ def train_forest(split_df: DataFrame, features: list[str] = MODEL_FEATURES, tree
     from pyspark.ml.feature import VectorAssembler
     asm = VectorAssembler(inputCols=features, outputCol="features")
     train = split_df.where(F.col("split") == "train")
+    if train.isEmpty():  # no complete cases (tiny inputs): no model, empty outputs downstream
+        return asm, None
     train = train.join(F.broadcast(class_weights(train)), "label")
     rf = RandomForestClassifier(numTrees=trees, seed=seed, weightCol="weight", labelCol="label",
                                 featuresCol="features")
@@ -147,6 +149,9 @@ def train_forest(split_df: DataFrame, features: list[str] = MODEL_FEATURES, tree
 
 def predict(asm, model, split_df: DataFrame) -> DataFrame:
     test = split_df.where(F.col("split") == "test")
+    if model is None:
+        return test.select("patient_hk", "report_date", "label", F.lit(None).cast("int").alias("prediction"),
+                           F.lit(None).cast("double").alias("p_positive")).limit(0)
     from pyspark.ml.functions import vector_to_array
     out = model.transform(asm.transform(test))
     return out.select("patient_hk", "report_date", "label", F.col("prediction").cast("int").alias("prediction"),
@@ -176,10 +181,11 @@ def classification_metrics(pred: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("support")).select(
         F.lit("accuracy").alias("metric_group"), "precision", F.lit(None).cast("double").alias("recall"),
         F.lit(None).cast("double").alias("f1"), "support")
-    auc = BinaryClassificationEvaluator(rawPredictionCol="p_positive", labelCol="label",
-                                        metricName="areaUnderROC").evaluate(pred.withColumn("label", F.col("label").cast("double")))
+    auc = None if pred.isEmpty() else BinaryClassificationEvaluator(
+        rawPredictionCol="p_positive", labelCol="label", metricName="areaUnderROC",
+    ).evaluate(pred.withColumn("label", F.col("label").cast("double")))
     spark = pred.sparkSession
-    auc_row = spark.createDataFrame([("roc_auc", float(auc), None, None, None)],
+    auc_row = spark.createDataFrame([("roc_auc", None if auc is None else float(auc), None, None, None)],
                                     "metric_group string, precision double, recall double, f1 double, support bigint")
     return out.unionByName(acc).unionByName(auc_row)
 
@@ -188,6 +194,8 @@ def feature_importances(model, features: list[str] = MODEL_FEATURES, top: int =
     """ML10: importances sorted descending, top 15 (a vector of len(features) numbers)."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
+    if model is None:
+        return spark.createDataFrame([], "feature string, importance double")
     imps = model.featureImportances.toArray().tolist()
     df = spark.createDataFrame(list(zip(features, [float(v) for v in imps])), "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), "feature").limit(top)

@@ -88,3 +88,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark)
     # getCheckpointDir() appends an application-unique sub-folder; keep tables beside it.
     return f"{root.rstrip('/')}/pulsevault-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pulsevault`` importable in executor Python workers (needed by the pandas state
+    processor): zip the package once per application and ``addPyFile`` it; Spark distributes
+    it to every executor, so nothing has to be pre-installed on the cluster."""
+    import shutil
+
+    import pulsevault
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(pulsevault.__file__))
+    out_dir = tempfile.mkdtemp(prefix="pulsevault-pyfiles-")  # driver-side artifact; Spark ships it
+    archive = shutil.make_archive(os.path.join(out_dir, "pulsevault"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="pulsevault")
+    sc.addPyFile(archive)
+    _SHIPPED.add(id(sc))

@@ -27,7 +27,7 @@ from pulsevault.fixed_values import THRESHOLDS
 from pulsevault.functions import epoch_micros, event_time, ntz_from_epoch_micros, surrogate_key
 from pulsevault.operators.alerts import ALERT_TYPE
 from pulsevault.operators.staging import stg_readings
-from pulsevault.session import scratch_path
+from pulsevault.session import scratch_path, ship_package
 from pulsevault.streaming.readings import readings_stream
 
 WINDOW_SCHEMA = ("patient_id string, metric_code string, report_date date, severity string, direction string, "
@@ -106,6 +106,7 @@ def breach_alert_stream(staged: DataFrame, watermark: str = "0 seconds") -> Data
 def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str,
                          max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the alert stream over all available landing files; returns the emitted alerts."""
+    ship_package(spark)
     alerts = breach_alert_stream(stg_readings(readings_stream(spark, landing_root, max_files_per_trigger), load_ts))
     out, ckpt = scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-alerts-ckpt")
     q = (alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
