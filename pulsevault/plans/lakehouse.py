@@ -52,6 +52,7 @@ class Lakehouse:
         self.feeds = DriverFeeds(spark, sf_dir)
         self._cache: dict[str, DataFrame] = {}
         self._paths: dict[str, str] = {}
+        self.scenarios: dict[str, object] = {}  # derived multi-step runs (e.g. incremental batches)
 
     # -- raw feeds ---------------------------------------------------------
     @_memo

@@ -851,7 +851,7 @@ BATCH_SPLIT = "2024-01-15"
 def _two_batches(lh: Lakehouse):
     from pulsevault.plans.batch import Warehouse, run_daily_batch
     key = "two_batches"
-    if key not in lh._paths:
+    if key not in lh.scenarios:
         wh = Warehouse(lh.spark, scratch_path(lh.spark, "warehouse"))
         day = F.to_date("measured_at")
         split = F.lit(BATCH_SPLIT).cast("date")
@@ -859,8 +859,8 @@ def _two_batches(lh: Lakehouse):
                         "2024-01-16 00:00:00")
         run_daily_batch(lh.spark, wh, lh.raw_readings().where(day > split), lh.raw_patients(), lh.raw_conditions(),
                         lh.load_ts)
-        lh._paths[key] = wh
-    return lh._paths[key]
+        lh.scenarios[key] = wh
+    return lh.scenarios[key]
 
 
 @register("batch_mart", O.table(MART))
