@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
-from pulsevault.llm import exact_dedup, mixing
+import public_tokenizers
+
+from pulsevault.llm import bpe, exact_dedup, mixing
 from pulsevault.llm.common import table
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def op8_mixing(spark, sf_dir):
+    """How many words of every document the mix takes."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
 
 def op9_exact_dedup(spark, sf_dir):
     """Every row of ``documents`` with its group of equal texts."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
 
 
-def op8_mixing(spark, sf_dir):
-    """How many words of every document the mix takes."""
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+def op10_byte_bpe(spark, sf_dir):
+    """Token digests of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op9_exact_dedup, op8_mixing)}
+QUERIES = {f.__name__: f for f in (op8_mixing, op9_exact_dedup, op10_byte_bpe)}
 ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL}
