@@ -40,7 +40,8 @@ def source_targets(sized: DataFrame, weights: tuple = WEIGHTS, max_repeats: int
     repeat; a target above ``max_repeats`` times its source's size stops there and the rest is reshared.
 
     With the sources ordered by cap per weight, a source is capped exactly if its cap is below its share
-    of what the sources before it leave, so one pass over the ordered sources finds the final level."""
+    of what the sources before it leave, so one pass over the ordered sources finds the final level: that
+    of the first uncapped source, the highest of the uncapped ones."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     k = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     weight = reduce(lambda c, i: c.when(k == i, float(weights[i])), range(1, len(weights)), F.when(k == 0, float(weights[0])))
@@ -51,7 +52,7 @@ def source_targets(sized: DataFrame, weights: tuple = WEIGHTS, max_repeats: int
     everything = Window.partitionBy()
     t = t.withColumn("budget", F.sum("source_size").over(everything).cast("double") * share)
     t = t.withColumn("level", (F.col("budget") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(onward))
-    t = t.withColumn("final", F.min(F.when(F.col("order") >= F.col("level"), F.col("level"))).over(everything))
+    t = t.withColumn("final", F.max(F.when(F.col("order") >= F.col("level"), F.col("level"))).over(everything))
     share_of = F.coalesce(F.col("final") * F.col("weight"), F.col("cap"))
     return t.select("source", "source_size", F.least("cap", share_of).alias("target"))
 
@@ -158,7 +159,7 @@ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WH
              source_size::DOUBLE * 3 AS cap, sum(source_size) OVER ()::DOUBLE AS budget FROM s),
 l AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
              / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-f AS (SELECT *, min(CASE WHEN cap / weight >= level THEN level END) OVER () AS final FROM l),
+f AS (SELECT *, max(CASE WHEN cap / weight >= level THEN level END) OVER () AS final FROM l),
 t AS (SELECT source, source_size, least(cap, coalesce(final * weight, cap)) AS target, budget FROM f),
 q AS (SELECT d.*, t.source_size, t.target, t.budget,
              sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, tie ROWS UNBOUNDED PRECEDING)::BIGINT AS upto
