@@ -49,3 +49,22 @@ def words_in(text: Column) -> Column:
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n
+
+
+#: Bytes of text that a task works on at a time, about.
+CHUNK_BYTES = 1 << 22
+
+
+def text_chunks(batches, column: int, limit: int = CHUNK_BYTES):
+    """Slices of Arrow batches with the UTF-8 bytes of their texts, of about ``limit`` bytes (one text at
+    least), so that a task's working memory follows the longest text and not the batch."""
+    for b in batches:
+        start, held, texts = 0, 0, []
+        for i, value in enumerate(b.column(column)):
+            texts.append(value.as_buffer().to_pybytes() if value.is_valid else b"")
+            held += len(texts[-1])
+            if held >= limit:
+                yield b.slice(start, i + 1 - start), texts
+                start, held, texts = i + 1, 0, []
+        if texts:
+            yield b.slice(start, len(texts)), texts

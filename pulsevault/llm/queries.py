@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pulsevault.llm import bpe, exact_dedup, mixing
+from pulsevault.llm import bpe, exact_dedup, line_quality, mixing, near_join
 from pulsevault.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_line_quality(spark, sf_dir):
+    """Quality score of every document."""
+    return line_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_ngram_join(spark, sf_dir):
+    """Near-duplicate class and number of links of every document."""
+    return near_join.near_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size", "n_links", "n_text_links")
+
+
 def op8_mixing(spark, sf_dir):
     """How many words of every document the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -26,5 +37,5 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op8_mixing, op9_exact_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_line_quality, op4_ngram_join, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
 ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL}
