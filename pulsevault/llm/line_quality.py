@@ -22,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -212,7 +213,6 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = rows.join(F.broadcast(ids), "__id").select("__label", "__text")
 
     def run(batches):
-        import pyarrow as pa
         for b, texts in text_chunks(batches, 1):
             x, per_text, size = line_features(texts)
             cut = np.cumsum(per_text)[:-1]
@@ -231,8 +231,7 @@ def with_score(docs: DataFrame, field: LineField, text_col: str = "text", name:
     executors_ready(docs.sparkSession)
 
     @F.arrow_udf("double")
-    def score(texts: "pa.Array") -> "pa.Array":  # noqa: F821
-        import pyarrow as pa
+    def score(texts: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([texts], names=["t"])
         parts = [field.scores(chunk) for _, chunk in text_chunks([batch], 0)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
