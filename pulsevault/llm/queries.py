@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pulsevault.llm import bpe, exact_dedup, line_quality, mixing, near_join
+from pulsevault.llm import bpe, exact_dedup, line_quality, mixing, near_join, url_reputation
 from pulsevault.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,13 @@ def op4_ngram_join(spark, sf_dir):
         "doc_id", "class_id", "class_size", "n_links", "n_text_links")
 
 
+def op7_url_reputation(spark, sf_dir):
+    """Verdict on every page's url."""
+    pages = table(spark, sf_dir, "pages")
+    outcomes = url_reputation.page_outcomes(pages, table(spark, sf_dir, "labels"))
+    return url_reputation.judged(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_mixing(spark, sf_dir):
     """How many words of every document the mix takes."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -37,5 +44,5 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_line_quality, op4_ngram_join, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
-ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL}
+QUERIES = {f.__name__: f for f in (op3_line_quality, op4_ngram_join, op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
+ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL}

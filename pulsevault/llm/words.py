@@ -8,6 +8,8 @@ import numpy as np
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_APART = _SPACE.copy()
+_APART[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _PLACES = 4096
@@ -33,10 +35,19 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of every word of the joined bytes; equal words have equal hashes."""
-    if lower:
-        data = _LOWER[data]
-    filled = ~_SPACE[data]
+    """(hash, start) of every word (run of anything but ASCII white space) of the joined bytes; equal words
+    have equal hashes."""
+    return _hashed(_LOWER[data] if lower else data, ~_SPACE[data])
+
+
+def token_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of every run of anything but ASCII white space and punctuation, A-Z lower-cased."""
+    filled = ~_APART[data]
+    hashes, starts = _hashed(_LOWER[data], filled)
+    return hashes, starts, np.flatnonzero(filled & np.concatenate((~filled[1:], [True]))) + 1
+
+
+def _hashed(data: np.ndarray, filled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero(filled & np.concatenate(([True], ~filled[:-1])))
     if not len(starts):
         return np.zeros(0, np.uint64), starts
