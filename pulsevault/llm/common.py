@@ -52,7 +52,7 @@ def crc_mod(id_col: Column, n: int) -> Column:
 
 
 #: Bytes of text that a task works on at a time, about.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 
 def text_chunks(batches, column: int, limit: int = CHUNK_BYTES):

@@ -36,8 +36,9 @@ N_WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 MAX_HASHES = 160
-#: Nodes that one side of a comparison holds, about.
+#: Nodes, and n-grams of all nodes together, that one side of a comparison holds, about.
 BLOCK = 256
+BLOCK_GRAMS = 1 << 18
 BROADCAST_NODES = 300_000
 _CHUNK = 4096
 
@@ -100,7 +101,7 @@ class _MinHash:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, text_hash, node, keys) per row; ``keys``: one hash per band, none for a text without words."""
+    """(doc_id, text_hash, node, n_grams, keys) per row; ``keys``: one hash per band, none for a text without words."""
     executors_ready(docs.sparkSession)
     text = text_of(docs, text_col)
     source = docs.select(docs[id_col].alias("doc_id"), text.alias("t"), F.xxhash64(text).alias("text_hash"))
@@ -112,11 +113,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
             sets = ngram_sets(texts, n)
             keys = [hashed(g).astype(np.int64) if len(g) else np.zeros(0, np.int64) for g in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(map(node_of, sets), pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "text_hash", "node", "keys"])
+                [b.column(0), b.column(2), pa.array(map(node_of, sets), pa.binary()), pa.array(map(len, sets), pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "node", "n_grams", "keys"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, keys array<long>")
+    return source.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, n_grams long, keys array<long>")
 
 
 def candidate_families(nodes: DataFrame) -> DataFrame:
@@ -194,10 +195,10 @@ def _compared(group: list[tuple], threshold: float):
 
 
 def verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, threshold: float) -> DataFrame:
-    """Stored (node, root, texts, docs, whole) of compared groups; ``members``: (doc_id, node, family, copies),
-    one per node. ``whole``: the group is the whole family, so its roots are final."""
-    sizes = stored(members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"),
-                                                 F.count(F.lit(1)).alias("n")), "near-sizes")
+    """Stored (node, root, texts, docs, whole) of compared groups; ``members``: (doc_id, node, family, copies,
+    n_grams), one per node. ``whole``: the group is the whole family, so its roots are final."""
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n_grams") / F.lit(BLOCK_GRAMS))).cast("int")
+    sizes = stored(members.groupBy("family").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n")), "near-sizes")
     plan = members.join(sizes.filter("n > 1").drop("n"), "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     plan = stored(plan.select(F.col("doc_id").alias("__id"), "node", "family", "copies", "block", "blocks"), "near-plan")
     _, marked = small_or(plan, BROADCAST_NODES)
@@ -230,7 +231,7 @@ def verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [()] * 5, kind, strict=True)], schema=kind)
 
         key, group, whole = None, [], False
-        for b in batches:
+        for b in (part.slice(at, 256) for part in batches for at in range(0, part.num_rows, 256)):
             for node, copies, grams, family, i, j, side, all_of_it in zip(*(b.column(k).to_pylist() for k in range(8)), strict=True):
                 if (family, i, j) != key:
                     if group:
@@ -252,9 +253,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bands, rows = banding(threshold, recall)
     sigs = stored(signatures(docs, id_col, text_col, n, bands, rows), "near-signatures")
     nodes = stored(sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
-                                            F.first("keys").alias("keys")), "near-nodes")
+                                            F.first("n_grams").alias("n_grams"), F.first("keys").alias("keys")), "near-nodes")
     families = candidate_families(nodes)
-    members = nodes.select("doc_id", "node", "copies").join(families, "node")
+    members = nodes.select("doc_id", "node", "copies", "n_grams").join(families, "node")
     links = verified(docs, members, id_col, text_col, n, threshold)
     whole = links.filter("whole").select("node", "root")
     parts = components(links.filter("not whole").select(F.col("root").alias("a"), F.col("node").alias("b")), "near-classes")
