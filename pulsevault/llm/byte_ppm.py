@@ -4,8 +4,9 @@ The model is a trie of byte contexts up to ``ORDER``, kept as counts of (context
 coded in the longest context that was seen; if it never followed that context, an escape is coded and the
 next shorter context takes over, without the bytes that the longer one would have coded (symbol
 exclusion). Escapes are estimated by method D: a byte with count c has probability (2c - 1) / 2n and the
-escape q / 2n, where n is the sum of counts and q the number of bytes, exclusions left out. Below order 0
-all bytes not yet excluded are alike. A text is coded with a start mark before and an end mark after it.
+escape q / 2n, where n is the sum of counts and q the number of bytes, exclusions left out. Shorter contexts
+learn with update exclusion: a byte counts once per longer context that it was new in. Below order 0 all
+bytes not yet excluded are alike. A text is coded with a start mark before and an end mark after it.
 
 Counting: every task adds up its own distinct (context, byte) pairs, one row each, and Spark sums them.
 All contexts that share their last three bytes meet in one task (the pairs there are at most 256 to the
@@ -97,9 +98,11 @@ class Trie:
         self.rest_n = self.rest_q = None
 
     def shorter(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs and counts of contexts shorter by one (``order`` is the shorter)."""
-        pairs, back = np.unique(self.pairs & _mask(order), return_inverse=True)
-        return pairs, np.bincount(back, self.counts, len(pairs)).astype(np.int64)
+        """Pairs and counts of contexts shorter by one (``order`` is the shorter). A pair counts once for each
+        longer context that it was new in, as it does when only the contexts that fail to predict a byte
+        learn it (update exclusion)."""
+        pairs, times = np.unique(self.pairs & _mask(order), return_counts=True)
+        return pairs, times.astype(np.int64)
 
     def exclude_from(self, below: "Trie", order: int) -> None:
         """What is left of the shorter context (``below``, of ``order``) without this context's bytes."""
@@ -210,7 +213,8 @@ def block_counts(rows: DataFrame, order: int) -> DataFrame:
 def pair_log_probabilities(pairs: DataFrame, order: int) -> DataFrame:
     """(key, value): log10 probability of every pair of ``pairs`` (key, n); pairs with n > 0 are the model."""
     low_order = _SHARED - 1
-    low = pairs.filter("n > 0").groupBy(F.col("key").bitwiseAND(F.lit(int(_mask(low_order)))).alias("pair")).agg(F.sum("n").alias("n"))
+    longer = pairs.filter("n > 0").select(F.col("key").bitwiseAND(F.lit(int(_mask(_SHARED)))).alias("pair")).distinct()
+    low = longer.groupBy(F.col("pair").bitwiseAND(F.lit(int(_mask(low_order)))).alias("pair")).agg(F.count(F.lit(1)).alias("n"))
     low = low.orderBy("pair").toPandas()
     base = ladder(low.pair.to_numpy(np.int64).astype(np.uint64), low.n.to_numpy(np.int64), low_order, 0)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pulsevault.llm import bpe, exact_dedup, line_quality, mixing, near_join, url_reputation
+from pulsevault.llm import bpe, byte_ppm, exact_dedup, line_quality, mixing, near_join, toxic_passages, url_reputation
 from pulsevault.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,16 @@ def op4_ngram_join(spark, sf_dir):
         "doc_id", "class_id", "class_size", "n_links", "n_text_links")
 
 
+def op5_toxic_passages(spark, sf_dir):
+    """Toxicity score of every document."""
+    return toxic_passages.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_byte_ppm(spark, sf_dir):
+    """Language-model score of every document."""
+    return byte_ppm.scored(table(spark, sf_dir, "documents"))
+
+
 def op7_url_reputation(spark, sf_dir):
     """Verdict on every page's url."""
     pages = table(spark, sf_dir, "pages")
@@ -44,5 +54,5 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_line_quality, op4_ngram_join, op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm, op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
 ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL}
