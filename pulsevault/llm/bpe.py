@@ -21,27 +21,53 @@ from __future__ import annotations
 import base64
 import hashlib
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from pulsevault.llm.common import executors_ready, text_of
+from pulsevault.llm.common import executors_ready, text_chunks, text_of
 
 #: Pieces (and token pairs) that a Python worker remembers before it starts anew.
 MEMO = 600_000
 _NONE = -1
 
 
+class Table(NamedTuple):
+    """Per byte prefix: its last token (none for the empty one), and the entries under way at its end as
+    (bytes so far, what may follow), longest first."""
+
+    last: list[int]
+    alive: list[list[tuple[int, dict]]]
+
+
 class PrefixEncoder:
     """Encoder and decoder for one set of ranks (token bytes -> id; every single byte must be present)."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: b for b, i in ranks.items()}
+        self.digits = {i: str(i) for i in self.token}
+        self.size = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.begins = {b[:n]: _NONE for b in ranks for n in range(1, len(b))} | ranks
+        self.trie = self._trie()
         self._pair: dict[int, bool] = {}
         self._sound: dict[int, bool] = {}
 
+    def _trie(self) -> dict:
+        """The entries by their bytes: byte -> (id of the entry that ends here or none, what may follow)."""
+        nodes: dict[bytes, list] = {b"": [_NONE, {}]}
+        leaf: dict = {}
+        for entry in sorted(self.ranks):
+            for n in range(1, len(entry) + 1):
+                nodes.setdefault(entry[:n], [_NONE, leaf])
+            nodes[entry][0] = self.ranks[entry]
+        for key in sorted(nodes, key=len, reverse=True)[:-1]:  # from the leaves up
+            parent = nodes[key[:-1]]
+            parent[1] = parent[1] or {}
+            parent[1][key[-1]] = tuple(nodes[key])
+        return nodes[b""][1]
+
     def merged(self, data: bytes) -> list[int]:
         """The defining procedure: join the neighbours of lowest joint rank until none can be joined. Used
         on the bytes of two tokens at most."""
@@ -73,61 +99,93 @@ class PrefixEncoder:
             known = self._sound[t] = self.merged(self.token[t]) == [t]
         return known
 
-    def extend(self, data: bytes, last: list[int], until: int | None = None) -> list[int]:
-        """Complete ``last`` (entry i: last token of the prefix of i bytes; entry 0 unused) for ``data``.
-        Goes through the starts in order, so the longest token that ends at a prefix is tried first, and
-        leaves a start as soon as no entry begins with its bytes."""
-        begins, pairs, known = self.begins.get, self._pair, len(last) or 1
-        n = len(data) if until is None else until
-        last.extend([_NONE] * (n + 1 - len(last)))
-        for start in range(max(0, known - self.longest), n):
-            before = last[start]
-            for end in range(start + 1, n + 1):
-                t = begins(data[start:end])
-                if t is None:
-                    break
-                if t >= 0 and end >= known and last[end] < 0:
-                    if start == 0:
-                        fits = self.stands(t)
-                    else:
-                        fits = pairs.get((before << 32) | t)
-                        if fits is None:
-                            fits = self.follows(before, t)
-                    if fits:
-                        last[end] = t
-        return last
-
-    def read(self, last: list[int]) -> list[int]:
-        """The tokens of the longest prefix in ``last``."""
-        out, i = [], len(last) - 1
+    def table(self) -> "Table":
+        """The table of the empty byte string."""
+        return Table([_NONE], [[(0, self.trie)]])
+
+    def extend(self, data: bytes, table: "Table", until: int | None = None) -> "Table":
+        """Complete ``table``, which stands for a prefix of ``data``, byte by byte. Each byte moves on the entries
+        that are under way, longest first; the first to end here that may follow what stands before it is the
+        last token of this prefix."""
+        last, alive = table
+        pairs, root = self._pair, (0, self.trie)
+        states = alive[-1]
+        for end in range(len(last), (len(data) if until is None else until) + 1):
+            byte, found, moved = data[end - 1], _NONE, []
+            for size, follow in states:
+                step = follow.get(byte)
+                if step is not None:
+                    t, follow = step
+                    size += 1
+                    if t >= 0 and found < 0:
+                        if size == end:
+                            fits = self.stands(t)
+                        else:
+                            fits = pairs.get((last[end - size] << 32) | t)
+                            if fits is None:
+                                fits = self.follows(last[end - size], t)
+                        if fits:
+                            found = t
+                    if follow:
+                        moved.append((size, follow))
+            moved.append(root)
+            last.append(found)
+            alive.append(moved)
+            states = moved
+        return table
+
+    def read(self, table: "Table") -> list[int]:
+        """The tokens of the table's whole byte string."""
+        last, out = table.last, []
+        i = len(last) - 1
         while i > 0:
             out.append(last[i])
-            i -= len(self.token[last[i]])
-        return out[::-1]
+            i -= self.size[last[i]]
+        out.reverse()
+        return out
 
     def encode_bytes(self, data: bytes) -> list[int]:
         """The encoding of ``data`` by merges alone."""
-        return self.read(self.extend(data, []))
-
-    def append(self, last: list[int], data: bytes, more: bytes) -> list[int]:
+        return self.read(self.extend(data, self.table()))
+
+    def encode_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """The encodings of sorted pieces; each goes on from the table of the prefix that it shares with the
+        one before."""
+        out, table, old = [], self.table(), b""
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out.append([whole])
+                continue
+            n, most = 0, min(len(old), len(piece))
+            while n < most and old[n] == piece[n]:
+                n += 1
+            del table.last[n + 1:], table.alive[n + 1:]
+            out.append(self.read(self.extend(piece, table)))
+            old = piece
+        return out
+
+    def append(self, table: "Table", data: bytes, more: bytes) -> "Table":
         """Extend the table of ``data`` to ``data + more``; only the new bytes are worked on."""
-        return self.extend(data + more, last)
+        return self.extend(data + more, table)
 
-    def edit(self, last: list[int], old: bytes, at: int, removed: int, inserted: bytes) -> tuple[list[int], int]:
+    def edit(self, table: "Table", old: bytes, at: int, removed: int, inserted: bytes) -> tuple["Table", int]:
         """Table of ``old`` with ``removed`` bytes at ``at`` replaced, and how many prefixes were worked on.
-        Once ``longest`` prefixes in a row agree with the old table, the rest of it is taken over."""
+        Once as many prefixes in a row as the longest entry has bytes agree with the old table, the rest of it
+        is taken over."""
         new = old[:at] + inserted + old[at + removed:]
         shift = len(inserted) - removed
-        table, agreed, done = last[:at + 1] or [_NONE], 0, 0
-        while len(table) <= len(new):
-            i = len(table)
-            self.extend(new, table, i)
+        fresh, agreed, done = Table(table.last[:at + 1], table.alive[:at + 1]), 0, 0
+        while len(fresh.last) <= len(new):
+            i = len(fresh.last)
+            self.extend(new, fresh, i)
             done += 1
             if i > at + len(inserted):
-                agreed = agreed + 1 if table[i] == last[i - shift] else 0
+                agreed = agreed + 1 if fresh.last[i] == table.last[i - shift] else 0
                 if agreed >= self.longest:
-                    table.extend(last[i - shift + 1:])
-        return table, done
+                    fresh.last.extend(table.last[i - shift + 1:])
+                    fresh.alive.extend(table.alive[i - shift + 1:])
+        return fresh, done
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """The encoding of one match of the pattern."""
@@ -135,7 +193,8 @@ class PrefixEncoder:
         return [whole] if whole is not None else self.encode_bytes(piece)
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.token[i] for i in ids])
+        """The bytes that ``ids`` stand for."""
+        return b"".join(map(self.token.__getitem__, ids))
 
 
 @lru_cache(maxsize=2)
@@ -151,27 +210,33 @@ def splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-_PIECES: dict[tuple[str, str], dict[str, tuple[str, bytes]]] = {}
+#: Per vocabulary: piece -> its ids.
+_PIECES: dict[str, dict[str, tuple[int, ...]]] = {}
 
 
-def _digests(texts, vocabulary: str, pattern: str):
-    """(tokens, SHA-256 of the ids, SHA-256 of the decoded bytes) of each text. The memo maps a piece to its
-    ids as text and the bytes that those ids decode to."""
+def _encoded(texts: list[str], vocabulary: str, pattern: str):
+    """The ids of each text. A worker remembers the pieces that it has met; new ones are encoded together,
+    in order."""
     enc, split = encoder(vocabulary), splitter(pattern)
-    memo = _PIECES.setdefault((vocabulary, pattern), {})
-    for text in texts:
-        ids, back = [], []
-        for piece in split(text):
-            known = memo.get(piece)
-            if known is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                tokens = enc.encode_piece(piece.encode("utf-8", "surrogatepass"))
-                known = memo[piece] = (",".join(map(str, tokens)), enc.decode(tokens))
-            ids.append(known[0])
-            back.append(known[1])
-        line = ",".join(ids)
-        yield line.count(",") + 1 if line else 0, hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(b"".join(back)).hexdigest()
+    known = _PIECES.setdefault(vocabulary, {})
+    if len(known) >= MEMO:
+        known.clear()
+    parts = [split(text) for text in texts]
+    different = set(chain.from_iterable(parts))
+    new = sorted(piece.encode() for piece in different.difference(known))
+    for piece, tokens in zip(new, enc.encode_all(new), strict=True):
+        known[piece.decode()] = tuple(tokens)
+    here = {piece: known[piece] for piece in different}  # small enough for the processor's caches
+    for pieces in parts:
+        yield list(chain.from_iterable(map(here.__getitem__, pieces)))
+
+
+def _digests(texts: list[str], vocabulary: str, pattern: str):
+    """(tokens, SHA-256 of the ids, SHA-256 of the decoded bytes) of each text."""
+    enc = encoder(vocabulary)
+    for ids in _encoded(texts, vocabulary, pattern):
+        line = ",".join(map(enc.digits.__getitem__, ids))
+        yield len(ids), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(enc.decode(ids)).hexdigest()
 
 
 def token_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,8 +247,8 @@ def token_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
 
     def run(batches):
         import pyarrow as pa
-        for b in batches:
-            out = list(zip(*_digests((x.as_py() for x in b.column(1)), vocabulary, pattern), strict=True)) or [(), (), ()]
+        for b, texts in text_chunks(batches, 1):
+            out = list(zip(*_digests([t.decode() for t in texts], vocabulary, pattern), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -199,9 +264,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
 
     def run(batches):
         import pyarrow as pa
-        enc, split = encoder(vocabulary), splitter(pattern)
-        for b in batches:
-            ids = [[i for p in split(x.as_py()) for i in enc.encode_piece(p.encode())] for x in b.column(1)]
+        for b, texts in text_chunks(batches, 1):
+            ids = list(_encoded([t.decode() for t in texts], vocabulary, pattern))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
