@@ -32,12 +32,12 @@ from pyspark.sql.types import BinaryType, DoubleType, FloatType
 from pulsevault.llm.common import executors_ready, stored
 from pulsevault.llm.words import mixed
 
-DEGREE = 24
+DEGREE = 32
 BLOCK = 4096
 #: Random groups per node at the start, and nodes in a group.
 STARTS, GROUP = 3, 2048
 ROUNDS, MIN_CHANGE = 8, 0.01
-WIDTH, HOPS = 32, 6
+WIDTH, HOPS = 128, 6
 #: Vectors of a query's answer that are measured exactly, beyond those asked for.
 SPARE = 4
 

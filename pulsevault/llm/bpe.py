@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pulsevault.llm.common import executors_ready, text_chunks, text_of
 
 #: Pieces (and token pairs) that a Python worker remembers before it starts anew.
-MEMO = 600_000
+MEMO = 250_000
 _NONE = -1
 
 

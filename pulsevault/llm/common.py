@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +26,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch that goes to a Python worker, at most.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def executors_ready(spark: SparkSession) -> None:
-    """Ship this package to the Python workers (they run the operators' per-batch functions)."""
+    """Ship this package to the Python workers (they run the operators' per-batch functions), and bound the
+    batches that they are sent by bytes; texts differ in length by orders of magnitude."""
     ship_package(spark)
+    now = str(spark.conf.get(_BATCH_CONF, "")).rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
 def small_or(df: DataFrame, max_rows: int) -> tuple[bool, DataFrame]:
@@ -68,3 +78,4 @@ def text_chunks(batches, column: int, limit: int = CHUNK_BYTES):
                 start, held, texts = i + 1, 0, []
         if texts:
             yield b.slice(start, len(texts)), texts
+    pa.default_memory_pool().release_unused()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pulsevault.llm import bpe, byte_ppm, exact_dedup, line_quality, mixing, near_join, toxic_passages, url_reputation, wrapper
+from pulsevault.llm import ann_graph, bpe, byte_ppm, exact_dedup, line_quality, mixing, near_join, toxic_passages, url_reputation, wrapper
 from pulsevault.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,11 @@ def op1_wrapper_induction(spark, sf_dir):
     return wrapper.extracted(table(spark, sf_dir, "pages"))
 
 
+def op2_nn_descent(spark, sf_dir):
+    """The 5 nearest other vectors of every 50th vector."""
+    return ann_graph.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op3_line_quality(spark, sf_dir):
     """Quality score of every document."""
     return line_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,5 +64,5 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_wrapper_induction, op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm, op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_wrapper_induction, op2_nn_descent, op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm, op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
 ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL}
