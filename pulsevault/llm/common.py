@@ -35,7 +35,7 @@ def executors_ready(spark: SparkSession) -> None:
     """Ship this package to the Python workers (they run the operators' per-batch functions), and bound the
     batches that they are sent by bytes; texts differ in length by orders of magnitude."""
     ship_package(spark)
-    now = str(spark.conf.get(_BATCH_CONF, "")).rstrip("b")
+    now = spark.conf.get(_BATCH_CONF).rstrip("b")
     if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
