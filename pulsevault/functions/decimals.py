@@ -25,11 +25,10 @@ def _unscaled(x: Column, scale: int) -> Column:
 
 
 def _half_up_div(num: Column, den: Column) -> Column:
-    """Exact round-half-up of num/den for longs, den > 0; returns long."""
-    a = F.abs(num) * 2 + den
-    b = den * 2
-    q = ((a - a % b) / b).cast("long")  # exact: (a - a % b) is a multiple of b
-    return F.signum(num).cast("long") * q
+    """Exact round-half-up of num/den for longs, den > 0; returns long. Integral division throughout, so
+    exact as long as 2|num| + den fits a long."""
+    q = F.call_function("div", F.abs(num) * 2 + den, den * 2)
+    return F.when(num < 0, -q).otherwise(q)
 
 
 def dec_sum_parts(x, scale: int = 4) -> tuple[Column, Column]:

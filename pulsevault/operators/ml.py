@@ -149,9 +149,9 @@ def train_forest(split_df: DataFrame, features: list[str] = MODEL_FEATURES, tree
 
 def predict(asm, model, split_df: DataFrame) -> DataFrame:
     test = split_df.where(F.col("split") == "test")
-    if model is None:
+    if model is None:  # no training rows: every test row is reported, without a prediction
         return test.select("patient_hk", "report_date", "label", F.lit(None).cast("int").alias("prediction"),
-                           F.lit(None).cast("double").alias("p_positive")).limit(0)
+                           F.lit(None).cast("double").alias("p_positive"))
     from pyspark.ml.functions import vector_to_array
     out = model.transform(asm.transform(test))
     return out.select("patient_hk", "report_date", "label", F.col("prediction").cast("int").alias("prediction"),

@@ -2,8 +2,9 @@
 
 The source numbers patients by file position to assign devices round-robin. A global
 ``row_number()`` without a partition runs in one task, so ``dense_index`` computes the same
-0-based position with a range partition: per-partition counts (one row per partition) give
-each partition's offset, and a row_number inside each partition does the rest.
+0-based position with a range partition of the keys: the partitioned keys are stored once, counts
+per partition (one row each) give the offsets, a row_number inside each partition does the rest,
+and the payload is joined back on the key.
 """
 
 from __future__ import annotations
@@ -15,13 +16,18 @@ from pulsevault.fixed_values import (
     CGM_MODELS, CGM_SERIAL_FORMAT, DEVICE_MODELS, SMARTWATCH_MODELS, SNOMED_CARDIAC, SNOMED_DIABETES,
     SNOMED_HYPERTENSION, WATCH_SERIAL_FORMAT,
 )
+from pulsevault.session import scratch_path
 
 
 def dense_index(df: DataFrame, order_col: str, name: str = "idx", partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in ``order_col`` order (unique order values), without a
-    single-partition window."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, order_col).withColumn("__pid", F.spark_partition_id())
+    """0-based position of each row in ``order_col`` order (unique, non-null order values), without
+    a single-partition window. A range exchange samples its bounds each time it is planned, so the
+    key's partition number is stored: counts and positions come from the same partitioning."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "dense-index")
+    df.select(order_col).repartitionByRange(n, order_col).withColumn("__pid", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     # One row per partition: this window is tiny by construction.
     offsets = counts.select(
@@ -29,8 +35,8 @@ def dense_index(df: DataFrame, order_col: str, name: str = "idx", partitions: in
         F.coalesce(F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"))
     local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__pid").orderBy(order_col)))
-    return local.join(F.broadcast(offsets), "__pid").withColumn(name, (F.col("__off") + F.col("__local") - 1)) \
-        .drop("__pid", "__off", "__local")
+    index = local.join(F.broadcast(offsets), "__pid").select(order_col, (F.col("__off") + F.col("__local") - 1).alias(name))
+    return df.join(index, order_col)
 
 
 def _model_at(models, idx_col):
@@ -46,8 +52,8 @@ def _model_at(models, idx_col):
 
 
 def patient_condition_codes(stg_conditions: DataFrame) -> DataFrame:
-    """JN10: all codes per patient (resolved ones included, Q7), sorted; bounded collect via
-    (patient, code) pre-aggregation."""
+    """JN10: all codes per patient (resolved ones included, Q7), sorted. The collect is of (code, n) pairs;
+    the source keeps repeats, so the list itself is as long as the patient has condition rows."""
     per_code = stg_conditions.groupBy("patient_id", "condition_code").agg(F.count(F.lit(1)).alias("n"))
     return per_code.groupBy("patient_id").agg(F.array_sort(F.collect_list(F.struct("condition_code", "n"))).alias("__c")) \
         .select("patient_id", F.flatten(F.transform("__c", lambda s: F.array_repeat(s["condition_code"], s["n"].cast("int"))))

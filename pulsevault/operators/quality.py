@@ -76,7 +76,7 @@ def accepted_values_summary(df: DataFrame, model: str, rules: dict[str, list[str
 
 def relationship_rows(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row (left anti join)."""
-    p = parent.select(F.col(parent_column).alias(column)).distinct()
+    p = parent.select(F.col(parent_column).alias(column))
     return child.where(F.col(column).isNotNull()).join(p, column, "left_anti")
 
 
@@ -137,24 +137,27 @@ def source_freshness(stg_readings: DataFrame, as_of_ts: str, warn_hours: int = S
 
 # -- DQ10 landing gate: feeds present per day --------------------------------------------------------------------
 
-def feeds_present(feed_days: dict[str, DataFrame], required: list[str] = LANDING_REQUIRED_FEEDS) -> DataFrame:
-    """Expected (day, feed) for every day between the first and last landed day, with presence.
-
-    ``feed_days`` maps a feed name to a DataFrame with a ``d`` (date) column of landed rows.
-    The calendar is generated from a one-row min/max aggregate (one row per day, bounded by
-    the date span, not by data volume).
-    """
-    found = _union([df.select("d").distinct().withColumn("feed", F.lit(name)) for name, df in feed_days.items()])
-    span = found.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    days = span.select(F.explode(F.sequence("lo", "hi")).alias("d"))
-    feeds = days.select("d", F.explode(F.array(*[F.lit(f) for f in required])).alias("feed"))
+def expected_days(spark, first: str, last: str) -> DataFrame:
+    """One row per load date from ``first`` to ``last`` (the dates that the schedule names, whether or
+    not anything landed)."""
+    return spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("d"))
+
+
+def feeds_present(expected: DataFrame, feed_lines: dict[str, DataFrame], required: list[str] = LANDING_REQUIRED_FEEDS) -> DataFrame:
+    """(day, feed, present) for every expected day and required feed. ``feed_lines`` maps a feed name to the
+    lines of its day-partitioned landing tree (columns value, d); a day is present if it has a file with
+    a line that is not blank."""
+    found = _union([df.where(F.trim("value") != "").select("d").distinct().withColumn("feed", F.lit(name)) for name, df in feed_lines.items()])
+    feeds = expected.select("d", F.explode(F.array(*[F.lit(f) for f in required])).alias("feed"))
     return feeds.join(found.withColumn("present", F.lit(True)), ["d", "feed"], "left") \
         .select("d", "feed", F.coalesce("present", F.lit(False)).alias("present"))
 
 
 # -- DQ11 landing gate: minimum non-blank rows per day file ------------------------------------------------------
 
-def min_rows_per_day(text_lines: DataFrame, min_rows: int = LANDING_MIN_ROWS) -> DataFrame:
-    """``text_lines`` is ``spark.read.text`` over a day-partitioned landing tree (columns value, d)."""
-    g = text_lines.where(F.trim("value") != "").groupBy("d").agg(F.count(F.lit(1)).alias("line_count"))
-    return g.withColumn("passed", F.col("line_count") >= min_rows)
+def min_rows_per_day(expected: DataFrame, text_lines: DataFrame, min_rows: int = LANDING_MIN_ROWS) -> DataFrame:
+    """Non-blank lines of every expected day against the minimum; a day without a file, or with an empty or
+    blank one, has 0 lines and fails. ``text_lines``: lines of a day-partitioned landing tree (value, d)."""
+    counted = text_lines.where(F.trim("value") != "").groupBy("d").agg(F.count(F.lit(1)).alias("n"))
+    return expected.join(counted, "d", "left").select(
+        "d", F.coalesce("n", F.lit(0)).alias("line_count"), (F.coalesce("n", F.lit(0)) >= min_rows).alias("passed"))

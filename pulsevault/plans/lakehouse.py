@@ -219,12 +219,12 @@ class Lakehouse:
         return self.spark.read.parquet(path)
 
 
-_REGISTRY: dict[tuple[int, str], Lakehouse] = {}
+_REGISTRY: dict[tuple[str, int, str], Lakehouse] = {}
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Shared Lakehouse per (session, directory) so queries reuse plan objects."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _REGISTRY:
         _REGISTRY[key] = Lakehouse(spark, sf_dir)
     return _REGISTRY[key]

@@ -53,8 +53,7 @@ layer("breach_alerts", "raw_alerts", "raw_alerts")
 # Derived views of single operators
 # =====================================================================================
 from pulsevault.fixed_values import (  # noqa: E402
-    ACCEPTED_GENDER, ACCEPTED_METRICS, ACCEPTED_QUALITY, ACCEPTED_RISK_TIER, ACCEPTED_SEVERITY, EDA_CORR_FEATURES,
-    MODEL_FEATURES, SNOMED_CARDIAC, SNOMED_DIABETES, SNOMED_HYPERTENSION, EDA_BOX_FEATURES,
+    EDA_CORR_FEATURES, MODEL_FEATURES, SNOMED_CARDIAC, SNOMED_DIABETES, SNOMED_HYPERTENSION, EDA_BOX_FEATURES,
 )
 from pulsevault.functions import age_years, parse_iso_ts, surrogate_key, dec_to_int  # noqa: E402
 from pulsevault.operators import alerts as AL  # noqa: E402
@@ -65,6 +64,7 @@ from pulsevault.operators import patients as PT  # noqa: E402
 from pulsevault.operators import quality as DQ  # noqa: E402
 from pulsevault.operators import staging as ST  # noqa: E402
 from pulsevault.operators import vault as DV  # noqa: E402
+from pulsevault.plans import data_tests as T  # noqa: E402
 from pulsevault.plans.oracle import AS_OF, LOAD_TS, key, sql  # noqa: E402
 from pulsevault.sources import files as FS  # noqa: E402
 from pulsevault.sources import sinks as SK  # noqa: E402
@@ -426,47 +426,6 @@ def _inc_hwm_date(lh):
 # =====================================================================================
 # Data quality
 # =====================================================================================
-NOT_NULL_MODELS = ["stg_readings", "hub_patient", "hub_device", "hub_metric_type", "hub_reading", "hub_alert",
-                   "lnk_patient_device", "lnk_device_metric", "lnk_reading_alert", "sat_reading_value",
-                   "sat_reading_context", "sat_alert_detail", "sat_patient_demographics", "sat_device_spec",
-                   "anomaly_score", "risk_profile", "mart_patient_daily_features"]
-MODEL_COLUMNS = {
-    "hub_patient": ["patient_hk", "patient_bk", "load_datetime", "record_source"],
-    "hub_device": ["device_hk", "device_serial_bk", "load_datetime", "record_source"],
-    "hub_metric_type": ["metric_type_hk", "metric_code_bk", "load_datetime", "record_source"],
-    "hub_reading": ["reading_hk", "reading_id_bk", "load_datetime", "record_source"],
-    "hub_alert": ["alert_hk", "alert_id_bk", "load_datetime", "record_source"],
-    "lnk_patient_device": ["patient_device_hk", "patient_hk", "device_hk", "load_datetime", "record_source"],
-    "lnk_device_metric": ["device_metric_hk", "device_hk", "metric_type_hk", "load_datetime", "record_source"],
-    "lnk_reading_alert": ["reading_alert_hk", "reading_hk", "alert_hk", "load_datetime", "record_source"],
-    "sat_reading_value": ["reading_hk", "load_datetime", "hash_diff", "effective_from", "record_source", "patient_hk",
-                          "device_hk", "metric_code", "value", "unit", "quality_flag", "measured_at"],
-    "sat_reading_context": ["reading_hk", "load_datetime", "hash_diff", "effective_from", "record_source",
-                            "activity_type", "location_type", "mood_score"],
-    "sat_alert_detail": ["alert_hk", "load_datetime", "hash_diff", "effective_from", "record_source", "alert_type",
-                         "severity", "metric_code", "threshold_value", "actual_value", "triggered_at", "acknowledged",
-                         "acknowledged_at"],
-    "sat_patient_demographics": ["patient_hk", "load_datetime", "hash_diff", "effective_from", "record_source",
-                                 "birth_date", "gender", "race", "ethnicity", "city", "state", "zip", "bmi",
-                                 "chronic_conditions"],
-    "sat_device_spec": ["device_hk", "load_datetime", "hash_diff", "effective_from", "record_source", "device_model",
-                        "manufacturer", "firmware_version", "battery_level_pct"],
-    "stg_readings": ["reading_id", "patient_id", "device_serial", "metric_code", "value", "unit", "quality_flag",
-                     "measured_at", "activity_type", "location_type", "load_datetime", "record_source"],
-    "anomaly_score": ["patient_hk", "report_date", "load_datetime", "record_source", "hr_zscore", "spo2_zscore",
-                      "steps_zscore", "composite_anomaly_score", "anomaly_flag", "contributing_metrics"],
-    "risk_profile": ["patient_hk", "report_date", "load_datetime", "record_source", "age", "condition_count",
-                     "has_diabetes", "has_hypertension", "has_cardiac_condition", "avg_anomaly_score_7d",
-                     "anomaly_events_30d", "data_completeness_7d", "risk_tier"],
-    "mart_patient_daily_features": [
-        "patient_hk", "report_date", "age", "gender", "bmi", "has_diabetes", "has_hypertension",
-        "has_cardiac_condition", "condition_count", "hr_mean", "hr_std", "hr_min", "hr_max", "hr_p05", "hr_p95",
-        "spo2_mean", "spo2_min", "steps_total", "skin_temp_mean", "glucose_mean", "glucose_std", "sleep_duration_hrs",
-        "hr_mean_7d_avg", "hr_mean_delta_1d", "spo2_min_7d_avg", "steps_total_7d_avg", "composite_anomaly_score",
-        "anomaly_events_30d", "data_completeness", "risk_tier", "anomaly_next_24h"],
-}
-
-
 def _union_sql(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
@@ -476,17 +435,10 @@ def _report_sql(model: str, test: str, counts: dict[str, str]) -> list[str]:
             f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {model}" for c, cond in counts.items()]
 
 
-@register("dq_not_null", sql(_union_sql(sum([_report_sql(m, "not_null", {c: f"{c} IS NULL" for c in MODEL_COLUMNS[m]})
-                                             for m in NOT_NULL_MODELS], [])), *NOT_NULL_MODELS))
+@register("dq_not_null", sql(_union_sql(sum([_report_sql(m, "not_null", {c: f"{c} IS NULL" for c in cs})
+                                             for m, cs in T.NOT_NULL.items()], [])), *T.NOT_NULL))
 def _dq_not_null(lh):
-    return DQ._union([DQ.not_null_summary(getattr(lh, m)(), m, MODEL_COLUMNS[m]) for m in NOT_NULL_MODELS])
-
-
-UNIQUE_RULES = [("hub_patient", ["patient_hk"]), ("hub_patient", ["patient_bk"]), ("hub_device", ["device_hk"]),
-                ("hub_metric_type", ["metric_type_hk"]), ("hub_reading", ["reading_hk"]), ("hub_alert", ["alert_hk"]),
-                ("stg_patients", ["patient_id"]), ("stg_readings", ["reading_id"]), ("stg_alerts", ["alert_id"]),
-                ("mart_patient_daily_features", ["patient_hk", "report_date"]),
-                ("mart_anomaly_dashboard", ["patient_bk"])]
+    return DQ._union([DQ.not_null_summary(getattr(lh, m)(), m, cs) for m, cs in T.NOT_NULL.items()])
 
 
 def _unique_sql(model, cols):
@@ -497,43 +449,17 @@ def _unique_sql(model, cols):
             f"HAVING count(*) > 1) d")
 
 
-@register("dq_unique", sql(_union_sql([_unique_sql(m, c) for m, c in UNIQUE_RULES]),
-                           *sorted({m for m, _ in UNIQUE_RULES})))
+@register("dq_unique", sql(_union_sql([_unique_sql(m, c) for m, c in T.UNIQUE]),
+                           *sorted({m for m, _ in T.UNIQUE})))
 def _dq_unique(lh):
-    return DQ._union([DQ.unique_summary(getattr(lh, m)(), m, c) for m, c in UNIQUE_RULES])
-
-
-ACCEPTED_RULES = {
-    "stg_patients": {"gender": ACCEPTED_GENDER},
-    "stg_readings": {"metric_code": ACCEPTED_METRICS, "quality_flag": ACCEPTED_QUALITY},
-    "stg_alerts": {"severity": ACCEPTED_SEVERITY},
-    "hub_metric_type": {"metric_code_bk": ACCEPTED_METRICS},
-    "risk_profile": {"risk_tier": ACCEPTED_RISK_TIER},
-    "mart_patient_daily_features": {"gender": ACCEPTED_GENDER, "risk_tier": ACCEPTED_RISK_TIER},
-    "mart_anomaly_dashboard": {"risk_tier": ACCEPTED_RISK_TIER, "anomaly_trend": ["improving", "stable", "worsening"]},
-}
+    return DQ._union([DQ.unique_summary(getattr(lh, m)(), m, c) for m, c in T.UNIQUE])
 
 
 @register("dq_accepted_values", sql(_union_sql(sum([
     _report_sql(m, "accepted_values", {c: f"{c} IS NOT NULL AND {c} NOT IN ({O.in_list(v)})" for c, v in r.items()})
-    for m, r in ACCEPTED_RULES.items()], [])), *ACCEPTED_RULES))
+    for m, r in T.ACCEPTED.items()], [])), *T.ACCEPTED))
 def _dq_accepted(lh):
-    return DQ._union([DQ.accepted_values_summary(getattr(lh, m)(), m, r) for m, r in ACCEPTED_RULES.items()])
-
-
-RELATIONSHIPS = [
-    ("lnk_patient_device", "patient_hk", "hub_patient", "patient_hk"),
-    ("lnk_patient_device", "device_hk", "hub_device", "device_hk"),
-    ("lnk_device_metric", "device_hk", "hub_device", "device_hk"),
-    ("lnk_device_metric", "metric_type_hk", "hub_metric_type", "metric_type_hk"),
-    ("lnk_reading_alert", "reading_hk", "hub_reading", "reading_hk"),
-    ("lnk_reading_alert", "alert_hk", "hub_alert", "alert_hk"),
-    ("sat_reading_value", "reading_hk", "hub_reading", "reading_hk"),
-    ("sat_reading_context", "reading_hk", "hub_reading", "reading_hk"),
-    ("sat_alert_detail", "alert_hk", "hub_alert", "alert_hk"),
-    ("sat_patient_demographics", "patient_hk", "hub_patient", "patient_hk"),
-    ("sat_device_spec", "device_hk", "hub_device", "device_hk"),
-]
+    return DQ._union([DQ.accepted_values_summary(getattr(lh, m)(), m, r) for m, r in T.ACCEPTED.items()])
 
 
 def _rel_sql(child, col, parent, pcol):
@@ -542,26 +468,18 @@ def _rel_sql(child, col, parent, pcol):
             f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})")
 
 
-@register("dq_relationships", sql(_union_sql([_rel_sql(*r) for r in RELATIONSHIPS]),
-                                  *sorted({r[0] for r in RELATIONSHIPS} | {r[2] for r in RELATIONSHIPS})))
+@register("dq_relationships", sql(_union_sql([_rel_sql(*r) for r in T.RELATIONSHIPS]),
+                                  *sorted({r[0] for r in T.RELATIONSHIPS} | {r[2] for r in T.RELATIONSHIPS})))
 def _dq_relationships(lh):
     return DQ._union([DQ.relationship_summary(getattr(lh, c)(), c, col, getattr(lh, p)(), p, pc)
-                      for c, col, p, pc in RELATIONSHIPS])
-
-
-BETWEEN_RULES = {
-    "daily_vitals": {"completeness_pct": (0, 110)},
-    "risk_profile": {"age": (0, 130)},
-    "mart_patient_daily_features": {"age": (0, 130), "hr_mean": (20, 300), "spo2_mean": (70, 100),
-                                    "spo2_min": (70, 100)},
-}
+                      for c, col, p, pc in T.RELATIONSHIPS])
 
 
 @register("dq_between", sql(_union_sql(sum([
     _report_sql(m, "between", {c: f"{c} IS NOT NULL AND NOT ({c} BETWEEN {lo} AND {hi})" for c, (lo, hi) in r.items()})
-    for m, r in BETWEEN_RULES.items()], [])), *BETWEEN_RULES))
+    for m, r in T.BETWEEN.items()], [])), *T.BETWEEN))
 def _dq_between(lh):
-    return DQ._union([DQ.between_summary(getattr(lh, m)(), m, r) for m, r in BETWEEN_RULES.items()])
+    return DQ._union([DQ.between_summary(getattr(lh, m)(), m, r) for m, r in T.BETWEEN.items()])
 
 
 @register("dq_range", sql("SELECT 'assert_hr_in_range' AS test, reading_hk, patient_hk, measured_at, value, quality_flag, "
@@ -595,6 +513,9 @@ def _dq_source_freshness(lh):
     return DQ.source_freshness(lh.stg_readings(), AS_OF_TS)
 
 
+# the schedule's load dates, given apart from what landed: the feeds start a day later and end a day earlier
+FIRST_LOAD, LAST_LOAD = "2023-12-31", "2024-01-31"
+O.cte("load_days", [], f"SELECT CAST(g.d AS DATE) AS d FROM generate_series(DATE '{FIRST_LOAD}', DATE '{LAST_LOAD}', INTERVAL 1 DAY) g(d)")
 O.cte("found", ["raw_readings", "raw_alerts"], """
 SELECT DISTINCT CAST(measured_at AS DATE) AS d, 'readings' AS feed FROM raw_readings
 UNION SELECT DISTINCT CAST(triggered_at AS DATE), 'alerts' FROM raw_alerts""")
@@ -602,22 +523,48 @@ UNION SELECT DISTINCT CAST(triggered_at AS DATE), 'alerts' FROM raw_alerts""")
 
 @register("dq_feeds_present", sql(
     "SELECT c.d, c.feed, coalesce(f.present, false) AS present FROM "
-    "(SELECT CAST(g.d AS DATE) AS d, x.feed FROM (SELECT min(d) lo, max(d) hi FROM found) s, "
-    "generate_series(s.lo, s.hi, INTERVAL 1 DAY) g(d), (VALUES ('readings'), ('alerts')) x(feed)) c "
+    "(SELECT d, x.feed FROM load_days, (VALUES ('readings'), ('alerts')) x(feed)) c "
     "LEFT JOIN (SELECT DISTINCT d, feed, true AS present FROM found) f ON f.d = c.d AND f.feed = c.feed",
-    "found"))
+    "load_days", "found"))
 def _dq_feeds_present(lh):
-    return DQ.feeds_present({"readings": lh.raw_readings().select(F.to_date("measured_at").alias("d")),
-                             "alerts": lh.raw_alerts().select(F.to_date("triggered_at").alias("d"))})
-
-
+    lines = {"readings": lh.spark.read.text(lh.landing_readings()), "alerts": lh.spark.read.text(lh.landing_alerts())}
+    return DQ.feeds_present(DQ.expected_days(lh.spark, FIRST_LOAD, LAST_LOAD), lines)
 
 
-@register("dq_min_rows", sql("SELECT CAST(measured_at AS DATE) AS d, count(*) AS line_count, count(*) >= 100 AS passed "
-                             "FROM raw_readings GROUP BY 1", "raw_readings"))
+@register("dq_min_rows", sql("SELECT l.d, count(r.measured_at) AS line_count, count(r.measured_at) >= 100 AS passed FROM load_days l "
+                             "LEFT JOIN raw_readings r ON CAST(r.measured_at AS DATE) = l.d GROUP BY l.d", "load_days", "raw_readings"))
 def _dq_min_rows(lh):
-    lines = lh.spark.read.text(lh.landing_readings())
-    return DQ.min_rows_per_day(lines)
+    return DQ.min_rows_per_day(DQ.expected_days(lh.spark, FIRST_LOAD, LAST_LOAD), lh.spark.read.text(lh.landing_readings()))
+
+
+# Readings that break one rule of each kind in a known way: ids that end in 7 lose their value, in 5 get an
+# unknown quality flag, in 3 come twice, and the parent table lacks those that end in 9.
+O.cte("broken_readings", ["stg_readings"], """
+SELECT reading_id, CASE WHEN right(reading_id, 1) = '7' THEN NULL ELSE value END AS value,
+       CASE WHEN right(reading_id, 1) = '5' THEN 'unknown' ELSE quality_flag END AS quality_flag FROM stg_readings
+UNION ALL SELECT reading_id, value, quality_flag FROM stg_readings WHERE right(reading_id, 1) = '3'""")
+O.cte("some_readings", ["stg_readings"], "SELECT reading_id FROM stg_readings WHERE right(reading_id, 1) <> '9'")
+
+
+@register("dq_failing_rules", sql(_union_sql(
+    _report_sql("broken_readings", "not_null", {"value": "value IS NULL"}) + [_unique_sql("broken_readings", ["reading_id"])]
+    + _report_sql("broken_readings", "accepted_values",
+                  {"quality_flag": "quality_flag IS NOT NULL AND quality_flag NOT IN ('good', 'noisy', 'interpolated')"})
+    + [_rel_sql("broken_readings", "reading_id", "some_readings", "reading_id")]
+    + _report_sql("broken_readings", "between", {"value": "value IS NOT NULL AND NOT (value BETWEEN 20 AND 60)"})),
+    "broken_readings", "some_readings"))
+def _dq_failing_rules(lh):
+    r = lh.stg_readings().select("reading_id", "value", "quality_flag")
+    last = F.substring("reading_id", -1, 1)
+    broken = r.select("reading_id", F.when(last != "7", F.col("value")).alias("value"),
+                      F.when(last == "5", "unknown").otherwise(F.col("quality_flag")).alias("quality_flag"))
+    broken = broken.unionByName(r.where(last == "3"))
+    name = "broken_readings"
+    return DQ._union([
+        DQ.not_null_summary(broken, name, ["value"]), DQ.unique_summary(broken, name, ["reading_id"]),
+        DQ.accepted_values_summary(broken, name, {"quality_flag": ["good", "noisy", "interpolated"]}),
+        DQ.relationship_summary(broken, name, "reading_id", r.where(last != "9"), "some_readings", "reading_id"),
+        DQ.between_summary(broken, name, {"value": (20, 60)})])
 
 
 # =====================================================================================
@@ -715,7 +662,7 @@ _MODELS: dict = {}
 
 
 def _model(lh: Lakehouse):
-    k = (id(lh.spark), lh.sf_dir)
+    k = (lh.spark.sparkContext.applicationId, id(lh.spark), lh.sf_dir)
     if k not in _MODELS:
         split = ML.stratified_split(ML.model_dataset(lh.mart_patient_daily_features()))
         split = lh.materialize(split, "ml-split")
@@ -886,10 +833,8 @@ def _batch_daily_vitals(lh):
     return _two_batches(lh).read("daily_vitals")
 
 
-@register("stream_breach_alerts", sql("SELECT * FROM raw_alerts WHERE CAST(triggered_at AS DATE) < "
-                                      "(SELECT max(CAST(measured_at AS DATE)) FROM stg_readings)",
-                                      "raw_alerts", "stg_readings"))
+@register("stream_breach_alerts", O.table("raw_alerts"))
 def _stream_breach_alerts(lh):
     from pulsevault.streaming.alerts import stream_breach_alerts
-    # days are final once the watermark (max event time seen) passes their end: every day but the last
-    return stream_breach_alerts(lh.spark, lh.landing_readings(), lh.load_ts)
+    # the feed is complete up to the load time, so the flush closes the last day too
+    return stream_breach_alerts(lh.spark, lh.landing_readings(), lh.load_ts, complete_until=lh.load_ts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -71,9 +72,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared ``spark.checkpoint.dir``; set a local one only when unset (tests)."""
+    """Return the cluster's shared ``spark.checkpoint.dir``; set a local one only when unset, and only for a
+    local master (tests): a machine-local folder on a cluster would lose data."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pulsevault-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -90,7 +94,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/pulsevault-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -101,11 +105,11 @@ def ship_package(spark: SparkSession) -> None:
 
     import pulsevault
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(pulsevault.__file__))
     out_dir = tempfile.mkdtemp(prefix="pulsevault-pyfiles-")  # driver-side artifact; Spark ships it
     archive = shutil.make_archive(os.path.join(out_dir, "pulsevault"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="pulsevault")
     sc.addPyFile(archive)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

@@ -10,7 +10,10 @@ over micro-batches or ordered inside files, and equal to the batch operator for
 completed day. The per-key helper is vectorised pandas over one patient-day of one metric;
 the state store holds at most the open days (use the RocksDB provider at scale).
 
-A day whose end is still ahead of the watermark has not finished and emits nothing yet.
+A day whose end is still ahead of the watermark has not finished and emits nothing yet. Where the
+feed is known to be complete up to some time, ``stream_breach_alerts`` ends its run with a tick of a
+second input, the clock, which moves the watermark past that time and so closes the last days.
+Rows later than the watermark (two hours by default) are dropped, unlike in batch.
 """
 
 from __future__ import annotations
@@ -81,15 +84,24 @@ def _process(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.Dat
     return  # nothing is final until the day's end passes the watermark
 
 
-def breach_alert_stream(staged: DataFrame, watermark: str = "0 seconds") -> DataFrame:
-    """Staged reading stream -> alert stream (same columns as the batch alert feed)."""
+def breach_alert_stream(staged: DataFrame, watermark: str = "2 hours", clock: DataFrame | None = None) -> DataFrame:
+    """Staged reading stream -> alert stream (same columns as the batch alert feed). ``clock`` (column ``at``,
+    ISO text) only moves the watermark: its rows belong to no metric and emit nothing."""
     metrics = sorted(_BY_METRIC)
     day_end = F.date_add(F.to_date("measured_at"), 1).cast("timestamp_ntz")
     s = staged.where(F.col("metric_code").isin(metrics)).select(
         "patient_id", "metric_code", F.to_date("measured_at").alias("report_date"), "reading_id", "device_serial",
         F.col("value").cast("double").alias("v"), epoch_micros("measured_at").alias("ts_us"),
-        event_time("measured_at").alias("event_time"), (epoch_micros(day_end) / 1000).cast("long").alias("day_end_ms"),
-    ).withWatermark("event_time", watermark)
+        event_time("measured_at").alias("event_time"), (epoch_micros(day_end) / 1000).cast("long").alias("day_end_ms"))
+    if clock is not None:
+        at = F.col("at").cast("timestamp_ntz")
+        tick = clock.select(at.alias("measured_at")).select(
+            F.lit("").alias("patient_id"), F.lit("").alias("metric_code"), F.to_date("measured_at").alias("report_date"),
+            F.lit("").alias("reading_id"), F.lit("").alias("device_serial"), F.lit(0.0).alias("v"),
+            epoch_micros("measured_at").alias("ts_us"), event_time("measured_at").alias("event_time"),
+            (epoch_micros("measured_at") / 1000).cast("long").alias("day_end_ms"))
+        s = s.unionByName(tick)
+    s = s.withWatermark("event_time", watermark)
     windows = s.groupBy("patient_id", "metric_code", "report_date").applyInPandasWithState(
         _process, WINDOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     first_ts = ntz_from_epoch_micros("first_us")
@@ -104,12 +116,28 @@ def breach_alert_stream(staged: DataFrame, watermark: str = "0 seconds") -> Data
 
 
 def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the alert stream over all available landing files; returns the emitted alerts."""
+                         max_files_per_trigger: int | None = None, complete_until: str | None = None) -> DataFrame:
+    """Run the alert stream over all available landing files; returns the emitted alerts. With
+    ``complete_until`` the run ends by closing every day that is over at that time."""
     ship_package(spark)
-    alerts = breach_alert_stream(stg_readings(readings_stream(spark, landing_root, max_files_per_trigger), load_ts))
+    ticks = scratch_path(spark, "stream-clock")
+
+    def tick(at: str) -> None:
+        spark.createDataFrame([(at,)], "at string").coalesce(1).write.mode("append").json(ticks)
+
+    tick("1970-01-02T00:00:00")
+    clock = spark.readStream.schema("at string").json(ticks)
+    alerts = breach_alert_stream(stg_readings(readings_stream(spark, landing_root, max_files_per_trigger), load_ts), clock=clock)
     out, ckpt = scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-alerts-ckpt")
-    q = (alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+
+    def run() -> None:
+        (alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start()).awaitTermination()
+
+    run()
+    if complete_until is not None:
+        # beyond the watermark's delay, so that the watermark itself passes the given time
+        late = spark.sql(f"SELECT date_format(TIMESTAMP_NTZ '{complete_until}' + INTERVAL 1 DAY, \"yyyy-MM-dd'T'HH:mm:ss\") AS at")
+        tick(late.first()["at"])
+        run()
     return spark.read.parquet(out)

@@ -1,6 +1,7 @@
 """Plan-shape checks: the properties that matter at scale, asserted on physical plans."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsevault.plans.lakehouse import Lakehouse
 
@@ -53,3 +54,15 @@ def test_dense_index_has_no_single_partition_data_window(lh, spark):
     final = _plan(df).split("== Initial Plan ==")[0]
     # the only single-partition step is the per-partition offsets table (one row per partition)
     assert final.count("SinglePartition") <= 1
+
+
+@pytest.mark.parametrize("partitions", [4, 8, 200])
+def test_dense_index_of_wide_rows_at_any_partitioning(spark, partitions):
+    """Rows beyond the range sampler's reach, with a payload, at several partition counts."""
+    from pulsevault.operators.patients import dense_index
+    n = 15_000
+    keys = spark.range(n).select(F.format_string("p%06d", (F.col("id") * 7919) % n).alias("k"), "id")
+    wide = keys.select("k", *[F.md5(F.concat("k", F.lit(str(i)))).alias(f"c{i}") for i in range(12)]).repartition(7)
+    got = dense_index(wide, "k", "idx", partitions)
+    bad = got.where(F.col("idx") != F.substring("k", 2, 6).cast("long")).count()
+    assert (got.count(), got.select("idx").distinct().count(), bad) == (n, n, 0)

@@ -39,10 +39,18 @@ def test_range_and_freshness(spark):
 
 
 def test_feeds_and_min_rows(spark):
-    r = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 3),)], "d date")
-    a = spark.createDataFrame([(dt.date(2024, 1, 1),)], "d date")
-    got = {(x.d.day, x.feed): x.present for x in DQ.feeds_present({"readings": r, "alerts": a}).collect()}
-    assert len(got) == 6 and got[(2, "readings")] is False and got[(1, "alerts")] is True
-    lines = spark.createDataFrame([("{}", dt.date(2024, 1, 1))] * 3 + [("  ", dt.date(2024, 1, 1))], "value string, d date")
-    row = DQ.min_rows_per_day(lines, min_rows=3).first()
-    assert (row.line_count, row.passed) == (3, True)
+    """The first and the last expected day are missing, one day is blank."""
+    day = lambda k: dt.date(2024, 1, k)
+    readings = spark.createDataFrame([("{}", day(2))] * 3 + [("  ", day(2)), ("", day(3)), (" ", day(3)), ("{}", day(4))], "value string, d date")
+    alerts = spark.createDataFrame([("{}", day(2))], "value string, d date")
+    expected = DQ.expected_days(spark, "2024-01-01", "2024-01-05")
+    got = {(x.d.day, x.feed): x.present for x in DQ.feeds_present(expected, {"readings": readings, "alerts": alerts}).collect()}
+    assert {k for k, v in got.items() if v} == {(2, "readings"), (4, "readings"), (2, "alerts")} and len(got) == 10
+    rows = {r.d.day: (r.line_count, r.passed) for r in DQ.min_rows_per_day(expected, readings, min_rows=3).collect()}
+    assert rows == {1: (0, False), 2: (3, True), 3: (0, False), 4: (1, False), 5: (0, False)}
+
+
+def test_declared_rules_are_complete():
+    from pulsevault.plans import data_tests as T
+    count = lambda rules: sum(map(len, rules.values()))
+    assert (count(T.NOT_NULL), len(T.UNIQUE), count(T.ACCEPTED), len(T.RELATIONSHIPS), count(T.BETWEEN)) == (154, 17, 15, 11, 6)

@@ -25,11 +25,21 @@ def test_state_helper_golden_breach_windows():
     assert rows[("warning", "below")].first_reading_id == "r6" and rows[("warning", "below")].worst_value == 38.0
 
 
-def test_stream_equals_batch_on_completed_days(spark):
+def test_stream_equals_batch_on_all_days(spark):
     qs = E.queries()
     stream = qs["stream_breach_alerts"](spark, SF_SMALL)
-    batch = qs["breach_alerts"](spark, SF_SMALL)
+    batch = qs["breach_alerts"](spark, SF_SMALL).select(*stream.columns)
     last = qs["stg_readings"](spark, SF_SMALL).agg(F.max(F.to_date("measured_at"))).first()[0]
-    done = batch.where(F.to_date("triggered_at") < F.lit(last)).select(*stream.columns)
-    assert stream.count() == done.count() > 0
-    assert stream.exceptAll(done).count() == 0
+    assert batch.where(F.to_date("triggered_at") == F.lit(last)).count() > 0
+    assert stream.count() == batch.count()
+    assert stream.exceptAll(batch).count() == 0
+
+
+def test_without_the_flush_the_last_day_stays_open(spark):
+    from pulsevault.plans.lakehouse import lakehouse
+    from pulsevault.streaming.alerts import stream_breach_alerts
+    lh = lakehouse(spark, SF_SMALL)
+    got = stream_breach_alerts(spark, lh.landing_readings(), lh.load_ts)
+    last = lh.stg_readings().agg(F.max(F.to_date("measured_at"))).first()[0]
+    done = lh.raw_alerts().where(F.to_date("triggered_at") < F.lit(last)).select(*got.columns)
+    assert got.count() == done.count() and got.exceptAll(done).count() == 0
