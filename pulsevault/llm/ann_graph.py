@@ -68,8 +68,8 @@ def _unit_half(v: pa.Array) -> pa.Array:
     return _unit(v, np.float16)
 
 
-def nodes_of(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
-    """Stored nodes (block, node, unit, half, vec), stored members (node, vec_id: the few smallest of each node),
+def nodes_of(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Stored nodes (node, unit, half, vec), stored members (node, vec_id: the few smallest of each node),
     and the number of nodes. A node is named by its smallest id."""
     unit = F.arrow_udf(_unit_single, BinaryType())
     half = F.arrow_udf(_unit_half, BinaryType())
@@ -78,8 +78,7 @@ def nodes_of(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame,
     members = stored(few.withColumn("node", F.min("vec_id").over(same)), "ann-members")
     first = members.filter("rank = 1")
     n = first.count()
-    blocks = max(1, -(-n // block))
-    nodes = first.select(_block("node", blocks), "node", unit("vec").alias("unit"), half("vec").alias("half"), "vec")
+    nodes = first.select("node", unit("vec").alias("unit"), half("vec").alias("half"), "vec")
     return stored(nodes, "ann-nodes"), members.select("node", "vec_id"), n
 
 
@@ -284,7 +283,7 @@ def neighbour_graph(nodes: DataFrame, n: int, degree: int = DEGREE, rounds: int
                     block: int = BLOCK) -> DataFrame:
     """Stored graph (block, node, half, ids, sims, fresh): every node's ``degree`` nearest nodes found."""
     blocks = max(1, -(-n // block))
-    empty = nodes.select("block", "node", "half", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("sims"))
+    empty = nodes.select(_block("node", blocks), "node", "half", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("sims"))
     graph = stored(merged(empty, first_offers(nodes, n, degree, STARTS, GROUP), blocks, degree), "ann-graph")
     for turn in range(rounds):
         graph = stored(merged(graph, round_offers(graph, blocks, degree, turn), blocks, degree), "ann-graph")
