@@ -48,6 +48,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _END_TOKEN = np.uint64(0x5BD1E995A2C79F13)
 _SHARED = 3
+#: The keys of a block come sorted; stored as differences they take half the space.
+_DELTAS = {"parquet.writer.version": "v2"}
 
 
 def _mask(order: int) -> np.uint64:
@@ -160,6 +162,41 @@ def log_probabilities(tries: list[Trie], asked: np.ndarray) -> np.ndarray:
     return out
 
 
+class Lookup:
+    """Values of a fixed set of 64-bit keys: open addressing, filled and read by whole arrays."""
+
+    _MIX = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits)
+        used = np.zeros(1 << bits, bool)
+        left, at = np.arange(len(keys)), self._home(keys)
+        while len(left):
+            _, first = np.unique(at, return_index=True)
+            first = first[~used[at[first]]]  # of the keys that want a free place, one gets it
+            used[at[first]] = True
+            self.keys[at[first]], self.values[at[first]] = keys[left[first]], values[left[first]]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            left, at = left[rest], (at[rest] + 1) & (len(used) - 1)
+        self.used = used
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * self._MIX) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self._home(keys)
+        off = np.flatnonzero((self.keys[at] != keys) | ~self.used[at])
+        while len(off):
+            if not self.used[at[off]].all():
+                raise RuntimeError("a text holds a key that its block did not count: the input changed between two reads")
+            at[off] = (at[off] + 1) & (len(self.used) - 1)
+            off = off[(self.keys[at[off]] != keys[off]) | ~self.used[at[off]]]
+        return self.values[at]
+
+
 def _block() -> "F.Column":
     """A number for the block that a row of an input file is in; rows from elsewhere are dealt by their id."""
     file = F.input_file_name()
@@ -242,7 +279,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     executors_ready(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("t"))
     rows = rows.select(_block().alias("block"), (crc_mod(F.col("doc_id"), folds) != held_out).alias("train"), "doc_id", "t")
-    counts = stored(block_counts(rows.select("block", "train", "t"), order), "ppm-block-counts")
+    counts = stored(block_counts(rows.select("block", "train", "t"), order), "ppm-block-counts", **_DELTAS)
     total = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
     pairs = stored(total.filter("kind = 0").select("key", "n"), "ppm-pairs")
     tokens = stored(total.filter("kind = 1").select("key", "n"), "ppm-tokens")
@@ -251,10 +288,11 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     values = pair_log_probabilities(pairs, order).select(F.lit(0).alias("kind"), "key", "value")
     values = values.unionByName(tokens.select(F.lit(1).alias("kind"), "key", F.col("n").cast("double").alias("value")))
     lookups = counts.select("block", "kind", "key").join(stored(values, "ppm-values"), ["kind", "key"])
-    none = lambda kind: F.lit(None).cast(kind)
     id_kind = rows.schema["doc_id"].dataType.simpleString()
-    every = lookups.select("block", "kind", "key", "value", none(id_kind).alias("doc_id"), none("string").alias("t"), none("boolean").alias("train"))
-    every = every.unionByName(rows.select("block", F.lit(2).alias("kind"), none("long").alias("key"), none("double").alias("value"), "doc_id", "t", "train"))
+    doc = f"struct<doc_id:{id_kind},t:string,train:boolean>"
+    every = lookups.select("block", "kind", "key", "value", F.lit(None).cast(doc).alias("doc"))
+    every = every.unionByName(rows.select("block", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("key"), F.lit(0.0).alias("value"),
+                                          F.struct("doc_id", "t", "train").cast(doc).alias("doc")))
     every = every.repartition("block").sortWithinPartitions("block", "kind")
     floor = n_train + SMOOTH * (v_train + 1)
 
@@ -274,30 +312,20 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                                         part.column(3).to_numpy(zero_copy_only=False).astype(float)))
                     continue
                 if tables is None:
-                    tables = []
-                    for k in (0, 1):
-                        keys = np.concatenate([x for x, _ in parts[k]])
-                        by = np.argsort(keys)
-                        tables.append((keys[by], np.concatenate([x for _, x in parts[k]])[by]))
+                    tables = [Lookup(*map(np.concatenate, zip(*parts[k], strict=True))) for k in (0, 1)]
                     parts = {0: [], 1: []}
-                yield from scores(part, tables)
-
-    def looked_up(table, keys):
-        at = np.searchsorted(table[0], keys)
-        if len(keys) and (at[-1] >= len(table[0]) or not (table[0][np.minimum(at, len(table[0]) - 1)] == keys).all()):
-            raise RuntimeError("a text holds a key that its block did not count: the input changed between two reads")
-        return table[1][at]
+                yield from scores(pa.RecordBatch.from_arrays(part.column(4).flatten(), names=["doc_id", "t", "train"]), tables)
 
     def scores(part, tables):
-        for b, texts in text_chunks([part], 5):
+        for b, texts in text_chunks([part], 1):
             pairs_, edges = packed(texts, order)
-            score = np.add.reduceat(looked_up(tables[0], pairs_), edges[:-1])
+            score = np.add.reduceat(tables[0](pairs_), edges[:-1])
             tokens_, edges = text_tokens(texts)
-            count = looked_up(tables[1], tokens_)
+            count = tables[1](tokens_)
             base = np.add.reduceat(np.log10((count + SMOOTH) / floor), edges[:-1])
             known = np.add.reduceat((count > 0).astype(np.int64), edges[:-1])
             yield pa.RecordBatch.from_arrays(
-                [b.column(4), pa.array(~b.column(6).to_numpy(zero_copy_only=False).astype(bool)), pa.array(np.diff(edges)), pa.array(known),
+                [b.column(0), pa.array(~b.column(2).to_numpy(zero_copy_only=False).astype(bool)), pa.array(np.diff(edges)), pa.array(known),
                  pa.array(np.full(len(texts), n_train, np.int64)), pa.array(base), pa.array(score)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

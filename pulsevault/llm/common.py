@@ -17,12 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared checkpoint folder once and read it back, so that a lost
-    executor costs the tasks that it held and not everything upstream."""
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder once (with these writer options) and read it
+    back, so that a lost executor costs the tasks that it held and not everything upstream."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

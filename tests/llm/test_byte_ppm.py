@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from pulsevault.llm.byte_ppm import MARK, ladder, log_probabilities, packed, scored, text_tokens
+from pulsevault.llm.byte_ppm import MARK, Lookup, ladder, log_probabilities, packed, scored, text_tokens
 
 SCHEMA = "doc_id long, text string, t string, score double, block int"
 
@@ -104,3 +104,13 @@ def test_text_ends_do_not_touch():
     assert [both[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)] == alone
     tokens, edges = text_tokens([b"a b", b"", b" c"])
     assert edges.tolist() == [0, 3, 4, 6]
+
+
+def test_lookups_find_every_key_and_no_other():
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.concatenate((rng.integers(0, 2**63, 5000, dtype=np.uint64), np.arange(300, dtype=np.uint64))))
+    table = Lookup(keys, np.arange(len(keys), dtype=float))
+    asked = rng.choice(keys, 20_000)
+    assert np.array_equal(table(asked), np.searchsorted(keys, asked))
+    with pytest.raises(RuntimeError):
+        Lookup(keys[1:], np.zeros(len(keys) - 1))(keys[:1])
