@@ -66,6 +66,7 @@ def in_list(values) -> str:
 
 EXPECTED_CASE = "CASE metric_code " + " ".join(
     f"WHEN '{m}' THEN {n}" for m, n in EXPECTED_PER_DAY.items()) + " ELSE reading_count END"
+SLEEP_UNIT = next(f"'{m[1]}'" if m[1] is not None else "NULL" for m in METRICS if m[0] == "sleep_stage")
 UNIT_BY_EVENT = [(e, dict((m[0], m[1]) for m in METRICS)[mc]) for e, mc in EVENT_TO_METRIC]
 THRESHOLD_ROWS = ", ".join(f"('{m}', '{s}', '{d}', CAST({v} AS DOUBLE))" for m, s, d, v, _ in THRESHOLDS)
 
@@ -92,11 +93,11 @@ def cte(name: str, deps: list[str], body: str) -> None:
 # -- raw feeds (the adapters) -------------------------------------------------
 cte("raw_readings", [], f"""
 SELECT CAST(event_id AS VARCHAR) AS reading_id,
-       CAST(user_id AS VARCHAR) AS patient_id,
-       CASE WHEN event_type = 'purchase' THEN printf('CGM-%04d', user_id) ELSE printf('GRM-W%04d', user_id) END AS device_serial,
-       {case_map('event_type', EVENT_TO_METRIC)} AS metric_code,
+       CAST(user_id // 10 + 1 AS VARCHAR) AS patient_id,
+       CASE WHEN event_type = 'purchase' THEN printf('CGM-%04d', user_id // 10 + 1) ELSE printf('GRM-W%04d', user_id // 10 + 1) END AS device_serial,
+       CASE WHEN event_type = 'error' AND event_id % 2 = 1 THEN 'sleep_stage' ELSE {case_map('event_type', EVENT_TO_METRIC)} END AS metric_code,
        CAST(value AS DECIMAL(10,4)) AS value,
-       {case_map('event_type', UNIT_BY_EVENT)} AS unit,
+       CASE WHEN event_type = 'error' AND event_id % 2 = 1 THEN {SLEEP_UNIT} ELSE {case_map('event_type', UNIT_BY_EVENT)} END AS unit,
        CASE WHEN event_id % 50 = 0 THEN 'missing' WHEN event_id % 50 = 1 THEN 'interpolated'
             WHEN event_id % 50 = 2 THEN 'noisy' ELSE 'good' END AS quality_flag,
        CAST(ts AS TIMESTAMP) AS measured_at,

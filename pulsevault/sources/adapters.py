@@ -28,6 +28,8 @@ EVENT_TO_METRIC = [
     ("signup", "skin_temperature"),
     ("purchase", "blood_glucose"),
 ]
+SLEEP_EVENT = "error"                                   # odd ids of this type are sleep stages
+USERS_PER_PATIENT = 10                                  # so that a patient-day holds several readings per metric
 ACTIVITIES = ["walking", "resting", "running"]          # by event_id % 3
 LOCATIONS = ["home", "outdoor", "gym", "office"]        # by event_id % 4
 CONDITION_CODES = [                                     # by o_orderkey % 8
@@ -43,14 +45,14 @@ CONDITION_CODES = [                                     # by o_orderkey % 8
 BIRTH_EPOCH = "1940-01-01"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a lazy scan. The handle (schema and file listing, like a catalog entry)
     is kept per session and path; every query still scans the files."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
@@ -67,9 +69,11 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     """events -> raw reading feed (typed measured_at; files carry it as ISO text)."""
     eid = F.col("event_id")
     metric = _case(F.col("event_type"), EVENT_TO_METRIC)
+    metric = F.when((F.col("event_type") == SLEEP_EVENT) & (eid % 2 == 1), "sleep_stage").otherwise(metric)
     unit = _case(metric, [(m[0], m[1]) for m in METRICS])
-    device = F.when(F.col("event_type") == "purchase", F.format_string(CGM_SERIAL_FORMAT, F.col("user_id"))) \
-        .otherwise(F.format_string(WATCH_SERIAL_FORMAT, F.col("user_id")))
+    patient = (F.floor(F.col("user_id") / USERS_PER_PATIENT) + 1).cast("long")
+    device = F.when(F.col("event_type") == "purchase", F.format_string(CGM_SERIAL_FORMAT, patient)) \
+        .otherwise(F.format_string(WATCH_SERIAL_FORMAT, patient))
     quality = F.when(eid % 50 == 0, "missing").when(eid % 50 == 1, "interpolated") \
         .when(eid % 50 == 2, "noisy").otherwise("good")
     activity = _case(eid % 3, list(enumerate(ACTIVITIES)))
@@ -78,7 +82,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         F.concat(F.lit('{"activity":"'), activity, F.lit('","location_type":"'), location, F.lit('"}')))
     return events.select(
         eid.cast("string").alias("reading_id"),
-        F.col("user_id").cast("string").alias("patient_id"),
+        patient.cast("string").alias("patient_id"),
         device.alias("device_serial"),
         metric.alias("metric_code"),
         F.col("value").cast("decimal(10,4)").alias("value"),
