@@ -132,13 +132,6 @@ def score_summary(days: DataFrame, as_of) -> DataFrame:
                     days_between("__last_anomaly", as_of).alias("days_since_last_anomaly"))
 
 
-def scored_days_from_tables(risk: DataFrame, scores: DataFrame) -> DataFrame:
-    """Risk-profile rows with their score columns, from the two separate tables."""
-    return risk.select("patient_hk", "report_date", "risk_tier").join(
-        scores.select("patient_hk", "report_date", "composite_anomaly_score", "anomaly_flag"),
-        ["patient_hk", "report_date"])
-
-
 def anomaly_trend(scores: DataFrame, as_of) -> DataFrame:
     """AGG8/CASE3: last-3-days vs previous-3-days average score for patients scored in the last 6 days."""
     d = F.col("report_date")
@@ -168,11 +161,16 @@ def days_since_anomaly(scores: DataFrame, as_of) -> DataFrame:
 
 def active_alert_counts(sat_alert: DataFrame, hub_alert: DataFrame, lnk_reading_alert: DataFrame,
                         sat_reading_value: DataFrame) -> DataFrame:
-    """JN4/AGG9: unacknowledged alerts per patient through alert -> hub -> link -> reading."""
+    """JN4/AGG9: unacknowledged alerts per patient through alert -> hub -> link -> reading. An alert names a
+    reading of its own metric, no earlier than the day it was triggered, so the readings are cut to the
+    alerts' metrics (a broadcast of the metric dimension at most) and days before they are shuffled."""
     ad = sat_alert.where(~F.col("acknowledged")).select("alert_hk")
     ha = hub_alert.select("alert_hk")
     lra = lnk_reading_alert.select("alert_hk", "reading_hk")
-    rv = sat_reading_value.select("reading_hk", "patient_hk")
+    first_day = sat_alert.agg(F.min(F.to_date("triggered_at")).cast("timestamp_ntz")).scalar()
+    metrics = F.broadcast(sat_alert.select("metric_code").distinct())
+    rv = sat_reading_value.where(F.col("measured_at") >= first_day).join(metrics, "metric_code", "left_semi") \
+        .select("reading_hk", "patient_hk")
     return (ad.join(ha, "alert_hk").join(lra, "alert_hk").join(rv, "reading_hk")
             .groupBy("patient_hk").agg(F.count(F.lit(1)).alias("active_alerts")))
 
@@ -183,7 +181,7 @@ def anomaly_dashboard(sat_demo: DataFrame, hub_patient: DataFrame, days: DataFra
     """MT2: one row per scored patient with current status.
 
     ``days``: scored patient-days with ``risk_tier``, ``composite_anomaly_score`` and
-    ``anomaly_flag`` (the fused timeline, or ``scored_days_from_tables(risk, scores)``).
+    ``anomaly_flag`` (the fused timeline).
     """
     from pulsevault.operators.vault import latest_version
     as_of_c = F.lit(as_of).cast("date")

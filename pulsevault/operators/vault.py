@@ -59,7 +59,7 @@ def insert_new_keys(new: DataFrame, existing: DataFrame | None, keys: list[str])
     """Keyed insert: rows of ``new`` whose key is not yet in ``existing``."""
     if existing is None:
         return new
-    return new.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return new.join(existing.select(*keys), keys, "left_anti")
 
 
 def watermark_filter(stage: DataFrame, existing: DataFrame | None, col: str = "load_datetime") -> DataFrame:

@@ -54,7 +54,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 def append_new(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """SNK2: insert-only append — rows whose key is not yet in the target, then ``mode('append')``."""
     existing = read_if_exists(spark, path)
-    new = df if existing is None else df.join(existing.select(*keys).distinct(), keys, "left_anti")
+    new = df if existing is None else df.join(existing.select(*keys), keys, "left_anti")
     new.write.mode("append").parquet(path)
     return spark.read.parquet(path)
 

@@ -26,3 +26,21 @@ def test_incremental_batches_equal_full_build(spark):
     assert wh.read("hub_reading").count() == n_hub
     assert wh.read("daily_vitals").count() == n_daily
     assert wh.read("hub_alert").select("alert_hk").distinct().count() == wh.read("hub_alert").count()
+    # the history scan of a batch is cut to its days
+    plan = wh.read("sat_reading_value", [F.lit("2024-01-16").cast("date")])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [(day" in plan
+
+
+def test_late_reading_for_an_old_day_is_taken_in(spark):
+    lh = Lakehouse(spark, SF_SMALL, persist_layers=())
+    wh = Warehouse(spark, scratch_path(spark, "t-late"))
+    day, late = F.to_date("measured_at"), F.col("reading_id").cast("long") % 97 == 5
+    old = day <= F.lit("2024-01-10").cast("date")
+    raw = lh.raw_readings()
+    run_daily_batch(spark, wh, raw.where(old & ~late), lh.raw_patients(), lh.raw_conditions(), "2024-01-16 00:00:00")
+    run_daily_batch(spark, wh, raw.where(~old | late), lh.raw_patients(), lh.raw_conditions(), lh.load_ts)
+    assert raw.where(old & late).count() > 0
+    stats = ["patient_hk", "metric_code", "report_date", "reading_count", "value_mean", "value_min", "value_max"]
+    got, want = wh.read("daily_vitals").select(*stats), lh.daily_vitals().select(*stats)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert wh.read("sat_reading_value").count() == lh.stg_readings().count() == wh.read("hub_reading").count()
