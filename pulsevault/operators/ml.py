@@ -37,16 +37,19 @@ def profile(mart: DataFrame) -> DataFrame:
 
 
 def describe(mart: DataFrame, columns: list[str]) -> DataFrame:
-    """ML1 describe(): count/mean/std/min/max per numeric column in one pass, long format."""
+    """ML1 describe(): count/mean/std/min/quartiles/max per numeric column in one pass, long format. The
+    quartiles are exact (linear interpolation)."""
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
+                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q")]
     row = mart.agg(*aggs)
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"))
+                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("q25"),
+                 F.col(f"{c}__q")[1].alias("q50"), F.col(f"{c}__q")[2].alias("q75"), F.col(f"{c}__max").alias("max"))
         for c in columns])).alias("r")).select("r.*")
 
 
@@ -138,7 +141,7 @@ def train_forest(split_df: DataFrame, features: list[str] = MODEL_FEATURES, tree
     from pyspark.ml.feature import VectorAssembler
     asm = VectorAssembler(inputCols=features, outputCol="features")
     train = split_df.where(F.col("split") == "train")
-    if train.isEmpty():  # no complete cases (tiny inputs): no model, empty outputs downstream
+    if train.isEmpty():  # no complete cases (tiny inputs): no model, null predictions downstream
         return asm, None
     train = train.join(F.broadcast(class_weights(train)), "label")
     rf = RandomForestClassifier(numTrees=trees, seed=seed, weightCol="weight", labelCol="label",
@@ -160,7 +163,8 @@ def predict(asm, model, split_df: DataFrame) -> DataFrame:
 
 
 def classification_metrics(pred: DataFrame) -> DataFrame:
-    """ML9: per-class precision/recall/F1/support, accuracy and ROC-AUC, computed by aggregates."""
+    """ML9: per-class precision/recall/F1/support, their macro and support-weighted averages, accuracy and
+    ROC-AUC, computed by aggregates."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     per = []
     for cls in (0, 1):
@@ -177,6 +181,10 @@ def classification_metrics(pred: DataFrame) -> DataFrame:
         F.when((F.col("precision") + F.col("recall")) > 0,
                2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
         .alias("f1"), "support")
+    means = ["precision", "recall", "f1"]
+    weighted = [F.when(F.sum("support") > 0, F.sum(F.col(c) * F.col("support")) / F.sum("support")).otherwise(0.0).alias(c) for c in means]
+    averages = out.agg(F.lit("macro avg").alias("metric_group"), *[F.avg(c).alias(c) for c in means], F.sum("support").alias("support")) \
+        .unionByName(out.agg(F.lit("weighted avg").alias("metric_group"), *weighted, F.sum("support").alias("support")))
     acc = pred.agg((F.count_if(F.col("prediction") == F.col("label")) / F.count(F.lit(1))).alias("precision"),
                    F.count(F.lit(1)).alias("support")).select(
         F.lit("accuracy").alias("metric_group"), "precision", F.lit(None).cast("double").alias("recall"),
@@ -187,7 +195,7 @@ def classification_metrics(pred: DataFrame) -> DataFrame:
     spark = pred.sparkSession
     auc_row = spark.createDataFrame([("roc_auc", None if auc is None else float(auc), None, None, None)],
                                     "metric_group string, precision double, recall double, f1 double, support bigint")
-    return out.unionByName(acc).unionByName(auc_row)
+    return out.unionByName(averages).unionByName(acc).unionByName(auc_row)
 
 
 def feature_importances(model, features: list[str] = MODEL_FEATURES, top: int = 15) -> DataFrame:

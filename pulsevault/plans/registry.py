@@ -586,11 +586,13 @@ _DESCRIBE_COLS = EDA_CORR_FEATURES
 
 @register("eda_describe", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(CAST({c} AS DOUBLE)) AS n, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
-    f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max "
+    f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, min(CAST({c} AS DOUBLE)) AS min, "
+    + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), 0.{q}), 6) AS q{q}" for q in (25, 50, 75)) + f", max(CAST({c} AS DOUBLE)) AS max "
     f"FROM {MART}" for c in _DESCRIBE_COLS), MART))
 def _eda_describe(lh):
     d = ML.describe(lh.mart_patient_daily_features(), _DESCRIBE_COLS)
-    return d.select("column_name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max")
+    return d.select("column_name", "n", *[F.round(c, 6).alias(c) for c in ("mean", "std")], "min",
+                    *[F.round(c, 6).alias(c) for c in ("q25", "q50", "q75")], "max")
 
 
 @register("eda_label_counts", sql(f"SELECT anomaly_next_24h, count(*) AS n FROM {MART} GROUP BY 1", MART))
@@ -683,6 +685,31 @@ def _ml_metrics(lh):
     return ML.classification_metrics(ML.predict(asm, model, split))
 
 
+O.cte("ml_test", ["ml_dataset"], "SELECT patient_hk, report_date, label FROM ml_dataset WHERE CAST(('0x' || substr(md5(concat_ws('|', "
+      "patient_hk, CAST(report_date AS VARCHAR), CAST(label AS VARCHAR))), 1, 8)) AS BIGINT) % 100 >= 80")
+
+
+# what SQL can state of the model's outputs: which rows are predicted, the support of each class, the feature names
+@register("ml_predicted_rows", O.table("ml_test"))
+def _ml_predicted_rows(lh):
+    split, asm, model = _model(lh)
+    return ML.predict(asm, model, split).select("patient_hk", "report_date", "label")
+
+
+@register("ml_support", sql("SELECT CAST(c.label AS VARCHAR) AS metric_group, count(t.label) AS support FROM (VALUES (0), (1)) c(label) "
+                            "LEFT JOIN ml_test t ON t.label = c.label GROUP BY c.label", "ml_test"))
+def _ml_support(lh):
+    split, asm, model = _model(lh)
+    return ML.classification_metrics(ML.predict(asm, model, split)).where(F.col("metric_group").isin("0", "1")).select("metric_group", "support")
+
+
+@register("ml_features", sql("SELECT f.feature FROM (VALUES " + ", ".join(f"('{f}')" for f in MODEL_FEATURES) + ") f(feature) "
+                             "WHERE EXISTS (SELECT 1 FROM ml_dataset)", "ml_dataset"))
+def _ml_features(lh):
+    _, _, model = _model(lh)
+    return ML.feature_importances(model, top=len(MODEL_FEATURES)).select("feature")
+
+
 @register("ml_importance")
 def _ml_importance(lh):
     _, _, model = _model(lh)
