@@ -46,6 +46,14 @@ def small_or(df: DataFrame, max_rows: int) -> tuple[bool, DataFrame]:
     return small, F.broadcast(df) if small else df
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until it is no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_of(df: DataFrame, text_col: str = "text") -> Column:
     """The text, null as the empty string."""
     return F.coalesce(df[text_col].cast("string"), F.lit(""))

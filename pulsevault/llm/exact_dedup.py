@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsevault.llm.common import small_or, stored, text_of
+from pulsevault.llm.common import small_or, stored, text_of, unused
 
 PREFIX_CHARS = 128
 #: Candidate keys that are broadcast at most (16 bytes each).
@@ -80,8 +80,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if repeated.isEmpty():
         return kept
     _, repeated = small_or(repeated, BROADCAST_KEYS)
-    one = docs.join(repeated, match(repeated), "left_semi").withColumn("__sha", sha).dropDuplicates([id_col, "__sha"])
-    return kept.unionByName(one.drop("__sha"))
+    own = unused(docs, "__own_sha")
+    one = docs.join(repeated, match(repeated), "left_semi").withColumn(own, sha).dropDuplicates([id_col, own])
+    return kept.unionByName(one.drop(own))
 
 
 #: DuckDB twin of ``op9_exact_dedup``.

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsevault.llm.common import crc_mod, executors_ready, text_chunks, text_of
+from pulsevault.llm.common import crc_mod, executors_ready, text_chunks, text_of, unused
 from pulsevault.llm.words import joined, mixed, word_hashes
 
 FIT_DOCS = 4_000
@@ -254,4 +254,5 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    label_col: str = "quality", threshold: float = 0.5, **params) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with their columns."""
     field = fitted(docs, labels, id_col, text_col, label_col, **params)
-    return with_score(docs, field, text_col).filter(F.col("__score") >= threshold).drop("__score")
+    name = unused(docs, "__score")
+    return with_score(docs, field, text_col, name).filter(F.col(name) >= threshold).drop(name)

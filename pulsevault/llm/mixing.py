@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsevault.llm.common import small_or, stored, text_of, words_in
+from pulsevault.llm.common import small_or, stored, text_of, unused, words_in
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -136,16 +136,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     **params) -> DataFrame:
     """The mix itself: the rows of ``docs`` with their columns, each as often as the mix takes it."""
     decided = mix(docs, id_col, text_col, source_col, **params)
-    decided = stored(decided.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("tie").alias("__tie"))
-                     .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")), "mix-decisions")
-    rows = docs.withColumn("__text", F.md5(text_of(docs, text_col).cast("binary")))
-    if not decided.filter("__rows > 1").isEmpty():  # one of a set of repeated rows stands for all
-        rows = rows.dropDuplicates([id_col, source_col, "__text"])
-    decided = decided.filter("__copies > 0")
-    same = (rows[id_col].eqNullSafe(decided["__id"]) & rows[source_col].cast("string").eqNullSafe(decided["__source"])
-            & (rows["__text"] == decided["__tie"]))
-    rows = rows.join(decided, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return rows.select(*[rows[c] for c in docs.columns])
+    id_, source, tie, copies, n, own, copy = (unused(docs, f"__mix_{k}") for k in ("id", "source", "tie", "copies", "rows", "text", "copy"))
+    decided = stored(decided.groupBy(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("tie").alias(tie))
+                     .agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(n)), "mix-decisions")
+    rows = docs.withColumn(own, F.md5(text_of(docs, text_col).cast("binary")))
+    if not decided.filter(F.col(n) > 1).isEmpty():  # one of a set of repeated rows stands for all
+        rows = rows.dropDuplicates([id_col, source_col, own])
+    decided = decided.filter(F.col(copies) > 0)
+    same = (rows[id_col].eqNullSafe(decided[id_]) & rows[source_col].cast("string").eqNullSafe(decided[source])
+            & (rows[own] == decided[tie]))
+    rows = rows.join(decided, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+    return rows.drop(id_, source, tie, copies, n, own, copy)
 
 
 #: DuckDB twin of ``op8_mixing``.

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsevault.llm.common import executors_ready, small_or, stored, text_chunks, text_of
+from pulsevault.llm.common import executors_ready, small_or, stored, text_chunks, text_of, unused
 from pulsevault.llm.graph import components
 from pulsevault.llm.words import joined, mixed, word_hashes
 
@@ -287,5 +287,6 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if repeated.isEmpty():
         return kept
     _, repeated = small_or(repeated, BROADCAST_NODES)
-    once = kept.join(repeated, match(repeated), "left_semi").withColumn("__hash", text_hash).dropDuplicates([id_col, "__hash"])
-    return kept.join(repeated, match(repeated), "left_anti").unionByName(once.drop("__hash"))
+    own = unused(docs, "__own_hash")
+    once = kept.join(repeated, match(repeated), "left_semi").withColumn(own, text_hash).dropDuplicates([id_col, own])
+    return kept.join(repeated, match(repeated), "left_anti").unionByName(once.drop(own))

@@ -2,6 +2,7 @@ import hashlib
 
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pulsevault.llm.bpe import encoder
@@ -47,3 +48,22 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
         assert out.count() == 0
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
+
+
+def test_stages_keep_columns_with_clashing_names(spark):
+    """Extra columns that have the names the stages use inside, or odd ones."""
+    names = ["__score", "__id", "__hash", "__own_hash", "__sha", "__stays", "__own_sha", "__mix_id", "__mix_text", "kept", "node", "size", "a.b", "t"]
+    docs = table(spark, SF, "documents")
+    wide = docs.toDF(*docs.columns)
+    for i, name in enumerate(names):
+        wide = wide.withColumn(name, wide["doc_id"] * 100 + i)
+    wide = wide.unionByName(wide.filter("doc_id < 20")).unionByName(wide.filter("doc_id = 3").withColumn("text", F.lit(None).cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        plain = stage(spark, wide.select(*docs.columns), SF)
+        assert out.dtypes == wide.dtypes, name
+        rows = out.collect()
+        assert sorted((r.doc_id, r.text or "") for r in rows) == sorted((r.doc_id, r.text or "") for r in plain.collect()), name
+        assert all(r[len(docs.columns) + i] == r.doc_id * 100 + i for r in rows for i in range(len(names))), name
+    digests = corpus_pipeline.STAGES[-1][1](spark, wide, SF)
+    assert digests.count() == wide.count()
