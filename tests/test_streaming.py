@@ -43,3 +43,19 @@ def test_without_the_flush_the_last_day_stays_open(spark):
     last = lh.stg_readings().agg(F.max(F.to_date("measured_at"))).first()[0]
     done = lh.raw_alerts().where(F.to_date("triggered_at") < F.lit(last)).select(*got.columns)
     assert got.count() == done.count() and got.exceptAll(done).count() == 0
+
+
+def test_rows_later_than_the_default_watermark_are_dropped(spark, tmp_path):
+    """One file per micro-batch, in the order of their times: a day that arrives after its successors is late."""
+    import json
+    import os
+
+    from pulsevault.streaming.readings import stream_daily_stats
+    for k, (day, n) in enumerate([("2024-01-10", 3), ("2024-01-11", 2), ("2024-01-01", 4), ("2024-01-11", 1)]):
+        path = tmp_path / f"f{k}.json"
+        path.write_text("".join(json.dumps({
+            "reading_id": f"{k}-{i}", "patient_id": "p", "device_serial": "GRM-W0001", "metric_code": "heart_rate", "value": 60.0 + i,
+            "unit": "bpm", "quality_flag": "good", "measured_at": f"{day}T{10 + i}:00:00", "context": None}) + "\n" for i in range(n)))
+        os.utime(path, (1_700_000_000 + 100 * k,) * 2)
+    got = stream_daily_stats(spark, f"file://{tmp_path}", "2024-01-31 00:00:00", max_files_per_trigger=1)
+    assert {str(r.report_date): r.reading_count for r in got.collect()} == {"2024-01-10": 3, "2024-01-11": 3}
