@@ -18,7 +18,7 @@ from pulsevault.functions.dates import (
     ntz_from_epoch_micros,
     event_time,
 )
-from pulsevault.functions.text import json_scalar, serial, contributing_list
+from pulsevault.functions.text import json_scalar, contributing_list
 
 __all__ = [
     "surrogate_key",
@@ -36,6 +36,5 @@ __all__ = [
     "ntz_from_epoch_micros",
     "event_time",
     "json_scalar",
-    "serial",
     "contributing_list",
 ]

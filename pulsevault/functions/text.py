@@ -15,11 +15,6 @@ def json_scalar(c, path: str) -> Column:
     return F.get_json_object(_c(c), path)
 
 
-def serial(fmt: str, n) -> Column:
-    """Zero-padded device serial, e.g. 'GRM-W%04d' (never truncates wider numbers)."""
-    return F.format_string(fmt, _c(n).cast("long"))
-
-
 def contributing_list(pairs: list[tuple[Column, str]]) -> Column:
     """trim(concat_ws(', ', name if cond ...)) — NULL/false conditions are skipped."""
     return F.trim(F.concat_ws(", ", *[F.when(cond, F.lit(name)) for cond, name in pairs]))

@@ -12,7 +12,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsevault.sources.files import read_csv_strings
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -32,17 +31,17 @@ def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
         raise
 
 
-def cluster_by_partition(df: DataFrame, part_col: str) -> DataFrame:
+def cluster_by_partition(df: DataFrame, part_col: str, splits: int = 8) -> DataFrame:
     """Cluster rows by an output partition column without letting a hot value land in one task.
 
-    Range partitioning on (partition value, deterministic row hash): Spark samples the keys, so a
-    partition value holding a large share of the rows is split over many tasks (each writes its
-    own files), while ordinary values stay in one or two tasks. The hash (not ``rand()``) keeps
-    the placement identical when a stage is retried after an executor loss.
+    Hash partitioning on (partition value, row hash modulo ``splits``): each value is written by at most
+    ``splits`` tasks, a hot one by that many. A range partitioning would run the upstream plan an extra
+    time to sample its bounds. The hash (not ``rand()``) keeps the placement identical when a stage is
+    retried after an executor loss.
     """
     from pyspark.sql.types import MapType
     hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return df.repartitionByRange(part_col, F.xxhash64(*hashable))
+    return df.repartition(part_col, F.pmod(F.xxhash64(*hashable), F.lit(splits)))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -101,10 +100,6 @@ def write_csv(df: DataFrame, path: str, header_names: dict[str, str] | None = No
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_strings(spark, path)
-
-
 # -- SNK6 snapshots ----------------------------------------------------------------------------------------
 
 def write_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:

@@ -34,7 +34,7 @@ def test_compaction_keeps_rows_and_reduces_files(spark):
 
 
 def test_hot_partition_value_is_split_over_tasks(spark):
-    # one value holds 90% of the rows: range partitioning on (value, row hash) splits it
+    # one value holds 90% of the rows: the row hash deals it over several tasks
     # (AQE would coalesce this tiny test output into one partition; real sizes are not coalesced)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
@@ -43,3 +43,15 @@ def test_hot_partition_value_is_split_over_tasks(spark):
         assert parts.count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_views_and_touched_partition_overwrite(spark):
+    SK.as_view(spark.range(3), "t_view")
+    assert spark.table("t_view").count() == 3
+    path = scratch_path(spark, "t-overwrite")
+    rows = spark.range(100).select("id", (F.col("id") % 4).alias("d"))
+    SK.overwrite(rows, path, ["d"])
+    SK.overwrite(rows.where("d = 1").withColumn("id", F.col("id") + 1000), path, ["d"])
+    got = spark.read.parquet(path)
+    assert got.count() == 100 and got.where("id >= 1000").select("d").distinct().collect()[0].d == 1
+    SK.overwrite(rows.limit(7), scratch_path(spark, "t-full"))
