@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsevault.fixed_values import (
-    FIRMWARE_PLACEHOLDER, METRICS, SRC_SYNTHEA, SRC_SYSTEM, SRC_WEARABLE,
+    CGM_MODELS, FIRMWARE_PLACEHOLDER, METRICS, SMARTWATCH_MODELS, SRC_SYNTHEA, SRC_SYSTEM, SRC_WEARABLE,
 )
 from pulsevault.functions import surrogate_key
 
@@ -275,12 +275,14 @@ def device_model_of(serial: Column) -> tuple[Column, Column]:
     suffix = F.regexp_extract(serial, r"\d+$", 0).try_cast("int")
     cgm = serial.like("CGM-%")
     watch = serial.like("GRM-W%")
-    model = F.when(cgm, "Dexcom G7").when(watch & (suffix % 3 == 0), "Garmin Venu 3") \
-        .when(watch & (suffix % 3 == 1), "Apple Watch Ultra 2").when(watch, "Withings ScanWatch 2") \
-        .otherwise("Unknown")
-    maker = F.when(cgm, "Dexcom").when(watch & (suffix % 3 == 0), "Garmin") \
-        .when(watch & (suffix % 3 == 1), "Apple").when(watch, "Withings").otherwise("Unknown")
-    return model, maker
+    place = suffix % len(SMARTWATCH_MODELS)
+
+    def pick(field: int) -> Column:
+        value = F.when(cgm, CGM_MODELS[0][field])
+        for i, watch_model in enumerate(SMARTWATCH_MODELS[:-1]):
+            value = value.when(watch & (place == i), watch_model[field])
+        return value.when(watch, SMARTWATCH_MODELS[-1][field]).otherwise("Unknown")
+    return pick(0), pick(1)
 
 
 def sat_device_spec(stg_readings: DataFrame, existing=None) -> DataFrame:
