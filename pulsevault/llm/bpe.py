@@ -19,18 +19,23 @@ an empty table; other columns are never read, so their names cannot clash.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+from array import array
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import DataFrame
 
-from pulsevault.llm.common import executors_ready, text_chunks, text_of
+from pulsevault.llm.common import CHUNK_BYTES, executors_ready, text_chunks, text_of
 
 #: Pieces (and token pairs) that a Python worker remembers before it starts anew.
-MEMO = 250_000
+MEMO = 600_000
 _NONE = -1
+#: Longer byte strings get the whole table, byte by byte; shorter ones the prefixes that their encoding needs.
+_ON_DEMAND = 200
 
 
 class Table(NamedTuple):
@@ -41,27 +46,49 @@ class Table(NamedTuple):
     alive: list[list[tuple[int, dict]]]
 
 
+class Ragged:
+    """Byte strings by number, joined by whole arrays of numbers."""
+
+    def __init__(self, strings: dict[int, bytes]):
+        size = np.zeros(max(strings) + 1, np.int64)
+        for i, b in strings.items():
+            size[i] = len(b)
+        self.size = size
+        self.start = np.concatenate(([0], np.cumsum(size)[:-1]))
+        self.data = np.frombuffer(b"".join(strings[i] for i in sorted(strings)), np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[ids] - ends + size, size)
+        at += np.arange(len(at))
+        return self.data[at].tobytes()
+
+
 class PrefixEncoder:
     """Encoder and decoder for one set of ranks (token bytes -> id; every single byte must be present)."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {i: b for b, i in ranks.items()}
-        self.digits = {i: str(i) for i in self.token}
+        self.numerals = Ragged({i: b"%d," % i for i in self.token})
+        self.bytes = Ragged(self.token)
         self.size = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.trie = self._trie()
+        self.trie, self.endings = self._trie(), self._trie(backwards=True)
         self._pair: dict[int, bool] = {}
         self._sound: dict[int, bool] = {}
 
-    def _trie(self) -> dict:
-        """The entries by their bytes: byte -> (id of the entry that ends here or none, what may follow)."""
+    def _trie(self, backwards: bool = False) -> dict:
+        """The entries by their bytes, read forwards or backwards: byte -> (id of the entry that is complete here or
+        none, what may come next)."""
         nodes: dict[bytes, list] = {b"": [_NONE, {}]}
         leaf: dict = {}
-        for entry in sorted(self.ranks):
+        for entry, rank in self.ranks.items():
+            entry = entry[::-1] if backwards else entry
             for n in range(1, len(entry) + 1):
                 nodes.setdefault(entry[:n], [_NONE, leaf])
-            nodes[entry][0] = self.ranks[entry]
+            nodes[entry][0] = rank
         for key in sorted(nodes, key=len, reverse=True)[:-1]:  # from the leaves up
             parent = nodes[key[:-1]]
             parent[1] = parent[1] or {}
@@ -146,25 +173,43 @@ class PrefixEncoder:
 
     def encode_bytes(self, data: bytes) -> list[int]:
         """The encoding of ``data`` by merges alone."""
-        return self.read(self.extend(data, self.table()))
-
-    def encode_all(self, pieces: list[bytes]) -> list[list[int]]:
-        """The encodings of sorted pieces; each goes on from the table of the prefix that it shares with the
-        one before."""
-        out, table, old = [], self.table(), b""
-        for piece in pieces:
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                out.append([whole])
-                continue
-            n, most = 0, min(len(old), len(piece))
-            while n < most and old[n] == piece[n]:
-                n += 1
-            del table.last[n + 1:], table.alive[n + 1:]
-            out.append(self.read(self.extend(piece, table)))
-            old = piece
+        if len(data) > _ON_DEMAND:
+            return self.read(self.extend(data, self.table()))
+        last, out, i = [_NONE] * (len(data) + 1), [], len(data)
+        while i > 0:
+            t = last[i] if last[i] >= 0 else self._last(data, i, last)
+            out.append(t)
+            i -= self.size[t]
+        out.reverse()
         return out
 
+    def _last(self, data: bytes, end: int, last: list[int]) -> int:
+        """The last token of the prefix of ``end`` bytes, filling in those prefixes only that the answer needs:
+        the entries that end here are tried longest first, each against the last token of what it leaves."""
+        found, follow, i = [], self.endings, end
+        while i > 0:
+            step = follow.get(data[i - 1])
+            if step is None:
+                break
+            t, follow = step
+            i -= 1
+            if t >= 0:
+                found.append((i, t))
+        for start, t in reversed(found):
+            if start == 0:
+                fits = self.stands(t)
+            else:
+                before = last[start]
+                if before < 0:
+                    before = self._last(data, start, last)
+                fits = self._pair.get((before << 32) | t)
+                if fits is None:
+                    fits = self.follows(before, t)
+            if fits:
+                last[end] = t
+                return t
+        raise ValueError("the vocabulary lacks a byte")
+
     def append(self, table: "Table", data: bytes, more: bytes) -> "Table":
         """Extend the table of ``data`` to ``data + more``; only the new bytes are worked on."""
         return self.extend(data + more, table)
@@ -194,14 +239,16 @@ class PrefixEncoder:
 
     def decode(self, ids: list[int]) -> bytes:
         """The bytes that ``ids`` stand for."""
-        return b"".join(map(self.token.__getitem__, ids))
+        return self.bytes.join(np.asarray(ids, np.int64))
 
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> PrefixEncoder:
     """The encoder for a rank file (a line per token: base64 bytes, rank)."""
     with open(vocabulary, "rb") as f:
-        return PrefixEncoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
+        made = PrefixEncoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
+    gc.freeze()  # the trie stays for the worker's life; the collector need not walk it again and again
+    return made
 
 
 @lru_cache(maxsize=2)
@@ -210,33 +257,31 @@ def splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-#: Per vocabulary: piece -> its ids.
-_PIECES: dict[str, dict[str, tuple[int, ...]]] = {}
+#: Per vocabulary: piece -> its ids, four bytes each.
+_PIECES: dict[str, dict[str, bytes]] = {}
 
 
 def _encoded(texts: list[str], vocabulary: str, pattern: str):
-    """The ids of each text. A worker remembers the pieces that it has met; new ones are encoded together,
-    in order."""
+    """The ids of each text. A worker remembers the pieces that it has met."""
     enc, split = encoder(vocabulary), splitter(pattern)
     known = _PIECES.setdefault(vocabulary, {})
     if len(known) >= MEMO:
         known.clear()
     parts = [split(text) for text in texts]
-    different = set(chain.from_iterable(parts))
-    new = sorted(piece.encode() for piece in different.difference(known))
-    for piece, tokens in zip(new, enc.encode_all(new), strict=True):
-        known[piece.decode()] = tuple(tokens)
-    here = {piece: known[piece] for piece in different}  # small enough for the processor's caches
+    different = list(set(chain.from_iterable(parts)))
+    here = dict(zip(different, map(known.get, different), strict=True))  # small enough for the processor's caches
+    for piece in [piece for piece, ids in here.items() if ids is None]:
+        here[piece] = known[piece] = array("I", enc.encode_piece(piece.encode())).tobytes()
     for pieces in parts:
-        yield list(chain.from_iterable(map(here.__getitem__, pieces)))
+        yield np.frombuffer(b"".join(map(here.__getitem__, pieces)), np.uint32)
 
 
 def _digests(texts: list[str], vocabulary: str, pattern: str):
     """(tokens, SHA-256 of the ids, SHA-256 of the decoded bytes) of each text."""
     enc = encoder(vocabulary)
     for ids in _encoded(texts, vocabulary, pattern):
-        line = ",".join(map(enc.digits.__getitem__, ids))
-        yield len(ids), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(enc.decode(ids)).hexdigest()
+        line = enc.numerals.join(ids)[:-1]
+        yield len(ids), hashlib.sha256(line).hexdigest(), hashlib.sha256(enc.decode(ids)).hexdigest()
 
 
 def token_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -247,7 +292,7 @@ def token_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
 
     def run(batches):
         import pyarrow as pa
-        for b, texts in text_chunks(batches, 1):
+        for b, texts in text_chunks(batches, 1, CHUNK_BYTES):
             out = list(zip(*_digests([t.decode() for t in texts], vocabulary, pattern), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
@@ -265,7 +310,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     def run(batches):
         import pyarrow as pa
         for b, texts in text_chunks(batches, 1):
-            ids = list(_encoded([t.decode() for t in texts], vocabulary, pattern))
+            ids = [x.astype(np.int32) for x in _encoded([t.decode() for t in texts], vocabulary, pattern)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -168,7 +168,7 @@ class Lookup:
     _MIX = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(4 * len(keys)).bit_length())
+        bits = max(4, int(2 * len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits)
         used = np.zeros(1 << bits, bool)
