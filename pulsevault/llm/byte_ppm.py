@@ -280,9 +280,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("t"))
     rows = rows.select(_block().alias("block"), (crc_mod(F.col("doc_id"), folds) != held_out).alias("train"), "doc_id", "t")
     counts = stored(block_counts(rows.select("block", "train", "t"), order), "ppm-block-counts", **_DELTAS)
-    total = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    pairs = stored(total.filter("kind = 0").select("key", "n"), "ppm-pairs")
-    tokens = stored(total.filter("kind = 1").select("key", "n"), "ppm-tokens")
+    total = lambda kind: counts.filter(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n"))
+    pairs, tokens = stored(total(0), "ppm-pairs"), stored(total(1), "ppm-tokens")
     sums = tokens.agg(F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("long")).alias("v")).first()
     n_train, v_train = int(sums["n"] or 0), int(sums["v"] or 0)
     values = pair_log_probabilities(pairs, order).select(F.lit(0).alias("kind"), "key", "value")
@@ -290,17 +289,20 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     lookups = counts.select("block", "kind", "key").join(stored(values, "ppm-values"), ["kind", "key"])
     id_kind = rows.schema["doc_id"].dataType.simpleString()
     doc = f"struct<doc_id:{id_kind},t:string,train:boolean>"
-    every = lookups.select("block", "kind", "key", "value", F.lit(None).cast(doc).alias("doc"))
-    every = every.unionByName(rows.select("block", F.lit(2).alias("kind"), F.lit(0).cast("long").alias("key"), F.lit(0.0).alias("value"),
+    # one number for block and kind: these rows are the bulk of what is shuffled
+    slot = lambda kind: F.shiftleft("block", 2).bitwiseOR(kind.cast("long")).alias("slot")
+    every = lookups.select(slot(F.col("kind")), "key", "value", F.lit(None).cast(doc).alias("doc"))
+    every = every.unionByName(rows.select(slot(F.lit(2)), F.lit(0).cast("long").alias("key"), F.lit(0.0).alias("value"),
                                           F.struct("doc_id", "t", "train").cast(doc).alias("doc")))
-    every = every.repartition("block").sortWithinPartitions("block", "kind")
+    every = every.repartition(F.shiftright("slot", 2)).sortWithinPartitions("slot")
     floor = n_train + SMOOTH * (v_train + 1)
 
     def run(batches):
         block, tables, parts = None, None, {0: [], 1: []}
         for batch in batches:
-            blocks, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+            slots = batch.column(0).to_numpy()
+            blocks, kinds = slots >> 2, slots & 3
+            cuts = np.flatnonzero(np.diff(slots) != 0) + 1
             for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(blocks)], strict=True):
                 if z == a:
                     continue
@@ -308,13 +310,13 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                     block, tables, parts = blocks[a], None, {0: [], 1: []}
                 part, kind = batch.slice(a, z - a), int(kinds[a])
                 if kind < 2:
-                    parts[kind].append((part.column(2).to_numpy(zero_copy_only=False).astype(np.int64).astype(np.uint64),
-                                        part.column(3).to_numpy(zero_copy_only=False).astype(float)))
+                    parts[kind].append((part.column(1).to_numpy(zero_copy_only=False).astype(np.int64).astype(np.uint64),
+                                        part.column(2).to_numpy(zero_copy_only=False).astype(float)))
                     continue
                 if tables is None:
                     tables = [Lookup(*map(np.concatenate, zip(*parts[k], strict=True))) for k in (0, 1)]
                     parts = {0: [], 1: []}
-                yield from scores(pa.RecordBatch.from_arrays(part.column(4).flatten(), names=["doc_id", "t", "train"]), tables)
+                yield from scores(pa.RecordBatch.from_arrays(part.column(3).flatten(), names=["doc_id", "t", "train"]), tables)
 
     def scores(part, tables):
         for b, texts in text_chunks([part], 1):
