@@ -126,11 +126,11 @@ def judged(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_c
 def page_outcomes(pages: DataFrame, labels: DataFrame, url_col: str = "url", doc_col: str = "doc_id",
                   quality_col: str = "quality", toxic_col: str = "toxic") -> DataFrame:
     """(url, bad) of the pages whose document is labelled; a page names its document by the number that
-    ends its path. Bad: low quality or toxic."""
+    ends its path, with or without a file extension ('/7', '/7/', '/7.html'). Bad: low quality or toxic."""
     bad = F.when((F.col(quality_col) == 0) | (F.col(toxic_col) == 1), 1.0).when(F.col(quality_col).isNotNull() | F.col(toxic_col).isNotNull(), 0.0)
     by_doc = labels.filter(F.col(doc_col).isNotNull()).groupBy(F.col(doc_col).cast("long").alias("__doc")).agg(F.avg(bad).alias("bad"))
     url = pages.select(pages[url_col].cast("string").alias("url")).withColumn("path", path_of(F.col("url")))
-    rows = url.select("url", F.expr("try_cast(nullif(regexp_extract(path, '/([0-9]+)/?$', 1), '') AS BIGINT)").alias("__doc"))
+    rows = url.select("url", F.expr("try_cast(nullif(regexp_extract(path, '/([0-9]+)([.][A-Za-z][A-Za-z0-9]*)?/?$', 1), '') AS BIGINT)").alias("__doc"))
     return rows.filter("__doc is not null").join(by_doc, "__doc").select("url", "bad")
 
 

@@ -72,6 +72,13 @@ def test_outcomes_come_from_the_document_in_the_path(spark):
     assert sorted(map(tuple, page_outcomes(pages, labels).collect())) == [("http://a/en/7?x", .5), ("http://a/en/8", 1.0)]
 
 
+def test_outcomes_of_paths_with_an_extension(spark):
+    paths = ["/en/7.html", "/en/8.htm/", "/7.php5?x#y", "/7.html.", "/a7.html", "/7.1", "/7.", "/html", "/7.html/x"]
+    pages = spark.createDataFrame([(i, "http://a" + p, "x", "y", 1) for i, p in enumerate(paths)], PAGES)
+    labels = spark.createDataFrame([(7, 0, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(map(tuple, page_outcomes(pages, labels).collect())) == [("http://a/7.php5?x#y", 1.0), ("http://a/en/7.html", 1.0), ("http://a/en/8.htm/", 0.0)]
+
+
 def test_posterior_follows_the_counts(spark):
     outcomes = spark.createDataFrame([("a.org", 1.0)] * 50 + [("b.org", 0.0)] * 50, "host string, bad double")
     got = {r.host: r for r in host_reputation(outcomes, outcomes.select("host")).collect()}
