@@ -37,37 +37,43 @@ MIN_PAGES, MAX_SHARE = 8, 0.2
 #: The same within an article or main part.
 MIN_PAGES_MAIN, MAX_SHARE_MAIN = 40, 0.02
 BROADCAST_HOSTS = 50_000
-_MAX_NODES = 1 << 16
 
 
 def _short(data: bytes) -> int:
     return struct.unpack("<q", blake2b(data, digest_size=8).digest())[0]
 
 
-def outline(node: Node) -> str:
-    """The tree's labels with runs of equal siblings as one."""
-    inner = []
-    for child in node.children:
-        if child.text is None:
-            s = outline(child)
-            if not inner or inner[-1] != s:
-                inner.append(s)
-    return f"{node.label}({''.join(inner)})"
+def outline(root: Node) -> int:
+    """Hash of the tree's labels with runs of equal siblings as one."""
+    inner: list[list[bytes]] = [[]]
+    todo: list[tuple[Node, bool]] = [(root, False)]
+    while todo:
+        node, closed = todo.pop()
+        if closed:
+            own = blake2b(node.label.encode() + b"(" + b"".join(inner.pop()), digest_size=16).digest()
+            if not inner[-1] or inner[-1][-1] != own:
+                inner[-1].append(own)
+        elif node.text is None:
+            inner.append([])
+            todo.append((node, True))
+            todo.extend((c, False) for c in reversed(node.children))
+    return _short(inner[0][0])
 
 
 def packed_tree(root: Node) -> str:
     """The tree as text: '(label' and ')' for elements, 't' for text runs."""
-    out = []
-
-    def walk(node):
-        if node.text is not None:
+    out: list[str] = []
+    todo: list[Node | None] = [root]
+    while todo:
+        node = todo.pop()
+        if node is None:
+            out.append(")")
+        elif node.text is not None:
             out.append("t")
-            return
-        out.append("(" + node.label)
-        for child in node.children:
-            walk(child)
-        out.append(")")
-    walk(root)
+        else:
+            out.append("(" + node.label)
+            todo.append(None)
+            todo.extend(reversed(node.children))
     return "\n".join(out)
 
 
@@ -89,26 +95,40 @@ def _matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
     """Simple tree matching: size of the largest top-down, order-keeping matching of two trees, and its pairs."""
     if a.label != b.label:
         return 0, []
-    if not a.children or not b.children:
-        return 1, [(a, b)]
-    m, n = len(a.children), len(b.children)
-    inner = [[_matching(x, y) if x.label == y.label else (0, ()) for y in b.children] for x in a.children]
-    best = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(1, m + 1):
-        row, above, sizes = best[i], best[i - 1], inner[i - 1]
-        for j in range(1, n + 1):
-            w = sizes[j - 1][0]
-            row[j] = max(above[j], row[j - 1], above[j - 1] + w if w else 0)
-    pairs, i, j = [(a, b)], m, n
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            pairs.extend(inner[i - 1][j - 1][1])
-            i, j = i - 1, j - 1
-    return best[m][n] + 1, pairs
+    done: dict[tuple[int, int], tuple[int, list]] = {}  # (size, matched children with their matchings) of inner pairs
+    todo = [(a, b, False)]
+    while todo:
+        x, y, ready = todo.pop()
+        if not ready:
+            todo.append((x, y, True))
+            todo.extend((c, d, False) for c in x.children if c.children for d in y.children if d.children and c.label == d.label)
+            continue
+        m, n = len(x.children), len(y.children)
+        inner = [[(0, ()) if c.label != d.label else done.pop((id(c), id(d))) if c.children and d.children else (1, ()) for d in y.children]
+                 for c in x.children]
+        best = [[0] * (n + 1) for _ in range(m + 1)]
+        for i in range(1, m + 1):
+            row, above, sizes = best[i], best[i - 1], inner[i - 1]
+            for j in range(1, n + 1):
+                w = sizes[j - 1][0]
+                row[j] = max(above[j], row[j - 1], above[j - 1] + w if w else 0)
+        chosen, i, j = [], m, n
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                chosen.append((x.children[i], y.children[j], inner[i][j][1]))
+        done[id(x), id(y)] = best[m][n] + 1, chosen
+    size, chosen = done[id(a), id(b)]
+    pairs, walk = [(a, b)], list(chosen)
+    while walk:
+        x, y, more = walk.pop()
+        pairs.append((x, y))
+        walk.extend(more)
+    return size, pairs
 
 
 def slots(reference: Node, page: Node) -> dict[int, int]:
@@ -147,7 +167,7 @@ def trees(rows: DataFrame) -> DataFrame:
                     values = np.array([0 if t.outside else _short(t.text.encode()) | 1 for t in runs], np.int64)
                     packed = packed_tree(root)
                     places = bytes(2 if t.outside else int(t.main) for t in runs)
-                    out.append((host, _short(outline(root).encode()), _short(packed.encode() + values.tobytes()), packed.count("\n") + 1,
+                    out.append((host, outline(root), _short(packed.encode() + values.tobytes()), packed.count("\n") + 1,
                                 packed, values.tobytes(), places))
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],

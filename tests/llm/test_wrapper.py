@@ -93,6 +93,16 @@ def test_template_of_a_host_without_telling_marks(spark):
     assert extracted(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_a_very_deep_page(spark):
+    deep = "<div>" * 5000 + "end"
+    root = parse(deep)
+    assert packed_tree(unpacked_tree(packed_tree(root))) == packed_tree(root)
+    assert _matching(root, parse(deep))[0] == 5002
+    rows = [(i, f"http://deep.example/{i}", f"{deep}{i}", "x", "y") for i in range(10)]
+    got = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect()}
+    assert got == {i: f"end{i}" for i in range(10)}
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     from pulsevault.llm import wrapper
