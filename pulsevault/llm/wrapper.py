@@ -2,11 +2,11 @@
 
 Pages of a host share a template. Every page is read into a tree of blocks; simple tree matching aligns
 it with the host's reference page (the smallest tree of the host's most frequent outline). Aligned text
-positions are slots. A slot that holds few different texts over the host's different pages is template,
-a slot whose text varies is content, and so is text that aligns with no slot. Parts that HTML itself
+positions are slots. A text that a large share of the host's different pages have in the same slot is
+template there; every other text of the slot is content, and so is text that aligns with no slot. The share does
+not depend on how many pages a host has. Parts that HTML itself
 names as something else (navigation, footers, forms, adverts, comments ...) are template at once; if a page
-has an article or main part, its content is looked for there only, and there a slot counts as template
-only if nearly all of many pages agree on it.
+has an article or main part, its content is looked for there only, and there half of the pages must agree on a text.
 
 Nothing is gathered by host: outlines and slot texts are counted by partial aggregates, and the
 references (one small tree per host) and template slots are broadcast if they are few, else joined by
@@ -20,6 +20,7 @@ other columns cannot clash.
 
 from __future__ import annotations
 
+import json
 import struct
 from hashlib import blake2b
 
@@ -32,10 +33,10 @@ from pulsevault.llm.common import executors_ready, small_or, stored
 from pulsevault.llm.page_tree import Node, parse, texts
 from pulsevault.llm.url_reputation import host_of
 
-#: Different pages that a slot must occur in, and the share of different texts up to which it is template.
-MIN_PAGES, MAX_SHARE = 8, 0.2
-#: The same within an article or main part.
-MIN_PAGES_MAIN, MAX_SHARE_MAIN = 40, 0.02
+#: Different pages that a slot must occur in, and that must have the same text there for it to be template.
+MIN_PAGES, MIN_SAME = 8, 5
+#: Share of the slot's different pages from which a text is template, outside and within an article or main part.
+MIN_SHARE, MIN_SHARE_MAIN = 0.2, 0.5
 BROADCAST_HOSTS = 50_000
 
 
@@ -137,14 +138,18 @@ def slots(reference: Node, page: Node) -> dict[int, int]:
     return {id(b): order[id(a)] for a, b in _matching(reference, page)[1] if a.text is not None}
 
 
-def main_text(root: Node, template: set[int], aligned: dict[int, int]) -> str:
-    """The content's blocks, joined by an empty line."""
+def _value(text: str) -> int:
+    return _short(text.encode()) | 1
+
+
+def main_text(root: Node, template: set[tuple[int, bool, int]], aligned: dict[int, int]) -> str:
+    """The content's blocks, joined by an empty line; ``template``: (slot, in an article or main part, text's hash)."""
     runs = [t for t in texts(root) if not t.outside]
     if any(t.main for t in runs):
         runs = [t for t in runs if t.main]
-        return "\n\n".join(t.text for t in runs if aligned.get(id(t), -1) not in template)
-    runs = [t for t in runs if aligned.get(id(t), -1) not in template]
-    return "\n\n".join(t.text for t in runs if not t.link)
+    else:
+        runs = [t for t in runs if not t.link]
+    return "\n\n".join(t.text for t in runs if not template or (aligned.get(id(t)), t.main, _value(t.text)) not in template)
 
 
 def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -164,7 +169,7 @@ def trees(rows: DataFrame) -> DataFrame:
                 for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     root = parse(page)
                     runs = texts(root)
-                    values = np.array([0 if t.outside else _short(t.text.encode()) | 1 for t in runs], np.int64)
+                    values = np.array([0 if t.outside else _value(t.text) for t in runs], np.int64)
                     packed = packed_tree(root)
                     places = bytes(2 if t.outside else int(t.main) for t in runs)
                     out.append((host, outline(root), _short(packed.encode() + values.tobytes()), packed.count("\n") + 1,
@@ -186,7 +191,7 @@ def references(found: DataFrame) -> DataFrame:
 
 
 def template_slots(found: DataFrame, refs: DataFrame) -> DataFrame:
-    """(host, slots) with the template slots of each host's reference."""
+    """(host, template): the texts that are template, as (slot, main, value)."""
     _, refs = small_or(refs, BROADCAST_HOSTS)
     rows = found.join(refs, "host").select("host", "tree", "values", "places", "reference")
 
@@ -208,11 +213,10 @@ def template_slots(found: DataFrame, refs: DataFrame) -> DataFrame:
 
     filled = rows.mapInArrow(run, "host string, slot int, value long, main boolean")
     values = filled.groupBy("host", "slot", "main", "value").agg(F.count(F.lit(1)).alias("n"))
-    per_slot = values.groupBy("host", "slot", "main").agg(F.sum("n").alias("pages"), F.count(F.lit(1)).alias("texts"))
-    share = F.col("texts") / F.col("pages")
-    fixed = F.when(F.col("main"), (F.col("pages") >= MIN_PAGES_MAIN) & (share <= MAX_SHARE_MAIN)).otherwise(
-        (F.col("pages") >= MIN_PAGES) & (share <= MAX_SHARE))
-    return per_slot.filter(fixed).groupBy("host").agg(F.array_sort(F.collect_set("slot")).alias("slots"))
+    per_slot = values.groupBy("host", "slot", "main").agg(F.sum("n").alias("pages"))
+    often = values.filter(F.col("n") >= MIN_SAME).join(per_slot.filter(F.col("pages") >= MIN_PAGES), ["host", "slot", "main"])
+    fixed = often.filter(F.col("n") >= F.when(F.col("main"), MIN_SHARE_MAIN).otherwise(MIN_SHARE) * F.col("pages"))
+    return fixed.groupBy("host").agg(F.sort_array(F.collect_set(F.struct("slot", "main", "value"))).alias("template"))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -225,7 +229,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     fixed = template_slots(found, refs)
     wrappers = stored(refs.join(fixed, "host"), "wrapper-templates")
     _, wrappers = small_or(wrappers, BROADCAST_HOSTS)
-    rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "reference", "slots")
+    rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "reference", F.to_json("template").alias("template"))
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches):
@@ -235,9 +239,11 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 for page, reference, fixed_ in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                     root = parse(page)
                     if fixed_:
-                        if reference not in known:
-                            known = {reference: unpacked_tree(reference)}
-                        out.append(main_text(root, set(fixed_), slots(known[reference], root)))
+                        if (reference, fixed_) not in known:
+                            fixed_set = {(t["slot"], t["main"], t["value"]) for t in json.loads(fixed_)}
+                            known = {(reference, fixed_): (unpacked_tree(reference), fixed_set)}
+                        tree, fixed_set = known[reference, fixed_]
+                        out.append(main_text(root, fixed_set, slots(tree, root)))
                     else:
                         out.append(main_text(root, set(), {}))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],

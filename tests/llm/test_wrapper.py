@@ -93,6 +93,17 @@ def test_template_of_a_host_without_telling_marks(spark):
     assert extracted(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_rare_texts_of_a_template_slot_stay(spark):
+    page = lambda top, i: f"<div class=x>{top}</div><p>body {i}</p><article><h2>Our news</h2><p>news {i}"
+    tops = ["Open today"] * 170 + [f"Closed for reason {i}" for i in range(30)]
+    rows = [(i, f"http://notes.example/{i}", page(t, i).replace("article", "section"), "x", "y") for i, t in enumerate(tops)]
+    rows += [(1000 + i, f"http://small.example/{i}", page("Top", i), "x", "y") for i in range(12)]
+    got = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    for i, t in enumerate(tops):
+        assert got[i] == "\n\n".join(([t] if i >= 170 else []) + [f"body {i}", f"news {i}"])
+    assert all(got[1000 + i].endswith(f"news {i}") and "Our news" not in got[1000 + i] for i in range(12))
+
+
 def test_a_very_deep_page(spark):
     deep = "<div>" * 5000 + "end"
     root = parse(deep)
