@@ -1,15 +1,16 @@
 """Main text of pages by wrapper induction.
 
 Pages of a host share a template. Every page is read into a tree of blocks; simple tree matching aligns
-it with the host's reference page (the smallest tree of the host's most frequent outline). Aligned text
-positions are slots. A text that a large share of the host's different pages have in the same slot is
-template there; every other text of the slot is content, and so is text that aligns with no slot. The share does
+it with a reference page of the host: the smallest tree of its own outline if that is frequent on the host,
+else of the host's most frequent outline; of equally large matchings one with most equal texts counts. Aligned text
+positions are slots, and the other texts share a slot with those of the same path of labels. A text that a large share of the host's different pages have in the same slot is
+template there; every other text of the slot is content. The share does
 not depend on how many pages a host has. Parts that HTML itself
 names as something else (navigation, footers, forms, adverts, comments ...) are template at once; if a page
 has an article or main part, its content is looked for there only, and there half of the pages must agree on a text.
 
 Nothing is gathered by host: outlines and slot texts are counted by partial aggregates, and the
-references (one small tree per host) and template slots are broadcast if they are few, else joined by
+references (a few small trees per host) and template texts are broadcast if they are few, else joined by
 host. Pages with equal trees count once, so copies of an article do not turn it into template.
 
 Defined results: a null page equals the empty page, whose text is empty; broken markup ends with the page;
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import json
 import struct
+from base64 import b64decode
 from hashlib import blake2b
 
 import numpy as np
@@ -35,6 +37,8 @@ from pulsevault.llm.url_reputation import host_of
 
 #: Different pages that a slot must occur in, and that must have the same text there for it to be template.
 MIN_PAGES, MIN_SAME = 8, 5
+#: Share of a host's different pages from which an outline has its own reference.
+MIN_OUTLINE = 0.05
 #: Share of the slot's different pages from which a text is template, outside and within an article or main part.
 MIN_SHARE, MIN_SHARE_MAIN = 0.2, 0.5
 BROADCAST_HOSTS = 50_000
@@ -92,11 +96,16 @@ def unpacked_tree(data: str) -> Node:
     return stack[0].children[0]
 
 
-def _matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: size of the largest top-down, order-keeping matching of two trees, and its pairs."""
+#: Weight of a matched pair; equal texts weigh 1 and so only choose among matchings of one size.
+_PAIR = 1 << 32
+
+
+def _matching(a: Node, b: Node, ours: dict[int, int] = {}, theirs: dict[int, int] = {}) -> tuple[int, list[tuple[Node, Node]]]:  # noqa: B006
+    """Simple tree matching: size of the largest top-down, order-keeping matching of two trees, and its pairs;
+    of equally large ones, one with most pairs of text runs with equal values (by identity)."""
     if a.label != b.label:
         return 0, []
-    done: dict[tuple[int, int], tuple[int, list]] = {}  # (size, matched children with their matchings) of inner pairs
+    done: dict[tuple[int, int], tuple[int, list]] = {}  # (weight, matched children with their matchings) of inner pairs
     todo = [(a, b, False)]
     while todo:
         x, y, ready = todo.pop()
@@ -105,7 +114,8 @@ def _matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
             todo.extend((c, d, False) for c in x.children if c.children for d in y.children if d.children and c.label == d.label)
             continue
         m, n = len(x.children), len(y.children)
-        inner = [[(0, ()) if c.label != d.label else done.pop((id(c), id(d))) if c.children and d.children else (1, ()) for d in y.children]
+        inner = [[(0, ()) if c.label != d.label else done.pop((id(c), id(d))) if c.children and d.children
+                  else (_PAIR + (c.text is not None and id(c) in ours and ours[id(c)] == theirs.get(id(d))), ()) for d in y.children]
                  for c in x.children]
         best = [[0] * (n + 1) for _ in range(m + 1)]
         for i in range(1, m + 1):
@@ -122,20 +132,64 @@ def _matching(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
             else:
                 i, j = i - 1, j - 1
                 chosen.append((x.children[i], y.children[j], inner[i][j][1]))
-        done[id(x), id(y)] = best[m][n] + 1, chosen
+        done[id(x), id(y)] = best[m][n] + _PAIR, chosen
     size, chosen = done[id(a), id(b)]
     pairs, walk = [(a, b)], list(chosen)
     while walk:
         x, y, more = walk.pop()
         pairs.append((x, y))
         walk.extend(more)
-    return size, pairs
+    return size // _PAIR, pairs
+
+
+def paths(root: Node) -> list[int]:
+    """Negative hash of the labels above each text run, in page order."""
+    out, todo = [], [(root, 0)]
+    while todo:
+        node, above = todo.pop()
+        if node.text is not None:
+            out.append(above)
+        else:
+            own = _short(struct.pack("<q", above) + node.label.encode()) | -(1 << 63)
+            todo.extend((c, own) for c in reversed(node.children))
+    return out
+
 
+def slots(reference: Node, values: list[int], page: Node, page_values: list[int]) -> dict[int, int]:
+    """Slot of each text run of the page, by identity: the index among the reference's text runs, or the
+    (negative) path of a run that does not align."""
+    ours, runs = texts(reference), texts(page)
+    order = {id(t): k for k, t in enumerate(ours)}
+    theirs = dict(zip(map(id, runs), page_values, strict=True))
+    pairs = _matching(reference, page, dict(zip(map(id, ours), values, strict=True)), theirs)[1]
+    found = dict(zip(map(id, runs), paths(page), strict=True))
+    found.update((id(b), order[id(a)]) for a, b in pairs if a.text is not None)
+    return found
 
-def slots(reference: Node, page: Node) -> dict[int, int]:
-    """Slot (index among the reference's text runs) of each aligned text run of the page, by identity."""
-    order = {id(t): k for k, t in enumerate(texts(reference))}
-    return {id(b): order[id(a)] for a, b in _matching(reference, page)[1] if a.text is not None}
+
+class Wrapper:
+    """A host's references and template texts, read from their JSON forms."""
+
+    def __init__(self, references: str, template: str | None = None):
+        rows = json.loads(references)
+        self.trees = {r["outline"]: (unpacked_tree(r["tree"]), np.frombuffer(b64decode(r["values"]), np.int64).tolist()) for r in rows}
+        self.main = rows[0]["outline"]
+        self.template: dict[int, set[tuple[int, bool, int]]] = {}
+        for t in json.loads(template or "[]"):
+            self.template.setdefault(t["outline"], set()).add((t["slot"], t["main"], t["value"]))
+
+    def aligned(self, own: int, page: Node, values: list[int]) -> tuple[int, dict[int, int]]:
+        """The outline of the reference of a page with the outline ``own``, and the slots of its text runs."""
+        own = own if own in self.trees else self.main
+        return own, slots(*self.trees[own], page, values)
+
+
+def _wrapper(known: dict, *key: str | None) -> Wrapper:
+    if key not in known:
+        if len(known) >= 256:
+            known.clear()
+        known[key] = Wrapper(*key)
+    return known[key]
 
 
 def _value(text: str) -> int:
@@ -182,41 +236,49 @@ def trees(rows: DataFrame) -> DataFrame:
 
 
 def references(found: DataFrame) -> DataFrame:
-    """(host, reference) with the smallest tree of the host's most frequent outline."""
-    by_outline = found.groupBy("host", "outline").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("nodes", "tree_key")).alias("small"))
-    best = by_outline.groupBy("host").agg(F.max(F.struct("n", "outline", "small")).alias("best"))
-    best = stored(best.select(F.col("host").alias("r_host"), F.col("best.small.tree_key").alias("r_key")), "wrapper-best")
-    match = (found["host"] == best["r_host"]) & (found["tree_key"] == best["r_key"])
-    return found.join(best, match).groupBy("host").agg(F.min("tree").alias("reference"))
-
-
-def template_slots(found: DataFrame, refs: DataFrame) -> DataFrame:
-    """(host, template): the texts that are template, as (slot, main, value)."""
+    """(host, references) with the smallest tree of each frequent outline of the host, the most frequent first."""
+    by_outline = stored(found.groupBy("host", "outline").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("nodes", "tree_key")).alias("small")),
+                        "wrapper-outlines")
+    top = by_outline.groupBy(F.col("host").alias("t_host")).agg(F.sum("n").alias("pages"), F.max(F.struct("n", "outline")).alias("top"))
+    frequent = (F.col("n") >= MIN_PAGES) & (F.col("n") >= MIN_OUTLINE * F.col("pages")) | (F.col("outline") == F.col("top.outline"))
+    best = by_outline.join(top, F.col("host") == F.col("t_host")).filter((F.col("pages") >= MIN_PAGES) & frequent)
+    best = stored(best.select("host", "n", F.col("small.tree_key").alias("tree_key")), "wrapper-best")
+    one = found.join(best, ["host", "tree_key"]).select("host", "n", "outline", "tree", "values")
+    each = one.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("n", "outline", "tree", "values")), asc=False).alias("r"))
+    return each.select("host", F.to_json(F.expr("transform(r, x -> struct(x.outline, x.tree, x.values))")).alias("references"))
+
+
+def template_texts(found: DataFrame, refs: DataFrame) -> DataFrame:
+    """(host, template): the texts that are template, as (outline of the reference, slot, main, value)."""
     _, refs = small_or(refs, BROADCAST_HOSTS)
-    rows = found.join(refs, "host").select("host", "tree", "values", "places", "reference")
+    rows = found.join(refs, "host").select("host", "outline", "tree", "values", "places", "references")
 
     def run(batches):
+        known: dict = {}
         for b in batches:
             for at in range(0, b.num_rows, 512):
-                part, out, known = b.slice(at, 512), [], {}
-                for host, tree, values, places, reference in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
-                    if reference not in known:
-                        known = {reference: unpacked_tree(reference)}
-                    page = unpacked_tree(tree)
-                    at_slot = slots(known[reference], page)
-                    for t, v, place in zip(texts(page), np.frombuffer(values, np.int64).tolist(), places, strict=True):
-                        if place < 2 and id(t) in at_slot:
-                            out.append((host, at_slot[id(t)], v, bool(place)))
-                cols = list(zip(*out, strict=True)) if out else [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.bool_()), strict=True)],
-                                                 names=["host", "slot", "value", "main"])
-
-    filled = rows.mapInArrow(run, "host string, slot int, value long, main boolean")
-    values = filled.groupBy("host", "slot", "main", "value").agg(F.count(F.lit(1)).alias("n"))
-    per_slot = values.groupBy("host", "slot", "main").agg(F.sum("n").alias("pages"))
-    often = values.filter(F.col("n") >= MIN_SAME).join(per_slot.filter(F.col("pages") >= MIN_PAGES), ["host", "slot", "main"])
+                part, out = b.slice(at, 512), []
+                for host, own, tree, values, places, refs_ in zip(*(part.column(i).to_pylist() for i in range(6)), strict=True):
+                    page, values = unpacked_tree(tree), np.frombuffer(values, np.int64).tolist()
+                    own, at_slot = _wrapper(known, refs_).aligned(own, page, values)
+                    filled = {(at_slot[id(t)], bool(place), v) for t, v, place in zip(texts(page), values, places, strict=True) if place < 2}
+                    filled |= {(slot, main, 0) for slot, main, _ in filled}
+                    out.extend((host, own, *f) for f in filled)
+                cols = list(zip(*out, strict=True)) if out else [()] * 5
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                                 names=["host", "outline", "slot", "main", "value"])
+
+    #: A page counts once per slot as value 0 and once per slot and text.
+    filled = rows.mapInArrow(run, "host string, outline long, slot long, main boolean, value long")
+    keys = ["host", "outline", "slot", "main"]
+    values = filled.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    values = stored(values.filter(F.col("n") >= MIN_SAME), "wrapper-values")
+    pages = values.filter((F.col("value") == 0) & (F.col("n") >= MIN_PAGES)).select(*keys, F.col("n").alias("pages"))
+    often = values.filter("value != 0").join(pages, keys)
     fixed = often.filter(F.col("n") >= F.when(F.col("main"), MIN_SHARE_MAIN).otherwise(MIN_SHARE) * F.col("pages"))
-    return fixed.groupBy("host").agg(F.sort_array(F.collect_set(F.struct("slot", "main", "value"))).alias("template"))
+    template = F.sort_array(F.collect_set(F.struct("outline", "slot", "main", "value")))
+    return fixed.groupBy("host").agg(F.to_json(template).alias("template"))
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -226,24 +288,23 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     found = stored(trees(rows).groupBy("host", "tree_key").agg(*[F.first(c).alias(c) for c in ("outline", "nodes", "tree", "values", "places")]),
                    "wrapper-trees")
     refs = stored(references(found), "wrapper-references")
-    fixed = template_slots(found, refs)
+    fixed = template_texts(found, refs)
     wrappers = stored(refs.join(fixed, "host"), "wrapper-templates")
     _, wrappers = small_or(wrappers, BROADCAST_HOSTS)
-    rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "reference", F.to_json("template").alias("template"))
+    rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "references", "template")
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches):
+        known: dict = {}
         for b in batches:
             for at in range(0, b.num_rows, 512):
-                part, out, known = b.slice(at, 512), [], {}
-                for page, reference, fixed_ in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                part, out = b.slice(at, 512), []
+                for page, refs_, fixed_ in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                     root = parse(page)
                     if fixed_:
-                        if (reference, fixed_) not in known:
-                            fixed_set = {(t["slot"], t["main"], t["value"]) for t in json.loads(fixed_)}
-                            known = {(reference, fixed_): (unpacked_tree(reference), fixed_set)}
-                        tree, fixed_set = known[reference, fixed_]
-                        out.append(main_text(root, fixed_set, slots(tree, root)))
+                        wrapper = _wrapper(known, refs_, fixed_)
+                        own, at_slot = wrapper.aligned(outline(root), root, [0 if t.outside else _value(t.text) for t in texts(root)])
+                        out.append(main_text(root, wrapper.template.get(own, set()), at_slot))
                     else:
                         out.append(main_text(root, set(), {}))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],

@@ -104,6 +104,22 @@ def test_rare_texts_of_a_template_slot_stay(spark):
     assert all(got[1000 + i].endswith(f"news {i}") and "Our news" not in got[1000 + i] for i in range(12))
 
 
+def test_second_layout_and_blocks_that_the_reference_lacks(spark):
+    rng = random.Random(2)
+    rows, want = [], {}
+    for i in range(100):
+        body = [f"text {i} {k}" for k in range(rng.randint(1, 6))]
+        ps = "".join(f"<p>{b}</p>" for b in body)
+        if i % 20 < 11:  # a constant paragraph after a run of paragraphs, on most pages a second one
+            page = f"<div class=a>Top</div><div class=c>{ps}<p>Read our other news</p>{'<p>Call us</p>' if i % 5 else ''}</div>"
+        else:
+            page = f"<section class=z><h2>Other layout</h2></section><ul><li>Welcome</ul><section class=t>{ps}</section>"
+        rows.append((i, f"http://two.example/{i}", page, "x", "y"))
+        want[i] = "\n\n".join(body)
+    got = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert got == want
+
+
 def test_a_very_deep_page(spark):
     deep = "<div>" * 5000 + "end"
     root = parse(deep)
