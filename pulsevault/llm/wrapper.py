@@ -5,9 +5,13 @@ it with a reference page of the host: the smallest tree of its own outline if th
 else of the host's most frequent outline; of equally large matchings one with most equal texts counts. Aligned text
 positions are slots, and the other texts share a slot with those of the same path of labels. A text that a large share of the host's different pages have in the same slot is
 template there; every other text of the slot is content. The share does
-not depend on how many pages a host has. Parts that HTML itself
-names as something else (navigation, footers, forms, adverts, comments ...) are template at once; if a page
-has an article or main part, its content is looked for there only, and there half of the pages must agree on a text.
+not depend on how many pages a host has.
+
+Names are a prior. Parts that HTML itself names as something else (navigation, footers, forms, adverts,
+comments ...) are left out unless nothing else remains, so that they are never why a page is empty. On hosts of
+``MIN_PAGES`` different pages or more, text in an article or main part is template only if half of the pages agree
+on it, and the slots decide outside of it too; on smaller hosts content is looked for in the article or main
+part only, if a page has one.
 
 Nothing is gathered by host: outlines and slot texts are counted by partial aggregates, and the
 references (a few small trees per host) and template texts are broadcast if they are few, else joined by
@@ -174,9 +178,18 @@ class Wrapper:
         rows = json.loads(references)
         self.trees = {r["outline"]: (unpacked_tree(r["tree"]), np.frombuffer(b64decode(r["values"]), np.int64).tolist()) for r in rows}
         self.main = rows[0]["outline"]
-        self.template: dict[int, set[tuple[int, bool, int]]] = {}
+        self.template: dict[int, set[tuple[int, int, int]]] = {}
         for t in json.loads(template or "[]"):
-            self.template.setdefault(t["outline"], set()).add((t["slot"], t["main"], t["value"]))
+            self.template.setdefault(t["outline"], set()).add((t["slot"], t["place"], t["value"]))
+        self.inside = {own for own, found in self.template.items() if any(place < 2 for _, place, _ in found)}
+
+    def text(self, page: Node) -> str:
+        own = outline(page) if self.inside else self.main
+        own = own if own in self.trees else self.main
+        if own not in self.inside and any(not t.outside and (t.main or not t.link) for t in texts(page)):
+            return main_text(page, set(), {}, True)  # only texts that names leave out anyway are template
+        own, at_slot = self.aligned(outline(page), page, [_value(t.text) for t in texts(page)])
+        return main_text(page, self.template.get(own, set()), at_slot, True)
 
     def aligned(self, own: int, page: Node, values: list[int]) -> tuple[int, dict[int, int]]:
         """The outline of the reference of a page with the outline ``own``, and the slots of its text runs."""
@@ -196,14 +209,18 @@ def _value(text: str) -> int:
     return _short(text.encode()) | 1
 
 
-def main_text(root: Node, template: set[tuple[int, bool, int]], aligned: dict[int, int]) -> str:
-    """The content's blocks, joined by an empty line; ``template``: (slot, in an article or main part, text's hash)."""
-    runs = [t for t in texts(root) if not t.outside]
-    if any(t.main for t in runs):
-        runs = [t for t in runs if t.main]
-    else:
-        runs = [t for t in runs if not t.link]
-    return "\n\n".join(t.text for t in runs if not template or (aligned.get(id(t)), t.main, _value(t.text)) not in template)
+def _place(t: Node) -> int:
+    return 2 if t.outside else int(t.main)
+
+
+def main_text(root: Node, template: set[tuple[int, int, int]], aligned: dict[int, int], induced: bool = False) -> str:
+    """The content's blocks, joined by an empty line; ``template``: (slot, place, text's hash); ``induced``: whether
+    the host has enough pages for its slots to decide, else an article or main part does."""
+    runs = [t for t in texts(root) if not template or (aligned.get(id(t)), _place(t), _value(t.text)) not in template]
+    inside = [t for t in runs if not t.outside]
+    kept = [] if induced else [t for t in inside if t.main]
+    kept = kept or [t for t in inside if not t.link or induced and t.main] or [t for t in runs if not t.link]
+    return "\n\n".join(t.text for t in kept)
 
 
 def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -213,7 +230,8 @@ def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 
 def trees(rows: DataFrame) -> DataFrame:
     """(host, outline, tree_key, nodes, tree, values) of the pages (host, html): the tree and the hashes of its
-    text runs with their place (negative: in an article or main part; 0: outside the main text)."""
+    text runs with their place (1: in an article or main part; 2: named as not being main text). Texts of
+    the last kind are not in the key, unless they are longer than all others."""
 
     def run(batches):
         for b in batches:
@@ -223,10 +241,12 @@ def trees(rows: DataFrame) -> DataFrame:
                 for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     root = parse(page)
                     runs = texts(root)
-                    values = np.array([0 if t.outside else _value(t.text) for t in runs], np.int64)
+                    values = np.array([_value(t.text) for t in runs], np.int64)
+                    places = bytes(map(_place, runs))
+                    named = sum(len(t.text) if t.outside else -len(t.text) for t in runs) > 0
+                    told = values if named else np.where(np.frombuffer(places, np.uint8) == 2, 0, values)
                     packed = packed_tree(root)
-                    places = bytes(2 if t.outside else int(t.main) for t in runs)
-                    out.append((host, outline(root), _short(packed.encode() + values.tobytes()), packed.count("\n") + 1,
+                    out.append((host, outline(root), _short(packed.encode() + told.tobytes()), packed.count("\n") + 1,
                                 packed, values.tobytes(), places))
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
@@ -249,7 +269,7 @@ def references(found: DataFrame) -> DataFrame:
 
 
 def template_texts(found: DataFrame, refs: DataFrame) -> DataFrame:
-    """(host, template): the texts that are template, as (outline of the reference, slot, main, value)."""
+    """(host, template): the texts that are template, as (outline of the reference, slot, place, value)."""
     _, refs = small_or(refs, BROADCAST_HOSTS)
     rows = found.join(refs, "host").select("host", "outline", "tree", "values", "places", "references")
 
@@ -261,23 +281,23 @@ def template_texts(found: DataFrame, refs: DataFrame) -> DataFrame:
                 for host, own, tree, values, places, refs_ in zip(*(part.column(i).to_pylist() for i in range(6)), strict=True):
                     page, values = unpacked_tree(tree), np.frombuffer(values, np.int64).tolist()
                     own, at_slot = _wrapper(known, refs_).aligned(own, page, values)
-                    filled = {(at_slot[id(t)], bool(place), v) for t, v, place in zip(texts(page), values, places, strict=True) if place < 2}
-                    filled |= {(slot, main, 0) for slot, main, _ in filled}
+                    filled = {(at_slot[id(t)], place, v) for t, v, place in zip(texts(page), values, places, strict=True)}
+                    filled |= {(slot, place, 0) for slot, place, _ in filled}
                     out.extend((host, own, *f) for f in filled)
                 cols = list(zip(*out, strict=True)) if out else [()] * 5
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                                 names=["host", "outline", "slot", "main", "value"])
+                                                 names=["host", "outline", "slot", "place", "value"])
 
     #: A page counts once per slot as value 0 and once per slot and text.
-    filled = rows.mapInArrow(run, "host string, outline long, slot long, main boolean, value long")
-    keys = ["host", "outline", "slot", "main"]
+    filled = rows.mapInArrow(run, "host string, outline long, slot long, place int, value long")
+    keys = ["host", "outline", "slot", "place"]
     values = filled.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     values = stored(values.filter(F.col("n") >= MIN_SAME), "wrapper-values")
     pages = values.filter((F.col("value") == 0) & (F.col("n") >= MIN_PAGES)).select(*keys, F.col("n").alias("pages"))
     often = values.filter("value != 0").join(pages, keys)
-    fixed = often.filter(F.col("n") >= F.when(F.col("main"), MIN_SHARE_MAIN).otherwise(MIN_SHARE) * F.col("pages"))
-    template = F.sort_array(F.collect_set(F.struct("outline", "slot", "main", "value")))
+    fixed = often.filter(F.col("n") >= F.when(F.col("place") == 1, MIN_SHARE_MAIN).otherwise(MIN_SHARE) * F.col("pages"))
+    template = F.sort_array(F.collect_set(F.struct("outline", "slot", "place", "value")))
     return fixed.groupBy("host").agg(F.to_json(template).alias("template"))
 
 
@@ -285,11 +305,11 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """Per page: page_id, url, text, n_chars."""
     executors_ready(pages.sparkSession)
     rows = _pages(pages, id_col, url_col, html_col)
-    found = stored(trees(rows).groupBy("host", "tree_key").agg(*[F.first(c).alias(c) for c in ("outline", "nodes", "tree", "values", "places")]),
-                   "wrapper-trees")
+    first = F.min(F.struct("values", "places", "outline", "nodes", "tree")).alias("first")
+    found = stored(trees(rows).groupBy("host", "tree_key").agg(first).select("host", "tree_key", "first.*"), "wrapper-trees")
     refs = stored(references(found), "wrapper-references")
     fixed = template_texts(found, refs)
-    wrappers = stored(refs.join(fixed, "host"), "wrapper-templates")
+    wrappers = stored(refs.join(fixed, "host", "left"), "wrapper-templates")
     _, wrappers = small_or(wrappers, BROADCAST_HOSTS)
     rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "references", "template")
     kind = rows.schema["page_id"].dataType.simpleString()
@@ -301,12 +321,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 part, out = b.slice(at, 512), []
                 for page, refs_, fixed_ in zip(*(part.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
                     root = parse(page)
-                    if fixed_:
-                        wrapper = _wrapper(known, refs_, fixed_)
-                        own, at_slot = wrapper.aligned(outline(root), root, [0 if t.outside else _value(t.text) for t in texts(root)])
-                        out.append(main_text(root, wrapper.template.get(own, set()), at_slot))
-                    else:
-                        out.append(main_text(root, set(), {}))
+                    out.append(_wrapper(known, refs_, fixed_).text(root) if refs_ else main_text(root, set(), {}))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],
                                                  names=["page_id", "url", "text", "n_chars"])
 

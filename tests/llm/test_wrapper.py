@@ -120,6 +120,17 @@ def test_second_layout_and_blocks_that_the_reference_lacks(spark):
     assert got == want
 
 
+def test_names_neither_empty_a_page_nor_hide_text_of_a_large_host(spark):
+    shared = lambda i: f"<div>Top</div><div class='share-body'><p>Menu of all</p><p>story {i}</p></div>"
+    cards = lambda i: f"<div class=head>Top</div><div class=t><p>story {i}</p></div><article><h2>Our shop</h2></article>"
+    rows = [(i, f"http://a.example/{i}", shared(i), "x", "y") for i in range(20)]
+    rows += [(100 + i, f"http://b.example/{i}", cards(i), "x", "y") for i in range(20)]
+    rows += [(200, "http://c.example/1", "<aside><p>story 200</p></aside>", "x", "y"), (201, "http://d.example/1", cards(201), "x", "y")]
+    got = {r.page_id: r.text for r in extracted(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    want = {i: f"story {i}" for i in range(20)} | {100 + i: f"story {i}" for i in range(20)} | {200: "story 200", 201: "Our shop"}
+    assert got == want
+
+
 def test_a_very_deep_page(spark):
     deep = "<div>" * 5000 + "end"
     root = parse(deep)
