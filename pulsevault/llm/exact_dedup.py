@@ -63,7 +63,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keep = F.when(grouped, F.col("keep")).otherwise(F.col("doc_id"))
     return out.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (keep.eqNullSafe(F.col("doc_id")) & (F.col("copy") == 1)).alias("kept"), F.col("sha").alias("text_sha256"))
+        (~grouped | keep.eqNullSafe(F.col("doc_id")) & (F.col("copy") == 1)).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -56,3 +56,11 @@ def test_dropped_rows(spark):
     want = sorted(((i, t) for i, _, _, kept, t in reference(rows) if kept), key=str)
     assert sorted(((r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in out.collect()), key=str) == want
     assert drop_exact_copies(docs.limit(0)).count() == 0 and exact_groups(docs.limit(0)).count() == 0
+
+
+def test_repeated_ids_without_all_digests(spark):
+    rows = rows_of(4) + [(500, "one text"), (500, "another text, as unique"), (None, "third"), (None, "a fourth text")]
+    docs = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in rows], SCHEMA).repartition(5)
+    key = lambda r: (r[0], r[1], r[2], r[3])
+    got = sorted((key(r) for r in exact_groups(docs, digest_all=False).collect()), key=str)
+    assert got == sorted(map(key, reference(rows)), key=str)
