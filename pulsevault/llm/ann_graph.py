@@ -68,13 +68,13 @@ def _unit_half(v: pa.Array) -> pa.Array:
     return _unit(v, np.float16)
 
 
-def nodes_of(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Stored nodes (node, unit, half, vec), stored members (node, vec_id: the few smallest of each node),
-    and the number of nodes. A node is named by its smallest id."""
+def nodes_of(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """Stored nodes (node, unit, half, vec), stored members (node, vec_id: the ``k + 1`` smallest of each node,
+    which hold ``k`` others for any row), and the number of nodes. A node is named by its smallest id."""
     unit = F.arrow_udf(_unit_single, BinaryType())
     half = F.arrow_udf(_unit_half, BinaryType())
     same = Window.partitionBy("vec")
-    few = rows.withColumn("rank", F.row_number().over(same.orderBy("vec_id"))).filter(F.col("rank") <= 16)
+    few = rows.withColumn("rank", F.row_number().over(same.orderBy("vec_id"))).filter(F.col("rank") <= k + 1)
     members = stored(few.withColumn("node", F.min("vec_id").over(same)), "ann-members")
     first = members.filter("rank = 1")
     n = first.count()
@@ -342,7 +342,7 @@ def nearest(table: DataFrame, every: int, k: int = 5, id_col: str = "vec_id", ve
     (cosine in double precision on the original vectors)."""
     executors_ready(table.sparkSession)
     rows = valid_vectors(table, id_col, vec_col)
-    nodes, members, n = nodes_of(rows)
+    nodes, members, n = nodes_of(rows, k)
     graph = neighbour_graph(nodes, n, **params)
     asking = rows.filter(F.col("vec_id") % every == 0)
     asking = stored(asking.join(nodes.select("vec", "node"), "vec").select(F.col("vec_id").alias("query_id"), "vec", "node"), "ann-asking")

@@ -82,3 +82,12 @@ def test_local_join_offers_match_all_pairs():
 def test_best_keeps_each_other_once():
     owner, other, sim = _best(np.array([0, 0, 0, 1, 0]), np.array([5, 6, 5, 5, 7]), np.array([.1, .3, .1, .9, .2], np.float32), 2)
     assert list(zip(owner, other, strict=True)) == [(0, 6), (0, 7), (1, 5)]
+
+
+def test_as_many_copies_as_asked_for(spark):
+    rows = [(i, [1.0, 2.0], "x", 1) for i in range(40)] + [(50 + i, [-1.0, float(i)], "x", 1) for i in range(3)]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, SCHEMA), 5, k=25).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    want = truth(rows, 5, 25)
+    assert {q: [(p + 1, i) for p, (i, _) in enumerate(v)] for q, v in want.items()} == {q: sorted(v) for q, v in got.items()}
