@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from pulsevault.llm import ann_graph, bpe, byte_ppm, exact_dedup, line_quality, mixing, near_join, toxic_passages, url_reputation, wrapper
+from pulsevault.llm import (
+    ann_graph, bpe, byte_ppm, decontaminate, exact_dedup, line_quality, mixing, near_join, toxic_passages, url_reputation, wrapper,
+)
 from pulsevault.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -64,5 +66,16 @@ def op10_byte_bpe(spark, sf_dir):
     return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_wrapper_induction, op2_nn_descent, op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm, op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe)}
-ORACLE = {"op9_exact_dedup": exact_dedup.SQL, "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL}
+def op11_decontamination(spark, sf_dir):
+    """Hit words and benchmark items of every document."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_wrapper_induction, op2_nn_descent, op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm,
+    op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe, op11_decontamination,
+)}
+ORACLE = {
+    "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL, "op9_exact_dedup": exact_dedup.SQL,
+    "op11_decontamination": decontaminate.SQL,
+}
