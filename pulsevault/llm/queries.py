@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from pulsevault.llm import (
-    ann_graph, bpe, byte_ppm, decontaminate, exact_dedup, line_quality, mixing, near_join, toxic_passages, url_reputation, wrapper,
+    ann_graph, bpe, byte_ppm, decontaminate, exact_dedup, line_quality, mixing, near_join, toxic_passages, turn_repair, url_reputation,
+    wrapper,
 )
 from pulsevault.llm.common import table
 
@@ -71,9 +72,15 @@ def op11_decontamination(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_turn_repair(spark, sf_dir):
+    """Audit and digest of every conversation's repair."""
+    return turn_repair.repair_audits(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_wrapper_induction, op2_nn_descent, op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm,
     op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe, op11_decontamination,
+    op12_turn_repair,
 )}
 ORACLE = {
     "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL, "op9_exact_dedup": exact_dedup.SQL,
