@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pulsevault.llm import (
     ann_graph, bpe, byte_ppm, decontaminate, exact_dedup, line_quality, mixing, near_join, toxic_passages, turn_repair, url_reputation,
-    wrapper,
+    whitening, wrapper,
 )
 from pulsevault.llm.common import table
 
@@ -77,10 +77,15 @@ def op12_turn_repair(spark, sf_dir):
     return turn_repair.repair_audits(turn_repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_whitening(spark, sf_dir):
+    """The first 8 whitened components of every vector."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_wrapper_induction, op2_nn_descent, op3_line_quality, op4_ngram_join, op5_toxic_passages, op6_byte_ppm,
     op7_url_reputation, op8_mixing, op9_exact_dedup, op10_byte_bpe, op11_decontamination,
-    op12_turn_repair,
+    op12_turn_repair, op13_whitening,
 )}
 ORACLE = {
     "op7_url_reputation": url_reputation.SQL, "op8_mixing": mixing.SQL, "op9_exact_dedup": exact_dedup.SQL,
