@@ -11,12 +11,12 @@ bytes not yet excluded are alike. A text is coded with a start mark before and a
 Counting: every task adds up its own distinct (context, byte) pairs, one row each, and Spark sums them.
 All contexts that share their last three bytes meet in one task (the pairs there are at most 256 to the
 power of ``ORDER`` - 2, whatever the corpus), where each pair, seen or only asked for, gets its log
-probability; orders 0 to 2 (at most 256^3 pairs) are broadcast.
+probability, some contexts at a time; orders 0 to 2 (at most 256^3 pairs) are broadcast.
 
-Scoring: a text's score is the sum over its positions. The corpus is divided into blocks (whole input
-files, or stretches of large ones). The distinct pairs and tokens of every block are joined with their
+Scoring: a text's score is the sum over its positions. The corpus is divided into blocks (stretches of rows
+of an input file; rows from elsewhere are dealt by hash). The distinct pairs and tokens of every block are joined with their
 log probabilities and counts, sent back to the block, and looked up there while the block's texts stream
-by. No task holds more than one block's distinct pairs, and nothing is broadcast that grows.
+by. No task holds more than one block's distinct pairs (16 bytes each), and nothing is broadcast that grows.
 
 The base score is the unigram score of the text's tokens with counts smoothed by 0.1.
 
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +40,12 @@ from pulsevault.llm.words import word_hashes
 #: Bytes of context; (context, byte) pairs fit in 64 bits up to 7.
 ORDER = 5
 FOLDS, HELD_OUT = 10, 0
-#: Bytes of an input file that make one block, at most.
-BLOCK_BYTES = 64 << 20
+#: Bytes of text that make one block, about.
+BLOCK_BYTES = 48 << 20
 #: Byte that marks starts and ends (never part of UTF-8).
 MARK = 0xFF
+#: Pairs of whole contexts that a task works on at a time, at least.
+GROUP_PAIRS = 1 << 20
 SMOOTH = 0.1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -163,45 +166,41 @@ def log_probabilities(tries: list[Trie], asked: np.ndarray) -> np.ndarray:
 
 
 class Lookup:
-    """Values of a fixed set of 64-bit keys: open addressing, filled and read by whole arrays."""
-
-    _MIX = np.uint64(0x9E3779B97F4A7C15)
+    """Values of a fixed set of 64-bit keys, as two flat arrays (16 bytes a key) in the order of the keys."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(2 * len(keys)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits)
-        used = np.zeros(1 << bits, bool)
-        left, at = np.arange(len(keys)), self._home(keys)
-        while len(left):
-            _, first = np.unique(at, return_index=True)
-            first = first[~used[at[first]]]  # of the keys that want a free place, one gets it
-            used[at[first]] = True
-            self.keys[at[first]], self.values[at[first]] = keys[left[first]], values[left[first]]
-            rest = np.ones(len(left), bool)
-            rest[first] = False
-            left, at = left[rest], (at[rest] + 1) & (len(used) - 1)
-        self.used = used
-
-    def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * self._MIX) >> self.shift).astype(np.int64)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = self._home(keys)
-        off = np.flatnonzero((self.keys[at] != keys) | ~self.used[at])
-        while len(off):
-            if not self.used[at[off]].all():
-                raise RuntimeError("a text holds a key that its block did not count: the input changed between two reads")
-            at[off] = (at[off] + 1) & (len(self.used) - 1)
-            off = off[(self.keys[at[off]] != keys[off]) | ~self.used[at[off]]]
-        return self.values[at]
-
-
-def _block() -> "F.Column":
-    """A number for the block that a row of an input file is in; rows from elsewhere are dealt by their id."""
-    file = F.input_file_name()
-    return F.when(file != "", F.xxhash64(file, F.floor(F.input_file_block_start() / F.lit(BLOCK_BYTES)))) \
-        .otherwise(F.pmod(F.xxhash64("doc_id", F.octet_length("t")), F.lit(64)))
+        """Asked in the order of the keys, each once, so that the search walks through memory one way."""
+        asked, back = np.unique(keys, return_inverse=True)
+        at, hit = _found(self.keys, asked)
+        if not hit.all():
+            raise RuntimeError("a text holds a key that its block did not count: the input changed between two reads")
+        return self.values[at][back]
+
+
+def _table(parts: list) -> Lookup:
+    return Lookup(*map(np.concatenate, zip(*parts, strict=True)))
+
+
+def in_blocks(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` of ``docs`` (with a column t) and the block that each is in, which follows from the row alone, as
+    often as it is read: about ``BLOCK_BYTES`` of text make a block. Rows of Parquet files are in blocks of so
+    many rows of a file; others are dealt by hash, stored once block by block."""
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("t")).alias("b")).first()
+    n, size = total["n"], total["b"] or 0
+    try:
+        place = docs.select(docs["_metadata.file_path"], docs["_metadata.row_index"]).limit(0) is not None
+    except AnalysisException:  # not a scan of Parquet files
+        place = False
+    if place:
+        per_block = max(1, n * BLOCK_BYTES // max(size, 1))
+        return rows.withColumn("block", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / per_block)))
+    blocks = -(-max(size, 1) // BLOCK_BYTES)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)))
+    return stored(dealt.repartition(blocks, "block").sortWithinPartitions("block"), "ppm-rows")
 
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -256,11 +255,28 @@ def pair_log_probabilities(pairs: DataFrame, order: int) -> DataFrame:
     base = ladder(low.pair.to_numpy(np.int64).astype(np.uint64), low.n.to_numpy(np.int64), low_order, 0)
 
     def run(batches):
-        got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        if not got:
-            return
-        keys = np.concatenate([k for k, _ in got]).astype(np.uint64)
-        n = np.concatenate([c for _, c in got])
+        keys, n, held = [], [], 0
+        for b in batches:
+            k, c = b.column(0).to_numpy().astype(np.uint64), b.column(1).to_numpy()
+            if held >= GROUP_PAIRS:  # whole contexts only: up to where the last one of this batch starts
+                mine = (k >> np.uint64(8)) & _mask(_SHARED - 1)
+                cut = int(np.argmax(mine != shared_of(keys[-1][-1]))) if len(k) and (mine != shared_of(keys[-1][-1])).any() else len(k)
+                keys.append(k[:cut])
+                n.append(c[:cut])
+                if cut < len(k):
+                    yield from valued(np.concatenate(keys), np.concatenate(n))
+                    keys, n, held = [k[cut:]], [c[cut:]], len(k) - cut
+                continue
+            keys.append(k)
+            n.append(c)
+            held += len(k)
+        if keys:
+            yield from valued(np.concatenate(keys), np.concatenate(n))
+
+    def shared_of(key):
+        return (key >> np.uint64(8)) & _mask(_SHARED - 1)
+
+    def valued(keys, n):
         order_ = np.argsort(keys)
         keys, n = keys[order_], n[order_]
         tries = ladder(keys[n > 0], n[n > 0], order, _SHARED, base)
@@ -269,7 +285,7 @@ def pair_log_probabilities(pairs: DataFrame, order: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + (1 << 16)].astype(np.int64)), pa.array(value[i:i + (1 << 16)])], names=["key", "value"])
 
     shared = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * _SHARED)) - 1))
-    dealt = pairs.select("key", "n").repartition(shared)
+    dealt = pairs.select("key", "n").repartition(shared).sortWithinPartitions(shared)
     return dealt.mapInArrow(run, "key long, value double")
 
 
@@ -278,7 +294,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities)."""
     executors_ready(docs.sparkSession)
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("t"))
-    rows = rows.select(_block().alias("block"), (crc_mod(F.col("doc_id"), folds) != held_out).alias("train"), "doc_id", "t")
+    rows = in_blocks(rows, docs).select("block", (crc_mod(F.col("doc_id"), folds) != held_out).alias("train"), "doc_id", "t")
     counts = stored(block_counts(rows.select("block", "train", "t"), order), "ppm-block-counts", **_DELTAS)
     total = lambda kind: counts.filter(F.col("kind") == kind).groupBy("key").agg(F.sum("n").alias("n"))
     pairs, tokens = stored(total(0), "ppm-pairs"), stored(total(1), "ppm-tokens")
@@ -310,12 +326,13 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
                     block, tables, parts = blocks[a], None, {0: [], 1: []}
                 part, kind = batch.slice(a, z - a), int(kinds[a])
                 if kind < 2:
+                    if kind and tables is None:
+                        tables, parts[0] = [_table(parts[0])], []
                     parts[kind].append((part.column(1).to_numpy(zero_copy_only=False).astype(np.int64).astype(np.uint64),
                                         part.column(2).to_numpy(zero_copy_only=False).astype(float)))
                     continue
-                if tables is None:
-                    tables = [Lookup(*map(np.concatenate, zip(*parts[k], strict=True))) for k in (0, 1)]
-                    parts = {0: [], 1: []}
+                if len(tables) < 2:
+                    tables, parts[1] = [*tables, _table(parts[1])], []
                 yield from scores(pa.RecordBatch.from_arrays(part.column(3).flatten(), names=["doc_id", "t", "train"]), tables)
 
     def scores(part, tables):

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pulsevault.llm import byte_ppm
 from pulsevault.llm.byte_ppm import MARK, Lookup, ladder, log_probabilities, packed, scored, text_tokens
 
 SCHEMA = "doc_id long, text string, t string, score double, block int"
@@ -82,6 +83,20 @@ def test_files_as_blocks_give_the_same_scores(spark, tmp_path):
     assert sorted(map(key, scored(docs).collect())) == sorted(map(key, scored(spark.read.parquet(f"file://{tmp_path}/d")).collect()))
 
 
+@pytest.mark.parametrize("files", [True, False])
+def test_many_blocks_and_context_groups_give_the_same_scores(spark, tmp_path, monkeypatch, files):
+    rows = corpus(7, 120) * 2
+    docs = spark.createDataFrame([(i, t, "x", .5, 1) for i, t in rows], SCHEMA)
+    key = lambda r: (str(r.doc_id), r.n_tokens, round(r.score, 6), round(r.base_score, 6))
+    want = sorted(map(key, scored(docs).collect()))
+    if files:
+        docs.repartition(3).write.parquet(f"file://{tmp_path}/d")
+        docs = spark.read.parquet(f"file://{tmp_path}/d")
+    monkeypatch.setattr(byte_ppm, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(byte_ppm, "GROUP_PAIRS", 20)
+    assert sorted(map(key, scored(docs).collect())) == want
+
+
 def test_probabilities_of_a_context_add_up_to_one():
     pairs, _ = packed([t.encode() for _, t in corpus(3, 60) if t], 5)
     keys, n = np.unique(pairs, return_counts=True)
