@@ -52,7 +52,11 @@ def daily_stats(sat_reading_value: DataFrame, load_ts=DEFAULT_LOAD_TS, key: str
         F.max("value").alias("value_max"),
         F.percentile_approx("value", [0.5, 0.05, 0.95], PERCENTILE_ACCURACY).alias("__pct"),
     )
-    hk = F.col("patient_hk") if key == "patient_hk" else surrogate_key(key).alias("patient_hk")
+    return daily_columns(g, load_ts, F.col("patient_hk") if key == "patient_hk" else surrogate_key(key).alias("patient_hk"))
+
+
+def daily_columns(g: DataFrame, load_ts, hk: Column) -> DataFrame:
+    """The daily statistics from grouped counts, sums (__s, __n), __std, extremes and [median, p05, p95] (__pct)."""
     return g.select(
         hk, "metric_code", "report_date",
         load_stamp(load_ts).alias("load_datetime"),

@@ -183,14 +183,19 @@ def anomaly_dashboard(sat_demo: DataFrame, hub_patient: DataFrame, days: DataFra
     ``days``: scored patient-days with ``risk_tier``, ``composite_anomaly_score`` and
     ``anomaly_flag`` (the fused timeline).
     """
+    return dashboard_rows(sat_demo, hub_patient, days, latest_vitals(sat_reading_value),
+                          active_alert_counts(sat_alert, hub_alert, lnk_reading_alert, sat_reading_value), as_of)
+
+
+def dashboard_rows(sat_demo: DataFrame, hub_patient: DataFrame, days: DataFrame, vit: DataFrame, alerts: DataFrame,
+                   as_of: str = DEFAULT_AS_OF) -> DataFrame:
+    """MT2 from the latest vitals and alert counts per patient, however they were found."""
     from pulsevault.operators.vault import latest_version
     as_of_c = F.lit(as_of).cast("date")
     demo = latest_version(sat_demo, "patient_hk", keep_ties=True).join(
         hub_patient.select("patient_hk", "patient_bk"), "patient_hk").select(
         "patient_hk", "patient_bk", age_years("birth_date", as_of_c).alias("age"))
     summary = score_summary(days, as_of_c)
-    vit = latest_vitals(sat_reading_value)
-    alerts = active_alert_counts(sat_alert, hub_alert, lnk_reading_alert, sat_reading_value)
     j = (demo.join(summary, "patient_hk")
          .join(vit, "patient_hk", "left").join(alerts, "patient_hk", "left"))
     return j.select(

@@ -98,6 +98,14 @@ def between_summary(df: DataFrame, model: str, rules: dict[str, tuple]) -> DataF
                    {c: F.count_if(F.col(c).isNotNull() & ~F.col(c).between(lo, hi)) for c, (lo, hi) in rules.items()})
 
 
+def row_tests(not_null: list[str], accepted: dict[str, list[str]], between: dict[str, tuple]) -> list[tuple[str, str, Column]]:
+    """(test, column, whether a row fails) of the tests that look at one row at a time; countable while a table
+    is written (``DataFrame.observe``) as well as afterwards."""
+    tests = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    tests += [("accepted_values", c, F.col(c).isNotNull() & ~F.col(c).isin(v)) for c, v in accepted.items()]
+    return tests + [("between", c, F.col(c).isNotNull() & ~F.col(c).between(*b)) for c, b in between.items()]
+
+
 # -- DQ6/DQ7 plausible ranges on raw readings --------------------------------------------------------------
 
 def range_violations(sat_reading_value: DataFrame) -> DataFrame:

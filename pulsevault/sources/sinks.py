@@ -7,6 +7,7 @@ partitions (dynamic mode), appends go through a keyed anti join first.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +101,61 @@ def write_csv(df: DataFrame, path: str, header_names: dict[str, str] | None = No
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+# -- day tables: rewritten by whole days, or bucketed for joins that leave them where they are ------------------
+
+def read_days(df: DataFrame, days: list | None, part_col: str = "day") -> DataFrame:
+    """The partitions of ``days`` (None among them: rows without a day) as a literal partition filter."""
+    if days is None:
+        return df
+    dated = [d for d in days if d is not None]
+    some = F.col(part_col).isin(dated)
+    return df.where(some if len(dated) == len(days) else some | F.col(part_col).isNull())
+
+
+def overwrite_days(spark: SparkSession, df: DataFrame, path: str, part_col: str = "day") -> None:
+    """Replace the day partitions that ``df`` has rows for; the others keep their files. ``df`` may read them:
+    it is stored in the shared scratch folder first."""
+    from pulsevault.session import scratch_path
+    kept = scratch_path(spark, "days")
+    df.write.parquet(kept)
+    rows = spark.read.schema(df.schema).parquet(kept)
+    (cluster_by_partition(rows, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
+
+
+class BucketedTable:
+    """Parquet partitioned by ``part_col`` and bucketed by ``key``: a join on the key shuffles only its other
+    side. The bucketing is declared in the session's catalog over the table's path."""
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int, part_col: str = "day"):
+        self.spark, self.path, self.key, self.buckets, self.part_col = spark, path, key, buckets, part_col
+        self.name = "bucketed_" + hashlib.md5(path.encode()).hexdigest()
+
+    def _declare(self, schema) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString() if f.name != self.part_col else 'date'}" for f in schema.fields)
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({self.part_col}) CLUSTERED BY ({self.key}) "
+                       f"SORTED BY ({self.key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
+    def read(self) -> DataFrame | None:
+        if not self.spark.catalog.tableExists(self.name):
+            df = read_if_exists(self.spark, self.path)
+            if df is None:
+                return None
+            self._declare(df.schema)
+            self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+        return self.spark.table(self.name)
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """Rows dealt as the buckets are: every bucket is written by one task, so as one file a day."""
+        return df.repartition(self.buckets, self.key)
+
+    def append(self, dealt: DataFrame) -> None:
+        """Append ``dealt`` rows (``part_col`` last)."""
+        if self.read() is None:
+            self._declare(dealt.schema)
+        dealt.write.insertInto(self.name)
+
+
 # -- SNK6 snapshots ----------------------------------------------------------------------------------------
 
 def write_snapshot(spark: SparkSession, df: DataFrame, root: str) -> int:
