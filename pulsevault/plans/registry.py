@@ -58,6 +58,7 @@ from pulsevault.fixed_values import (  # noqa: E402
 from pulsevault.functions import age_years, parse_iso_ts, surrogate_key, dec_to_int  # noqa: E402
 from pulsevault.operators import alerts as AL  # noqa: E402
 from pulsevault.operators import business as BV  # noqa: E402
+from pulsevault.operators import daystate as DS  # noqa: E402
 from pulsevault.operators import marts as MT  # noqa: E402
 from pulsevault.operators import ml as ML  # noqa: E402
 from pulsevault.operators import patients as PT  # noqa: E402
@@ -415,10 +416,12 @@ def _inc_hwm(lh):
     return new.select("reading_hk", "load_datetime", "measured_at")
 
 
-@register("inc_hwm_date", O.table("risk_profile"))
+# the stored rows of two days are out of date: the last one is reprocessed, the one before is beyond the lookback
+@register("inc_hwm_date", O.table("risk_profile", "* REPLACE (CASE WHEN report_date = DATE '2024-01-19' THEN 'stale' ELSE risk_tier END AS risk_tier)"))
 def _inc_hwm_date(lh):
-    risk = lh.risk_profile()
-    existing = risk.where(F.col("report_date") <= F.lit("2024-01-20").cast("date"))
+    risk, day = lh.risk_profile(), F.col("report_date")
+    at = lambda d: F.lit(d).cast("date")
+    existing = risk.where(day <= at("2024-01-20")).withColumn("risk_tier", F.when(day >= at("2024-01-19"), "stale").otherwise(F.col("risk_tier")))
     new = DV.date_watermark_filter(risk, existing)
     return DV.replace_by_key(existing, new, ["patient_hk", "report_date"])
 
@@ -504,6 +507,25 @@ def _dq_freshness(lh):
     return DQ.stale_devices(lh.sat_reading_value(), lh.hub_device(), AS_OF_TS)
 
 
+# devices whose serial ends in 3 fall silent on January 25
+O.cte("heard_readings", ["sat_reading_value", "hub_device"], """
+SELECT r.* FROM sat_reading_value r JOIN hub_device d ON d.device_hk = r.device_hk
+WHERE NOT (right(d.device_serial_bk, 1) = '3' AND r.measured_at >= TIMESTAMP '2024-01-25 00:00:00')""")
+
+
+@register("dq_silent_devices", sql(
+    "SELECT d.device_hk, d.device_serial_bk, l.last_seen_at, "
+    f"CAST({_HOURS.format(now=AS_OF_TS, t='l.last_seen_at')} AS BIGINT) AS hours_since_last_reading "
+    "FROM hub_device d JOIN (SELECT device_hk, max(measured_at) AS last_seen_at FROM heard_readings GROUP BY device_hk) l "
+    f"ON l.device_hk = d.device_hk WHERE {_HOURS.format(now=AS_OF_TS, t='l.last_seen_at')} > 25",
+    "hub_device", "heard_readings"))
+def _dq_silent_devices(lh):
+    silent = lh.hub_device().where(F.col("device_serial_bk").endswith("3")).select("device_hk", F.lit(True).alias("silent"))
+    heard = lh.sat_reading_value().join(silent, "device_hk", "left").where(
+        F.col("silent").isNull() | (F.col("measured_at") < F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")))
+    return DQ.stale_devices(heard, lh.hub_device(), AS_OF_TS)
+
+
 @register("dq_source_freshness", sql(
     f"SELECT max_loaded_at, CAST({_HOURS.format(now=AS_OF_TS, t='max_loaded_at')} AS BIGINT) AS hours_since, "
     f"CASE WHEN max_loaded_at IS NULL OR {_HOURS.format(now=AS_OF_TS, t='max_loaded_at')} > 50 THEN 'error' "
@@ -710,6 +732,40 @@ def _ml_features(lh):
     return ML.feature_importances(model, top=len(MODEL_FEATURES)).select("feature")
 
 
+# predictions that follow from the row's key, so that every number of the report can be stated
+_RULE = "CAST(('0x' || substr(md5(concat_ws('|', patient_hk, CAST(report_date AS VARCHAR))), 1, 8)) AS BIGINT) % 10"
+O.cte("ruled", ["ml_dataset"], f"SELECT label, CASE WHEN {_RULE} < 2 THEN 1 - label ELSE label END AS prediction, "
+      f"CAST(({_RULE}) * 10 + label AS DOUBLE) / 100 AS p_positive FROM ml_dataset")
+_CLASS = " UNION ALL ".join(
+    f"SELECT '{c}' AS metric_group, count(*) FILTER (WHERE prediction = {c} AND label = {c}) AS tp, count(*) FILTER (WHERE prediction = {c}) AS pp, "
+    f"count(*) FILTER (WHERE label = {c}) AS support FROM ruled" for c in (0, 1))
+O.cte("ruled_classes", ["ruled"], f"""
+SELECT metric_group, support, CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END AS precision, CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall
+FROM ({_CLASS}) c""")
+O.cte("ruled_report", ["ruled_classes"], """
+SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM ruled_classes""")
+O.cte("ruled_auc", ["ruled"], """
+SELECT (sum(CASE WHEN label = 1 THEN rank END) - (p * (p + 1)) / 2) / (p * n) AS auc FROM (
+  SELECT label, (rank() OVER (ORDER BY p_positive) + rank() OVER (ORDER BY p_positive) + count(*) OVER (PARTITION BY p_positive) - 1) / 2 AS rank,
+         count(*) FILTER (WHERE label = 1) OVER () AS p, count(*) FILTER (WHERE label = 0) OVER () AS n FROM ruled) r GROUP BY p, n""")
+
+
+@register("ml_report_of_rules", sql(
+    "SELECT metric_group, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support FROM ruled_report "
+    "UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), CAST(sum(support) AS BIGINT) FROM ruled_report "
+    "UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 9), round(sum(recall * support) / sum(support), 9), "
+    "round(sum(f1 * support) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM ruled_report "
+    "UNION ALL SELECT 'accuracy', round(count(*) FILTER (WHERE prediction = label) / count(*), 9), NULL, NULL, count(*) FROM ruled "
+    "UNION ALL SELECT 'roc_auc', (SELECT round(auc, 9) FROM ruled_auc), NULL, NULL, NULL", "ruled", "ruled_report", "ruled_auc"))
+def _ml_report_of_rules(lh):
+    d = ML.model_dataset(lh.mart_patient_daily_features())
+    rule = F.conv(F.substring(F.md5(F.concat_ws("|", "patient_hk", F.col("report_date").cast("string"))), 1, 8), 16, 10).cast("long") % 10
+    pred = d.select("label", F.when(rule < 2, 1 - F.col("label")).otherwise(F.col("label")).alias("prediction"),
+                    ((rule * 10 + F.col("label")).cast("double") / 100).alias("p_positive"))
+    report = ML.classification_metrics(pred)
+    return report.select("metric_group", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
 @register("ml_importance")
 def _ml_importance(lh):
     _, _, model = _model(lh)
@@ -860,6 +916,48 @@ def _batch_daily_vitals(lh):
     return _two_batches(lh).read("daily_vitals")
 
 
+@register("batch_sat_reading_value", sql(f"SELECT * EXCLUDE (load_datetime), {_BATCH_STAMP} AS load_datetime FROM sat_reading_value",
+                                         "sat_reading_value"))
+def _batch_sat_reading_value(lh):
+    return _two_batches(lh).read("sat_reading_value")
+
+
+@register("batch_latest_vital", O.table("latest_vital"))
+def _batch_latest_vital(lh):
+    return DS.latest_from_state(_two_batches(lh).read("patient_state"))
+
+
+@register("batch_active_alerts", O.table("active_alerts"))
+def _batch_active_alerts(lh):
+    wh = _two_batches(lh)
+    # the value satellite is bucketed by reading key: only the links are shuffled
+    return MT.active_alert_counts(wh.read("sat_alert_detail"), wh.read("hub_alert"), wh.read("lnk_reading_alert"), wh.read("sat_reading_value"))
+
+
+@register("batch_alert_state", O.table("active_alerts"))
+def _batch_alert_state(lh):
+    return DS.alerts_from_state(_two_batches(lh).read("patient_state"))
+
+
+@register("batch_dashboard", O.table("mart_anomaly_dashboard"))
+def _batch_dashboard(lh):
+    return _two_batches(lh).read("mart_anomaly_dashboard")
+
+
+_APPENDED = ["hub_patient", "hub_device", "hub_metric_type", "hub_reading", "hub_alert", "lnk_patient_device", "lnk_device_metric",
+             "lnk_reading_alert", "sat_patient_demographics", "sat_device_spec", "sat_reading_value", "sat_reading_context", "sat_alert_detail"]
+_OBSERVED = [r for m in _APPENDED for r in
+             _report_sql(m, "not_null", {c: f"{c} IS NULL" for c in T.NOT_NULL.get(m, [])})
+             + _report_sql(m, "accepted_values", {c: f"{c} IS NOT NULL AND {c} NOT IN ({O.in_list(v)})" for c, v in T.ACCEPTED.get(m, {}).items()})
+             + _report_sql(m, "between", {c: f"{c} IS NOT NULL AND NOT ({c} BETWEEN {lo} AND {hi})" for c, (lo, hi) in T.BETWEEN.get(m, {}).items()})]
+
+
+@register("batch_data_tests", sql(_union_sql([r.replace("AS failures FROM", "AS failures, CAST(count(*) AS BIGINT) AS n_rows FROM") for r in _OBSERVED]), *_APPENDED))
+def _batch_data_tests(lh):
+    seen = _two_batches(lh).read("data_tests").where(F.col("model").isin(_APPENDED))
+    return seen.groupBy("model", "test", "column_name").agg(F.sum("failures").alias("failures"), F.sum("n_rows").alias("n_rows"))
+
+
 @register("stream_breach_alerts", O.table("raw_alerts"))
 def _stream_breach_alerts(lh):
     from pulsevault.streaming.alerts import stream_breach_alerts
