@@ -13,6 +13,7 @@ from pulsevault.fixed_values import (
     EDA_BOX_FEATURES, EDA_CORR_FEATURES, FOREST_TREES, MODEL_FEATURES, MODEL_SEED, TOPK_TRAINING_ROWS,
     TRAIN_FRACTION,
 )
+from pulsevault.session import scratch_path
 
 LABEL = "anomaly_next_24h"
 PCT_ACCURACY = 10000
@@ -36,21 +37,74 @@ def profile(mart: DataFrame) -> DataFrame:
     )
 
 
+def column_info(mart: DataFrame) -> DataFrame:
+    """ML1 info(): type and number of known values of every column, in one aggregate."""
+    row = mart.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(mart.columns)])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("dtype"), F.col(f"c{i}").alias("n_known"))
+        for i, (c, t) in enumerate(mart.dtypes)])).alias("r")).select("r.*")
+
+
+#: Bins that an interval is cut into in each round of ``exact_quantiles``.
+QUANTILE_BINS = 2048
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], bins: int = QUANTILE_BINS) -> DataFrame:
+    """(column_name, prob, value): exact quantiles with linear interpolation, by refinement of histograms.
+
+    Every wanted rank starts with its column's range. A round counts the values of each range in ``bins`` bins (a
+    partial aggregate; at most ``bins`` rows per column and rank reach the driver) and goes on with the smallest
+    and largest value of the bin that holds the rank, until these are equal. Nulls and NaN are left out."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "quantiles")
+    df.select(*[F.col(c).cast("double").alias(c) for c in columns]).write.parquet(path)
+    values = spark.read.parquet(path).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in columns])).alias("r")).select("r.*") \
+        .where(F.col("v").isNotNull() & ~F.isnan("v"))
+    spans = {r["column_name"]: r for r in values.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    # (column, rank from 0) -> (smallest value that it can be, largest, how many values are smaller than the smallest)
+    at = {(c, rank): (r["low"], r["high"], 0) for c, r in spans.items() for p in probs
+          for rank in (int(p * (r["n"] - 1)), min(int(p * (r["n"] - 1)) + 1, r["n"] - 1))}
+    while wide := sorted({(c, low, high) for (c, _), (low, high, _) in at.items() if low < high}):
+        bounds = spark.createDataFrame(wide, "column_name string, low double, high double")
+        v, low, high = F.col("v"), F.col("low"), F.col("high")
+        rows = values.join(F.broadcast(bounds), "column_name").where(v.between(low, high))  # a few rows per column
+        bin_ = F.least(F.floor((v / 2 - low / 2) / (high / 2 - low / 2) * bins), F.lit(bins - 1))
+        found: dict = {}
+        for r in rows.groupBy("column_name", "low", "high", bin_.alias("bin")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("z")).orderBy("bin").collect():
+            found.setdefault((r["column_name"], r["low"], r["high"]), []).append(r)
+        for (c, rank), (low_, high_, below) in at.items():
+            for r in found.get((c, low_, high_), []) if low_ < high_ else []:
+                if rank < below + r["n"]:
+                    at[c, rank] = (r["a"], r["z"], below)
+                    break
+                below += r["n"]
+    out = []
+    for c, r in spans.items():
+        for p in probs:
+            place = p * (r["n"] - 1)
+            a, z = at[c, int(place)][0], at[c, min(int(place) + 1, r["n"] - 1)][0]
+            out.append((c, p, a + (z - a) * (place - int(place))))
+    return spark.createDataFrame(out, "column_name string, prob double, value double")
+
+
 def describe(mart: DataFrame, columns: list[str]) -> DataFrame:
-    """ML1 describe(): count/mean/std/min/quartiles/max per numeric column in one pass, long format. The
-    quartiles are exact (linear interpolation)."""
+    """ML1 describe(): count/mean/std/min/quartiles/max per numeric column, long format. The quartiles are exact
+    (linear interpolation), found by refinement; the rest is one pass."""
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q")]
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     row = mart.agg(*aggs)
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("q25"),
-                 F.col(f"{c}__q")[1].alias("q50"), F.col(f"{c}__q")[2].alias("q75"), F.col(f"{c}__max").alias("max"))
+    rows = row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{x}").alias(x) for x in ("n", "mean", "std", "min", "max")])
         for c in columns])).alias("r")).select("r.*")
+    q = exact_quantiles(mart, columns, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(100 * p)}") for p in (0.25, 0.5, 0.75)])
+    return rows.join(F.broadcast(q), "column_name", "left").select("column_name", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def label_counts(mart: DataFrame) -> DataFrame:

@@ -617,6 +617,21 @@ def _eda_describe(lh):
                     *[F.round(c, 6).alias(c) for c in ("q25", "q50", "q75")], "max")
 
 
+_MART_TYPES = {
+    "patient_hk": "string", "report_date": "date", "age": "bigint", "gender": "string", "bmi": "decimal(5,2)", "has_diabetes": "boolean",
+    "has_hypertension": "boolean", "has_cardiac_condition": "boolean", "condition_count": "bigint", "steps_total": "int",
+    "sleep_duration_hrs": "decimal(6,2)", "steps_total_7d_avg": "decimal(10,2)", "anomaly_events_30d": "int",
+    "data_completeness": "decimal(5,2)", "risk_tier": "string", "anomaly_next_24h": "boolean",
+    **dict.fromkeys(["hr_mean", "hr_std", "hr_min", "hr_max", "hr_p05", "hr_p95", "spo2_mean", "spo2_min", "skin_temp_mean", "glucose_mean",
+                     "glucose_std", "hr_mean_7d_avg", "hr_mean_delta_1d", "spo2_min_7d_avg", "composite_anomaly_score"], "decimal(8,4)")}
+
+
+@register("eda_info", sql(" UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS dtype, count({c}) AS n_known FROM {MART}"
+                                             for c, t in _MART_TYPES.items()), MART))
+def _eda_info(lh):
+    return ML.column_info(lh.mart_patient_daily_features())
+
+
 @register("eda_label_counts", sql(f"SELECT anomaly_next_24h, count(*) AS n FROM {MART} GROUP BY 1", MART))
 def _eda_label_counts(lh):
     return ML.label_counts(lh.mart_patient_daily_features())
@@ -843,11 +858,14 @@ def _sink_partitioned(lh):
 
 @register("compact_daily", O.table("sat_reading_value", _SRV_DAY))
 def _compact_daily(lh):
-    small = scratch_path(lh.spark, "srv-small-files")
-    # many small files per day, as a stream of daily appends would leave behind
-    (lh.sat_reading_value().withColumn("measured_date", F.to_date("measured_at")).repartition(16)
-     .write.mode("overwrite").partitionBy("measured_date").parquet(small))
-    return SK.compact_partitions(lh.spark, small, scratch_path(lh.spark, "srv-compacted"), "measured_date")
+    path = scratch_path(lh.spark, "srv-small-files")
+    rows = lh.sat_reading_value().withColumn("measured_date", F.to_date("measured_at"))
+    # even days as one load leaves them, odd days in many small files, as a stream of appends leaves behind
+    even = F.dayofmonth("measured_date") % 2 == 0
+    rows.where(even).repartition("measured_date").write.partitionBy("measured_date").parquet(path)
+    rows.where(~even).repartition(8).write.mode("append").partitionBy("measured_date").parquet(path)
+    SK.compact_small_files(lh.spark, path, "measured_date")
+    return lh.spark.read.parquet(path)
 
 
 @register("snapshot_read", sql(f"SELECT * FROM {MART} WHERE report_date < DATE '2024-01-20'", MART))

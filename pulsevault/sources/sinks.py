@@ -206,6 +206,35 @@ def compact_partitions(spark: SparkSession, src: str, dst: str, part_col: str,
     return spark.read.parquet(dst)
 
 
+def small_file_partitions(spark: SparkSession, path: str, part_col: str, target_bytes: int) -> DataFrame:
+    """(part_col, files, bytes, wanted): the partitions with several files below half the target size that
+    would fit in fewer files of the target size. Reads the files' sizes, no data columns."""
+    files = spark.read.parquet(path).select(part_col, "_metadata.file_path", "_metadata.file_size").distinct()
+    parts = files.groupBy(part_col).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"),
+        F.count_if(F.col("file_size") < target_bytes / 2).alias("small"))
+    parts = parts.withColumn("wanted", F.ceil(F.col("bytes") / target_bytes).cast("int"))
+    return parts.where((F.col("small") > 1) & (F.col("wanted") < F.col("files"))).drop("small")
+
+
+def compact_small_files(spark: SparkSession, path: str, part_col: str, target_bytes: int = 128 << 20) -> list:
+    """SNK7 in place: rewrite only the partitions of small files, each as so many files as its bytes fill; all
+    other partitions keep theirs. Returns the rewritten partitions (at most one value per partition)."""
+    from pulsevault.session import scratch_path
+    picked = small_file_partitions(spark, path, part_col, target_bytes).collect()
+    if not picked:
+        return []
+    values = [r[part_col] for r in picked]
+    rows = read_days(spark.read.parquet(path), values, part_col)
+    kept = scratch_path(spark, "compact")
+    rows.write.parquet(kept)  # the partitions are replaced by what was read from them
+    wanted = max(r["wanted"] for r in picked)
+    rows = spark.read.schema(rows.schema).parquet(kept)
+    (cluster_by_partition(rows, part_col, wanted).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
+    return values
+
+
 def file_count(spark: SparkSession, path: str) -> int:
     """Number of data files behind a path (driver-side listing metadata only)."""
     return len(spark.read.parquet(path).inputFiles())

@@ -35,3 +35,26 @@ def test_report_by_hand(spark):
 def test_without_training_rows_every_test_row_is_reported(spark):
     ds = spark.createDataFrame([("p", 1, 0, "test")], "patient_hk string, report_date int, label int, split string")
     assert [tuple(r) for r in ML.predict(None, None, ds).collect()] == [("p", 1, 0, None, None)]
+
+
+def test_exact_quantiles_by_refinement(spark):
+    import random
+
+    import numpy as np
+    rng = random.Random(2)
+    columns = {
+        "plain": [rng.gauss(0, 1) for _ in range(501)],
+        "repeated": [float(rng.choice([1, 1, 1, 2, 5])) for _ in range(501)],
+        "one": [3.5] * 501,
+        "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-9, 9) for _ in range(501)],
+        "holes": [None if rng.random() < 0.4 else rng.randint(0, 9) / 10 for _ in range(501)],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 1.0]
+    for bins in (16, ML.QUANTILE_BINS):
+        got = {(r.column_name, r.prob): r.value for r in ML.exact_quantiles(df, list(columns), probs, bins=bins).collect()}
+        for c, values in columns.items():
+            known = [v for v in values if v is not None]
+            for p in probs:
+                np.testing.assert_allclose(got[c, p], np.quantile(known, p), rtol=1e-9)
+    assert ML.exact_quantiles(df.limit(0), ["plain"], probs).count() == 0

@@ -55,3 +55,18 @@ def test_views_and_touched_partition_overwrite(spark):
     got = spark.read.parquet(path)
     assert got.count() == 100 and got.where("id >= 1000").select("d").distinct().collect()[0].d == 1
     SK.overwrite(rows.limit(7), scratch_path(spark, "t-full"))
+
+
+def test_selective_compaction_leaves_other_partitions_alone(spark):
+    path = scratch_path(spark, "t-compact-some")
+    df = spark.range(3000).select("id", (F.col("id") % 4).alias("d"))
+    df.where("d < 2").repartition(12).write.partitionBy("d").parquet(path)
+    df.where("d >= 2").repartition("d").write.mode("append").partitionBy("d").parquet(path)
+    files = lambda: {f for f in spark.read.parquet(path).inputFiles()}
+    before = files()
+    assert sorted(SK.compact_small_files(spark, path, "d")) == [0, 1]
+    after = files()
+    assert {f for f in before if "d=2" in f or "d=3" in f} <= after
+    assert not {f for f in before if "d=0" in f or "d=1" in f} & after and len(after) == 4
+    assert spark.read.parquet(path).exceptAll(df).isEmpty() and spark.read.parquet(path).count() == 3000
+    assert SK.compact_small_files(spark, path, "d") == []
