@@ -170,7 +170,9 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
+        self.keys = keys[order]
+        del keys
+        self.values = values[order]
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         """Asked in the order of the keys, each once, so that the search walks through memory one way."""
@@ -182,7 +184,12 @@ class Lookup:
 
 
 def _table(parts: list) -> Lookup:
-    return Lookup(*map(np.concatenate, zip(*parts, strict=True)))
+    """The lookup of (keys, values) parts, which are let go as it is made."""
+    keys = np.concatenate([k for k, _ in parts])
+    parts[:] = [v for _, v in parts]
+    values = np.concatenate(parts)
+    parts.clear()
+    return Lookup(keys, values)
 
 
 def in_blocks(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -212,6 +219,29 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[first], np.add.reduceat(weights, first)
 
 
+class _Counts:
+    """Occurrences of keys: what came lately is summed up when it is half as much as what is summed already."""
+
+    def __init__(self):
+        self.keys, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.late: list = []
+
+    def add(self, keys: np.ndarray, count: bool) -> None:
+        keys, n = np.unique(keys, return_counts=True)
+        self.late.append((keys, n.astype(np.int64) if count else np.zeros(len(keys), np.int64)))
+        if sum(len(k) for k, _ in self.late) > max(len(self.keys) // 2, 1 << 19):
+            self.all()
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        late, self.late = self.late, []
+        if late:
+            keys = np.concatenate([self.keys, *(k for k, _ in late)])
+            n = np.concatenate([self.n, *(c for _, c in late)])
+            self.keys = self.n = late = None
+            self.keys, self.n = _summed(keys, n)
+        return self.keys, self.n
+
+
 def block_counts(rows: DataFrame, order: int) -> DataFrame:
     """(block, kind, key, n) of the distinct pairs (kind 0) and tokens (kind 1) of each block; ``rows``: (block,
     train, t). n: occurrences in training texts, 0 for keys that only other texts hold."""
@@ -220,27 +250,25 @@ def block_counts(rows: DataFrame, order: int) -> DataFrame:
         held, block = {}, None
 
         def done():
-            for kind, (keys, n) in held.items():
+            for kind, counts in held.items():
+                keys, n = counts.all()
                 for i in range(0, len(keys), 1 << 16):
                     k = keys[i:i + (1 << 16)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(k), block, np.int64)), pa.array(np.full(len(k), kind, np.int32)),
                          pa.array(k.astype(np.int64)), pa.array(n[i:i + (1 << 16)])], names=["block", "kind", "key", "n"])
 
-        for b, texts in text_chunks(batches, 2, 1 << 22):
+        for b, texts in text_chunks(batches, 2):
             blocks, train = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
             for mine in dict.fromkeys(blocks.tolist()):
                 if mine != block:
                     yield from done()
-                    held, block = {}, mine
+                    held, block = {0: _Counts(), 1: _Counts()}, mine
                 for use in (True, False):
                     some = [t for t, x, y in zip(texts, blocks, train, strict=True) if x == mine and y == use]
                     if some:
-                        for kind, (keys, _) in enumerate((packed(some, order), text_tokens(some))):
-                            keys, n = np.unique(keys, return_counts=True)
-                            n = n.astype(np.int64) if use else np.zeros(len(keys), np.int64)
-                            old = held.get(kind)
-                            held[kind] = _summed(np.concatenate((old[0], keys)), np.concatenate((old[1], n))) if old else (keys, n)
+                        held[0].add(packed(some, order)[0], use)
+                        held[1].add(text_tokens(some)[0], use)
         yield from done()
 
     return rows.mapInArrow(run, "block long, kind int, key long, n long")
