@@ -195,19 +195,28 @@ def _compared(group: list[tuple], threshold: float):
 
 
 def verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, n: int, threshold: float) -> DataFrame:
-    """Stored (node, root, texts, docs, whole) of compared groups; ``members``: (doc_id, node, family, copies,
-    n_grams), one per node. ``whole``: the group is the whole family, so its roots are final."""
+    """Stored (node, root, texts, docs, whole) of compared groups; ``members``: (one, node, family, copies,
+    n_grams), one per node, ``one`` being (doc_id, text_hash) of a text of the node: a null or repeated id alone would
+    name many texts. ``whole``: the group is the whole family, so its roots are final."""
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("n_grams") / F.lit(BLOCK_GRAMS))).cast("int")
     sizes = stored(members.groupBy("family").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n")), "near-sizes")
     plan = members.join(sizes.filter("n > 1").drop("n"), "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    plan = stored(plan.select(F.col("doc_id").alias("__id"), "node", "family", "copies", "block", "blocks"), "near-plan")
+    plan = stored(plan.select(F.col("one.doc_id").alias("__id"), F.col("one.text_hash").alias("__hash"), "node", "family", "copies", "block", "blocks"),
+                  "near-plan")
     _, marked = small_or(plan, BROADCAST_NODES)
-    source = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("t"))
-    source = source.join(marked, source["doc_id"].eqNullSafe(marked["__id"])).select("t", "node", "family", "copies", "block", "blocks")
+    text = text_of(docs, text_col)
+    source = docs.select(docs[id_col].alias("doc_id"), text.alias("t"), F.xxhash64(text).alias("h"))
+    match = source["doc_id"].eqNullSafe(marked["__id"]) & (source["h"] == marked["__hash"])
+    source = source.join(marked, match).select("t", "node", "family", "copies", "block", "blocks")
 
     def cut(batches):
         import pyarrow as pa
+        seen: set = set()  # rows with one id and text give their node once a task
         for b, texts in text_chunks(batches, 0):
+            new = [i for i, x in enumerate(b.column(1).to_pylist()) if x not in seen and not seen.add(x)]
+            b, texts = b.take(pa.array(new, pa.int64())), [texts[i] for i in new]
+            if not texts:
+                continue
             sets = ngram_sets(texts, n)
             mine = np.flatnonzero([node_of(g) == x.as_py() for g, x in zip(sets, b.column(1), strict=True)])
             rest = [b.column(i).take(pa.array(mine)) for i in range(1, 6)]
@@ -252,10 +261,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (the class's key, there for null ids too), text_hash."""
     bands, rows = banding(threshold, recall)
     sigs = stored(signatures(docs, id_col, text_col, n, bands, rows), "near-signatures")
-    nodes = stored(sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"),
+    nodes = stored(sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("one"),
+                                            F.count(F.lit(1)).alias("copies"),
                                             F.first("n_grams").alias("n_grams"), F.first("keys").alias("keys")), "near-nodes")
     families = candidate_families(nodes)
-    members = nodes.select("doc_id", "node", "copies", "n_grams").join(families, "node")
+    members = nodes.select("one", "node", "copies", "n_grams").join(families, "node")
     links = verified(docs, members, id_col, text_col, n, threshold)
     whole = links.filter("whole").select("node", "root")
     parts = components(links.filter("not whole").select(F.col("root").alias("a"), F.col("node").alias("b")), "near-classes")

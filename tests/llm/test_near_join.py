@@ -105,3 +105,26 @@ def test_sets_ignore_batch_neighbours():
     for a, b in zip(alone, ngram_sets(texts), strict=True):
         assert np.array_equal(a, b)
     assert [len(a) for a in alone] == [2, 0, 1, 2, 1]
+
+
+def test_null_and_repeated_ids_do_not_multiply(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        w[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    rows = [(None if i % 3 else 7, t) for i, t in enumerate(texts)] + [(None, texts[0])] * 200
+    cut, plain = [], near_join.stored
+
+    def counted(df, name, **options):
+        out = plain(df, name, **options)
+        if name == "near-plan":
+            cut.append(out.count())
+        return out
+    monkeypatch.setattr(near_join, "stored", counted)
+    docs = spark.createDataFrame([(i, t, "n", 1) for i, t in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.class_id, r.class_size, r.n_links, r.n_text_links) for r in near_classes(docs).collect()), key=str)
+    assert got == reference(rows)
+    assert cut == [150]
