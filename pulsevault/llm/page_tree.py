@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
+#: A quote opens a value only behind an equals sign; elsewhere it is a character like others.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S)
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true)", re.I)
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -30,7 +33,7 @@ OUTSIDE = frozenset(
 #: Words of class, id and role that mark a part as not being main text.
 OUTSIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent cookie "
-    "cookies disqus discussion footer form gdpr login masthead menu modal nav navbar navigation navigationbar newsletter notice notification "
+    "cookies disqus discussion feedback footer form gdpr login masthead menu modal nav navbar navigation navigationbar newsletter notice notification "
     "overlay pager pagination paywall popup promo promoted promotion recommended related replies reply respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets contentinfo".split())
 #: Words that mark the main text.
@@ -65,9 +68,11 @@ def _says(attributes: str) -> tuple[bool, bool, bool, str]:
 
 def parse(page: str) -> Node:
     """The tree of the page's blocks. Inline elements vanish, except that a text remembers whether all of it
-    is link text. Unclosed elements end with their parent, a block start ends an open paragraph."""
+    is link text. Unclosed elements end with their parent, a block start ends an open paragraph. An inline element
+    that is never main text (noscript, button ...) counts as a block once a block starts inside it."""
     root = Node("#root")
     stack: list[tuple[str, Node]] = [("#root", root)]
+    depth = Counter(["#root"])  # open elements by name
     text: list[str] = []
     plain = False  # whether the current run has text outside links
     links = skipped = 0  # open links; depth of inline elements that are not main text
@@ -82,6 +87,21 @@ def parse(page: str) -> Node:
                 top.children.append(Node("#text", words, top.outside, top.main, not plain))
         text, plain = [], False
 
+    def opened(name: str, node: Node):
+        stack[-1][1].children.append(node)
+        stack.append((name, node))
+        depth[name] += 1
+
+    def closed(until: int):
+        """Close elements until so many are open."""
+        while len(stack) > until:
+            depth[stack.pop()[0]] -= 1
+
+    def closed_with(name: str):
+        while stack[-1][0] != name:
+            closed(len(stack) - 1)
+        closed(len(stack) - 1)
+
     def add(data: str):
         nonlocal plain
         if data and not skipped:
@@ -102,16 +122,18 @@ def parse(page: str) -> Node:
         name = m[2].lower()
         if m[1]:
             if name in BLOCK:
-                if any(e == name for e, _ in stack):
+                if depth[name]:
                     flush()
-                    while stack[-1][0] != name:
-                        stack.pop()
-                    stack.pop()
+                    closed_with(name)
                     links, skipped, inline = 0, 0, []
                 elif name == "p":
                     flush()
             elif name == "br":
                 add(" ")
+            elif name not in inline and depth[name]:
+                flush()
+                closed_with(name)
+                links, skipped, inline = 0, 0, []
             elif name in inline:
                 while inline:
                     e = inline.pop()
@@ -135,18 +157,18 @@ def parse(page: str) -> Node:
                 skipped += name in OUTSIDE
             continue
         flush()
+        around = [e for e in inline if e in OUTSIDE]
         links, skipped, inline = 0, 0, []
-        names = [e for e, _ in stack]
-        if name != "option" and "p" in names:
-            while stack[-1][0] != "p":
-                stack.pop()
-            stack.pop()
+        if name != "option" and depth["p"]:
+            closed_with("p")
+        if around:
+            opened(around[0], Node(around[0], None, True, stack[-1][1].main))
         if name in CLOSES:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in _SCOPE[name]:
                     break
                 if stack[i][0] in CLOSES[name]:
-                    del stack[i:]
+                    closed(i)
                     break
         if name == "hr":
             continue
@@ -158,9 +180,7 @@ def parse(page: str) -> Node:
             own = False  # an article's own header holds its headline
         if m[3] and _HIDDEN.search(m[3]):
             own = True
-        node = Node(f"{name}.{first}" if first else name, None, parent.outside or own, main)
-        parent.children.append(node)
-        stack.append((name, node))
+        opened(name, Node(f"{name}.{first}" if first else name, None, parent.outside or own, main))
     flush()
     return root
 

@@ -219,7 +219,7 @@ def main_text(root: Node, template: set[tuple[int, int, int]], aligned: dict[int
     runs = [t for t in texts(root) if not template or (aligned.get(id(t)), _place(t), _value(t.text)) not in template]
     inside = [t for t in runs if not t.outside]
     kept = [] if induced else [t for t in inside if t.main]
-    kept = kept or [t for t in inside if not t.link or induced and t.main] or [t for t in runs if not t.link]
+    kept = kept or [t for t in inside if not t.link or induced and t.main] or [t for t in runs if not t.link] or inside
     return "\n\n".join(t.text for t in kept)
 
 

@@ -150,3 +150,26 @@ def test_given_pages(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " "))).split()) for p in re.split(r"</?(?:p|h1)>", article)]
         want[r.page_id] = "\n\n".join(b for b in blocks if b)
     assert {r.page_id: r.text for r in wrapper.extracted(pages).collect()} == want
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<noscript><p>Enable JS</p></noscript><p>Text one.</p>", "Text one."),
+    ("<p>Text one.</p><button><div>Share this</div></button><p>Text two.</p>", "Text one.\n\nText two."),
+    ("<template><div>Draft</div></template><p>Text <b>one</b>.</p>", "Text one."),
+    ("<div><object><p>No plugin</p><p>at all</p></object>Text one.</div>", "Text one."),
+    ("<p>before <button>x</button> after</p>", "before after"),
+    ("<p data=it's>one</p><p>two</p><p>it's three</p>", "one\n\ntwo\n\nit's three"),
+    ("<p title = \"a > b\" class='x'>one</p><p title=a\"b'c>two</p>", "one\n\ntwo"),
+    ("<div class='user-feedback'><p>Me too!</p></div><p>Text one.</p>", "Text one."),
+    ("<p><a href=x>All of it is a link</a></p>", "All of it is a link"),
+])
+def test_odd_markup(page, want):
+    assert main_text(parse(page), set(), {}) == want
+
+
+def test_many_open_elements_and_attributes_parse_in_linear_time():
+    import time
+    start = time.time()
+    assert main_text(parse("<div>" * 100_000 + "deep"), set(), {}) == "deep"
+    assert main_text(parse("<p " + "a= " * 200_000 + ">one" + "<p x='" * 3), set(), {}) == "one"
+    assert time.time() - start < 20
