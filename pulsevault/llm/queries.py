@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from pulsevault.llm import (
     ann_graph, bpe, byte_ppm, decontaminate, exact_dedup, line_quality, mixing, near_join, toxic_passages, turn_repair, url_reputation,
@@ -45,10 +46,11 @@ def op6_byte_ppm(spark, sf_dir):
 
 
 def op7_url_reputation(spark, sf_dir):
-    """Verdict on every page's url."""
+    """Verdict on every page's url, with its host's posterior rate of bad pages and the bound."""
     pages = table(spark, sf_dir, "pages")
     outcomes = url_reputation.page_outcomes(pages, table(spark, sf_dir, "labels"))
-    return url_reputation.judged(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+    return url_reputation.judged(pages, outcomes).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("rate", 6).alias("rate"), F.round("low", 6).alias("low"))
 
 
 def op8_mixing(spark, sf_dir):

@@ -31,6 +31,8 @@ MAX_BAD = 0.5
 #: Standard normal quantile of the posterior bound.
 Z = 1.645
 BROADCAST_HOSTS = 500_000
+#: The document number that ends a path, with or without a file extension.
+_NUMBER = "/([0-9]+)([.][A-Za-z][A-Za-z0-9]*)?/?$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -130,7 +132,7 @@ def page_outcomes(pages: DataFrame, labels: DataFrame, url_col: str = "url", doc
     bad = F.when((F.col(quality_col) == 0) | (F.col(toxic_col) == 1), 1.0).when(F.col(quality_col).isNotNull() | F.col(toxic_col).isNotNull(), 0.0)
     by_doc = labels.filter(F.col(doc_col).isNotNull()).groupBy(F.col(doc_col).cast("long").alias("__doc")).agg(F.avg(bad).alias("bad"))
     url = pages.select(pages[url_col].cast("string").alias("url")).withColumn("path", path_of(F.col("url")))
-    rows = url.select("url", F.expr("try_cast(nullif(regexp_extract(path, '/([0-9]+)([.][A-Za-z][A-Za-z0-9]*)?/?$', 1), '') AS BIGINT)").alias("__doc"))
+    rows = url.select("url", F.expr(f"try_cast(nullif(regexp_extract(path, '{_NUMBER}', 1), '') AS BIGINT)").alias("__doc"))
     return rows.filter("__doc is not null").join(by_doc, "__doc").select("url", "bad")
 
 
@@ -153,7 +155,7 @@ WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([
                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 l AS (SELECT doc_id, avg(CASE WHEN quality = 0 OR toxic = 1 THEN 1e0 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0e0 END) AS bad
       FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-o AS (SELECT host, bad FROM p JOIN l ON l.doc_id = TRY_CAST(nullif(regexp_extract(path, '/([0-9]+)/?$', 1), '') AS BIGINT) WHERE bad IS NOT NULL),
+o AS (SELECT host, bad FROM p JOIN l ON l.doc_id = TRY_CAST(nullif(regexp_extract(path, '{_NUMBER}', 1), '') AS BIGINT) WHERE bad IS NOT NULL),
 c AS (SELECT host, count(*)::DOUBLE AS n, sum(bad) AS bad FROM o GROUP BY host),
 h AS (SELECT host, coalesce(n, 0) AS n, coalesce(bad, 0) AS bad,
              CASE WHEN {last(2)} IN ({long}) THEN {last(3)} ELSE {last(2)} END AS domain,
@@ -167,7 +169,8 @@ sr AS (SELECT suffix, (bad + kappa * rate) / (n + kappa) AS rate FROM s, ks, g),
 dr AS (SELECT suffix, domain, (bad + kappa * sr.rate) / (n + kappa) AS rate FROM d JOIN sr USING (suffix), kd),
 hr AS (SELECT host, bad + kappa * dr.rate AS a, n - bad + kappa * (1 - dr.rate) AS b FROM h JOIN dr USING (suffix, domain), kh)
 SELECT page_id, host, path, {rule} AS rule,
-       coalesce({verdict}, CASE WHEN a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce({verdict}, CASE WHEN a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict,
+       round(a / (a + b), 6) AS rate, round(a / (a + b) - {Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 6) AS low
 FROM p JOIN hr USING (host)
 """
 
