@@ -30,6 +30,8 @@ from pulsevault.llm.common import crc_mod, executors_ready, text_chunks, text_of
 from pulsevault.llm.words import joined, mixed, word_hashes
 
 FIT_DOCS = 4_000
+#: Longer documents take no part in the fit (they are scored like all others).
+FIT_BYTES = 256 << 10
 FIT_STEPS = 150
 #: Long documents are fitted in stretches of so many lines (scoring uses whole documents).
 FIT_LINES = 64
@@ -205,12 +207,15 @@ def labelled_sample(labels: DataFrame, id_col: str, label_col: str, limit: int,
 
 def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
            fit_docs: int = FIT_DOCS, folds: int = FOLDS, held_out: int = HELD_OUT) -> LineField:
-    """The field fitted to labelled documents outside the held-out fold. The features of the sample (at
-    most ``fit_docs`` documents) come to the driver; an id that several rows carry counts for each."""
+    """The field fitted to labelled documents outside the held-out fold. The features of the sample come to the
+    driver: at most ``fit_docs`` documents of at most ``FIT_BYTES`` bytes each; an id that several rows carry
+    counts once, with the text of the smallest hash."""
     executors_ready(docs.sparkSession)
     ids = labelled_sample(labels, id_col, label_col, fit_docs, folds, held_out)
     rows = docs.select(docs[id_col].alias("__id"), text_of(docs, text_col).alias("__text"))
-    rows = rows.join(F.broadcast(ids), "__id").select("__label", "__text")
+    rows = rows.filter(F.octet_length("__text") <= FIT_BYTES).join(F.broadcast(ids), "__id")
+    one = F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text")
+    rows = rows.groupBy("__id", "__label").agg(one).select("__label", "__text")
 
     def run(batches):
         for b, texts in text_chunks(batches, 1):
