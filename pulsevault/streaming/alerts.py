@@ -1,29 +1,38 @@
-"""Streaming breach alerts: a per-key state processor (``applyInPandasWithState``).
-
-Spark groups the staged reading stream by (patient, metric, calendar day) — only metrics that
-have thresholds — and shuffles each key to one state-store partition. The state of a key is the
-day's readings seen so far (times, ids, values, devices). An event-time timeout is set to the
-end of the day; when the watermark passes it, the day can no longer change, so the buffered
-readings are evaluated once, in order, and that key's alerts are emitted (append mode) and its
-state removed. Evaluating whole days makes the result independent of how readings were split
-over micro-batches or ordered inside files, and equal to the batch operator for every
-completed day. The per-key helper is vectorised pandas over one patient-day of one metric;
-the state store holds at most the open days (use the RocksDB provider at scale).
+"""Streaming breach alerts: two chained queries with mergeable run fragments as state.
+
+A patient-day of one metric is a sequence of elements for every threshold of that metric: runs of breaching
+readings (first and worst reading, size, last time) and separators (non-breaching readings, of which only the
+places count). Once no reading can come between them any more, that is behind the watermark, neighbouring
+runs without a separator between them are one run, and neighbouring separators are as good as the first: the
+sequence is *folded* (``folded``) without losing what the result needs. Readings that the watermark has not
+passed wait as they are.
+
+``bucket_fragments`` keeps one folded sequence per (patient, metric, day, time bucket). A flooding device is thus
+dealt over 24 keys a day (more with a smaller bucket), and the state of a key is bounded by its runs and its
+readings that the watermark has not passed, at most one bucket's. When the watermark passes the bucket's end, its
+fragments leave for a file table, and with them the time up to which that table is complete.
+``alerts_of_fragments`` reads that table as a stream and folds the buckets of a day in the same way, so a run
+across a bucket's border is one alert; its input is fragments, never readings. The result is independent of how
+readings were split over micro-batches or ordered inside files, and equal to the batch operator for
+every completed day (use the RocksDB state store at scale).
 
 A day whose end is still ahead of the watermark has not finished and emits nothing yet. Where the
 feed is known to be complete up to some time, ``stream_breach_alerts`` ends its run with a tick of a
 second input, the clock, which moves the watermark past that time and so closes the last days.
-Rows later than the watermark (two hours by default) are dropped, unlike in batch.
+Rows later than the watermark (two hours by default) are dropped, unlike in batch, and so are
+readings without a time, which belong to no day. A missing value breaches nothing, as in batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime as dt
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pulsevault.fixed_values import THRESHOLDS
@@ -33,111 +42,212 @@ from pulsevault.operators.staging import stg_readings
 from pulsevault.session import scratch_path, ship_package
 from pulsevault.streaming.readings import readings_stream
 
-WINDOW_SCHEMA = ("patient_id string, metric_code string, report_date date, severity string, direction string, "
-                 "threshold_value double, first_us long, first_reading_id string, device_serial string, "
-                 "worst_value double, worst_reading_id string, worst_us long, n_readings long")
-STATE_SCHEMA = "ts array<long>, ids array<string>, vals array<double>, devs array<string>"
-_BY_METRIC: dict[str, list[tuple[str, str, float]]] = {}
-for _m, _s, _d, _v, _ in THRESHOLDS:
-    _BY_METRIC.setdefault(_m, []).append((_s, _d, float(_v)))
+DAY_US = 86_400_000_000
+#: An element: threshold number (-1: a waiting reading, with its value as the worst one), first reading, worst reading,
+#: readings in the run (0: a separator), last time.
+_TYPES = {"k": "int", "first_us": "long", "first_id": "string", "device_serial": "string", "worst": "double",
+          "worst_id": "string", "worst_us": "long", "n": "long", "last_us": "long"}
+_COLUMNS = list(_TYPES)
+STATE_SCHEMA = ", ".join(f"{c} array<{t}>" for c, t in _TYPES.items())
+#: Fragments as they leave: of one patient, metric and day, with the end of their bucket.
+FRAGMENT_SCHEMA = "patient_id string, metric_code string, report_date date, end_us long, " + ", ".join(f"{c} {t}" for c, t in _TYPES.items())
+_ABOVE = np.array([direction == "above" for _, _, direction, _, _ in THRESHOLDS])
+#: Later than any time: everything is settled.
+_EVER = np.iinfo(np.int64).max
+
+
+def waiting(ts, ids, vals, devs) -> pd.DataFrame:
+    """Readings in any order as elements that wait."""
+    ts = np.asarray(ts, dtype="int64")
+    return pd.DataFrame({"k": -1, "first_us": ts, "first_id": list(ids), "device_serial": list(devs), "worst": np.asarray(vals, dtype="float64"),
+                         "worst_id": list(ids), "worst_us": ts, "n": 1, "last_us": ts})
+
+
+def elements(metric_code: str, readings: pd.DataFrame) -> pd.DataFrame:
+    """One element per waiting reading and threshold of the metric."""
+    parts = []
+    for k, (metric, _, direction, limit, _) in enumerate(THRESHOLDS):
+        if metric == metric_code:
+            breach = (readings["worst"] > limit) if direction == "above" else (readings["worst"] < limit)
+            parts.append(readings.assign(k=k, n=breach.astype("int64")))
+    return pd.concat(parts, ignore_index=True) if parts else _no_elements()
+
+
+def _no_elements() -> pd.DataFrame:
+    return pd.DataFrame({c: [] for c in _COLUMNS})
+
+
+def folded(metric_code: str, e: pd.DataFrame, settled_us: int) -> pd.DataFrame:
+    """The shortest sequence of elements that stands for ``e``, when no reading before ``settled_us`` can come any more."""
+    ready = (e["k"] < 0) & (e["last_us"] < settled_us)
+    still = e[(e["k"] < 0) & ~ready]
+    e = pd.concat([e[e["k"] >= 0], elements(metric_code, e[ready])], ignore_index=True) if ready.any() else e[e["k"] >= 0]
+    if e.empty:
+        return still.reset_index(drop=True)
+    e = e.sort_values(["k", "first_us", "first_id"], kind="mergesort", na_position="first", ignore_index=True)
+    k, run, settled = e["k"].to_numpy(), e["n"].to_numpy() > 0, e["last_us"].to_numpy() < settled_us
+    starts = np.r_[True, (k[1:] != k[:-1]) | (run[1:] != run[:-1])]
+    separators = e[~run & (starts | ~settled)]
+    fragment = np.cumsum(starts | ~settled | ~np.r_[False, settled[:-1]])
+    runs = e[run].assign(fragment=fragment[run])
+    first = runs.drop_duplicates("fragment")
+    signed = np.where(_ABOVE[runs["k"].to_numpy().astype(int)], -runs["worst"], runs["worst"])
+    worst = runs.assign(signed=signed).sort_values(["fragment", "signed", "worst_us", "worst_id"], kind="mergesort", na_position="first") \
+        .drop_duplicates("fragment")
+    merged = first.assign(worst=worst["worst"].to_numpy(), worst_id=worst["worst_id"].to_numpy(), worst_us=worst["worst_us"].to_numpy(),
+                          n=runs.groupby("fragment", sort=False)["n"].sum().to_numpy(),
+                          last_us=runs.drop_duplicates("fragment", keep="last")["last_us"].to_numpy())
+    e = pd.concat([separators, merged[_COLUMNS]]).sort_index()
+    return pd.concat([e, still], ignore_index=True) if len(still) else e.reset_index(drop=True)
 
 
 def evaluate_day(key: tuple, ts, ids, vals, devs) -> pd.DataFrame:
     """Breach windows of one patient-day of one metric (readings in any order)."""
     patient_id, metric_code, report_date = key
-    day = pd.DataFrame({"ts": np.asarray(ts, dtype="int64"), "id": list(ids), "v": np.asarray(vals, dtype="float64"),
-                        "dev": list(devs)}).sort_values(["ts", "id"], kind="mergesort").reset_index(drop=True)
-    out = []
-    for severity, direction, limit in _BY_METRIC.get(metric_code, []):
-        breach = (day["v"] > limit) if direction == "above" else (day["v"] < limit)
-        island = (~breach).cumsum()
-        signed = -day["v"] if direction == "above" else day["v"]
-        b = day[breach].assign(island=island[breach], signed=signed[breach])
-        for _, g in b.groupby("island", sort=False):
-            first = g.iloc[0]
-            worst = g.loc[g["signed"].idxmin()]  # first minimum in (ts, id) order = earliest extreme
-            out.append((patient_id, metric_code, report_date, severity, direction, limit, int(first.ts), first.id,
-                        first.dev, float(worst.v), worst.id, int(worst.ts), len(g)))
-    cols = ["patient_id", "metric_code", "report_date", "severity", "direction", "threshold_value", "first_us",
-            "first_reading_id", "device_serial", "worst_value", "worst_reading_id", "worst_us", "n_readings"]
-    return pd.DataFrame(out, columns=cols)
-
-
-def _process(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        ts, ids, vals, devs = state.get
-        state.remove()
-        yield evaluate_day(key, ts, ids, vals, devs)
-        return
-    ts, ids, vals, devs, day_end = [], [], [], [], None
-    if state.exists:
-        ts, ids, vals, devs = (list(x) for x in state.get)
-    for pdf in pdfs:
-        ts += pdf["ts_us"].tolist()
-        ids += pdf["reading_id"].tolist()
-        vals += pdf["v"].tolist()
-        devs += pdf["device_serial"].tolist()
-        day_end = int(pdf["day_end_ms"].iloc[0])
-    state.update((ts, ids, vals, devs))
-    if day_end is not None:
-        state.setTimeoutTimestamp(day_end)
-    return  # nothing is final until the day's end passes the watermark
-
-
-def breach_alert_stream(staged: DataFrame, watermark: str = "2 hours", clock: DataFrame | None = None) -> DataFrame:
-    """Staged reading stream -> alert stream (same columns as the batch alert feed). ``clock`` (column ``at``,
-    ISO text) only moves the watermark: its rows belong to no metric and emit nothing."""
-    metrics = sorted(_BY_METRIC)
-    day_end = F.date_add(F.to_date("measured_at"), 1).cast("timestamp_ntz")
-    s = staged.where(F.col("metric_code").isin(metrics)).select(
-        "patient_id", "metric_code", F.to_date("measured_at").alias("report_date"), "reading_id", "device_serial",
-        F.col("value").cast("double").alias("v"), epoch_micros("measured_at").alias("ts_us"),
-        event_time("measured_at").alias("event_time"), (epoch_micros(day_end) / 1000).cast("long").alias("day_end_ms"))
+    e = folded(metric_code, waiting(ts, ids, vals, devs), _EVER)
+    e = e[e["n"] > 0]
+    named = pd.DataFrame([THRESHOLDS[int(k)][1:4] for k in e["k"]], columns=["severity", "direction", "threshold_value"], index=e.index)
+    out = pd.concat([named, e.rename(columns={"first_id": "first_reading_id", "worst": "worst_value", "worst_id": "worst_reading_id",
+                                              "n": "n_readings"}).drop(columns=["k", "last_us"])], axis=1)
+    out.insert(0, "patient_id", patient_id)
+    out.insert(1, "metric_code", metric_code)
+    out.insert(2, "report_date", report_date)
+    return out.reset_index(drop=True)
+
+
+def _day_start(day: dt.date) -> int:
+    return (day - dt.date(1970, 1, 1)).days * DAY_US
+
+
+def _folding(read: Callable, end_of: Callable, settled_at: Callable, leave: Callable) -> Callable:
+    """State function of a key: fold what comes into the stored sequence, and when the watermark has passed the
+    key's end let ``leave`` choose what is emitted. A row may be on time although the watermark that this batch works
+    with has passed its key's end already: then the key closes at once."""
+
+    def process(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        stored = state.exists
+        e = pd.DataFrame(dict(zip(_COLUMNS, map(list, state.get), strict=True))) if stored else _no_elements()
+        if not state.hasTimedOut:  # rows of this batch may come in any order: nothing is settled before the last
+            new = [read(key, pdf) for pdf in pdfs]
+            e = pd.concat([x for x in [e, *new] if len(x)] or [e], ignore_index=True)
+        end_us, watermark_us = end_of(key), state.getCurrentWatermarkMs() * 1000
+        if state.hasTimedOut or end_us < watermark_us:
+            if stored:
+                state.remove()
+            out = leave(folded(key[1], e, _EVER))
+            yield pd.DataFrame({"patient_id": key[0], "metric_code": key[1], "report_date": key[2], "end_us": end_us,
+                                **{c: out[c] for c in _COLUMNS}}, index=out.index)
+            return
+        e = folded(key[1], e, settled_at(key, watermark_us))
+        state.update(tuple(e[c].astype("int64").tolist() if _TYPES[c] in ("int", "long") else e[c].tolist() for c in _COLUMNS))
+        state.setTimeoutTimestamp(max(end_us // 1000, watermark_us // 1000 + 1, 1))
+
+    return process
+
+
+def _ticks(clock: DataFrame) -> DataFrame:
+    """Rows of no metric at the times of a clock (column ``at``, ISO text): they only move the watermark."""
+    at = clock.select(F.col("at").cast("timestamp_ntz").alias("at"))
+    return at.select(F.lit("").alias("patient_id"), F.lit("").alias("metric_code"), F.to_date("at").alias("report_date"),
+                     epoch_micros("at").alias("end_us"), event_time("at").alias("event_time"))
+
+
+def bucket_fragments(staged: DataFrame, watermark: str = "2 hours", clock: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """Staged reading stream -> run fragments of every (patient, metric, day, bucket) that is over."""
+    metrics = sorted({m for m, *_ in THRESHOLDS})
+    day = F.unix_date(F.to_date("measured_at")).cast("long") * DAY_US
+    bucket = F.lit(bucket_seconds * 1_000_000)
+    ts = epoch_micros("measured_at")
+    end = F.least(day + (F.floor((ts - day) / bucket) + 1) * bucket, day + DAY_US)  # a bucket ends at midnight at the latest
+    s = staged.where(F.col("metric_code").isin(metrics) & F.col("measured_at").isNotNull()).select(
+        "patient_id", "metric_code", F.to_date("measured_at").alias("report_date"), end.cast("long").alias("end_us"),
+        event_time("measured_at").alias("event_time"), "reading_id", "device_serial",
+        F.col("value").cast("double").alias("v"), ts.alias("ts_us"))
     if clock is not None:
-        at = F.col("at").cast("timestamp_ntz")
-        tick = clock.select(at.alias("measured_at")).select(
-            F.lit("").alias("patient_id"), F.lit("").alias("metric_code"), F.to_date("measured_at").alias("report_date"),
-            F.lit("").alias("reading_id"), F.lit("").alias("device_serial"), F.lit(0.0).alias("v"),
-            epoch_micros("measured_at").alias("ts_us"), event_time("measured_at").alias("event_time"),
-            (epoch_micros("measured_at") / 1000).cast("long").alias("day_end_ms"))
-        s = s.unionByName(tick)
-    s = s.withWatermark("event_time", watermark)
-    windows = s.groupBy("patient_id", "metric_code", "report_date").applyInPandasWithState(
-        _process, WINDOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        s = s.unionByName(_ticks(clock), allowMissingColumns=True)
+
+    def read(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        if not key[1]:  # a tick
+            return _no_elements()
+        return waiting(pdf["ts_us"], pdf["reading_id"], pdf["v"], pdf["device_serial"])
+
+    process = _folding(read, lambda key: int(key[3]), lambda key, watermark_us: watermark_us, lambda e: e)
+    return s.withWatermark("event_time", watermark).groupBy("patient_id", "metric_code", "report_date", "end_us").applyInPandasWithState(
+        process, FRAGMENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def alerts_of_fragments(fragments: DataFrame, clock: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """Fragment stream -> alert stream (same columns as the batch alert feed). Fragments leave their buckets in the
+    order of the buckets' ends, so no delay is needed."""
+    s = fragments.withColumn("event_time", F.timestamp_micros("end_us"))
+    if clock is not None:
+        s = s.unionByName(_ticks(clock), allowMissingColumns=True)
+    bucket = bucket_seconds * 1_000_000
+
+    def settled_at(key: tuple, watermark_us: int) -> int:
+        start = _day_start(key[2])
+        return start + (watermark_us - start) // bucket * bucket
+
+    process = _folding(lambda key, pdf: pdf[_COLUMNS] if key[1] else _no_elements(), lambda key: _day_start(key[2]) + DAY_US,
+                       settled_at, lambda e: e[e["n"] > 0])
+    windows = s.withWatermark("event_time", "0 seconds").groupBy("patient_id", "metric_code", "report_date").applyInPandasWithState(
+        process, FRAGMENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    rule = F.array(*[F.struct(F.lit(s).alias("severity"), F.lit(d).alias("direction"), F.lit(float(v)).alias("threshold_value"))
+                     for _, s, d, v, _ in THRESHOLDS])[F.col("k")]
     first_ts = ntz_from_epoch_micros("first_us")
-    return windows.select(
-        surrogate_key("patient_id", "metric_code", "severity", "direction", first_ts).alias("alert_id"),
-        "patient_id", "device_serial", F.lit(ALERT_TYPE).alias("alert_type"), "severity", "metric_code",
-        "threshold_value",
-        F.round(F.col("worst_value").cast("decimal(10,4)"), 2).cast("double").alias("actual_value"),
+    return windows.withColumn("rule", rule).select(
+        surrogate_key("patient_id", "metric_code", "rule.severity", "rule.direction", first_ts).alias("alert_id"),
+        "patient_id", "device_serial", F.lit(ALERT_TYPE).alias("alert_type"), "rule.severity", "metric_code",
+        "rule.threshold_value",
+        F.round(F.col("worst").cast("decimal(10,4)"), 2).cast("double").alias("actual_value"),
         first_ts.alias("triggered_at"),
-        F.col("worst_reading_id").alias("reading_id"),
+        F.col("worst_id").alias("reading_id"),
     )
 
 
-def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str,
-                         max_files_per_trigger: int | None = None, complete_until: str | None = None) -> DataFrame:
-    """Run the alert stream over all available landing files; returns the emitted alerts. With
+def _run(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append what is available to the Parquet table at ``path``."""
+    query = (rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
+def _watermark(query: StreamingQuery) -> dt.datetime | None:
+    """The watermark of the query's last batch that had one (UTC wall clock)."""
+    seen = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"]]
+    return dt.datetime.fromisoformat(seen[-1].replace("Z", "")) if seen else None
+
+
+def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str, max_files_per_trigger: int | None = None,
+                         complete_until: str | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """Run both queries over all available landing files; returns the emitted alerts. With
     ``complete_until`` the run ends by closing every day that is over at that time."""
     ship_package(spark)
-    ticks = scratch_path(spark, "stream-clock")
+    place = {name: scratch_path(spark, f"stream-{name}") for name in ("clock", "fragments", "progress", "alerts", "ckpt-1", "ckpt-2")}
+
+    def tick(name: str, at: dt.datetime) -> None:
+        spark.createDataFrame([(at.isoformat(),)], "at string").coalesce(1).write.mode("append").json(place[name])
 
-    def tick(at: str) -> None:
-        spark.createDataFrame([(at,)], "at string").coalesce(1).write.mode("append").json(ticks)
+    def clock(name: str) -> DataFrame:
+        tick(name, dt.datetime(1970, 1, 2))
+        return spark.readStream.schema("at string").json(place[name])
 
-    tick("1970-01-02T00:00:00")
-    clock = spark.readStream.schema("at string").json(ticks)
-    alerts = breach_alert_stream(stg_readings(readings_stream(spark, landing_root, max_files_per_trigger), load_ts), clock=clock)
-    out, ckpt = scratch_path(spark, "stream-alerts"), scratch_path(spark, "stream-alerts-ckpt")
+    staged = stg_readings(readings_stream(spark, landing_root, max_files_per_trigger), load_ts)
+    fragments = bucket_fragments(staged, clock=clock("clock"), bucket_seconds=bucket_seconds)
 
-    def run() -> None:
-        (alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start()).awaitTermination()
+    def read_on() -> None:
+        """Let the first query read on, and tell the second up to where its table is complete."""
+        watermark = _watermark(_run(fragments, place["fragments"], place["ckpt-1"]))
+        if watermark is not None and watermark > dt.datetime(1970, 1, 2):
+            tick("progress", watermark - dt.timedelta(milliseconds=1))  # a bucket may end at the watermark itself
 
-    run()
+    progress = clock("progress")
+    read_on()
     if complete_until is not None:
         # beyond the watermark's delay, so that the watermark itself passes the given time
-        late = spark.sql(f"SELECT date_format(TIMESTAMP_NTZ '{complete_until}' + INTERVAL 1 DAY, \"yyyy-MM-dd'T'HH:mm:ss\") AS at")
-        tick(late.first()["at"])
-        run()
-    return spark.read.parquet(out)
+        tick("clock", dt.datetime.fromisoformat(complete_until) + dt.timedelta(days=1))
+        read_on()
+    stored = spark.readStream.schema(FRAGMENT_SCHEMA).parquet(place["fragments"])
+    _run(alerts_of_fragments(stored, progress, bucket_seconds), place["alerts"], place["ckpt-2"])
+    return spark.read.parquet(place["alerts"])
