@@ -9,7 +9,10 @@ is exact at the cost of the new bytes alone, and an edit re-encodes from the edi
 agrees with the old one again.
 
 Texts are split by the tokenizer's pattern and each match is encoded separately; a match that is itself
-an entry is that entry. Spark partitions the rows; each task keeps a bounded memo of pieces.
+an entry is that entry. Spark partitions the rows; each worker keeps a memo of pieces, bounded by number and
+bytes. The vocabulary is read on the driver and broadcast (a file of a few MB at most). Long texts are split,
+encoded and hashed in stretches of pieces, and a long piece keeps one number per byte, so working memory is a
+few times the bytes of the longest text; a cell of 2 GB is beyond Spark's own batches.
 
 Defined results: a null text equals the empty text, which has no tokens; every byte string round-trips;
 lone surrogates cannot occur in Spark strings; repeated rows give repeated results; an empty table gives
@@ -23,7 +26,7 @@ import gc
 import hashlib
 from array import array
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -31,8 +34,13 @@ from pyspark.sql import DataFrame
 
 from pulsevault.llm.common import CHUNK_BYTES, executors_ready, text_chunks, text_of
 
-#: Pieces (and token pairs) that a Python worker remembers before it starts anew.
+#: Pieces (and token pairs) that a Python worker remembers before it starts anew, and the bytes of those pieces.
 MEMO = 600_000
+MEMO_BYTES = 16 << 20
+#: Pieces, or ids, of one text that are worked on at a time.
+STRETCH = 200_000
+#: Characters above which a text is split in stretches.
+_LONG_TEXT = 2 << 20
 _NONE = -1
 #: Longer byte strings get the whole table, byte by byte; shorter ones the prefixes that their encoding needs.
 _ON_DEMAND = 200
@@ -78,6 +86,8 @@ class PrefixEncoder:
         self.trie, self.endings = self._trie(), self._trie(backwards=True)
         self._pair: dict[int, bool] = {}
         self._sound: dict[int, bool] = {}
+        self._pieces: dict[str, bytes] = {}  # piece -> its ids, four bytes each
+        self._held = 0
 
     def _trie(self, backwards: bool = False) -> dict:
         """The entries by their bytes, read forwards or backwards: byte -> (id of the entry that is complete here or
@@ -130,35 +140,37 @@ class PrefixEncoder:
         """The table of the empty byte string."""
         return Table([_NONE], [[(0, self.trie)]])
 
+    def _step(self, byte: int, end: int, last, states: list) -> tuple[int, list]:
+        """Move on the entries that are under way by the byte that ends the prefix of ``end`` bytes, longest first.
+        The first to end here that may follow what stands before it is the last token of this prefix."""
+        found, moved = _NONE, []
+        for size, follow in states:
+            step = follow.get(byte)
+            if step is not None:
+                t, follow = step
+                size += 1
+                if t >= 0 and found < 0:
+                    if size == end:
+                        fits = self.stands(t)
+                    else:
+                        fits = self._pair.get((last[end - size] << 32) | t)
+                        if fits is None:
+                            fits = self.follows(last[end - size], t)
+                    if fits:
+                        found = t
+                if follow:
+                    moved.append((size, follow))
+        moved.append((0, self.trie))
+        return found, moved
+
     def extend(self, data: bytes, table: "Table", until: int | None = None) -> "Table":
-        """Complete ``table``, which stands for a prefix of ``data``, byte by byte. Each byte moves on the entries
-        that are under way, longest first; the first to end here that may follow what stands before it is the
-        last token of this prefix."""
+        """Complete ``table``, which stands for a prefix of ``data``, byte by byte."""
         last, alive = table
-        pairs, root = self._pair, (0, self.trie)
         states = alive[-1]
         for end in range(len(last), (len(data) if until is None else until) + 1):
-            byte, found, moved = data[end - 1], _NONE, []
-            for size, follow in states:
-                step = follow.get(byte)
-                if step is not None:
-                    t, follow = step
-                    size += 1
-                    if t >= 0 and found < 0:
-                        if size == end:
-                            fits = self.stands(t)
-                        else:
-                            fits = pairs.get((last[end - size] << 32) | t)
-                            if fits is None:
-                                fits = self.follows(last[end - size], t)
-                        if fits:
-                            found = t
-                    if follow:
-                        moved.append((size, follow))
-            moved.append(root)
+            found, states = self._step(data[end - 1], end, last, states)
             last.append(found)
-            alive.append(moved)
-            states = moved
+            alive.append(states)
         return table
 
     def read(self, table: "Table") -> list[int]:
@@ -171,18 +183,26 @@ class PrefixEncoder:
         out.reverse()
         return out
 
-    def encode_bytes(self, data: bytes) -> list[int]:
-        """The encoding of ``data`` by merges alone."""
-        if len(data) > _ON_DEMAND:
-            return self.read(self.extend(data, self.table()))
-        last, out, i = [_NONE] * (len(data) + 1), [], len(data)
+    def _read_back(self, data: bytes) -> array:
+        """The tokens of a byte string, last one first."""
+        out, i = array("I"), len(data)
+        if i > _ON_DEMAND:  # all prefixes, but the entries under way at the last one only
+            last, states = array("i", [_NONE]), [(0, self.trie)]
+            for end, byte in enumerate(data, 1):
+                found, states = self._step(byte, end, last, states)
+                last.append(found)
+        else:
+            last = [_NONE] * (i + 1)
         while i > 0:
             t = last[i] if last[i] >= 0 else self._last(data, i, last)
             out.append(t)
             i -= self.size[t]
-        out.reverse()
         return out
 
+    def encode_bytes(self, data: bytes) -> list[int]:
+        """The encoding of ``data`` by merges alone."""
+        return self._read_back(data)[::-1].tolist()
+
     def _last(self, data: bytes, end: int, last: list[int]) -> int:
         """The last token of the prefix of ``end`` bytes, filling in those prefixes only that the answer needs:
         the entries that end here are tried longest first, each against the last token of what it leaves."""
@@ -237,63 +257,101 @@ class PrefixEncoder:
         whole = self.ranks.get(piece)
         return [whole] if whole is not None else self.encode_bytes(piece)
 
+    def piece_ids(self, piece: str) -> bytes:
+        """The ids of one match of the pattern, four bytes each; remembered if the match is short."""
+        data = piece.encode()
+        whole = self.ranks.get(data)
+        ids = (array("I", [whole]) if whole is not None else self._read_back(data)[::-1]).tobytes()
+        if len(data) <= _ON_DEMAND:
+            self._pieces[piece] = ids
+            self._held += len(data) + len(ids)
+        return ids
+
+    def ids_of(self, pieces: list[list[str]]):
+        """The ids of each list of matches."""
+        if len(self._pieces) >= MEMO or self._held >= MEMO_BYTES:
+            self._pieces.clear()
+            self._held = 0
+        different = list(set(chain.from_iterable(pieces)))
+        here = dict(zip(different, map(self._pieces.get, different), strict=True))  # small enough for the processor's caches
+        for piece in [piece for piece, ids in here.items() if ids is None]:
+            here[piece] = self.piece_ids(piece)
+        for some in pieces:
+            yield np.frombuffer(b"".join(map(here.__getitem__, some)), np.uint32)
+
     def decode(self, ids: list[int]) -> bytes:
         """The bytes that ``ids`` stand for."""
         return self.bytes.join(np.asarray(ids, np.int64))
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> PrefixEncoder:
-    """The encoder for a rank file (a line per token: base64 bytes, rank)."""
-    with open(vocabulary, "rb") as f:
-        made = PrefixEncoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())})
+def _made(lines: bytes) -> PrefixEncoder:
+    made = PrefixEncoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())})
     gc.freeze()  # the trie stays for the worker's life; the collector need not walk it again and again
     return made
 
 
+def _lines(vocabulary: str) -> bytes:
+    with open(vocabulary, "rb") as f:
+        return f.read()
+
+
+def encoder(vocabulary: str) -> PrefixEncoder:
+    """The encoder for a rank file (a line per token: base64 bytes, rank)."""
+    return _made(_lines(vocabulary))
+
+
 @lru_cache(maxsize=2)
 def splitter(pattern: str):
     import regex
     return regex.compile(pattern).findall
 
 
-#: Per vocabulary: piece -> its ids, four bytes each.
-_PIECES: dict[str, dict[str, bytes]] = {}
+@lru_cache(maxsize=2)
+def _matches(pattern: str):
+    import regex
+    return regex.compile(pattern).finditer
 
 
-def _encoded(texts: list[str], vocabulary: str, pattern: str):
-    """The ids of each text. A worker remembers the pieces that it has met."""
-    enc, split = encoder(vocabulary), splitter(pattern)
-    known = _PIECES.setdefault(vocabulary, {})
-    if len(known) >= MEMO:
-        known.clear()
-    parts = [split(text) for text in texts]
-    different = list(set(chain.from_iterable(parts)))
-    here = dict(zip(different, map(known.get, different), strict=True))  # small enough for the processor's caches
-    for piece in [piece for piece, ids in here.items() if ids is None]:
-        here[piece] = known[piece] = array("I", enc.encode_piece(piece.encode())).tobytes()
-    for pieces in parts:
-        yield np.frombuffer(b"".join(map(here.__getitem__, pieces)), np.uint32)
+def _encoded(texts: list[str], enc: PrefixEncoder, pattern: str):
+    """The ids of each text."""
+    if all(len(text) <= _LONG_TEXT for text in texts):
+        yield from enc.ids_of([splitter(pattern)(text) for text in texts])
+        return
+    for text in texts:
+        matches, parts = (m.group() for m in _matches(pattern)(text)), [np.zeros(0, np.uint32)]
+        while some := list(islice(matches, STRETCH)):
+            parts += enc.ids_of([some])
+        yield np.concatenate(parts)
 
 
-def _digests(texts: list[str], vocabulary: str, pattern: str):
+def _digests(texts: list[str], enc: PrefixEncoder, pattern: str):
     """(tokens, SHA-256 of the ids, SHA-256 of the decoded bytes) of each text."""
-    enc = encoder(vocabulary)
-    for ids in _encoded(texts, vocabulary, pattern):
-        line = enc.numerals.join(ids)[:-1]
-        yield len(ids), hashlib.sha256(line).hexdigest(), hashlib.sha256(enc.decode(ids)).hexdigest()
+    for ids in _encoded(texts, enc, pattern):
+        line, data = hashlib.sha256(), hashlib.sha256()
+        for at in range(0, len(ids), STRETCH):
+            some = ids[at:at + STRETCH]
+            numerals = enc.numerals.join(some)
+            line.update(numerals if at + STRETCH < len(ids) else numerals[:-1])
+            data.update(enc.decode(some))
+        yield len(ids), line.hexdigest(), data.hexdigest()
+
+
+def _shipped(df: DataFrame, vocabulary: str):
+    """The workers made ready and the vocabulary's lines broadcast."""
+    executors_ready(df.sparkSession)
+    return df.sparkSession.sparkContext.broadcast(_lines(vocabulary))
 
 
 def token_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256. ``vocabulary`` must be readable at the same
-    place on every executor."""
-    executors_ready(docs.sparkSession)
+    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256. ``vocabulary`` is a path on the driver."""
+    lines = _shipped(docs, vocabulary)
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("t"))
 
     def run(batches):
         import pyarrow as pa
         for b, texts in text_chunks(batches, 1, CHUNK_BYTES):
-            out = list(zip(*_digests([t.decode() for t in texts], vocabulary, pattern), strict=True))
+            out = list(zip(*_digests([t.decode() for t in texts], _made(lines.value), pattern), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -303,14 +361,14 @@ def token_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id and its token ids."""
-    executors_ready(docs.sparkSession)
+    """Per row: doc_id and its token ids. ``vocabulary`` is a path on the driver."""
+    lines = _shipped(docs, vocabulary)
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("t"))
 
     def run(batches):
         import pyarrow as pa
         for b, texts in text_chunks(batches, 1):
-            ids = [x.astype(np.int32) for x in _encoded([t.decode() for t in texts], vocabulary, pattern)]
+            ids = [x.astype(np.int32) for x in _encoded([t.decode() for t in texts], _made(lines.value), pattern)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -318,12 +376,12 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """Per row: doc_id and the bytes that its ids stand for."""
-    executors_ready(encoded.sparkSession)
+    """Per row: doc_id and the bytes that its ids stand for. ``vocabulary`` is a path on the driver."""
+    lines = _shipped(encoded, vocabulary)
 
     def run(batches):
         import pyarrow as pa
-        enc = encoder(vocabulary)
+        enc = _made(lines.value)
         for b in batches:
             data = [enc.decode(x.as_py() or []) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, pa.binary())], names=["doc_id", "bytes"])

@@ -87,3 +87,27 @@ def test_round_trip(spark):
     rows = [(i, t, "x", 0) for i, t in enumerate(some_texts(8, 100))] + [(1000, None, "x", 0)]
     back = decode(encode(spark.createDataFrame(rows, SCHEMA), VOCABULARY, P.PATTERN), VOCABULARY)
     assert {r.doc_id: bytes(r.bytes).decode() for r in back.collect()} == {i: t or "" for i, t, *_ in rows}
+
+
+def test_texts_in_stretches_and_pieces_that_are_not_remembered(enc, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "STRETCH", 7)
+    monkeypatch.setattr(bpe, "_LONG_TEXT", 100)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 2000)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    texts = [*some_texts(9, 60), "", "a", "abc" * 5000, " the cat" * 300, "é" * 999]
+    for text, got in zip(texts, bpe._digests(texts, enc, P.PATTERN), strict=True):
+        ids = reference.encode_ordinary(text)
+        assert got == (len(ids), sha(",".join(map(str, ids)).encode()), sha(text.encode()))
+    assert max(map(len, enc._pieces)) <= 200
+
+
+@pytest.mark.parametrize("text", ["x" * (1 << 20), "word and word, " * (20 << 16)])
+def test_memory_of_very_long_texts_follows_their_bytes(enc, text):
+    """A piece of 1 MB, and a text of 20 MB."""
+    import tracemalloc
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    tracemalloc.start()
+    (n, _, decoded), = bpe._digests([text], enc, P.PATTERN)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 0 and decoded == sha(text.encode()) and peak < 100e6 + 8 * len(text)
