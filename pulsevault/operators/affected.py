@@ -113,7 +113,23 @@ def outputs(rows: DataFrame, units: DataFrame) -> DataFrame:
     return j.select(*[F.col("__of").alias("patient_hk") if c == "patient_hk" else F.col(c) for c in rows.columns])
 
 
+def _touch(rows: DataFrame, units: DataFrame, how: str) -> DataFrame:
+    u = units.select(F.col("patient_hk").alias("__of"), "lo", "until", "whole")
+    return rows.join(u, (rows.patient_hk == F.col("__of")) & (F.col("whole") | rows.report_date.between(F.date_sub("lo", 1), F.col("until"))), how)
+
+
 def untouched(rows: DataFrame, units: DataFrame) -> DataFrame:
     """The stored rows that no unit touches."""
-    u = units.select(F.col("patient_hk").alias("__of"), "lo", "until", "whole")
-    return rows.join(u, (rows.patient_hk == F.col("__of")) & (F.col("whole") | rows.report_date.between(F.date_sub("lo", 1), F.col("until"))), "left_anti")
+    return _touch(rows, units, "left_anti")
+
+
+def touched(rows: DataFrame, units: DataFrame) -> DataFrame:
+    """The rows that some unit touches."""
+    return _touch(rows, units, "left_semi")
+
+
+def touched_spans(units: DataFrame) -> DataFrame:
+    """(patient_hk, whole, spans): the days that the units of a patient touch, as (a, z); units lie ``APART`` days
+    apart, so a patient's list is short."""
+    return units.groupBy("patient_hk").agg(
+        F.max("whole").alias("whole"), F.collect_list(F.struct(F.date_sub("lo", 1).alias("a"), F.col("until").alias("z"))).alias("spans"))

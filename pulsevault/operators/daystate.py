@@ -6,6 +6,10 @@
   not lists: a flooding device makes a long group, never a large row.
 * ``patient_state``: per patient the first and last day, the latest heart rate and SpO2 reading by (time,
   key) and the number of unacknowledged alerts; merged by min, max and sum (WIN2, AGG9 for the dashboard).
+* ``score_state``: per patient the latest scored day with its tier and score, and the last day with an anomaly
+  (WIN1, AGG10 for the dashboard). A load makes some days anew, so a stored day among them counts only if the
+  load gives it again; where it does not (a late reading took an anomaly back) the patient is looked up in the
+  history, see ``merged_scores``.
 """
 
 from __future__ import annotations
@@ -91,3 +95,30 @@ def latest_from_state(state: DataFrame) -> DataFrame:
 def alerts_from_state(state: DataFrame) -> DataFrame:
     """AGG9: the rows of ``marts.active_alert_counts``."""
     return state.where(F.col("active_alerts") > 0).select("patient_hk", "active_alerts")
+
+
+def score_state(days: DataFrame) -> DataFrame:
+    """The score state of some scored days (patient_hk, report_date, risk_tier, composite_anomaly_score, anomaly_flag)."""
+    return days.groupBy("patient_hk").agg(
+        F.max(F.struct("report_date", "risk_tier", "composite_anomaly_score")).alias("last"),
+        F.max(F.when(F.col("anomaly_flag"), F.col("report_date"))).alias("last_anomaly"))
+
+
+def merged_scores(old: DataFrame, fresh: DataFrame, spans: DataFrame) -> DataFrame:
+    """``old`` score state with the days of ``spans`` (``affected.touched_spans``) made anew by the scored days
+    ``fresh``; ``doubtful``: an earlier day than those made anew may be the right one, so the history must tell."""
+    # names of their own: inside a lambda a name would mean the column that is made, not the one read
+    state = old.select("patient_hk", F.col("last").alias("__last"), F.col("last_anomaly").alias("__anomaly")).join(spans, "patient_hk", "left")
+
+    def anew(day: Column) -> Column:
+        return F.coalesce(F.col("whole") | F.exists("spans", lambda s: day.between(s["a"], s["z"])), F.lit(False))
+    day, anomaly, partly = F.col("__last.report_date"), F.col("__anomaly"), ~F.coalesce("whole", F.lit(False))
+    kept = state.select(
+        "patient_hk", F.when(~anew(day), F.col("__last")).alias("last"), F.when(~anew(anomaly), anomaly).alias("last_anomaly"),
+        F.when(anew(day) & partly, day).alias("lost"), F.when(anew(anomaly) & partly, anomaly).alias("lost_anomaly"))
+    none = F.lit(None).cast("date")
+    rows = kept.unionByName(score_state(fresh).select("*", none.alias("lost"), none.alias("lost_anomaly")))
+    g = rows.groupBy("patient_hk").agg(*[F.max(c).alias(c) for c in ("last", "last_anomaly", "lost", "lost_anomaly")])
+    later = lambda lost, now: lost.isNotNull() & F.coalesce(now < lost, F.lit(True))
+    return g.select("patient_hk", "last", "last_anomaly",
+                    (later(F.col("lost"), F.col("last.report_date")) | later(F.col("lost_anomaly"), F.col("last_anomaly"))).alias("doubtful")).where("doubtful or last is not null")

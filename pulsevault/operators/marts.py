@@ -16,6 +16,8 @@ from pulsevault.functions import (
 from pulsevault.operators.business import latest_demographics
 
 DEFAULT_AS_OF = "2024-01-31"
+#: Days before the as-of day that the dashboard's trend compares.
+TREND_DAYS = 6
 
 
 def vitals_wide(daily: DataFrame) -> DataFrame:
@@ -183,19 +185,29 @@ def anomaly_dashboard(sat_demo: DataFrame, hub_patient: DataFrame, days: DataFra
     ``days``: scored patient-days with ``risk_tier``, ``composite_anomaly_score`` and
     ``anomaly_flag`` (the fused timeline).
     """
-    return dashboard_rows(sat_demo, hub_patient, days, latest_vitals(sat_reading_value),
+    return dashboard_rows(sat_demo, hub_patient, score_summary(days, F.lit(as_of).cast("date")), latest_vitals(sat_reading_value),
                           active_alert_counts(sat_alert, hub_alert, lnk_reading_alert, sat_reading_value), as_of)
 
 
-def dashboard_rows(sat_demo: DataFrame, hub_patient: DataFrame, days: DataFrame, vit: DataFrame, alerts: DataFrame,
+def summary_from_state(state: DataFrame, recent: DataFrame, as_of: str) -> DataFrame:
+    """The rows of ``score_summary`` from the score state (``daystate.score_state``) and the scored days of the
+    ``TREND_DAYS`` days before ``as_of`` and later ones."""
+    as_of_c = F.lit(as_of).cast("date")
+    trend = anomaly_trend(recent, as_of_c).select("patient_hk", "anomaly_trend")
+    return state.join(trend, "patient_hk", "left").select(
+        "patient_hk", F.col("last.risk_tier").alias("risk_tier"), F.col("last.composite_anomaly_score").alias("anomaly_score_today"),
+        F.coalesce("anomaly_trend", F.lit("stable")).alias("anomaly_trend"),
+        days_between("last_anomaly", as_of_c).alias("days_since_last_anomaly"))
+
+
+def dashboard_rows(sat_demo: DataFrame, hub_patient: DataFrame, summary: DataFrame, vit: DataFrame, alerts: DataFrame,
                    as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """MT2 from the latest vitals and alert counts per patient, however they were found."""
+    """MT2 from the score summary, latest vitals and alert counts per patient, however they were found."""
     from pulsevault.operators.vault import latest_version
     as_of_c = F.lit(as_of).cast("date")
     demo = latest_version(sat_demo, "patient_hk", keep_ties=True).join(
         hub_patient.select("patient_hk", "patient_bk"), "patient_hk").select(
         "patient_hk", "patient_bk", age_years("birth_date", as_of_c).alias("age"))
-    summary = score_summary(days, as_of_c)
     j = (demo.join(summary, "patient_hk")
          .join(vit, "patient_hk", "left").join(alerts, "patient_hk", "left"))
     return j.select(

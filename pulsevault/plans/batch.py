@@ -15,20 +15,25 @@ Each run takes one batch of raw feeds and:
   inserts nothing;
 * adds the new readings' value counts to the stored ones of their days and makes the daily statistics of
   the touched (patient, metric, day) groups from them (``operators/daystate.py``; Q4: groups are replaced);
-* merges the patient state: first and last day, latest vitals, unacknowledged alerts;
+* merges the patient state: first and last day, latest vitals, unacknowledged alerts; and the score state: latest
+  scored day, last anomaly day;
 * makes the day-grain models (scores, risk, feature mart) anew for the patient-days that changed days or
   demographics touch (``operators/affected.py``) and rewrites only the day partitions that hold them;
-* builds the dashboard from the patient state and the day-grain models.
+* builds the dashboard from the two states and the scored days of the last ``marts.TREND_DAYS`` days.
 
 The row tests declared for a table (not null, accepted values, ranges) are observed while it is written.
 
 The reading satellites are bucketed by reading key within their day partitions, so joins on the key leave
 them unshuffled. Small mutable tables are written as new immutable versions (``sinks.write_snapshot``).
-A run that failed is repeated with the same feeds: what it stored already is met by the days' own rows.
+A run that fails between two of its writes is not undone: run again with the same feeds it stores no satellite row
+twice, but states and day-grain tables that the failed run did not reach would miss its readings. Keep a copy of
+the warehouse (or a table format with transactions) to start over from.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,10 +76,13 @@ class Warehouse:
     def _bucketed(self, name: str) -> SK.BucketedTable:
         return SK.BucketedTable(self.spark, self.path(name), "reading_hk", self.buckets)
 
-    def read(self, name: str, days: list | None = None) -> DataFrame | None:
-        """The table, or None if it does not exist yet; of a table with days only those of ``days``, if given."""
+    def read(self, name: str, days: list | None = None, since: str | None = None) -> DataFrame | None:
+        """The table, or None if it does not exist yet; of a table with days only those of ``days``, if given, or
+        those from ``since`` on."""
         if name in READING_TABLES or name in DAY_TABLES:
             df = self._bucketed(name).read() if name in READING_TABLES else SK.read_if_exists(self.spark, self.path(name))
+            if df is not None and since is not None:
+                df = df.where(F.col("day") >= F.lit(since).cast("date"))
             return None if df is None else SK.read_days(df, days).drop("day")
         if name in APPEND_TABLES:
             return SK.read_if_exists(self.spark, self.path(name))
@@ -167,7 +175,7 @@ def _insert_alerts(wh: Warehouse, stg_r: DataFrame, days: list, load_ts: str) ->
 
 
 def _refresh_days(wh: Warehouse, changed: DataFrame, demographics: DataFrame, load_ts: str) -> None:
-    """Scores, risk and feature mart of the patient-days that changed days and demographics touch."""
+    """Scores, risk, feature mart and score state of the patient-days that changed days and demographics touch."""
     demo = wh.read("sat_patient_demographics")
     if wh.read("anomaly_score") is None:
         units, daily = None, wh.read("daily_vitals")
@@ -186,6 +194,26 @@ def _refresh_days(wh: Warehouse, changed: DataFrame, demographics: DataFrame, lo
         if units is not None and wh.read(name) is not None:
             rows = AF.untouched(wh.read(name, touched), units).select(*rows.columns).unionByName(rows)
         wh.overwrite_days(name, rows)
+    old = wh.read("score_state")
+    if units is None or old is None:
+        wh.replace("score_state", DS.score_state(_scored(wh)))
+        return
+    fresh = AF.touched(_scored(wh, touched), units)
+    state = wh.stored(DS.merged_scores(old, fresh, AF.touched_spans(units)), "score-state")
+    settled = state.where("not doubtful").drop("doubtful")
+    doubtful = wh.stored(state.where("doubtful").select("patient_hk"), "score-doubtful")
+    if not doubtful.isEmpty():
+        history = _scored(wh).join(doubtful, "patient_hk", "left_semi")
+        settled = settled.unionByName(DS.score_state(history))
+    wh.replace("score_state", settled)
+
+
+def _scored(wh: Warehouse, days: list | None = None, since: str | None = None) -> DataFrame:
+    """The scored patient-days with demographics: patient_hk, report_date, composite_anomaly_score, anomaly_flag,
+    risk_tier; of some days, or of those from ``since`` on."""
+    scores, tiers = (wh.read(name, days, since) for name in ("anomaly_score", "risk_profile"))
+    return scores.select("patient_hk", "report_date", "composite_anomaly_score", "anomaly_flag").join(
+        tiers.select("patient_hk", "report_date", "risk_tier"), ["patient_hk", "report_date"])
 
 
 def run_daily_batch(spark: SparkSession, wh: Warehouse, raw_readings: DataFrame, raw_patients: DataFrame,
@@ -230,9 +258,8 @@ def run_daily_batch(spark: SparkSession, wh: Warehouse, raw_readings: DataFrame,
 
     # -- day-grain models and dashboard ------------------------------------------------------------
     _refresh_days(wh, changed.select("patient_hk", "report_date").distinct(), demographics, load_ts)
-    scores = wh.read("anomaly_score").select("patient_hk", "report_date", "composite_anomaly_score", "anomaly_flag")
-    tiers = wh.read("risk_profile").select("patient_hk", "report_date", "risk_tier")
+    recent = _scored(wh, since=str(dt.date.fromisoformat(as_of) - dt.timedelta(days=MT.TREND_DAYS)))
     wh.replace("mart_anomaly_dashboard", MT.dashboard_rows(
-        wh.read("sat_patient_demographics"), wh.read("hub_patient"), scores.join(tiers, ["patient_hk", "report_date"]),
+        wh.read("sat_patient_demographics"), wh.read("hub_patient"), MT.summary_from_state(wh.read("score_state"), recent, as_of),
         DS.latest_from_state(state), DS.alerts_from_state(state), as_of))
     wh.report(load_ts)

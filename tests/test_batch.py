@@ -63,6 +63,33 @@ def test_state_gives_dashboard_vitals_and_alerts(spark, lh, two_days):
     assert same(DS.value_counts(lh.sat_reading_value()), two_days.read("value_counts").select("patient_hk", "metric_code", "report_date", "value", "n"))
 
 
+def test_score_state_and_recent_days_give_the_dashboard(spark, lh, two_days):
+    as_of = F.lit(MT.DEFAULT_AS_OF).cast("date")
+    state = two_days.read("score_state")
+    recent = two_days.read("anomaly_score", since="2024-01-25")
+    assert same(MT.summary_from_state(state, recent, MT.DEFAULT_AS_OF), MT.score_summary(lh.risk_days(), as_of))
+    # alerts are made per delivery: late readings of an old day are not joined with that day's
+    board = lambda df: df.drop("active_alerts")
+    assert same(board(two_days.read("mart_anomaly_dashboard")), board(lh.mart_anomaly_dashboard()))
+    assert "PartitionFilters: [isnotnull(day" in plan(recent) and "2024-01-25" in plan(recent)
+
+
+def test_score_state_when_days_are_made_anew(spark):
+    """Days of one patient each: kept, overtaken, confirmed, taken back (in part: the history must tell), all anew."""
+    day = lambda n: dt.date(2024, 1, n)
+    scored = "patient_hk string, report_date date, risk_tier string, composite_anomaly_score decimal(8,4), anomaly_flag boolean"
+    rows = lambda *r: spark.createDataFrame([(p, day(d), "low", None, flag) for p, d, flag in r], scored)
+    before = rows(*[(p, d, d == 9) for p in ("kept", "later", "again", "back", "whole", "gone") for d in (5, 9)], ("back", 4, True), ("whole", 3, True))
+    fresh = rows(("later", 12, True), ("again", 9, True), ("back", 9, False), ("whole", 3, False), ("whole", 5, False), ("whole", 9, False), ("new", 2, False))
+    units = spark.createDataFrame([("later", day(13), day(14), False), ("again", day(9), day(12), False), ("back", day(9), day(10), False),
+                                   ("whole", day(3), day(9), True), ("gone", day(10), day(10), False), ("new", day(2), day(2), False)],
+                                  "patient_hk string, lo date, until date, whole boolean")
+    got = {r.patient_hk: (r.last and r.last.report_date, r.last_anomaly, r.doubtful)
+           for r in DS.merged_scores(DS.score_state(before), fresh, AF.touched_spans(units)).collect()}
+    assert got == {"kept": (day(9), day(9), False), "later": (day(12), day(12), False), "again": (day(9), day(9), False),
+                   "back": (day(9), None, True), "whole": (day(9), None, False), "gone": (None, None, True), "new": (day(2), None, False)}
+
+
 def test_a_joined_satellite_is_not_shuffled_and_days_are_pruned(spark, two_days):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
