@@ -45,7 +45,9 @@ MIN_PAGES, MIN_SAME = 8, 5
 MIN_OUTLINE = 0.05
 #: Share of the slot's different pages from which a text is template, outside and within an article or main part.
 MIN_SHARE, MIN_SHARE_MAIN = 0.2, 0.5
-BROADCAST_HOSTS = 50_000
+#: References and templates are broadcast up to so many hosts and characters, else joined by host (a host with a
+#: large share of the pages is split by Spark's adaptive skew join then).
+BROADCAST_HOSTS, BROADCAST_CHARS = 50_000, 64 << 20
 
 
 def _short(data: bytes) -> int:
@@ -100,49 +102,159 @@ def unpacked_tree(data: str) -> Node:
     return stack[0].children[0]
 
 
+#: Length from which lists are matched a row at a time.
+_WIDE = 64
 #: Weight of a matched pair; equal texts weigh 1 and so only choose among matchings of one size.
 _PAIR = 1 << 32
 
 
+class _Shapes:
+    """Subtrees by shape: label, shapes of the children, and the value of a text that both trees have. A matching's
+    weight depends on the two shapes alone, so equal parts are weighed once and lists of like siblings stay small."""
+
+    def __init__(self, a: Node, b: Node, ours: dict[int, int], theirs: dict[int, int]):
+        both = set(ours.values()) & set(theirs.values())
+        self.of: dict[int, int] = {}  # shape of a node, by identity
+        self.label: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.own: list[int] = []  # weight of the shape matched with itself
+        self.plain: list[bool] = []  # whether it is an element around one text
+        self.weights: dict[tuple[int, int], int] = {}
+        known: dict[tuple, int] = {}
+        for root, values in ((a, ours), (b, theirs)):
+            todo = [(root, False)]
+            while todo:
+                node, closed = todo.pop()
+                if not closed and node.children:
+                    todo.append((node, True))
+                    todo.extend((c, False) for c in node.children)
+                    continue
+                value = values.get(id(node), 0) if node.text is not None else 0
+                value, kids = value if value in both else 0, tuple(self.of[id(c)] for c in node.children)
+                key = (node.label, node.text is not None, value, kids)
+                if key not in known:
+                    known[key] = len(self.own)
+                    self.label.append(node.label)
+                    self.kids.append(kids)
+                    self.own.append(_PAIR + (value != 0) + sum(self.own[k] for k in kids))
+                    self.plain.append(len(kids) == 1 and self.label[kids[0]] == "#text" and not self.kids[kids[0]])
+                self.of[id(node)] = known[key]
+
+    def _open(self, c: int, d: int) -> bool:
+        """Whether the weight of the pair takes a matching of its children."""
+        return c != d and self.label[c] == self.label[d] and bool(self.kids[c]) and bool(self.kids[d]) and not (self.plain[c] and self.plain[d])
+
+    def _pair(self, c: int, d: int) -> int:
+        if c == d:
+            return self.own[c]
+        if self.label[c] != self.label[d]:
+            return 0
+        if self._open(c, d):
+            return self.weights[c, d]
+        return 2 * _PAIR if self.plain[c] and self.plain[d] else _PAIR
+
+    def _ends(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> tuple[int, int]:
+        """How many children are equal at the start and at the end; matching these is never worse."""
+        n, start, end = min(len(xs), len(ys)), 0, 0
+        while start < n and xs[start] == ys[start]:
+            start += 1
+        while end < n - start and xs[-1 - end] == ys[-1 - end]:
+            end += 1
+        return start, end
+
+    def lists(self, xs: tuple[int, ...], ys: tuple[int, ...], trace: bool = False) -> tuple[int, list[tuple[int, int]]]:
+        """Weight of the best order-keeping matching of two lists of children, and its places if traced: two
+        rows of weights and a byte a cell."""
+        start, end = self._ends(xs, ys)
+        total = sum(self.own[k] for k in (*xs[:start], *xs[len(xs) - end:]))
+        left, right = xs[start:len(xs) - end], ys[start:len(ys) - end]
+        rows = self._wide_rows if len(right) >= _WIDE else self._rows
+        weight, steps = rows(left, right, trace)
+        total += weight
+        if not trace:
+            return total, []
+        chosen = [(k, k) for k in range(start)] + [(len(xs) - k, len(ys) - k) for k in range(1, end + 1)]
+        i, j = len(left), len(right)
+        while i and j:
+            step = steps[i - 1][j - 1]
+            if step == 2:
+                chosen.append((start + i - 1, start + j - 1))
+            i, j = i - (step != 1), j - (step != 0)
+        return total, chosen
+
+    def _rows(self, left: tuple[int, ...], right: tuple[int, ...], trace: bool) -> tuple[int, list]:
+        """Weight of the best matching, and a step for each cell: 0 leaves out the left one, 1 the right one, 2 pairs them."""
+        above, steps, last, weights = [0] * (len(right) + 1), [], None, []
+        for c in left:
+            if c != last:
+                last, weights = c, [self._pair(c, d) for d in right]
+            best, row, step = 0, [0], bytearray(len(right))
+            for j, w in enumerate(weights):
+                if above[j + 1] >= best:
+                    best = above[j + 1]
+                else:
+                    step[j] = 1
+                if w and above[j] + w > best:
+                    best, step[j] = above[j] + w, 2
+                row.append(best)
+            above = row
+            if trace:
+                steps.append(step)
+        return above[-1], steps
+
+    def _wide_rows(self, left: tuple[int, ...], right: tuple[int, ...], trace: bool) -> tuple[int, list]:
+        """The same, a row at a time: what comes from the left is the running maximum."""
+        shapes, at = np.unique(np.array(right), return_inverse=True)
+        above, steps, known = np.zeros(len(right) + 1, np.int64), [], {}
+        for c in left:
+            if c not in known:
+                if len(known) * len(shapes) > 1 << 20:
+                    known.clear()
+                known[c] = np.array([self._pair(c, d) for d in shapes.tolist()], np.int64)
+            w = known[c][at]
+            paired = np.where(w > 0, above[:-1] + w, 0)
+            row = np.zeros_like(above)
+            np.maximum.accumulate(np.maximum(above[1:], paired), out=row[1:])
+            if trace:
+                other = np.maximum(above[1:], row[:-1])
+                steps.append(np.where(paired > other, 2, above[1:] < row[:-1]).astype(np.uint8).tobytes())
+            above = row
+        return int(above[-1]), steps
+
+    def weight(self, a: int, b: int) -> int:
+        """Weight of the best matching of two shapes of one label."""
+        todo = [(a, b, False)] if self._open(a, b) else []
+        while todo:
+            c, d, ready = todo.pop()
+            if (c, d) in self.weights:
+                continue
+            xs, ys = self.kids[c], self.kids[d]
+            if ready:
+                self.weights[c, d] = _PAIR + self.lists(xs, ys)[0]
+                continue
+            todo.append((c, d, True))
+            start, end = self._ends(xs, ys)
+            inner = set(ys[start:len(ys) - end])
+            todo.extend((e, f, False) for e in set(xs[start:len(xs) - end]) for f in inner if self._open(e, f))
+        return self._pair(a, b)
+
+
 def _matching(a: Node, b: Node, ours: dict[int, int] = {}, theirs: dict[int, int] = {}) -> tuple[int, list[tuple[Node, Node]]]:  # noqa: B006
     """Simple tree matching: size of the largest top-down, order-keeping matching of two trees, and its pairs;
     of equally large ones, one with most pairs of text runs with equal values (by identity)."""
     if a.label != b.label:
         return 0, []
-    done: dict[tuple[int, int], tuple[int, list]] = {}  # (weight, matched children with their matchings) of inner pairs
-    todo = [(a, b, False)]
-    while todo:
-        x, y, ready = todo.pop()
-        if not ready:
-            todo.append((x, y, True))
-            todo.extend((c, d, False) for c in x.children if c.children for d in y.children if d.children and c.label == d.label)
-            continue
-        m, n = len(x.children), len(y.children)
-        inner = [[(0, ()) if c.label != d.label else done.pop((id(c), id(d))) if c.children and d.children
-                  else (_PAIR + (c.text is not None and id(c) in ours and ours[id(c)] == theirs.get(id(d))), ()) for d in y.children]
-                 for c in x.children]
-        best = [[0] * (n + 1) for _ in range(m + 1)]
-        for i in range(1, m + 1):
-            row, above, sizes = best[i], best[i - 1], inner[i - 1]
-            for j in range(1, n + 1):
-                w = sizes[j - 1][0]
-                row[j] = max(above[j], row[j - 1], above[j - 1] + w if w else 0)
-        chosen, i, j = [], m, n
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                chosen.append((x.children[i], y.children[j], inner[i][j][1]))
-        done[id(x), id(y)] = best[m][n] + _PAIR, chosen
-    size, chosen = done[id(a), id(b)]
-    pairs, walk = [(a, b)], list(chosen)
+    shapes = _Shapes(a, b, ours, theirs)
+    size, of = shapes.weight(shapes.of[id(a)], shapes.of[id(b)]), shapes.of
+    pairs, walk = [], [(a, b)]
     while walk:
-        x, y, more = walk.pop()
+        x, y = walk.pop()
         pairs.append((x, y))
-        walk.extend(more)
+        c, d = of[id(x)], of[id(y)]
+        if c == d:
+            walk.extend(zip(x.children, y.children, strict=True))
+        elif x.children and y.children:
+            walk.extend((x.children[i], y.children[j]) for i, j in shapes.lists(shapes.kids[c], shapes.kids[d], True)[1])
     return size // _PAIR, pairs
 
 
@@ -268,9 +380,17 @@ def references(found: DataFrame) -> DataFrame:
     return each.select("host", F.to_json(F.expr("transform(r, x -> struct(x.outline, x.tree, x.values))")).alias("references"))
 
 
+def _broadcast(hosts: DataFrame) -> DataFrame:
+    """The stored ``hosts``, marked for broadcast if they are few and short."""
+    size = F.sum(sum(F.coalesce(F.length(c), F.lit(0)) for c in hosts.columns))
+    if (hosts.agg(size).first()[0] or 0) > BROADCAST_CHARS:
+        return hosts
+    return small_or(hosts, BROADCAST_HOSTS)[1]
+
+
 def template_texts(found: DataFrame, refs: DataFrame) -> DataFrame:
     """(host, template): the texts that are template, as (outline of the reference, slot, place, value)."""
-    _, refs = small_or(refs, BROADCAST_HOSTS)
+    refs = _broadcast(refs)
     rows = found.join(refs, "host").select("host", "outline", "tree", "values", "places", "references")
 
     def run(batches):
@@ -310,7 +430,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     refs = stored(references(found), "wrapper-references")
     fixed = template_texts(found, refs)
     wrappers = stored(refs.join(fixed, "host", "left"), "wrapper-templates")
-    _, wrappers = small_or(wrappers, BROADCAST_HOSTS)
+    wrappers = _broadcast(wrappers)
     rows = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "references", "template")
     kind = rows.schema["page_id"].dataType.simpleString()
 

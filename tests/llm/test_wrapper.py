@@ -54,7 +54,9 @@ def plain_match(a, b):
     return 1 + best(a.children, b.children)
 
 
-def test_tree_matching_is_the_largest():
+@pytest.mark.parametrize("wide", [0, 64])
+def test_tree_matching_is_the_largest(wide, monkeypatch):
+    monkeypatch.setattr("pulsevault.llm.wrapper._WIDE", wide)
     rng = random.Random(4)
     for _ in range(200):
         a, b = tree(rng), tree(rng)
@@ -63,6 +65,46 @@ def test_tree_matching_is_the_largest():
         assert all(x.label == y.label for x, y in pairs)
 
 
+@pytest.mark.parametrize("wide", [0, 64])
+def test_equal_texts_choose_among_the_largest_matchings(wide, monkeypatch):
+    """Against all matchings of two lists of paragraphs, some texts in both: size first, then equal texts."""
+    monkeypatch.setattr("pulsevault.llm.wrapper._WIDE", wide)
+    from functools import cache
+    rng = random.Random(6)
+    for _ in range(150):
+        left, right = ([rng.randint(1, 5) for _ in range(rng.randint(0, 7))] for _ in range(2))
+        page = lambda ks: parse("<div>" + "".join(f"<p>{k}</p>" if k % 2 else f"<ul><li>{k}<li>x{k}</ul>" for k in ks) + "</div>")
+        a, b = page(left), page(right)
+        values = lambda root: {id(t): hash(t.text) | 1 for t in texts(root)}
+        size, pairs = _matching(a, b, values(a), values(b))
+
+        @cache
+        def best(i, j):
+            if i == len(left) or j == len(right):
+                return 0, 0
+            options = [best(i + 1, j), best(i, j + 1)]
+            if left[i] % 2 == right[j] % 2:
+                n, e = best(i + 1, j + 1)
+                options.append((n + (2 if left[i] % 2 else 5), e + (left[i] == right[j]) * (1 if left[i] % 2 else 2)))
+            return max(options)
+        equal = sum(x.text is not None and x.text == y.text for x, y in pairs)
+        base = 2 if left and right else len(pairs) - best(0, 0)[0]
+        assert (size, equal) == (base + best(0, 0)[0], best(0, 0)[1]) and len(pairs) == size
+
+
+def test_long_lists_of_siblings_take_little_memory():
+    import tracemalloc
+    page = lambda n, k: parse("<ul>" + "".join(f"<li><p>{k} {i}</p><p>{(i * i + n) % 7}</p></li>" for i in range(n)) + "</ul>")
+    a, b = page(6000, "x"), page(5000, "y")
+    values = lambda root: {id(t): hash(t.text) | 1 for t in texts(root)}
+    ours, theirs = values(a), values(b)
+    tracemalloc.start()
+    size, _ = _matching(a, b, ours, theirs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size == 2 + 5 * 5000 and peak < 100 << 20
+
+
 def test_trees_survive_packing():
     page = parse("<div class=x><p>a<p>b<ul><li>c</ul></div>d")
     again = unpacked_tree(packed_tree(page))
@@ -104,7 +146,9 @@ def test_rare_texts_of_a_template_slot_stay(spark):
     assert all(got[1000 + i].endswith(f"news {i}") and "Our news" not in got[1000 + i] for i in range(12))
 
 
-def test_second_layout_and_blocks_that_the_reference_lacks(spark):
+@pytest.mark.parametrize("chars", [0, 64 << 20])
+def test_second_layout_and_blocks_that_the_reference_lacks(spark, chars, monkeypatch):
+    monkeypatch.setattr("pulsevault.llm.wrapper.BROADCAST_CHARS", chars)
     rng = random.Random(2)
     rows, want = [], {}
     for i in range(100):
