@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pytest
+
 from pulsevault.llm.exact_dedup import drop_exact_copies, exact_groups
 
 SCHEMA = "doc_id long, text string, sha string, keep_id long, n long"
@@ -48,7 +50,24 @@ def test_unique_rows_are_never_hashed_in_full(spark):
     assert (got[1].kept, got[4].kept, got[3].kept) == (False, True, True)
 
 
-def test_dropped_rows(spark):
+def test_any_number_of_bits_gives_the_same_rows(spark, monkeypatch):
+    """With one block of bits nearly every row is hashed in full, and no result changes."""
+    rows = rows_of(5)
+    docs = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in rows], SCHEMA)
+    monkeypatch.setattr("pulsevault.llm.exact_dedup.FILTER_BITS", 16)
+    assert sorted((tuple(r) for r in exact_groups(docs, digest_all=True).collect()), key=str) == reference(rows)
+    assert drop_exact_copies(docs).count() == sum(r[3] for r in reference(rows))
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a", 1, 2, 3, 4), (2, "a", 5, 6, 7, 8), (3, "b", 9, 9, 9, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __block int, __bits int, __own_sha int, __length int")
+    assert sorted(tuple(r) for r in drop_exact_copies(docs).collect()) == rows[1:]
+
+
+@pytest.mark.parametrize("keys", [0, 500_000])
+def test_dropped_rows(spark, keys, monkeypatch):
+    monkeypatch.setattr("pulsevault.llm.exact_dedup.BROADCAST_KEYS", keys)
     rows = rows_of(3)
     docs = spark.createDataFrame([(i, t, "s", 1, 2) for i, t in rows], SCHEMA)
     out = drop_exact_copies(docs)
