@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, FloatType
 
 from pulsevault.llm.common import executors_ready, stored
-from pulsevault.llm.words import mixed
 
 DEGREE = 32
 BLOCK = 4096
@@ -236,6 +235,10 @@ def round_offers(graph: DataFrame, blocks: int, degree: int, turn: int) -> DataF
     edges = graph.select("block", "node", F.explode(F.arrays_zip("ids", "fresh")).alias("e")).select(
         "block", "node", F.col("e.ids").alias("other"), F.col("e.fresh").alias("flag"))
     back = edges.select(_block("other", blocks), F.col("other").alias("node"), F.col("node").alias("other"), "flag")
+    # a node's reverse edges are cut (new ones first) before they and their vectors are sent to its block; the limit
+    # also holds in every task before the shuffle, so a hub's edges never meet in one
+    order = Window.partitionBy("node").orderBy(F.desc("flag"), F.xxhash64("node", "other", F.lit(turn)), "other")
+    back = back.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= degree).drop("place")
     asked = edges.select("block", "other").unionByName(back.select("block", "other")).distinct()
     worst = F.when(F.size("ids") < degree, F.lit(-2.0)).otherwise(F.array_min("sims")).cast("float").alias("worst")
     payload = graph.select(F.col("node").alias("other"), "half", worst)
@@ -261,12 +264,6 @@ def round_offers(graph: DataFrame, blocks: int, degree: int, turn: int) -> DataF
             node = links_.column(5).to_numpy()
             member = np.searchsorted(ids, links_.column(2).to_numpy())
             fresh = links_.column(6).to_numpy().astype(bool)
-            reverse = kinds[at[0]:] == 2
-            shuffled = mixed(member.astype(np.uint64) * np.uint64(2 * turn + 1) + node.astype(np.uint64))
-            order = np.lexsort((shuffled, ~fresh, node))
-            order = order[reverse[order]]
-            order = np.concatenate((np.flatnonzero(~reverse), order[_rank(node[order]) < degree]))
-            node, member, fresh = node[order], member[order], fresh[order]
             order = np.lexsort((~fresh, member, node))
             node, member, fresh = node[order], member[order], fresh[order]
             keep = np.concatenate(([True], (node[1:] != node[:-1]) | (member[1:] != member[:-1])))

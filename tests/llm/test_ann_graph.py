@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from pulsevault.llm import ann_graph
-from pulsevault.llm.ann_graph import _best, _local_join, nearest
+from pulsevault.llm.ann_graph import _best, _local_join, nearest, round_offers
 
 SCHEMA = "vec_id long, embedding array<float>, score string, node int"
 
@@ -91,3 +91,12 @@ def test_as_many_copies_as_asked_for(spark):
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
     want = truth(rows, 5, 25)
     assert {q: [(p + 1, i) for p, (i, _) in enumerate(v)] for q, v in want.items()} == {q: sorted(v) for q, v in got.items()}
+
+
+def test_reverse_edges_of_a_hub_are_cut_before_the_shuffle(spark):
+    half = np.zeros(4, np.float16).tobytes()
+    rows = [(0, i, half, [0] if i else [1], [0.5], [True]) for i in range(500)]  # all point to node 0
+    graph = spark.createDataFrame(rows, "block int, node long, half binary, ids array<long>, sims array<float>, fresh array<boolean>").repartition(4)
+    text = round_offers(graph, 4, 8, 0)._jdf.queryExecution().executedPlan().toString()
+    limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
+    assert any("Partial" in line and ", 8," in line for line in limits) and any("Final" in line for line in limits)
