@@ -61,8 +61,9 @@ def _signed():
     return F.when(F.col("direction") == "above", -F.col("value")).otherwise(F.col("value"))
 
 
-def breach_windows(readings: DataFrame, thresholds: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
-    """WIN8/SRT4: one row per breach window with its first and worst reading (two-level, see module doc)."""
+def run_fragments(readings: DataFrame, thresholds: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """Steps 1 to 3: what every (key, bucket) holds, one row per run fragment and a marker (see module doc). The
+    readings of a bucket must be there together; buckets may come one after the other."""
     x = breach_match(readings, thresholds)
     ts = F.col("measured_at")
     tod = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
@@ -74,7 +75,7 @@ def breach_windows(readings: DataFrame, thresholds: DataFrame | None = None, buc
     x = x.select("*", F.sum(nb).over(run).alias("__local"), F.sum(nb).over(full).alias("__btotal"),
                  (F.count(F.lit(1)).over(run) == F.count(F.lit(1)).over(full)).alias("__is_last"))
     brk = F.col("is_breach")
-    frag = x.where(brk | F.col("__is_last")).groupBy(*KEY, "__b", "__local").agg(
+    return x.where(brk | F.col("__is_last")).groupBy(*KEY, "__b", "__local").agg(
         F.count_if(brk).alias("__n"),
         F.max(F.when(brk, F.col("threshold_value"))).alias("threshold_value"),
         F.min(F.when(brk, _window_row())).alias("__first"),
@@ -84,6 +85,10 @@ def breach_windows(readings: DataFrame, thresholds: DataFrame | None = None, buc
         F.max("__btotal").alias("__btotal"),
         F.max("__is_last").alias("__has_last"),
     )
+
+
+def stitched(frag: DataFrame) -> DataFrame:
+    """Steps 4 and 5: the breach windows of the fragments of whole days."""
     wk = Window.partitionBy(*KEY).orderBy("__b", "__local").rowsBetween(Window.unboundedPreceding, -1)
     carry = F.coalesce(F.sum(F.when(F.col("__has_last"), F.col("__btotal")).otherwise(0)).over(wk), F.lit(0))
     frag = frag.select("*", (carry + F.col("__local")).alias("__island")).where(F.col("__n") > 0)
@@ -95,6 +100,11 @@ def breach_windows(readings: DataFrame, thresholds: DataFrame | None = None, buc
     ).select(*_out())
 
 
+def breach_windows(readings: DataFrame, thresholds: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """WIN8/SRT4: one row per breach window with its first and worst reading (two-level, see module doc)."""
+    return stitched(run_fragments(readings, thresholds, bucket_seconds))
+
+
 def _out():
     return [*KEY, "threshold_value",
             F.col("__first.measured_at").alias("first_measured_at"),
@@ -123,8 +133,11 @@ def breach_windows_single_pass(readings: DataFrame, thresholds: DataFrame | None
 
 def breach_alerts(readings: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
     """AL1: the alert feed (one alert per breach window); ids are deterministic hashes."""
-    bw = breach_windows(readings, thresholds)
-    return bw.select(
+    return alert_feed(breach_windows(readings, thresholds))
+
+
+def alert_feed(windows: DataFrame) -> DataFrame:
+    return windows.select(
         surrogate_key("patient_id", "metric_code", "severity", "direction", "first_measured_at").alias("alert_id"),
         "patient_id", "device_serial",
         F.lit(ALERT_TYPE).alias("alert_type"),

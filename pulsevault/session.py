@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +57,29 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> No
             pass
 
 
+#: Streaming state on the executors' disks behind a cache of fixed size. The default store keeps all keys on the heap
+#: and copies their map in every micro-batch, so its cost is micro-batches times keys.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state as ``STATE_CONF`` says."""
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pulsevault",
                   extra: dict | None = None) -> SparkSession:
     """Local session for tests and the benchmark (a cluster supplies its own session)."""

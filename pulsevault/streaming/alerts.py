@@ -1,56 +1,49 @@
-"""Streaming breach alerts: two chained queries with mergeable run fragments as state.
-
-A patient-day of one metric is a sequence of elements for every threshold of that metric: runs of breaching
-readings (first and worst reading, size, last time) and separators (non-breaching readings, of which only the
-places count). Once no reading can come between them any more, that is behind the watermark, neighbouring
-runs without a separator between them are one run, and neighbouring separators are as good as the first: the
-sequence is *folded* (``folded``) without losing what the result needs. Readings that the watermark has not
-passed wait as they are.
-
-``bucket_fragments`` keeps one folded sequence per (patient, metric, day, time bucket). A flooding device is thus
-dealt over 24 keys a day (more with a smaller bucket), and the state of a key is bounded by its runs and its
-readings that the watermark has not passed, at most one bucket's. When the watermark passes the bucket's end, its
-fragments leave for a file table, and with them the time up to which that table is complete.
-``alerts_of_fragments`` reads that table as a stream and folds the buckets of a day in the same way, so a run
-across a bucket's border is one alert; its input is fragments, never readings. The result is independent of how
-readings were split over micro-batches or ordered inside files, and equal to the batch operator for
-every completed day (use the RocksDB state store at scale).
+"""Streaming breach alerts: two chained queries, readings to run fragments and fragments to alerts.
+
+``finished_buckets`` gathers the readings of every (patient, metric, day, time bucket); when the watermark passes the
+bucket's end they leave its state and become fragments (``operators.alerts.run_fragments``): runs of breaching readings
+and a marker with the number of the others. A flooding device is thus dealt over 24 keys a day (more with a smaller
+bucket), and a key's state is at most one bucket's readings. The fragments go to a file table, and with them the time
+up to which that table is complete. ``finished_days`` reads that table as a stream and gathers the fragments of a day;
+when the day is over they are stitched (``operators.alerts.stitched``), so a run across a bucket's border is one alert.
+State, windows and aggregates are Spark's own: no key costs a call of Python. The state lies on disk
+(``session.STATE_CONF``). The result is independent of how readings were split over micro-batches or ordered inside
+files, and equal to the batch operator for every completed day.
 
 A day whose end is still ahead of the watermark has not finished and emits nothing yet. Where the
 feed is known to be complete up to some time, ``stream_breach_alerts`` ends its run with a tick of a
 second input, the clock, which moves the watermark past that time and so closes the last days.
-Rows later than the watermark (two hours by default) are dropped, unlike in batch, and so are
+Rows of buckets that the watermark (two hours by default) has passed are dropped, unlike in batch, and so are
 readings without a time, which belong to no day. A missing value breaches nothing, as in batch.
+
+``evaluate_day`` states the same in one process, as a reference for tests: a patient-day is a sequence of elements for
+every threshold, runs and separators (non-breaching readings, of which only the places count), and once no reading can
+come between them any more it is *folded* (``folded``): neighbouring runs are one run, neighbouring separators one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pulsevault.fixed_values import THRESHOLDS
-from pulsevault.functions import epoch_micros, event_time, ntz_from_epoch_micros, surrogate_key
-from pulsevault.operators.alerts import ALERT_TYPE
+from pulsevault.functions import event_time
+from pulsevault.operators.alerts import alert_feed, run_fragments, stitched
 from pulsevault.operators.staging import stg_readings
-from pulsevault.session import scratch_path, ship_package
+from pulsevault.session import scratch_path, state_on_disk
 from pulsevault.streaming.readings import readings_stream
 
-DAY_US = 86_400_000_000
+_KEY = ["patient_id", "metric_code", "report_date"]
+_READING = ["measured_at", "reading_id", "device_serial", "value"]
 #: An element: threshold number (-1: a waiting reading, with its value as the worst one), first reading, worst reading,
 #: readings in the run (0: a separator), last time.
-_TYPES = {"k": "int", "first_us": "long", "first_id": "string", "device_serial": "string", "worst": "double",
-          "worst_id": "string", "worst_us": "long", "n": "long", "last_us": "long"}
-_COLUMNS = list(_TYPES)
-STATE_SCHEMA = ", ".join(f"{c} array<{t}>" for c, t in _TYPES.items())
-#: Fragments as they leave: of one patient, metric and day, with the end of their bucket.
-FRAGMENT_SCHEMA = "patient_id string, metric_code string, report_date date, end_us long, " + ", ".join(f"{c} {t}" for c, t in _TYPES.items())
+_COLUMNS = ["k", "first_us", "first_id", "device_serial", "worst", "worst_id", "worst_us", "n", "last_us"]
 _ABOVE = np.array([direction == "above" for _, _, direction, _, _ in THRESHOLDS])
 #: Later than any time: everything is settled.
 _EVER = np.iinfo(np.int64).max
@@ -115,100 +108,52 @@ def evaluate_day(key: tuple, ts, ids, vals, devs) -> pd.DataFrame:
     return out.reset_index(drop=True)
 
 
-def _day_start(day: dt.date) -> int:
-    return (day - dt.date(1970, 1, 1)).days * DAY_US
-
-
-def _folding(read: Callable, end_of: Callable, settled_at: Callable, leave: Callable) -> Callable:
-    """State function of a key: fold what comes into the stored sequence, and when the watermark has passed the
-    key's end let ``leave`` choose what is emitted. A row may be on time although the watermark that this batch works
-    with has passed its key's end already: then the key closes at once."""
+def _bucket(bucket_seconds: int) -> int:
+    """The longest bucket up to ``bucket_seconds`` that divides a day, so that none goes over midnight."""
+    return next(s for s in range(min(bucket_seconds, 86_400), 0, -1) if 86_400 % s == 0)
 
-    def process(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        stored = state.exists
-        e = pd.DataFrame(dict(zip(_COLUMNS, map(list, state.get), strict=True))) if stored else _no_elements()
-        if not state.hasTimedOut:  # rows of this batch may come in any order: nothing is settled before the last
-            new = [read(key, pdf) for pdf in pdfs]
-            e = pd.concat([x for x in [e, *new] if len(x)] or [e], ignore_index=True)
-        end_us, watermark_us = end_of(key), state.getCurrentWatermarkMs() * 1000
-        if state.hasTimedOut or end_us < watermark_us:
-            if stored:
-                state.remove()
-            out = leave(folded(key[1], e, _EVER))
-            yield pd.DataFrame({"patient_id": key[0], "metric_code": key[1], "report_date": key[2], "end_us": end_us,
-                                **{c: out[c] for c in _COLUMNS}}, index=out.index)
-            return
-        e = folded(key[1], e, settled_at(key, watermark_us))
-        state.update(tuple(e[c].astype("int64").tolist() if _TYPES[c] in ("int", "long") else e[c].tolist() for c in _COLUMNS))
-        state.setTimeoutTimestamp(max(end_us // 1000, watermark_us // 1000 + 1, 1))
 
-    return process
+def _ticks(clock: DataFrame) -> DataFrame:
+    """Rows without an item at the times of a clock (column ``at``, ISO text): they only move the watermark. Their names
+    are empty but no constants: from a batch of ticks alone Spark would infer that what leaves the state has them too."""
+    at, empty = F.col("at").cast("timestamp_ntz"), F.substring("at", 1, 0)
+    return clock.select(empty.alias("patient_id"), empty.alias("metric_code"), F.to_date(at).alias("report_date"), event_time(at).alias("event_time"))
 
 
-def _ticks(clock: DataFrame) -> DataFrame:
-    """Rows of no metric at the times of a clock (column ``at``, ISO text): they only move the watermark."""
-    at = clock.select(F.col("at").cast("timestamp_ntz").alias("at"))
-    return at.select(F.lit("").alias("patient_id"), F.lit("").alias("metric_code"), F.to_date("at").alias("report_date"),
-                     epoch_micros("at").alias("end_us"), event_time("at").alias("event_time"))
+def _collected(rows: DataFrame, clock: DataFrame | None, watermark: str, span: str) -> DataFrame:
+    """(patient_id, metric_code, report_date, items): the ``item`` of all rows of a span that is over."""
+    if clock is not None:
+        rows = rows.unionByName(_ticks(clock), allowMissingColumns=True)
+    return rows.withWatermark("event_time", watermark).groupBy(F.window("event_time", span), "patient_id", "metric_code", "report_date") \
+        .agg(F.collect_list("item").alias("items")).drop("window")
 
 
-def bucket_fragments(staged: DataFrame, watermark: str = "2 hours", clock: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
-    """Staged reading stream -> run fragments of every (patient, metric, day, bucket) that is over."""
+def finished_buckets(staged: DataFrame, watermark: str = "2 hours", clock: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """Staged reading stream -> the readings of every (patient, metric, day, bucket) that is over."""
     metrics = sorted({m for m, *_ in THRESHOLDS})
-    day = F.unix_date(F.to_date("measured_at")).cast("long") * DAY_US
-    bucket = F.lit(bucket_seconds * 1_000_000)
-    ts = epoch_micros("measured_at")
-    end = F.least(day + (F.floor((ts - day) / bucket) + 1) * bucket, day + DAY_US)  # a bucket ends at midnight at the latest
     s = staged.where(F.col("metric_code").isin(metrics) & F.col("measured_at").isNotNull()).select(
-        "patient_id", "metric_code", F.to_date("measured_at").alias("report_date"), end.cast("long").alias("end_us"),
-        event_time("measured_at").alias("event_time"), "reading_id", "device_serial",
-        F.col("value").cast("double").alias("v"), ts.alias("ts_us"))
-    if clock is not None:
-        s = s.unionByName(_ticks(clock), allowMissingColumns=True)
+        "patient_id", "metric_code", F.to_date("measured_at").alias("report_date"), event_time("measured_at").alias("event_time"),
+        F.struct(*_READING).alias("item"))
+    return _collected(s, clock, watermark, f"{_bucket(bucket_seconds)} seconds")
 
-    def read(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        if not key[1]:  # a tick
-            return _no_elements()
-        return waiting(pdf["ts_us"], pdf["reading_id"], pdf["v"], pdf["device_serial"])
 
-    process = _folding(read, lambda key: int(key[3]), lambda key, watermark_us: watermark_us, lambda e: e)
-    return s.withWatermark("event_time", watermark).groupBy("patient_id", "metric_code", "report_date", "end_us").applyInPandasWithState(
-        process, FRAGMENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+def finished_days(fragments: DataFrame, clock: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
+    """Fragment stream -> the fragments of every (patient, metric, day) that is over. Fragments leave their buckets in
+    the order of the buckets' ends, so no delay is needed."""
+    start = F.timestamp_seconds(F.unix_date("report_date").cast("long") * 86_400 + F.col("__b") * _bucket(bucket_seconds))
+    names = [c for c in fragments.columns if c not in _KEY]
+    return _collected(fragments.select(*_KEY, start.alias("event_time"), F.struct(*names).alias("item")), clock, "0 seconds", "1 day")
 
 
-def alerts_of_fragments(fragments: DataFrame, clock: DataFrame | None = None, bucket_seconds: int = 3600) -> DataFrame:
-    """Fragment stream -> alert stream (same columns as the batch alert feed). Fragments leave their buckets in the
-    order of the buckets' ends, so no delay is needed."""
-    s = fragments.withColumn("event_time", F.timestamp_micros("end_us"))
-    if clock is not None:
-        s = s.unionByName(_ticks(clock), allowMissingColumns=True)
-    bucket = bucket_seconds * 1_000_000
-
-    def settled_at(key: tuple, watermark_us: int) -> int:
-        start = _day_start(key[2])
-        return start + (watermark_us - start) // bucket * bucket
-
-    process = _folding(lambda key, pdf: pdf[_COLUMNS] if key[1] else _no_elements(), lambda key: _day_start(key[2]) + DAY_US,
-                       settled_at, lambda e: e[e["n"] > 0])
-    windows = s.withWatermark("event_time", "0 seconds").groupBy("patient_id", "metric_code", "report_date").applyInPandasWithState(
-        process, FRAGMENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    rule = F.array(*[F.struct(F.lit(s).alias("severity"), F.lit(d).alias("direction"), F.lit(float(v)).alias("threshold_value"))
-                     for _, s, d, v, _ in THRESHOLDS])[F.col("k")]
-    first_ts = ntz_from_epoch_micros("first_us")
-    return windows.withColumn("rule", rule).select(
-        surrogate_key("patient_id", "metric_code", "rule.severity", "rule.direction", first_ts).alias("alert_id"),
-        "patient_id", "device_serial", F.lit(ALERT_TYPE).alias("alert_type"), "rule.severity", "metric_code",
-        "rule.threshold_value",
-        F.round(F.col("worst").cast("decimal(10,4)"), 2).cast("double").alias("actual_value"),
-        first_ts.alias("triggered_at"),
-        F.col("worst_id").alias("reading_id"),
-    )
-
-
-def _run(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append what is available to the Parquet table at ``path``."""
-    query = (rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
+def _run(rows: DataFrame, path: str, checkpoint: str, made: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Work off what is available: what ``made`` makes of the items that are over goes to the Parquet table at ``path``,
+    a directory per micro-batch, so that one that runs again replaces its rows."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        items = batch.select(*_KEY, F.inline("items"))
+        made(items).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    with state_on_disk(rows.sparkSession):
+        query = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -223,7 +168,6 @@ def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str, m
                          complete_until: str | None = None, bucket_seconds: int = 3600) -> DataFrame:
     """Run both queries over all available landing files; returns the emitted alerts. With
     ``complete_until`` the run ends by closing every day that is over at that time."""
-    ship_package(spark)
     place = {name: scratch_path(spark, f"stream-{name}") for name in ("clock", "fragments", "progress", "alerts", "ckpt-1", "ckpt-2")}
 
     def tick(name: str, at: dt.datetime) -> None:
@@ -234,13 +178,16 @@ def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str, m
         return spark.readStream.schema("at string").json(place[name])
 
     staged = stg_readings(readings_stream(spark, landing_root, max_files_per_trigger), load_ts)
-    fragments = bucket_fragments(staged, clock=clock("clock"), bucket_seconds=bucket_seconds)
+    buckets = finished_buckets(staged, clock=clock("clock"), bucket_seconds=bucket_seconds)
+
+    def fragments(readings: DataFrame) -> DataFrame:
+        return run_fragments(readings, bucket_seconds=_bucket(bucket_seconds))
 
     def read_on() -> None:
         """Let the first query read on, and tell the second up to where its table is complete."""
-        watermark = _watermark(_run(fragments, place["fragments"], place["ckpt-1"]))
+        watermark = _watermark(_run(buckets, place["fragments"], place["ckpt-1"], fragments))
         if watermark is not None and watermark > dt.datetime(1970, 1, 2):
-            tick("progress", watermark - dt.timedelta(milliseconds=1))  # a bucket may end at the watermark itself
+            tick("progress", watermark - dt.timedelta(milliseconds=1))  # a day that ends at the watermark itself waits
 
     progress = clock("progress")
     read_on()
@@ -248,6 +195,7 @@ def stream_breach_alerts(spark: SparkSession, landing_root: str, load_ts: str, m
         # beyond the watermark's delay, so that the watermark itself passes the given time
         tick("clock", dt.datetime.fromisoformat(complete_until) + dt.timedelta(days=1))
         read_on()
-    stored = spark.readStream.schema(FRAGMENT_SCHEMA).parquet(place["fragments"])
-    _run(alerts_of_fragments(stored, progress, bucket_seconds), place["alerts"], place["ckpt-2"])
-    return spark.read.parquet(place["alerts"])
+    schema = spark.read.parquet(place["fragments"]).drop("batch").schema
+    stored = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(place["fragments"])
+    _run(finished_days(stored, progress, bucket_seconds), place["alerts"], place["ckpt-2"], lambda f: alert_feed(stitched(f)))
+    return spark.read.parquet(place["alerts"]).drop("batch")
