@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsevault.functions import event_time
 from pulsevault.operators.staging import stg_readings
-from pulsevault.session import scratch_path
+from pulsevault.session import scratch_path, state_on_disk
 from pulsevault.sources.schemas import READINGS_SCHEMA
 
 STREAM_KEYS = ["patient_id", "metric_code", "report_date"]
@@ -49,8 +49,9 @@ def run_to_table(spark: SparkSession, agg: DataFrame, out_path: str, checkpoint:
     def sink(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
 
-    q = (agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    with state_on_disk(spark):
+        q = (agg.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     log = spark.read.parquet(out_path)
     w = Window.partitionBy(*STREAM_KEYS).orderBy(F.col("batch_id").desc())
