@@ -35,8 +35,10 @@ def _block(key: Column, blocks) -> Column:
 
 
 def key_filter(keys: DataFrame, blocks: int) -> DataFrame:
-    """(block, n, bits) over the column ``key``: how many keys each block holds, and their bits."""
-    rows = keys.select(_block(F.col("key"), F.lit(blocks)).alias("block"), F.posexplode(F.array(*_bits(F.col("key")))).alias("at", "bit"))
+    """(block, n, bits) over the column ``key``: how many keys each block holds, and their bits. The keys are dealt by
+    block first: otherwise every task would make bitmaps of all blocks, and their number is tasks times blocks."""
+    dealt = keys.select(_block(F.col("key"), F.lit(blocks)).alias("block"), "key").repartition("block")
+    rows = dealt.select("block", F.posexplode(F.array(*_bits(F.col("key")))).alias("at", "bit"))
     return rows.groupBy("block").agg(F.count_if(F.col("at") == 0).alias("n"), F.bitmap_construct_agg("bit").alias("bits"))
 
 
