@@ -239,10 +239,11 @@ def round_offers(graph: DataFrame, blocks: int, degree: int, turn: int) -> DataF
     # also holds in every task before the shuffle, so a hub's edges never meet in one
     order = Window.partitionBy("node").orderBy(F.desc("flag"), F.xxhash64("node", "other", F.lit(turn)), "other")
     back = back.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= degree).drop("place")
-    asked = edges.select("block", "other").unionByName(back.select("block", "other")).distinct()
+    # a vector is joined once with the blocks that ask for it, and only then dealt to each of them
+    asked = edges.select("block", "other").unionByName(back.select("block", "other")).groupBy("other").agg(F.collect_set("block").alias("blocks"))
     worst = F.when(F.size("ids") < degree, F.lit(-2.0)).otherwise(F.array_min("sims")).cast("float").alias("worst")
     payload = graph.select(F.col("node").alias("other"), "half", worst)
-    vectors = asked.join(payload, "other").select("block", kind(0), "other", "half", "worst", none("long", "node"), none("boolean", "flag"))
+    vectors = asked.join(payload, "other").select(F.explode("blocks").alias("block"), kind(0), "other", "half", "worst", none("long", "node"), none("boolean", "flag"))
     links = lambda e, k: e.select("block", kind(k), "other", none("binary", "half"), none("float", "worst"), "node", "flag")
     rows = vectors.unionByName(links(edges, 1)).unionByName(links(back, 2))
     rows = rows.repartition("block").sortWithinPartitions("block", "kind", "other")

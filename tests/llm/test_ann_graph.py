@@ -100,3 +100,11 @@ def test_reverse_edges_of_a_hub_are_cut_before_the_shuffle(spark):
     text = round_offers(graph, 4, 8, 0)._jdf.queryExecution().executedPlan().toString()
     limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
     assert any("Partial" in line and ", 8," in line for line in limits) and any("Final" in line for line in limits)
+
+
+def test_a_vector_is_joined_once_however_many_blocks_ask_for_it(spark):
+    half = np.zeros(4, np.float16).tobytes()
+    rows = [(i % 4, i, half, [0] if i else [1], [0.5], [True]) for i in range(40)]
+    graph = spark.createDataFrame(rows, "block int, node long, half binary, ids array<long>, sims array<float>, fresh array<boolean>")
+    text = round_offers(graph, 4, 8, 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(blocks" in text and text.index("Generate explode(blocks") < text.index("Join [other")
