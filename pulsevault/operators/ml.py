@@ -200,7 +200,9 @@ def train_forest(split_df: DataFrame, features: list[str] = MODEL_FEATURES, tree
     train = train.join(F.broadcast(class_weights(train)), "label")
     rf = RandomForestClassifier(numTrees=trees, seed=seed, weightCol="weight", labelCol="label",
                                 featuresCol="features")
-    model = rf.fit(asm.transform(train))
+    # a copy is without the training summary: that holds the session, which once it has observed a write (the daily batch)
+    # cannot be sent to tasks with the model
+    model = rf.fit(asm.transform(train)).copy()
     return asm, model
 
 

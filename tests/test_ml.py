@@ -2,6 +2,9 @@
 
 import random
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from pulsevault.fixed_values import MODEL_FEATURES
 from pulsevault.operators import ml as ML
 
@@ -23,6 +26,17 @@ def test_forest_finds_a_planted_signal(spark):
     assert report["0"].support + report["1"].support == report["macro avg"].support == report["accuracy"].support
 
 
+def test_a_session_that_has_observed_can_predict(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = [(f"p{i}", i, *[float(i % 7 + j) for j in range(len(MODEL_FEATURES))], i % 2, "train" if i < 40 else "test") for i in range(60)]
+    schema = "patient_hk string, report_date int, " + ", ".join(f"{f} double" for f in MODEL_FEATURES) + ", label int, split string"
+    split = spark.createDataFrame(rows, schema)
+    asm, model = ML.train_forest(split, trees=3)
+    assert not model.hasSummary and len(ML.predict(asm, model, split).collect()) == 20
+
+
 def test_report_by_hand(spark):
     pred = spark.createDataFrame([(1, 1, .9), (1, 0, .2), (0, 0, .1), (0, 1, .8), (0, 0, .3)], "label int, prediction int, p_positive double")
     got = {r.metric_group: (round(r.precision, 6), r.recall and round(r.recall, 6), r.f1 and round(r.f1, 6), r.support)
