@@ -25,8 +25,9 @@ import base64
 import gc
 import hashlib
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain, islice
+from sys import getsizeof
 from typing import NamedTuple
 
 import numpy as np
@@ -34,9 +35,12 @@ from pyspark.sql import DataFrame
 
 from pulsevault.llm.common import CHUNK_BYTES, executors_ready, text_chunks, text_of
 
-#: Pieces (and token pairs) that a Python worker remembers before it starts anew, and the bytes of those pieces.
-MEMO = 600_000
-MEMO_BYTES = 16 << 20
+#: Token pairs that a Python worker remembers before it starts anew (about 100 bytes each).
+MEMO = 200_000
+#: Bytes of the pieces that it remembers, as Python's objects and the dictionary's slots (``SLOT_BYTES`` each) take them:
+#: one half for the latest pieces, the other for those before them.
+MEMO_BYTES = 40 << 20
+SLOT_BYTES = 100
 #: Pieces, or ids, of one text that are worked on at a time.
 STRETCH = 200_000
 #: Characters above which a text is split in stretches.
@@ -83,12 +87,20 @@ class PrefixEncoder:
         self.bytes = Ragged(self.token)
         self.size = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.trie, self.endings = self._trie(), self._trie(backwards=True)
+        self.endings = self._trie(backwards=True)
         self._pair: dict[int, bool] = {}
         self._sound: dict[int, bool] = {}
         self._pieces: dict[str, bytes] = {}  # piece -> its ids, four bytes each
+        self._before: dict[str, bytes] = {}
         self._held = 0
 
+    @cached_property
+    def trie(self) -> dict:
+        """The entries by their bytes, for what is read forwards: long byte strings and tables."""
+        made = self._trie()
+        gc.freeze()
+        return made
+
     def _trie(self, backwards: bool = False) -> dict:
         """The entries by their bytes, read forwards or backwards: byte -> (id of the entry that is complete here or
         none, what may come next)."""
@@ -259,19 +271,21 @@ class PrefixEncoder:
 
     def piece_ids(self, piece: str) -> bytes:
         """The ids of one match of the pattern, four bytes each; remembered if the match is short."""
-        data = piece.encode()
-        whole = self.ranks.get(data)
-        ids = (array("I", [whole]) if whole is not None else self._read_back(data)[::-1]).tobytes()
-        if len(data) <= _ON_DEMAND:
-            self._pieces[piece] = ids
-            self._held += len(data) + len(ids)
+        ids = self._before.get(piece)
+        if ids is None:
+            data = piece.encode()
+            whole = self.ranks.get(data)
+            ids = (array("I", [whole]) if whole is not None else self._read_back(data)[::-1]).tobytes()
+            if len(data) > _ON_DEMAND:
+                return ids
+        if self._held >= MEMO_BYTES // 2:
+            self._before, self._pieces, self._held = self._pieces, {}, 0
+        self._pieces[piece] = ids
+        self._held += getsizeof(piece) + getsizeof(ids) + SLOT_BYTES
         return ids
 
     def ids_of(self, pieces: list[list[str]]):
         """The ids of each list of matches."""
-        if len(self._pieces) >= MEMO or self._held >= MEMO_BYTES:
-            self._pieces.clear()
-            self._held = 0
         different = list(set(chain.from_iterable(pieces)))
         here = dict(zip(different, map(self._pieces.get, different), strict=True))  # small enough for the processor's caches
         for piece in [piece for piece, ids in here.items() if ids is None]:
@@ -287,7 +301,7 @@ class PrefixEncoder:
 @lru_cache(maxsize=2)
 def _made(lines: bytes) -> PrefixEncoder:
     made = PrefixEncoder({base64.b64decode(a): int(b) for a, b in (line.split() for line in lines.splitlines() if line.strip())})
-    gc.freeze()  # the trie stays for the worker's life; the collector need not walk it again and again
+    gc.freeze()  # the tries stay for the worker's life; the collector need not walk them again and again
     return made
 
 

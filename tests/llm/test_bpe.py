@@ -111,3 +111,14 @@ def test_memory_of_very_long_texts_follows_their_bytes(enc, text):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n > 0 and decoded == sha(text.encode()) and peak < 100e6 + 8 * len(text)
+
+
+def test_remembered_pieces_are_bounded_by_what_they_take(monkeypatch):
+    from sys import getsizeof
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 1 << 20)
+    enc = bpe.PrefixEncoder(bpe.encoder(VOCABULARY).ranks)
+    for at in range(0, 20_000, 500):
+        list(enc.ids_of([[f"x{i}y" for i in range(at, at + 500)]]))
+    held = [d for d in vars(enc).values() if isinstance(d, dict) and "x19999y" in d or isinstance(d, dict) and "x17800y" in d]
+    assert held and sum(getsizeof(d) + sum(getsizeof(k) + getsizeof(v) for k, v in d.items()) for d in held) <= 1.3 * (1 << 20)
+    assert "trie" not in vars(enc)  # only long pieces are read forwards
