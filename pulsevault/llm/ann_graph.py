@@ -5,10 +5,12 @@ nearest nodes within a few random groups. Each round of NN-descent joins a node'
 reverse, with each other: a pair of which at least one is new to the node is compared, and each of the
 two is offered the other if that beats its worst neighbour. Rounds end when few neighbours change.
 
-The joins run by blocks of about ``BLOCK`` nodes: a block asks for the vectors of its nodes' neighbours
-(one row per block and neighbour), compares inside the block, and sends at most ``DEGREE`` offers per block
-and node; another shuffle merges the offers into the graph. No task holds more than one block with the
-vectors it asked for. Reverse neighbours of a node beyond ``DEGREE`` are left to later rounds by a hash
+The joins run by blocks of nodes: a block asks for the vectors of its nodes' neighbours (one row per block and
+neighbour), compares inside the block, and sends at most ``DEGREE`` offers per block and node; another shuffle
+merges the offers into the graph. No task holds more than one block with the vectors it asked for. A vector
+goes to all blocks that ask for it, ``2 * DEGREE`` at most on average, so blocks are no more than needed: ``BLOCKS``
+of up to ``WIDER * BLOCK`` nodes while all vectors are no more than ``BLOCK`` nodes may ask for, else blocks of
+``BLOCK`` nodes. Their number changes no result. Reverse neighbours of a node beyond ``DEGREE`` are left to later rounds by a hash
 order, which is part of the descent and loses no row: every vector is indexed.
 
 A search starts at an entry node (a query that is a row of the table starts at itself), and expands the
@@ -32,7 +34,10 @@ from pyspark.sql.types import BinaryType, DoubleType, FloatType
 from pulsevault.llm.common import executors_ready, stored
 
 DEGREE = 32
-BLOCK = 4096
+#: Nodes in a block of a large table, how many times as many where all vectors fit, and blocks of a round at least.
+BLOCK, WIDER, BLOCKS = 4096, 4, 8
+#: Nodes whose offers are merged at a time, and offers of a block that are held before they are cut, at least.
+MERGED, HELD = 4096, 4 << 20
 #: Random groups per node at the start, and nodes in a group.
 STARTS, GROUP = 3, 2048
 ROUNDS, MIN_CHANGE = 8, 0.01
@@ -81,6 +86,12 @@ def nodes_of(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
     return stored(nodes, "ann-nodes"), members.select("node", "vec_id"), n
 
 
+def blocks_of(n: int, block: int, degree: int) -> int:
+    """The number of blocks of ``n`` nodes. ``block`` nodes ask for ``2 * degree * block`` vectors at most; a table of
+    no more vectors than that is dealt to larger blocks, so that a vector's copies do not grow with the table."""
+    return max(BLOCKS, -(-n // (block * WIDER if n <= 2 * degree * block else block)))
+
+
 def _block(node: str, blocks: int):
     return F.pmod(F.xxhash64(node), F.lit(blocks)).cast("int").alias("block")
 
@@ -165,15 +176,16 @@ def first_offers(nodes: DataFrame, n: int, degree: int, starts: int, group: int)
     return dealt.repartition("deal", "group").sortWithinPartitions("deal", "group", "node").mapInArrow(run, _OFFERS)
 
 
-def merged(graph: DataFrame, offers: DataFrame, blocks: int, degree: int) -> DataFrame:
+def merged(graph: DataFrame, offers: DataFrame, blocks: int, degree: int, n: int) -> DataFrame:
     """The graph (block, node, half, ids, sims, fresh) with the offers taken in; ``fresh``: new in this merge."""
     kind = lambda k: F.lit(k).cast("byte").alias("kind")
-    old = graph.select("block", "node", kind(0), "half", "ids", "sims")
-    new = offers.select(_block("node", blocks), "node", kind(1), F.lit(None).cast("binary").alias("half"), "ids", "sims")
-    rows = old.unionByName(new).repartition("block").sortWithinPartitions("block", "kind", "node")
+    part = _block("node", max(blocks, -(-n // MERGED))).alias("part")
+    old = graph.select(part, "node", kind(0), "half", "ids", "sims")
+    new = offers.select(part, "node", kind(1), F.lit(None).cast("binary").alias("half"), "ids", "sims")
+    rows = old.unionByName(new).repartition("part").sortWithinPartitions("part", "kind", "node")
 
     def run(batches):
-        for (block,), parts in _grouped(batches, 1):
+        for _, parts in _grouped(batches, 1):
             b = pa.Table.from_batches(parts).combine_chunks()
             kinds = b.column(2).to_numpy()
             known = b.slice(0, int((kinds == 0).sum()))
@@ -192,17 +204,23 @@ def merged(graph: DataFrame, offers: DataFrame, blocks: int, degree: int) -> Dat
             order = order[_rank(owner[order]) < degree]
             lists = _lists(owner[order], len(node), pa.array(ids[order], pa.int64()), pa.array(sims[order], pa.float32()), pa.array(fresh[order]))
             half = known.column(3).combine_chunks()
-            columns = [pa.array(np.full(len(node), block, np.int32)), pa.array(node), half, *lists]
-            yield from pa.Table.from_arrays(columns, names=["block", "node", "half", "ids", "sims", "fresh"]).to_batches(1024)
+            yield from pa.Table.from_arrays([pa.array(node), half, *lists], names=["node", "half", "ids", "sims", "fresh"]).to_batches(1024)
 
-    return rows.mapInArrow(run, "block int, node long, half binary, ids array<long>, sims array<float>, fresh array<boolean>")
+    graph = rows.mapInArrow(run, "node long, half binary, ids array<long>, sims array<float>, fresh array<boolean>")
+    return graph.select(_block("node", blocks), "node", "half", "ids", "sims", "fresh")
 
 
 def _local_join(x: np.ndarray, worst: np.ndarray, owner: np.ndarray, member: np.ndarray, fresh: np.ndarray, degree: int):
     """Offers (to, other, similarity) among the members of each owner; all are row numbers of ``x``."""
     starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(owner))
-    to, other, sims = [], [], []
+    none = np.zeros(0, np.int32)
+    held, size, limit = [(none, none, np.zeros(0, np.float32))], 0, HELD
+    member = member.astype(np.int32)
+
+    def cut():
+        return _best(*(np.concatenate(v) for v in zip(*held, strict=True)), degree)
+
     for a, z in zip(starts.tolist(), ends.tolist(), strict=True):
         new = fresh[a:z]
         if z - a < 2 or not new.any():
@@ -215,17 +233,16 @@ def _local_join(x: np.ndarray, worst: np.ndarray, owner: np.ndarray, member: np.
         # each pair once: of two new ones the earlier, never a node with itself
         beats &= ~(new[None, :] & (np.arange(len(m))[None, :] <= first[:, None]))
         i, j = np.nonzero(beats)
-        if len(i):
-            to.append(m[first[i]])
-            other.append(m[j])
-            sims.append(s[i, j])
-    if not to:
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.float32)
-    a, b, s = np.concatenate(to), np.concatenate(other), np.concatenate(sims)
-    to, other, s = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((s, s))
-    use = s > worst[to]
-    return _best(to[use], other[use], s[use], degree)
+        s = s[i, j]
+        for to, other in ((m[first[i]], m[j]), (m[j], m[first[i]])):
+            use = s > worst[to]
+            held.append((to[use], other[use], s[use]))
+            size += len(held[-1][0])
+        if size > limit:
+            held = [cut()]
+            size = len(held[0][0])
+            limit = 2 * size + HELD
+    return cut()
 
 
 def round_offers(graph: DataFrame, blocks: int, degree: int, turn: int) -> DataFrame:
@@ -246,21 +263,25 @@ def round_offers(graph: DataFrame, blocks: int, degree: int, turn: int) -> DataF
     vectors = asked.join(payload, "other").select(F.explode("blocks").alias("block"), kind(0), "other", "half", "worst", none("long", "node"), none("boolean", "flag"))
     links = lambda e, k: e.select("block", kind(k), "other", none("binary", "half"), none("float", "worst"), "node", "flag")
     rows = vectors.unionByName(links(edges, 1)).unionByName(links(back, 2))
-    rows = rows.repartition("block").sortWithinPartitions("block", "kind", "other")
+    # few blocks get a task each; hashes would put several into one
+    few = blocks <= int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartitionById(blocks, "block") if few else rows.repartition("block")
+    rows = rows.sortWithinPartitions("block", "kind", "other")
 
     def run(batches):
         for _, parts in _grouped(batches, 1):
             kinds = np.concatenate([p.column(1).to_numpy() for p in parts])
             at = np.searchsorted(kinds, [1, 3])
-            ids, halves, floors, left = [], [], [], int(at[0])
+            ids, vectors, floors, left = [], [], [], int(at[0])
             for p in parts:
                 if left:
                     some = p.slice(0, min(left, p.num_rows))
                     ids.append(some.column(2).to_numpy())
-                    halves.append(_rows(some.column(3), np.float16))
+                    vectors.append(_rows(some.column(3), np.float16).astype(np.float32))
                     floors.append(some.column(4).to_numpy(zero_copy_only=False))
                     left -= some.num_rows
-            ids, x, floors = np.concatenate(ids), np.concatenate(halves).astype(np.float32), np.concatenate(floors)
+            ids, x, floors = np.concatenate(ids), np.concatenate(vectors), np.concatenate(floors)
+            del vectors
             links_ = pa.Table.from_batches(parts).slice(int(at[0]))
             node = links_.column(5).to_numpy()
             member = np.searchsorted(ids, links_.column(2).to_numpy())
@@ -280,11 +301,11 @@ def round_offers(graph: DataFrame, blocks: int, degree: int, turn: int) -> DataF
 def neighbour_graph(nodes: DataFrame, n: int, degree: int = DEGREE, rounds: int = ROUNDS, min_change: float = MIN_CHANGE,
                     block: int = BLOCK) -> DataFrame:
     """Stored graph (block, node, half, ids, sims, fresh): every node's ``degree`` nearest nodes found."""
-    blocks = max(1, -(-n // block))
+    blocks = blocks_of(n, block, degree)
     empty = nodes.select(_block("node", blocks), "node", "half", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("sims"))
-    graph = stored(merged(empty, first_offers(nodes, n, degree, STARTS, GROUP), blocks, degree), "ann-graph")
+    graph = stored(merged(empty, first_offers(nodes, n, degree, STARTS, GROUP), blocks, degree, n), "ann-graph")
     for turn in range(rounds):
-        graph = stored(merged(graph, round_offers(graph, blocks, degree, turn), blocks, degree), "ann-graph")
+        graph = stored(merged(graph, round_offers(graph, blocks, degree, turn), blocks, degree, n), "ann-graph")
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
         if changed <= min_change * n * degree:
             break

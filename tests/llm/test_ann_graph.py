@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from pulsevault.llm import ann_graph
-from pulsevault.llm.ann_graph import _best, _local_join, nearest, round_offers
+from pulsevault.llm.ann_graph import _best, _local_join, blocks_of, nearest, neighbour_graph, nodes_of, round_offers, valid_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, score string, node int"
 
@@ -108,3 +108,44 @@ def test_a_vector_is_joined_once_however_many_blocks_ask_for_it(spark):
     graph = spark.createDataFrame(rows, "block int, node long, half binary, ids array<long>, sims array<float>, fresh array<boolean>")
     text = round_offers(graph, 4, 8, 0)._jdf.queryExecution().executedPlan().toString()
     assert "Generate explode(blocks" in text and text.index("Generate explode(blocks") < text.index("Join [other")
+
+
+def test_copies_of_a_vector_do_not_grow_with_the_table(spark, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(ann_graph, "round_offers", lambda graph, blocks, *rest: dealt.append(blocks) or round_offers(graph, blocks, *rest))
+    rng = np.random.default_rng(4)
+    for n in (400, 2000):
+        rows = [(i, [float(c) for c in rng.normal(size=8)], "x", 1) for i in range(n)]
+        assert nearest(spark.createDataFrame(rows, SCHEMA), 50, block=100, rounds=1).count() == n // 50 * 5
+    assert len(dealt) == 2 and dealt[0] == dealt[1]
+    # as many blocks for five times the vectors; a block never holds more vectors than one of a large table may ask for
+    assert blocks_of(10_256, 4096, 32) == blocks_of(51_282, 4096, 32)
+    assert blocks_of(262_144, 4096, 32) == 16 and blocks_of(262_145, 4096, 32) == 65
+
+
+def test_the_graph_does_not_depend_on_the_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann_graph, "GROUP", 100)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(c) for c in rng.normal(size=8)], "x", 1) for i in range(700)]
+    nodes, _, n = nodes_of(valid_vectors(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding"), 5)
+    graphs = []
+    for blocks, merged, held in ((1, 4096, 1 << 20), (30, 50, 10)):
+        monkeypatch.setattr(ann_graph, "blocks_of", lambda *_, b=blocks: b)
+        monkeypatch.setattr(ann_graph, "MERGED", merged)
+        monkeypatch.setattr(ann_graph, "HELD", held)
+        graph = neighbour_graph(nodes, n, degree=8, rounds=2)
+        graphs.append({r.node: dict(zip(r.ids, (round(s, 5) for s in r.sims), strict=True)) for r in graph.collect()})
+        assert graph.select("block").distinct().count() == blocks
+    assert graphs[0] == graphs[1] and all(len(v) == 8 for v in graphs[0].values())
+
+
+def test_offers_cut_while_they_are_collected_are_the_best(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 5)).astype(np.float32)
+    owner = np.repeat(np.arange(40), 10)
+    member = np.concatenate([np.sort(rng.choice(60, 10, replace=False)) for _ in range(40)])
+    fresh = rng.random(400) < .6
+    whole = _local_join(x, np.full(60, -2, np.float32), owner, member, fresh, 3)
+    monkeypatch.setattr(ann_graph, "HELD", 1)
+    parts = _local_join(x, np.full(60, -2, np.float32), owner, member, fresh, 3)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True)) and np.bincount(whole[0]).max() == 3
